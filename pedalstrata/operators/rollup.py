@@ -50,12 +50,20 @@ DAY_MEASURES = (
 )
 
 
-def _expression(df: DataFrame, measure: Measure, order_by: str, strict: bool) -> Column:
+_ORDER = "_order"
+
+
+def _with_order(df: DataFrame, order_by: str) -> DataFrame:
+    """The row order as a number, parsed once per row rather than once per ``first``."""
+    return df.withColumn(_ORDER, safe_int(F.col(order_by), df.schema[order_by].dataType))
+
+
+def _expression(df: DataFrame, measure: Measure, strict: bool) -> Column:
     c, dtype = F.col(measure.column), df.schema[measure.column].dataType
     if callable(measure.kind):
         return measure.kind(c)
     if measure.kind == "first":
-        return first_non_null(c, dtype, safe_int(F.col(order_by), df.schema[order_by].dataType))
+        return first_non_null(c, dtype, F.col(_ORDER))
     if measure.kind == "half_up_mean":
         return half_up_mean(c, dtype, strict)
     if measure.kind == "mean":
@@ -73,8 +81,8 @@ def rollup(
     strict: bool = False,
 ) -> DataFrame:
     """One row per non-null key; one shuffle, of partial aggregates only."""
-    exprs = [_expression(df, m, order_by, strict).alias(m.column) for m in measures]
-    return drop_null_keys(df, key).groupBy(key).agg(*exprs)
+    exprs = [_expression(df, m, strict).alias(m.column) for m in measures]
+    return drop_null_keys(_with_order(df, order_by), key).groupBy(key).agg(*exprs)
 
 
 def number_days(days: DataFrame, key: str = "dteday") -> DataFrame:
@@ -104,7 +112,7 @@ def rollup_day_profiled(hours: DataFrame, strict: bool = False) -> DataFrame:
     The null-date group stays, so the extra columns add up to the profile of the whole
     hourly table: roll-up and validation then need one scan instead of two.
     """
-    exprs = [_expression(hours, m, "instant", strict).alias(m.column) for m in DAY_MEASURES]
-    return hours.groupBy("dteday").agg(
+    exprs = [_expression(hours, m, strict).alias(m.column) for m in DAY_MEASURES]
+    return _with_order(hours, "instant").groupBy("dteday").agg(
         *exprs, row_count().alias("_rows"), missing_cells(hours).alias("_missing")
     )

@@ -10,7 +10,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pedalstrata.errors import DatasetError
-from pedalstrata.functions.casting import normalise_na_columns, safe_double, safe_int
+from pedalstrata.functions.casting import (
+    BOOLEAN,
+    DOUBLE,
+    INTEGER,
+    literal_kind,
+    normalise_na_columns,
+    safe_double,
+    safe_int,
+)
 from pedalstrata.operators.quality import require_rows
 
 TABLES = ("day", "hour")
@@ -39,25 +47,16 @@ def scan_raw(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 def _inferred(df: DataFrame) -> list[Column]:
     """Per text column the narrowest of integer, double, boolean or text that fits every value."""
     text = T.StringType()
-    booleans = ("True", "TRUE", "true", "False", "FALSE", "false")
-    checks = []
-    for name in df.columns:
-        c = F.col(name)
-        checks += [
-            F.count(c).alias(f"{name}.all"),
-            F.count(safe_int(c, text)).alias(f"{name}.int"),
-            F.count_if(c.isNotNull() & safe_double(c, text).isNotNull()).alias(f"{name}.double"),
-            F.count_if(c.isin(*booleans)).alias(f"{name}.bool"),
-        ]
-    found = df.agg(*checks).first()
+    kinds = df.select(*[literal_kind(F.col(c)).alias(f"k{i}") for i, c in enumerate(df.columns)])
+    found = kinds.agg(*[f(k) for k in kinds.columns for f in (F.min, F.max)]).first()
     out = []
-    for name in df.columns:
-        c, n = F.col(name), found[f"{name}.all"]
-        if n and found[f"{name}.int"] == n:
+    for i, name in enumerate(df.columns):
+        c, low, high = F.col(name), found[2 * i], found[2 * i + 1]
+        if high == INTEGER:
             out.append(safe_int(c, text).alias(name))
-        elif n and found[f"{name}.double"] == n:
+        elif high == DOUBLE:
             out.append(safe_double(c, text).alias(name))
-        elif n and found[f"{name}.bool"] == n:
+        elif low == high == BOOLEAN:
             out.append(c.try_cast("boolean").alias(name))
         else:
             out.append(c)
