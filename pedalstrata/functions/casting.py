@@ -44,17 +44,24 @@ def null_if_missing(c: Column, dtype: T.DataType) -> Column:
     return nan_to_null(c) if is_floating(dtype) else c
 
 
-def normalise_na(c: Column, tokens: Sequence[str] = NA_TOKENS) -> Column:
-    """Text with every missing-value token turned into null."""
-    return F.when(~c.isin(*tokens), c)
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _text_list(values: Sequence[str]) -> str:
+    return ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values)
+
+
+def normalise_na(name: str, tokens: Sequence[str] = NA_TOKENS) -> Column:
+    """A text column with every missing-value token turned into null."""
+    c = _quoted(name)
+    return F.expr(f"CASE WHEN {c} NOT IN ({_text_list(tokens)}) THEN {c} END")
 
 
 def normalise_na_columns(df: DataFrame, tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
     return df.select(
         *[
-            normalise_na(F.col(f.name), tokens).alias(f.name)
-            if isinstance(f.dataType, T.StringType)
-            else F.col(f.name)
+            normalise_na(f.name, tokens).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
             for f in df.schema
         ]
     )
@@ -64,14 +71,15 @@ def normalise_na_columns(df: DataFrame, tokens: Sequence[str] = NA_TOKENS) -> Da
 INTEGER, DOUBLE, BOOLEAN, TEXT = 1, 2, 3, 4
 
 
-def literal_kind(c: Column) -> Column:
-    """The narrowest kind a text cell fits, null for a null cell."""
-    fits = (F.length(c) < 19) | c.try_cast("bigint").isNotNull()
-    return (
-        F.when(c.rlike(_INTEGER), F.when(fits, INTEGER).otherwise(TEXT))
-        .when(c.rlike(_DOUBLE), DOUBLE)
-        .when(c.isin(*_BOOLEANS), BOOLEAN)
-        .when(c.isNotNull(), TEXT)
+def literal_kind(name: str) -> Column:
+    """The narrowest kind each cell of a text column fits, null for a null cell."""
+    c = _quoted(name)
+    return F.expr(
+        f"""CASE WHEN {c} RLIKE r'{_INTEGER}'
+              THEN IF(length({c}) < 19 OR try_cast({c} AS bigint) IS NOT NULL, {INTEGER}, {TEXT})
+            WHEN {c} RLIKE r'{_DOUBLE}' THEN {DOUBLE}
+            WHEN {c} IN ({_text_list(_BOOLEANS)}) THEN {BOOLEAN}
+            WHEN {c} IS NOT NULL THEN {TEXT} END"""
     )
 
 

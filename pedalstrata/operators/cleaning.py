@@ -27,8 +27,7 @@ def check_required(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS) ->
 
 
 def _value(df: DataFrame, name: str) -> Column:
-    c = F.col(name)
-    return normalise_na(c) if isinstance(df.schema[name].dataType, T.StringType) else c
+    return normalise_na(name) if isinstance(df.schema[name].dataType, T.StringType) else F.col(name)
 
 
 def _absent(df: DataFrame, required: Sequence[str]) -> Column:

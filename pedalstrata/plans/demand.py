@@ -45,12 +45,19 @@ def filter_demand(
 
 
 def relation_to_rides(silver: DataFrame, column: str) -> DataFrame:
-    """Correlation and least-squares line of rentals over a weather column; null without variance."""
-    return silver.agg(
-        F.regr_count("total_rides", column).alias("n_pairs"),
-        round_half_even(F.corr("total_rides", column)).alias("correlation"),
-        round_half_even(F.regr_slope("total_rides", column)).alias("slope"),
-        round_half_even(F.regr_intercept("total_rides", column)).alias("intercept"),
+    """Correlation and least-squares line of rentals over a weather column; null without variance.
+
+    The correlation is spelled out because ``corr`` divides by zero, an error in ANSI mode,
+    when a side does not vary.
+    """
+    x, y = F.col(column), F.col("total_rides")
+    pairs = silver.where(x.isNotNull() & y.isNotNull())
+    spread = F.stddev_pop(x) * F.stddev_pop(y)
+    return pairs.agg(
+        row_count().alias("n_pairs"),
+        round_half_even(F.try_divide(F.covar_pop(x, y), spread)).alias("correlation"),
+        round_half_even(F.regr_slope(y, x)).alias("slope"),
+        round_half_even(F.regr_intercept(y, x)).alias("intercept"),
     )
 
 

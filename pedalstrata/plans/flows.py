@@ -60,7 +60,9 @@ def extract(
     raw = build_raw(require_rows(hours, "hour"), strict)
     require_valid(raw.day_report, raw.hour_report)
     paths = {name: write_layer(df, base, name, fmt) for name, df in raw.tables().items()}
-    publish_raw(raw.tables(), publish_to, fmt, skip_publish)
+    # The published copy is made from the written files, as text for CSV, not computed again.
+    reader = hours.sparkSession.read.format(fmt).option("header", True)
+    publish_raw({name: reader.load(path) for name, path in paths.items()}, publish_to, fmt, skip_publish)
     return paths
 
 

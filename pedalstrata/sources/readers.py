@@ -47,7 +47,7 @@ def scan_raw(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 def _inferred(df: DataFrame) -> list[Column]:
     """Per text column the narrowest of integer, double, boolean or text that fits every value."""
     text = T.StringType()
-    kinds = df.select(*[literal_kind(F.col(c)).alias(f"k{i}") for i, c in enumerate(df.columns)])
+    kinds = df.select(*[literal_kind(c).alias(f"k{i}") for i, c in enumerate(df.columns)])
     found = kinds.agg(*[f(k) for k in kinds.columns for f in (F.min, F.max)]).first()
     out = []
     for i, name in enumerate(df.columns):

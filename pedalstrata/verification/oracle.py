@@ -325,7 +325,7 @@ ORACLE: dict[str, str] = {
       select row_number() over (order by dteday, instant, hr, cnt) as position, dteday, instant, hr, cnt
       from hour_raw""",
     "sort_by_date": f"{_DAY} order by dteday",
-    "sort_desc_nulls_last": f"""with {_PROJECTED_HOUR} select ride_id, ride_date from projected
+    "sort_desc_nulls_last": f"""with {_PROJECTED_HOUR} select ride_id, ride_date, ride_hour, total_rides from projected
       order by ride_date desc nulls last, ride_id desc nulls last""",
     "top1_per_key": f"with {_SILVER_HOUR} select * from silver",
     "preview_head": f"{_DAY} order by instant limit 3",

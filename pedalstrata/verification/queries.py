@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pedalstrata.functions import aggregates as agg
 from pedalstrata.functions import casting, labels, udaf
-from pedalstrata.operators import cleaning, dedup, numbering, projection, quality, rollup
+from pedalstrata.operators import cleaning, dedup, numbering, ordering, projection, quality, rollup
 from pedalstrata.plans import demand, flows, gold
 from pedalstrata.plans.lineitem_feed import day_dirty, day_raw, hour_dirty, hour_raw
 from pedalstrata.plans.silver import KEY, ORDER, silver
@@ -368,8 +368,9 @@ def sort_by_date(spark, sf):
 
 @query
 def sort_desc_nulls_last(spark, sf):
-    projected = projection.project_silver(hour_dirty(spark, sf), "hour").select("ride_id", "ride_date")
-    return projected.orderBy(F.desc_nulls_last("ride_date"), F.desc_nulls_last("ride_id"))
+    projected = projection.project_silver(hour_dirty(spark, sf), "hour")
+    rides = projected.select("ride_id", "ride_date", "ride_hour", "total_rides")
+    return ordering.newest_first(rides, ["ride_date", "ride_id"])
 
 
 @query

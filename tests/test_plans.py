@@ -1,0 +1,87 @@
+"""What the physical plans must and must not contain."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+
+from pedalstrata.operators import cleaning, dedup
+from pedalstrata.operators.rollup import DAY_MEASURES, rollup
+from pedalstrata.plans import demand, gold
+from pedalstrata.plans.lineitem_feed import hour_dirty, hour_raw
+from pedalstrata.plans.silver import silver
+from pedalstrata.verification.queries import QUERIES
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def exchanges(text: str) -> int:
+    return len(re.findall(r"Exchange ", text))
+
+
+def test_window_dedup_limits_before_the_shuffle(spark, sf_dir):
+    text = plan(silver(hour_dirty(spark, sf_dir), "hour", method="window"))
+    assert text.count("WindowGroupLimit") == 2 and exchanges(text) == 1
+    assert text.index("Final") < text.index("Exchange") < text.index("Partial")
+
+
+def test_aggregate_dedup_combines_before_the_shuffle(spark, sf_dir):
+    text = plan(silver(hour_dirty(spark, sf_dir), "hour"))
+    assert "partial_max" in text and exchanges(text) == 1 and "Window" not in text
+
+
+def test_kept_null_keys_are_not_shuffled(spark, sf_dir):
+    df = hour_dirty(spark, sf_dir).selectExpr("try_cast(instant as bigint) as ride_id", "dteday as ride_date")
+    text = plan(dedup.latest_per_key(df, "ride_id", ["ride_date"], "keep"))
+    assert exchanges(text) == 1 and "Union" in text
+
+
+def test_key_filter_reaches_the_scan(spark, tmp_path, sf_dir):
+    path = f"{tmp_path}/rides"
+    hour_raw(spark, sf_dir).selectExpr("cast(instant as bigint) as ride_id", "dteday as ride_date").write.parquet(path)
+    for method in ("aggregate", "window"):
+        out = dedup.latest_per_key(spark.read.parquet(path), "ride_id", ["ride_date"], method=method)
+        assert "EqualTo(ride_id,11)" in plan(out.where("ride_id = 11"))
+
+
+def test_cleaning_is_narrow(spark, sf_dir):
+    assert exchanges(plan(cleaning.clean(hour_dirty(spark, sf_dir)))) == 0
+
+
+def test_rollup_is_a_two_step_hash_aggregate(spark, sf_dir):
+    text = plan(rollup(hour_raw(spark, sf_dir), "dteday", DAY_MEASURES))
+    assert text.count("HashAggregate") == 2 and "SortAggregate" not in text and exchanges(text) == 1
+
+
+def test_gold_reads_only_its_columns(spark, sf_dir, tmp_path):
+    path = f"{tmp_path}/silver_hour"
+    silver(hour_raw(spark, sf_dir), "hour").write.parquet(path)
+    stored = spark.read.parquet(path)
+    text = plan(demand.demand_by(stored, "ride_hour"))
+    assert "ReadSchema: struct<ride_hour:bigint,total_rides:bigint>" in text
+    text = plan(demand.demand_by(demand.filter_demand(stored, season=2, weather=[1, 2]), "ride_hour"))
+    assert "EqualTo(season,2)" in text and "In(weather_situation, [1,2])" in text
+    assert plan(gold.monthly(stored)).count("HashAggregate") == 2
+
+
+def test_partition_pruning(spark, sf_dir, db):
+    from pedalstrata.sources.writers import load_truncate
+
+    table = load_truncate(silver(hour_raw(spark, sf_dir), "hour"), f"{db}.silver_hour", ["year_flag"])
+    text = plan(demand.demand_by(table.where("year_flag = 1"), "month"))
+    assert re.search(r"PartitionFilters: \[[^\]]*year_flag#\d+L? = 1", text)
+
+
+NO_PYTHON = sorted(
+    n for n in QUERIES if n.startswith(("agg_", "gold_", "demand_", "dedup_", "project_silver", "filter_", "check_"))
+)
+
+
+@pytest.mark.parametrize("name", NO_PYTHON)
+def test_no_python_and_no_cross_join(spark, sf_dir, name):
+    text = plan(QUERIES[name](spark, sf_dir))
+    for word in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin", "MapInArrow"):
+        assert word not in text
