@@ -22,8 +22,9 @@ _LAST = 2**63 - 1
 def first_non_null(c: Column, dtype: T.DataType, order: Column) -> Column:
     """The value of the lowest ``order`` among rows where it is not missing.
 
-    Unlike ``first``, the answer does not depend on how rows arrive after a shuffle. Rows
-    without an order value come last. ``order`` must be numeric to keep the hash aggregate.
+    Unlike ``first``, the answer does not depend on how rows arrive after a shuffle, given
+    that ``order`` is unique in a group, as a record number is. Rows without one come last.
+    ``order`` must be numeric to keep the hash aggregate.
     """
     position = F.coalesce(order, F.lit(_LAST))
     return F.min_by(c, F.when(~is_missing(c, dtype), position))

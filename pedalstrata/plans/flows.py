@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pedalstrata.functions.aggregates import missing_cells, row_count
 from pedalstrata.operators.cleaning import clean, drop_null_keys
-from pedalstrata.operators.quality import require_rows, require_valid, validate_dataset, verdict
+from pedalstrata.operators.quality import require_rows, require_valid, verdict
 from pedalstrata.operators.rollup import number_days, rollup_day_profiled
 from pedalstrata.plans.gold import gold_tables
 from pedalstrata.plans.silver import silver
-from pedalstrata.schemas import MIN_COLUMNS, MIN_ROWS
+from pedalstrata.schemas import MIN_COLUMNS, MIN_ROWS, RAW_DAY_COLUMNS
 from pedalstrata.sources.readers import scan_by_format, scan_optional
 from pedalstrata.sources.staging import stage
 from pedalstrata.sources.writers import load_layers, load_truncate, publish_raw, write_layer
@@ -21,10 +23,11 @@ from pedalstrata.sources.writers import load_layers, load_truncate, publish_raw,
 
 @dataclass(frozen=True)
 class RawLayer:
+    """Both raw tables and one validation row for each."""
+
     day: DataFrame
     hour: DataFrame
-    day_report: DataFrame
-    hour_report: DataFrame
+    report: DataFrame
 
     def tables(self) -> dict[str, DataFrame]:
         return {"day": self.day, "hour": self.hour}
@@ -33,18 +36,21 @@ class RawLayer:
 def build_raw(
     hours: DataFrame, strict: bool = False, min_rows: int = MIN_ROWS, min_cols: int = MIN_COLUMNS
 ) -> RawLayer:
-    """Hourly table, daily table and a validation report for each, from one scan of the hours."""
+    """Hourly table, daily table and their validation, from one scan of the hours."""
     grouped = stage(rollup_day_profiled(hours, strict))
-    days = number_days(drop_null_keys(grouped.drop("_rows", "_missing"), "dteday"))
+    days = drop_null_keys(grouped, "dteday").drop("_rows", "_missing")
     zero = F.lit(0).cast("bigint")
-    profile = grouped.agg(
+    hour_profile = grouped.agg(
         F.coalesce(F.sum("_rows"), zero).alias("n_rows"), F.coalesce(F.sum("_missing"), zero).alias("n_nulls")
     )
+    # The number that days get later is never missing, so they can be profiled without it.
+    day_profile = days.agg(row_count().alias("n_rows"), missing_cells(days).alias("n_nulls"))
     return RawLayer(
-        day=days,
+        day=number_days(days),
         hour=hours,
-        day_report=validate_dataset(days, "day", min_rows, min_cols),
-        hour_report=verdict(profile, "hour", len(hours.columns), min_rows, min_cols),
+        report=verdict(day_profile, "day", len(RAW_DAY_COLUMNS), min_rows, min_cols).unionByName(
+            verdict(hour_profile, "hour", len(hours.columns), min_rows, min_cols)
+        ),
     )
 
 
@@ -58,7 +64,7 @@ def extract(
 ) -> dict[str, str]:
     """Build, validate both tables, only then write both, and publish if a target is set."""
     raw = build_raw(require_rows(hours, "hour"), strict)
-    require_valid(raw.day_report, raw.hour_report)
+    require_valid(raw.report)
     paths = {name: write_layer(df, base, name, fmt) for name, df in raw.tables().items()}
     # The published copy is made from the written files, as text for CSV, not computed again.
     reader = hours.sparkSession.read.format(fmt).option("header", True)
@@ -98,16 +104,17 @@ def load(
     return load_layers(layer, {"silver": tables, "gold": gold}, database)
 
 
-def medallion(hours: DataFrame, database: str) -> dict[str, DataFrame]:
+def medallion(hours: DataFrame, database: str, partition_by: Sequence[str] = ()) -> dict[str, DataFrame]:
     """Raw hours to gold tables: validate, clean, silver, aggregate.
 
     The hours are scanned twice: once for the roll-up with its validation profile, once for
-    silver. Gold reads the stored silver table, and only the columns it needs.
+    silver. Gold reads the stored silver table, and only the columns it needs. Large silver
+    tables can be partitioned, say by ``year_flag``, for later queries to prune.
     """
     raw = build_raw(require_rows(hours, "hour"))
-    require_valid(raw.day_report, raw.hour_report)
+    require_valid(raw.report)
     loaded = {
-        f"silver_{grain}": load_truncate(silver(clean(df), grain), f"{database}.silver_{grain}")
+        f"silver_{grain}": load_truncate(silver(clean(df), grain), f"{database}.silver_{grain}", partition_by)
         for grain, df in raw.tables().items()
     }
     gold = {"day": loaded["silver_day"], **gold_tables(loaded["silver_hour"])}

@@ -121,15 +121,19 @@ def scan_by_format(
     return out
 
 
-def external_csv_table(spark: SparkSession, table: str, path: str) -> DataFrame:
+def external_csv_table(
+    spark: SparkSession, table: str, path: str, schema: T.StructType | None = None
+) -> DataFrame:
     """(Re)create a catalog table over CSV files, with a header line and detected types.
 
-    Only the definition is stored; rows stay in the files and are read when queried. Whole
-    numbers come back as 64-bit whatever width detection chose, so the type does not change
-    with the largest value seen.
+    Only the definition is stored; rows stay in the files and are read when queried.
+    Detection reads every file once; a given ``schema`` saves that. Whole numbers come back
+    as 64-bit whatever width detection chose, so the type does not change with the largest
+    value seen.
     """
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.catalog.createTable(table, path=path, source="csv", header="true", inferSchema="true")
+    options = {"header": "true"} | ({"inferSchema": "true"} if schema is None else {"enforceSchema": "false"})
+    spark.catalog.createTable(table, path=path, source="csv", schema=schema, **options)
     df = spark.table(table)
     return df.select(
         *[

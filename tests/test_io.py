@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pedalstrata.errors import DatasetError
+from pedalstrata.operators import quality
 from pedalstrata.plans import flows
 from pedalstrata.plans.lineitem_feed import hour_dirty, hour_raw
 from pedalstrata.schemas import bronze_schema, raw_schema
@@ -76,6 +77,8 @@ def test_external_table_reads_files_when_queried(spark, tmp_path, db):
     write_text(tmp_path / "raw" / "b.csv", "dteday,cnt\n2011-01-02,6\n")
     again = readers.external_csv_table(spark, f"{db}.bronze", f"{tmp_path}/raw")
     assert again.count() == 2
+    text = readers.external_csv_table(spark, f"{db}.text", f"{tmp_path}/raw", again.selectExpr("string(dteday)", "string(cnt)").schema)
+    assert sorted(rows(text)) == [("2011-01-01", "5"), ("2011-01-02", "6")]
     spark.sql(f"DROP TABLE {db}.bronze")
     assert (tmp_path / "raw" / "a.csv").exists()
 
@@ -181,11 +184,9 @@ def test_nothing_is_written_unless_both_tables_are_valid(spark, sf_dir, tmp_path
 def test_profile_from_the_rollup_equals_a_direct_one(spark, sf_dir):
     hours = hour_dirty(spark, sf_dir).withColumn("dteday", F.col("dteday").try_cast("date"))
     raw = flows.build_raw(hours)
-    report = raw.hour_report.first()
-    direct = hours.count(), sum(
-        hours.where(F.col(c).isNull() | (F.isnan(c) if c == "temp" else F.lit(False))).count() for c in hours.columns
-    )
-    assert (report.n_rows, report.n_nulls) == direct
+    for name, df in raw.tables().items():
+        want = quality.validate_dataset(df, name)
+        assert rows(raw.report.where(F.col("dataset") == name)) == rows(want)
     assert raw.day.where("dteday is null").isEmpty()
 
 
@@ -216,7 +217,7 @@ def test_load_from_parquet_wins_over_csv(spark, tmp_path, db):
 
 
 def test_medallion_tables(spark, sf_dir, db):
-    loaded = flows.medallion(hour_dirty(spark, sf_dir), db)
+    loaded = flows.medallion(hour_dirty(spark, sf_dir), db, ["year_flag"])
     assert loaded["gold_monthly"].count() == 83
     assert loaded["silver_hour"].where("ride_date is null or total_rides is null").isEmpty()
     assert loaded["gold_day"].count() == loaded["silver_day"].count()
