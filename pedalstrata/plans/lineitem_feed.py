@@ -7,9 +7,9 @@ adds faults (bad keys, bad dates, NaN, nulls) for the operators to handle.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from pedalstrata.operators.rollup import rollup_day
+from pedalstrata.schemas import RAW_HOUR_COLUMNS
 
 _CHRISTMAS = "(month(l_shipdate) = 12 and day(l_shipdate) = 25)"
 _HOUR_RAW = (
@@ -33,22 +33,25 @@ _HOUR_RAW = (
 )
 
 
+# Naming the columns saves a look into the files' footers.
+_LINEITEM = (
+    "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_discount double, l_tax double, l_shipdate timestamp_ntz"
+)
+_FAULTS = {
+    "instant": "case when endswith(instant, '7') then 'bad' else instant end",
+    "dteday": "case when endswith(instant, '6') then 'not-a-date' else dteday end",
+    "temp": "case when registered % 50 = 0 then double('NaN') when registered % 50 = 1 then null else temp end",
+    "cnt": "case when endswith(instant, '5') then null else cnt end",
+}
+
+
 def hour_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr(*_HOUR_RAW)
+    return spark.read.schema(_LINEITEM).parquet(f"{sf_dir}/lineitem.parquet").selectExpr(*_HOUR_RAW)
 
 
 def hour_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = hour_raw(spark, sf_dir)
-    instant = F.col("instant")
-    faults = {
-        "instant": F.when(instant.endswith("7"), "bad").otherwise(instant),
-        "dteday": F.when(instant.endswith("6"), "not-a-date").otherwise(F.col("dteday")),
-        "temp": F.when(F.col("registered") % 50 == 0, float("nan"))
-        .when(F.col("registered") % 50 == 1, None)
-        .otherwise(F.col("temp")),
-        "cnt": F.when(instant.endswith("5"), None).otherwise(F.col("cnt")),
-    }
-    return raw.select(*[faults.get(c, F.col(c)).alias(c) for c in raw.columns])
+    return hour_raw(spark, sf_dir).selectExpr(*[f"{_FAULTS.get(c, c)} as {c}" for c in RAW_HOUR_COLUMNS])
 
 
 def day_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
