@@ -33,16 +33,15 @@ def sequence_id_distributed(
     counts per partition and the final numbers read that copy. The counts are one row per
     partition, which bounds the broadcast.
 
-    All remaining columns extend the order, so equal keys spread over ranges. Whole-row
-    copies would still meet in one range: unless the caller states that rows are ``unique``,
-    each row gets a stored id as last order column, which splits them too. The id is written
-    before the sort because an id computed on the fly could change when a task runs again.
+    Unless the caller states that ``order_by`` is ``unique``, all remaining columns extend
+    the order, so that equal keys spread over ranges. Whole-row copies would still meet in
+    one range; a stored row id as last order column splits them too. It is written before the
+    sort because an id computed on the fly could change when a task runs again.
     """
-    columns = df.columns
-    order = [*order_by, *[c for c in columns if c not in order_by]]
+    columns, order = df.columns, list(order_by)
     if not unique:
         df = stage(df.withColumn("_row", F.monotonically_increasing_id()))
-        order.append("_row")
+        order += [c for c in columns if c not in order_by] + ["_row"]
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
     at = F.monotonically_increasing_id()
     sorted_rows = stage(ranged.select(*columns, at.alias("_at")))

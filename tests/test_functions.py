@@ -44,6 +44,25 @@ def test_safe_double(spark):
     assert apply(spark, [NAN, 1.5, None], "double", casting.safe_double) == [None, 1.5, None]
 
 
+CELLS = st.lists(st.text(alphabet="0123456789+-. eE\tainf", max_size=6), min_size=200, max_size=200)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(CELLS)
+def test_pattern_guards_lose_no_number(spark, cells):
+    """The tests before the casts let exactly the castable texts through."""
+    df = column(spark, cells, "string")
+    c, dtype = F.col("v"), T.StringType()
+    pairs = {
+        "bigint": casting.safe_int(c, dtype),
+        "double": casting.safe_double(c, dtype),
+    }
+    for target, guarded in pairs.items():
+        plain = casting.nan_to_null(c.try_cast("double")) if target == "double" else c.try_cast(target)
+        off = df.where(~guarded.eqNullSafe(plain) & ~c.rlike(r"[0-9.]f\s*$"))
+        assert off.collect() == []
+
+
 def test_parse_date(spark):
     values = ["2011-01-01", "2011-1-1", "2011-02-30", "bad", "2011-01-03 04:00:00", None]
     day = datetime.date(2011, 1, 1)

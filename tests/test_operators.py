@@ -172,6 +172,21 @@ def test_newest_first_keeps_all_rows_in_order(spark):
     assert dates == sorted(present, reverse=True) + [None] * 50
 
 
+def test_newest_first_splits_a_hot_key(spark):
+    """Half of the rows without a date still spread over the ranges of the sort."""
+    df = spark.range(0, 20_000, numPartitions=8).select(
+        F.expr("if(id % 2 = 0, null, date_add(date'2011-01-01', int(id % 365)))").alias("ride_date"), "id"
+    )
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    try:
+        out = ordering.newest_first(df, ["ride_date"]).select(F.spark_partition_id().alias("p"))
+        sizes = Counter(r.p for r in out.collect())
+    finally:
+        spark.conf.unset(coalesce)
+    assert sum(sizes.values()) == 20_000 and max(sizes.values()) < 5_000
+
+
 # --- roll-up -------------------------------------------------------------------------------
 
 
