@@ -51,7 +51,7 @@ def latest_per_key(
     ranks and filters, to the same result.
 
     Rows with a null key form one group (``collapse``), stay as they are (``keep``, which
-    never shuffles them) or go (``drop``).
+    reads the input a second time rather than shuffle them) or go (``drop``).
     """
     if null_keys not in NULL_KEYS:
         raise ValueError(f"null_keys must be one of {NULL_KEYS}")

@@ -160,7 +160,8 @@ _RENTAL_METRICS = f"""select year_flag, month, cast(sum(total_rides) as bigint)
 
 def _relation(column: str) -> str:
     def finite(expression: str) -> str:
-        return f"(select case when isnan(v) then null else round_even(v, 6) end from (select {expression} as v from silver))"
+        inner = f"(select {expression} as v from silver)"
+        return f"(select case when isnan(v) then null else round_even(v, 6) end from {inner})"
 
     return _from_silver(
         f"select cast(regr_count(total_rides, {column}) as bigint) as n_pairs,"
@@ -286,7 +287,8 @@ ORACLE: dict[str, str] = {
       from hour_dirty d where d.dteday is not null and d.cnt is not null""",
     "filter_bad_dates": f"""with {_HOUR_DIRTY} select {_columns(_CLEAN, (), "d")}
       from hour_dirty d where try_cast(d.dteday as date) is not null""",
-    "filter_rank_one": f"with {_RANKED_HOUR} select ride_id, ride_date, ride_hour, total_rides from ranked where rn = 1",
+    "filter_rank_one": f"""with {_RANKED_HOUR}
+      select ride_id, ride_date, ride_hour, total_rides from ranked where rn = 1""",
     "check_required_columns": f"""with {_HOUR_DIRTY}
       select 'dteday' as "column", true as present, count(*) filter (dteday is null) as n_missing from hour_dirty
       union all select 'cnt', true, count(*) filter (cnt is null) from hour_dirty
@@ -388,7 +390,9 @@ ORACLE: dict[str, str] = {
     "trough_month": _demand("month", tail="order by avg_rides nulls last, month limit 1"),
     "season_ranking": _SEASON_RANKING,
     # data dictionary
-    "denormalize_temp": _from_silver("select ride_id, round_even(temperature * 41.0::double, 6) as celsius from silver"),
+    "denormalize_temp": _from_silver(
+        "select ride_id, round_even(temperature * 41.0::double, 6) as celsius from silver"
+    ),
     "label_season": _label("season", "season_name", {1: "spring", 2: "summer", 3: "fall", 4: "winter"}),
     "label_year": _from_silver("select ride_id, year_flag, year_flag + cast(1995 as bigint) as year from silver"),
     "label_weather": _label("weather_situation", "weather_name", {1: "good", 2: "cloudy", 3: "rain", 4: "storm"}),

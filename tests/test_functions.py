@@ -149,7 +149,8 @@ def test_labels(spark):
 
 
 def test_calendar_season(spark):
-    days = [datetime.date(2011, *md) for md in [(3, 20), (3, 21), (6, 20), (6, 21), (9, 22), (9, 23), (12, 20), (12, 21)]]
+    edges = [(3, 20), (3, 21), (6, 20), (6, 21), (9, 22), (9, 23), (12, 20), (12, 21)]
+    days = [datetime.date(2011, *md) for md in edges]
     assert apply(spark, days, "date", lambda c, t: labels.calendar_season(c)) == [4, 1, 1, 2, 2, 3, 3, 4]
 
 
