@@ -53,8 +53,10 @@ DAY_MEASURES = (
 _ORDER = "_order"
 
 
-def _with_order(df: DataFrame, order_by: str) -> DataFrame:
-    """The row order as a number, parsed once per row rather than once per ``first``."""
+def _with_order(df: DataFrame, order_by: str, measures: Sequence[Measure]) -> DataFrame:
+    """The row order as a number, if needed; parsed once per row rather than once per ``first``."""
+    if not any(m.kind == "first" for m in measures):
+        return df
     return df.withColumn(_ORDER, safe_int(F.col(order_by), df.schema[order_by].dataType))
 
 
@@ -82,7 +84,7 @@ def rollup(
 ) -> DataFrame:
     """One row per non-null key; one shuffle, of partial aggregates only."""
     exprs = [_expression(df, m, strict).alias(m.column) for m in measures]
-    return drop_null_keys(_with_order(df, order_by), key).groupBy(key).agg(*exprs)
+    return drop_null_keys(_with_order(df, order_by, measures), key).groupBy(key).agg(*exprs)
 
 
 def number_days(days: DataFrame, key: str = "dteday") -> DataFrame:
@@ -113,6 +115,6 @@ def rollup_day_profiled(hours: DataFrame, strict: bool = False) -> DataFrame:
     hourly table: roll-up and validation then need one scan instead of two.
     """
     exprs = [_expression(hours, m, strict).alias(m.column) for m in DAY_MEASURES]
-    return _with_order(hours, "instant").groupBy("dteday").agg(
+    return _with_order(hours, "instant", DAY_MEASURES).groupBy("dteday").agg(
         *exprs, row_count().alias("_rows"), missing_cells(hours).alias("_missing")
     )

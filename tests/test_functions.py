@@ -134,11 +134,18 @@ def test_null_key_forms_no_group(spark):
 
 
 def test_rollup_takes_any_aggregate(spark):
-    df = spark.createDataFrame([("a", 1, 5), ("a", 2, 7), ("b", 3, 1)], "k string, instant int, v int")
+    df = spark.createDataFrame([("a", 5), ("a", 7), ("b", 1)], "k string, v int")
     out = rollup(df, "k", [Measure("v", lambda c: F.max(c) - F.min(c))])
     assert sorted(tuple(r) for r in out.collect()) == [("a", 2), ("b", 0)]
 
 
+def test_rollup_orders_by_any_column(spark):
+    df = spark.createDataFrame([("a", "10", 5), ("a", "9", 7), ("a", "8", None)], "k string, seq string, v int")
+    assert [tuple(r) for r in rollup(df, "k", [Measure("v", "first")], order_by="seq").collect()] == [("a", 7)]
+    with pytest.raises(ValueError, match="unknown aggregate"):
+        rollup(df, "k", [Measure("v", "median")])
+
+
 def test_labels(spark):
     seasons = apply(spark, [1, 2, 3, 4, 9, None], "int", lambda c, t: labels.season_label(c))
     assert seasons == ["spring", "summer", "fall", "winter", None, None]
