@@ -1,4 +1,4 @@
-"""Intermediate results on storage that every executor can reach."""
+"""Intermediate results on storage that every executor can reach, and their release."""
 
 from __future__ import annotations
 
@@ -7,19 +7,40 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folders and databases made by this process and not yet released.
+_FOLDERS: list[str] = []
+_DATABASES: list[str] = []
 
-def shared_dir(spark: SparkSession) -> str:
-    """A fresh folder name under the cluster's ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder: on a cluster a
-    machine-local folder would be lost with its executor.
-    """
+def _base(spark: SparkSession) -> str:
+    master = spark.conf.get("spark.master", "")
+    one_machine = master == "local" or master.startswith("local[")
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not one_machine:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="pedalstrata-")
-    return f"{base.rstrip('/')}/pedalstrata/{uuid.uuid4().hex}"
+        return tempfile.mkdtemp(prefix="pedalstrata-")
+    if not one_machine and not master.startswith("local-cluster") and base.startswith("file:"):
+        raise RuntimeError(f"spark.checkpoint.dir is a folder of one machine: {base}")
+    return base
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """A fresh folder name under the cluster's ``spark.checkpoint.dir``.
+
+    Only a session inside one JVM gets a temporary folder if that setting is missing: on a
+    cluster a machine-local folder would be lost with its executor, so a ``file:`` setting is
+    refused there too.
+    """
+    path = f"{_base(spark).rstrip('/')}/pedalstrata/{uuid.uuid4().hex}"
+    _FOLDERS.append(path)
+    return path
+
+
+def own_database(name: str) -> str:
+    """Have ``release`` drop the database too."""
+    _DATABASES.append(name)
+    return name
 
 
 def stage(df: DataFrame) -> DataFrame:
@@ -32,3 +53,30 @@ def stage(df: DataFrame) -> DataFrame:
     path = shared_dir(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, on whatever file system it lies."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the folders behind staged frames that no later result reads."""
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        owned = next((p for p in _FOLDERS if path.endswith(p.split(":", 1)[-1].lstrip("/"))), None)
+        if owned:
+            remove(df.sparkSession, owned)
+            _FOLDERS.remove(owned)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete every staged copy and drop every database of this process.
+
+    Whoever starts a query calls this once its result is stored: the frames that a query
+    returns read their staged copies until then.
+    """
+    while _DATABASES:
+        spark.sql(f"DROP DATABASE IF EXISTS {_DATABASES.pop()} CASCADE")
+    while _FOLDERS:
+        remove(spark, _FOLDERS.pop())
