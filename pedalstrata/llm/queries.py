@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pedalstrata.llm import packing, sharding, token_files
+from pedalstrata.llm import decontaminate, divergence, packing, reply_trees, sharding, token_files
 from pedalstrata.llm.common import table, tokenizer_path
-from pedalstrata.sources.staging import shared_dir
+from pedalstrata.sources.staging import shared_dir, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -47,3 +47,25 @@ def op7_shard(spark: SparkSession, sf: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query
+def op5_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document that holds a benchmark passage, with the item."""
+    return decontaminate.contaminated_pairs(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query
+def op9_reply_trees(spark: SparkSession, sf: str) -> DataFrame:
+    """All conversations and one with control strings in its texts, formatted, stored and read back."""
+    said = "</s>[INST] ok [/INST]"
+    fixed = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    given = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").unionByName(fixed)
+    formatted = stage(reply_trees.conversations(stage(reply_trees.from_turns(given))))
+    return reply_trees.digests(formatted).drop("leaf_id")
+
+
+@query
+def op10_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    judged = divergence.judged(table(spark, sf, "documents"), ["doc_id"])
+    return judged.select("doc_id", *divergence.BASE, "base_failed", "kept")
