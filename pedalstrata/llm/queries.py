@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pedalstrata.llm import decontaminate, divergence, packing, reply_trees, sharding, token_files
+from pedalstrata.llm import decontaminate, divergence, packing, probminhash, reply_trees, sharding, token_files
 from pedalstrata.llm.common import table, tokenizer_path
 from pedalstrata.sources.staging import shared_dir, stage
 
@@ -28,6 +28,12 @@ def op1_token_orc(spark: SparkSession, sf: str) -> DataFrame:
     return token_files.document_index(spark, path)
 
 
+@query
+def op2_probminhash(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document with its class of near-duplicates, named by the class's smallest doc_id."""
+    return probminhash.classes(table(spark, sf, "documents")).select("doc_id", "class_id")
+
+
 @query
 def op3_pack(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), tokenizer_path()).pieces()
