@@ -2,101 +2,162 @@
 
 ``encode`` returns exactly what ``Tokenizer.encode(text, add_special_tokens=False)`` returns
 with special-token strings taken as ordinary text. The byte-level pre-tokenizer never lets a
-token reach from a visible character into the white space behind it, so a text can be cut
-before each space that follows a visible character, and the ids of the pieces, concatenated,
-are the ids of the text. Words repeat, so each worker encodes a piece once and keeps its ids;
-the store is emptied when it is full, which changes the time taken and nothing else.
+token reach from a visible character into the white space behind it, nor from a letter into
+punctuation, so a text can be cut at such places, and the ids of the pieces, concatenated, are
+the ids of the text. Pieces repeat, so each worker encodes a piece once and finds its ids again by
+a 64-bit hash of its bytes; the store is emptied when it is full, which changes the time taken
+and nothing else. Cutting, hashing and looking up work on whole Arrow buffers at once.
 """
 
 from __future__ import annotations
 
 import os
-import re
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark already runs one task per core
 
 END = 0  # closes every document
-STORE_PIECES = 300_000
-STORE_CHARS = 6_000_000
-BATCH_CHARS = 1_000_000
-
-_SPACE_AFTER_SPACE = re.compile(r"\s ")
-_CUT = re.compile(r"(?<=\S)(?= )")
-
-
-class _Numbered(dict):
-    """Gives every new piece the next number and remembers it as pending."""
-
-    def __init__(self, encoder: Encoder, prefix: str) -> None:
-        super().__init__()
-        self.encoder, self.prefix = encoder, prefix
-
-    def __missing__(self, piece: str) -> int:
-        number = self[piece] = self.encoder.numbered
-        self.encoder.numbered += 1
-        self.encoder.pending.append(self.prefix + piece)
-        return number
+STORE_BITS = 21  # slots of a worker's store; it is emptied when half of them are taken
+BATCH_BYTES = 1_000_000
+HASHED_BYTES = 256  # longer pieces are not stored
+
+# Kinds of bytes: white space, letters and punctuation of ASCII, anything else.
+_KIND = np.zeros(256, np.uint8)
+_KIND[[9, 10, 11, 12, 13, 32]] = 1
+_KIND[[b for b in range(128) if chr(b).isalpha()]] = 2
+_KIND[[b for b in range(33, 127) if not chr(b).isalnum()]] = 3
+# A cut lies between anything visible and white space, and between a letter and punctuation.
+_CUT = np.zeros(16, bool)
+_CUT[[0 * 4 + 1, 2 * 4 + 1, 3 * 4 + 1, 2 * 4 + 3]] = True
+# One random number per byte and place in a piece; their sum is the piece's hash.
+_RANDOM = np.random.default_rng(11).integers(0, 2**64, HASHED_BYTES * 256, np.uint64)
+
+
+class Store:
+    """Open addressing from a 64-bit hash to a number, many hashes at a time."""
+
+    def __init__(self, bits: int) -> None:
+        self.bits = bits
+        self.keys = np.zeros(1 << bits, np.uint64)
+        self.numbers = np.zeros(1 << bits, np.int32)
+
+    def _slots(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each hash, or -1."""
+        slots = self._slots(hashes)
+        keys = self.keys[slots]
+        out = np.where(keys == hashes, self.numbers[slots], -1)
+        left = np.flatnonzero((keys != hashes) & (keys != 0))
+        slots = slots[left]
+        while len(left):
+            slots = (slots + 1) & ((1 << self.bits) - 1)
+            keys = self.keys[slots]
+            same = keys == hashes[left]
+            out[left[same]] = self.numbers[slots[same]]
+            on = ~same & (keys != 0)
+            left, slots = left[on], slots[on]
+        return out
+
+    def add(self, hashes: np.ndarray, numbers: np.ndarray) -> None:
+        """Distinct hashes that are not in the store."""
+        slots = self._slots(hashes)
+        while len(hashes):
+            free = self.keys[slots] == 0
+            self.keys[slots[free]] = hashes[free]
+            placed = self.keys[slots] == hashes
+            self.numbers[slots[placed]] = numbers[placed]
+            hashes, numbers = hashes[~placed], numbers[~placed]
+            slots = (slots[~placed] + 1) & ((1 << self.bits) - 1)
 
 
 class Encoder:
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, store_bits: int = STORE_BITS) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.store_bits = store_bits
         self._clear()
 
     def _clear(self) -> None:
-        self.numbered, self.chars, self.pending = 0, 0, []
-        self.first, self.rest = _Numbered(self, ""), _Numbered(self, " ")
-        self.ids = np.empty(1 << 16, np.int32)
-        self.ends = np.zeros(1, np.int64)
-
-    def _encode_pending(self) -> None:
-        if not self.pending:
-            return
-        self.chars += sum(map(len, self.pending))
-        lists = [e.ids for e in self.tokenizer.encode_batch_fast(self.pending, add_special_tokens=False)]
-        self.pending = []
-        ends = self.ends[-1] + np.cumsum([len(x) for x in lists])
-        if ends[-1] > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.empty(max(len(self.ids), ends[-1] - len(self.ids)), np.int32)])
-        self.ids[self.ends[-1] : ends[-1]] = np.fromiter((i for x in lists for i in x), np.int32)
-        self.ends = np.concatenate([self.ends, ends])
-
-    def encode(self, texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        self.store = Store(self.store_bits)
+        self.ids, self.ends, self.n = np.empty(1 << 16, np.int32), np.zeros(1 << 12, np.int64), 0
+
+    def _learn(self, pieces: list[str]) -> np.ndarray:
+        """Encode pieces and return their numbers."""
+        lists = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        ends = self.ends[self.n] + np.cumsum([len(x) for x in lists])
+        while ends[-1] > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
+        while self.n + len(lists) >= len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+        self.ids[self.ends[self.n] : ends[-1]] = np.fromiter((i for x in lists for i in x), np.int32, int(ends[-1] - self.ends[self.n]))
+        self.ends[self.n + 1 : self.n + 1 + len(lists)] = ends
+        self.n += len(lists)
+        return np.arange(self.n - len(lists), self.n)
+
+    def _numbers(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """The number of each piece, of which unknown ones are encoded first."""
+        place = np.arange(len(data), dtype=np.int32) - np.repeat(starts.astype(np.int32), lengths)
+        np.minimum(place, HASHED_BYTES - 1, out=place)
+        hashes = np.add.reduceat(_RANDOM[(place << 8) | data], starts)
+        hashes[hashes == 0] = 1
+        numbers = self.store.find(hashes)
+        piece = lambda i: data[starts[i] : starts[i] + lengths[i]].tobytes().decode("utf-8", "replace")
+        long = np.flatnonzero(lengths > HASHED_BYTES)
+        numbers[long] = 0
+        new, first = np.unique(hashes[numbers < 0], return_index=True)
+        if len(new):
+            where = np.flatnonzero(numbers < 0)
+            self.store.add(new, self._learn([piece(i) for i in where[first].tolist()]))
+            numbers[where] = self.store.find(hashes[where])
+        if len(long):
+            numbers[long] = self._learn([piece(i) for i in long.tolist()])
+        return numbers
+
+    def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, each text closed by ``END``, and the number of ids per text."""
-        if self.numbered > STORE_PIECES or self.chars > STORE_CHARS:
+        if 2 * self.n > 1 << self.store_bits:
             self._clear()
-        numbers, counts = [], []
-        for text in texts:
-            text = text or ""
-            if _SPACE_AFTER_SPACE.search(text):
-                first, *rest = _CUT.split(text)
-                rest = [p[1:] for p in rest]
-            else:
-                first, *rest = text.split(" ")
-            numbers.append(self.first[first])
-            numbers.extend(map(self.rest.__getitem__, rest))
-            counts.append(1 + len(rest))
-        self._encode_pending()
-        at = np.array(numbers, np.int64)
-        sizes = (self.ends[1:] - self.ends[:-1])[at]
-        # One END after the last piece of each text.
-        last = np.cumsum(counts) - 1
-        room = sizes.copy()
-        room[last] += 1
-        out = np.full(int(room.sum()), END, np.int32)
-        to = np.cumsum(room) - room
-        shift = np.repeat(self.ends[at] - (np.cumsum(sizes) - sizes), sizes)
-        step = np.arange(len(shift))
-        out[np.repeat(to - (np.cumsum(sizes) - sizes), sizes) + step] = self.ids[shift + step]
-        return out, np.add.reduceat(room, np.cumsum(counts) - counts)
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        bounds = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+        if bounds[0] == bounds[-1]:
+            return np.full(len(texts), END, np.int32), np.ones(len(texts), np.int64)
+        data = np.frombuffer(texts.buffers()[2], np.uint8)[bounds[0] : bounds[-1]]
+        bounds = bounds - bounds[0]
+        starts = _piece_starts(data, bounds)
+        lengths = np.diff(starts, append=len(data))
+        numbers = self._numbers(data, starts, lengths)
+        sizes = self.ends[numbers + 1] - self.ends[numbers]
+        held = np.searchsorted(starts, bounds)  # pieces before each text
+        before = np.concatenate([[0], np.cumsum(sizes)])
+        text_of = np.repeat(np.arange(len(texts)), np.diff(held))
+        total = int(before[-1])
+        out = np.full(total + len(texts), END, np.int32)
+        step = np.arange(total)
+        out[step + np.repeat(text_of, sizes)] = self.ids[step + np.repeat(self.ends[numbers] - before[:-1], sizes)]
+        return out, np.diff(before[held]) + 1
+
+
+def _piece_starts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    kind = _KIND[data]
+    cut = np.zeros(len(data), bool)
+    cut[1:] = _CUT[(kind[:-1] << 2) | kind[1:]]
+    # White space of two or three bytes is no visible character: no cut behind it.
+    at = np.flatnonzero(cut & np.concatenate([[False], data[:-1] >= 0x80]))
+    one, two, three = data[at - 1], data[np.maximum(at - 2, 0)], data[np.maximum(at - 3, 0)]
+    wide = (two == 0xC2) & ((one == 0x85) | (one == 0xA0))
+    wide |= (three >= 0xE1) & (three <= 0xE3) & ((two == 0x9A) | (two == 0x80) | (two == 0x81))
+    cut[at[wide]] = False
+    cut[bounds[:-1][np.diff(bounds) > 0]] = True
+    return np.flatnonzero(cut)
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -109,14 +170,14 @@ def worker_encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def slices(batch: pa.RecordBatch, column: str, chars: int = BATCH_CHARS) -> Iterator[pa.RecordBatch]:
-    """Cut a batch so that each part holds about ``chars`` bytes of text, or one longer row."""
+def slices(batch: pa.RecordBatch, column: str, size: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut a batch so that each part holds about ``size`` bytes of text, or one longer row."""
     if not batch.num_rows:
         return
-    sizes = np.array([len(x) if x else 0 for x in batch.column(column).to_pylist()])
-    part = np.cumsum(sizes + 1) // chars
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    part = np.cumsum(sizes + 1) // size
     starts = np.flatnonzero(np.diff(part, prepend=-1))
-    for a, b in zip(starts, [*starts[1:], batch.num_rows], strict=True):
+    for a, b in zip(starts.tolist(), [*starts[1:].tolist(), batch.num_rows], strict=True):
         yield batch.slice(a, b - a)
 
 

@@ -39,7 +39,7 @@ def encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
         encoder, part, at = worker_encoder(tokenizer), TaskContext.get().partitionId(), 0
         for whole in batches:
             for batch in slices(whole, "text"):
-                ids, lengths = encoder.encode(batch.column("text").to_pylist())
+                ids, lengths = encoder.encode(batch.column("text"))
                 ends = at + np.cumsum(lengths)
                 columns = {
                     "doc_id": batch.column("doc_id").cast(pa.int64()),
