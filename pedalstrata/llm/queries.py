@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pedalstrata.llm import decontaminate, divergence, packing, probminhash, reply_trees, sharding, token_files
+from pedalstrata.llm import decontaminate, divergence, packing, probminhash, reply_trees, sharding, token_files, toxicity
 from pedalstrata.llm.common import table, tokenizer_path
 from pedalstrata.sources.staging import shared_dir, stage
 
@@ -61,6 +61,11 @@ def op5_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.contaminated_pairs(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+@query
+def op8_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 @query
 def op9_reply_trees(spark: SparkSession, sf: str) -> DataFrame:
     """All conversations and one with control strings in its texts, formatted, stored and read back."""
