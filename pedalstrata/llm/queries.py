@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pedalstrata.llm import decontaminate, divergence, packing, probminhash, reply_trees, sharding, token_files, toxicity
-from pedalstrata.llm.common import table, tokenizer_path
+from pedalstrata.llm import decontaminate, divergence, language_crf, packing, probminhash, reply_trees, sharding, token_files, toxicity
+from pedalstrata.llm.common import fold, table, tokenizer_path
 from pedalstrata.sources.staging import shared_dir, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,15 @@ def op3_pack(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), tokenizer_path()).pieces()
 
 
+@query
+def op6_language(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    held_out = fold(F.col("doc_id"), 4) == 2
+    model = language_crf.train(docs, held_out)
+    rows = docs.select("doc_id", "text", held_out.alias("held_out"))
+    return language_crf.predicted(rows, model, ["doc_id", "held_out"])
+
+
 @query
 def op7_shard(spark: SparkSession, sf: str) -> DataFrame:
     """Whole rows through the shuffle; size and checksum come from the rows as dealt."""

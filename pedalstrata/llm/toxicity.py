@@ -26,10 +26,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pedalstrata.llm import textcodes
+from pedalstrata.llm.common import fold
 from pedalstrata.llm.encoding import Store, slices
 from pedalstrata.sources.staging import stage
 
@@ -44,11 +45,6 @@ HELD_ROWS = 3_000_000
 FEATURES = ("mean", "top", "top2", "top4", "log_words")
 
 
-def fold(doc_id: Column, n: int) -> Column:
-    """crc32 of the document id as text, modulo ``n``."""
-    return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(n))
-
-
 def _stream(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, textcodes.Words]:
     """Packed runs that end at each character, the characters' words, each word's first character,
     and the words. Runs reach back no further than their word; blanks fill what is missing."""
