@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pedalstrata.llm import textcodes
+from pedalstrata.llm.common import free_name
 from pedalstrata.llm.components import components
 from pedalstrata.llm.encoding import slices
 from pedalstrata.sources.staging import discard, stage
@@ -298,3 +299,26 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     )
     named = labelled.groupBy("root").agg(F.min("doc_id").alias("class_id"))
     return labelled.join(named, "root").select("doc_id", "class_id", "node")
+
+
+def representatives(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """One row of ``docs`` per class, with all its columns: that of the smallest ``doc_id``.
+
+    Null ids come last; rows of equal ids are told apart by a hash of their text, and of rows equal
+    in both any one stays.
+    """
+    rows = stage(signed(docs))
+    roots = components(links(docs, rows, threshold))
+    labelled = rows.select("doc_id", "text_key", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_key")
+    best = labelled.groupBy("root").agg(F.min(order).alias("k")).select("k.doc_id", "k.text_key")
+    key, own_id = free_name(docs, "text_key"), free_name(docs, "own_id")
+    first = stage(best.select(F.col("text_key").alias(key), F.col("doc_id").alias(own_id)))
+    keyed = docs.withColumn(key, F.xxhash64(F.col("text").cast("string"))).withColumn(own_id, F.col("doc_id").cast("bigint"))
+    d, k = keyed.alias("d"), first.alias("k")
+    same = (F.col(f"d.{key}") == F.col(f"k.{key}")) & F.col(f"d.{own_id}").eqNullSafe(F.col(f"k.{own_id}"))
+    kept = d.join(k, same, "left_semi")
+    copies = rows.groupBy("doc_id", "text_key").count().where("count > 1")
+    if not copies.isEmpty():
+        kept = kept.dropDuplicates([own_id, key])
+    return kept.select(*docs.columns)

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pedalstrata.llm import decontaminate, divergence, language_crf, packing, probminhash, reply_trees, sharding, token_files, toxicity
+from pedalstrata.llm import (
+    decontaminate,
+    divergence,
+    language_crf,
+    packing,
+    probminhash,
+    reply_trees,
+    secret_automata,
+    sharding,
+    token_files,
+    toxicity,
+)
 from pedalstrata.llm.common import fold, table, tokenizer_path
 from pedalstrata.sources.staging import shared_dir, stage
 
@@ -64,6 +75,12 @@ def op7_shard(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def op4_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return secret_automata.scanned(docs, secret_automata.learned(docs))
+
+
 @query
 def op5_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     """Every document that holds a benchmark passage, with the item."""
