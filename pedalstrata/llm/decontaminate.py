@@ -28,7 +28,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pedalstrata.llm.common import free_name
+from pedalstrata.llm.common import free_name, quoted
 
 MASKS = ((0, 1, 2, 3, 5), (0, 1, 4, 5, 6))
 WINDOW = 13
@@ -158,4 +158,4 @@ def clean(docs: DataFrame, benchmark: DataFrame, block_seeds: int = BLOCK_SEEDS)
     key = free_name(docs, "text_key")
     keyed = docs.withColumn(key, F.sha2(F.coalesce(F.col("text"), F.lit("")), 256))
     bad = _hits(keyed.select(key, "text"), benchmark_items(benchmark), [key], block_seeds).select(key).distinct()
-    return keyed.join(bad, key, "left_anti").select(*docs.columns)
+    return keyed.join(bad, key, "left_anti").select(*[quoted(c) for c in docs.columns])

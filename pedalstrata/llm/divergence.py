@@ -14,7 +14,7 @@ references and the verdicts read those. References are one row per language.
 
 Edge cases: a null text is an empty one: no words, failed by the base rules. Null ``lang`` takes
 no part in the references. Without any reference only the base rules decide. Repeated rows are
-judged alike. ``judged`` keeps all columns; clashing names raise before any work.
+judged alike. ``judged`` keeps all columns but those named like one that it adds.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pedalstrata.llm.common import quoted
 from pedalstrata.sources.staging import stage
 
 SPACE = r"[\x20\x09-\x0D]+"
@@ -216,15 +217,15 @@ def distances(features: DataFrame, refs: Sequence[tuple[str, list[float], list[f
 
 
 def judged(docs: DataFrame, keep: Sequence[str] | None = None, lists: dict[str, str] = COMMON_WORDS) -> DataFrame:
-    """Columns ``keep`` (default: all) with the counts, distances, ``base_failed`` and ``kept``."""
+    """Columns ``keep`` (default: all) with the counts, distances, ``base_failed`` and ``kept``.
+
+    Columns of ``docs`` with the name of an added one are replaced.
+    """
     listed = common_words(lists)
-    keep = list(docs.columns if keep is None else keep)
-    added = {*BASE, "n_chars", *CLASSES, "letters", "common", "class_distance", "word_distance", "base_failed", "kept"}
-    clash = added & {c.lower() for c in keep} - {"n_chars"}
-    if clash:
-        raise ValueError(f"columns in the way: {sorted(clash)}")
+    added = {*BASE, "class_distance", "word_distance", "base_failed", "kept"}
+    keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in added]
     kept_names = [f"_in_{i}" for i in range(len(keep))]
-    inner = docs.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(keep, kept_names, strict=True)], "text", "lang")
+    inner = docs.select(*[quoted(c).alias(k) for c, k in zip(keep, kept_names, strict=True)], "text", "lang")
     features = stage(measured(inner, listed, [*kept_names, "lang"]))
     out = distances(features, references(features, listed))
     far = (F.coalesce(F.col("class_distance"), F.lit(0.0)) > MAX_CLASS_DISTANCE) | (

@@ -220,10 +220,9 @@ def train(docs: DataFrame, held_out: Column, sample: int = SAMPLE) -> Model | No
 
 
 def predicted(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of ``docs`` with ``lang_pred`` and ``score``."""
+    """Columns ``keep`` of ``docs`` with ``lang_pred`` and ``score``, which replace columns so named."""
     added = "lang_pred", "score"
-    if clash := set(added) & set(keep):
-        raise ValueError(f"columns in the way: {sorted(clash)}")
+    keep = [c for c in keep if c.lower() not in added]
     if model is None:
         return docs.select(*keep, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
     sent = docs.sparkSession.sparkContext.broadcast(model)

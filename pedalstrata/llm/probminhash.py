@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pedalstrata.llm import textcodes
-from pedalstrata.llm.common import free_name
+from pedalstrata.llm.common import free_name, quoted
 from pedalstrata.llm.components import components
 from pedalstrata.llm.encoding import slices
 from pedalstrata.sources.staging import discard, stage
@@ -321,4 +321,4 @@ def representatives(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     copies = rows.groupBy("doc_id", "text_key").count().where("count > 1")
     if not copies.isEmpty():
         kept = kept.dropDuplicates([own_id, key])
-    return kept.select(*docs.columns)
+    return kept.select(*[quoted(c) for c in docs.columns])

@@ -20,10 +20,12 @@ from pedalstrata.llm import (
     toxicity,
 )
 from pedalstrata.llm.common import fold, table, tokenizer_path
+from pedalstrata.llm.oracle import ORACLE
 from pedalstrata.sources.staging import shared_dir, stage
 
+__all__ = ["ORACLE", "QUERIES"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pedalstrata.llm.common import free_name
+from pedalstrata.llm.common import free_name, quoted
 from pedalstrata.llm.encoding import slices
 from pedalstrata.sources.staging import stage
 
@@ -285,4 +285,4 @@ def redacted(docs: DataFrame, formats: Formats, mask: str = MASK) -> DataFrame:
         changed = F.col(new) != F.col("text")
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.when(changed, F.length(new).cast(kind)).otherwise(F.col("n_chars")))
-    return out.withColumn("text", F.col(new)).select(*docs.columns)
+    return out.withColumn("text", F.col(new)).select(*[quoted(c) for c in docs.columns])

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pedalstrata.llm.common import free_name
+from pedalstrata.llm.common import free_name, quoted
 from pedalstrata.sources.staging import stage
 
 SHARDS = 16
@@ -58,10 +58,11 @@ def uniform_shards(
 ) -> DataFrame:
     """All rows and columns of ``df`` with ``shard`` (int) and ``slot`` (long, from 0 in each shard).
 
-    ``df`` must not have columns of these names. ``bucket_rows`` is the mean size of a bucket,
+    Columns of these names in ``df`` are replaced. ``bucket_rows`` is the mean size of a bucket,
     which one task sorts; it does not change which rows go to which shard.
     """
-    spark, columns = df.sparkSession, df.columns
+    df = df.drop("shard", "slot")
+    spark, columns = df.sparkSession, [quoted(c) for c in df.columns]
     at, part, spot, key, bucket = (free_name(df, c) for c in ("at", "part", "spot", "key", "bucket"))
     stored = stage(df.withColumn(at, F.monotonically_increasing_id()))
     rows = stored.withColumn(part, F.shiftright(at, _POSITION_BITS)).withColumn(
