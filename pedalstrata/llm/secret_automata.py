@@ -100,6 +100,7 @@ class Automaton:
     successors: list[list[int]]
     steps: list[list[float]]
     ends: list[float]
+    alphabet: frozenset[int] = frozenset()
 
     def log_likelihood(self, word: Sequence[int]) -> float:
         total, state = 0.0, 0
@@ -181,7 +182,7 @@ def infer(words: Sequence[Sequence[int]], alpha: float = ALPHA) -> Automaton:
             kept.append(state)
         border = [(r, s) for r in kept for s in sorted(children[r]) if children[r][s] not in kept]
     number = {state: i for i, state in enumerate(kept)}
-    out = Automaton([], [], [])
+    out = Automaton([], [], [], frozenset(s for word in words for s in word))
     for state in kept:
         n = passed[state] + 0.1 * (N_CLASSES + 1)  # additive smoothing
         out.successors.append([number[children[state].get(s, state)] for s in range(N_CLASSES)])
@@ -201,8 +202,9 @@ class Formats:
         if not self.credentials or self.ordinary is None:
             return False
         word = symbols(text)
-        best = max(a.log_likelihood(word) for a in self.credentials)
-        return best - self.ordinary.log_likelihood(word) >= margin * len(word)
+        # A format that never used a symbol does not produce it, however the frequencies are smoothed.
+        own = [a.log_likelihood(word) for a in self.credentials if a.alphabet.issuperset(word)]
+        return bool(own) and max(own) - self.ordinary.log_likelihood(word) >= margin * len(word)
 
 
 def learned(docs: DataFrame, sample: int = SAMPLE) -> Formats:

@@ -1,0 +1,93 @@
+from __future__ import annotations
+
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+
+from pedalstrata.llm import toxicity as tox
+from pedalstrata.llm.queries import QUERIES
+
+
+def test_op8(spark, sf_dir, documents):
+    rows = QUERIES["op8_toxicity"](spark, sf_dir).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in documents.collect())
+    for r in rows:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5)
+
+
+def test_held_out_accuracy(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    rows = [r for r in QUERIES["op8_toxicity"](spark, sf_dir).collect() if r.held_out and r.doc_id in labels]
+    bad = [r.score for r in rows if labels[r.doc_id] == 1]
+    good = [r.score for r in rows if labels[r.doc_id] == 0]
+    assert np.mean([b > g for b in bad for g in good]) > 0.8
+    assert np.mean([g >= 0.5 for g in good]) < 0.05
+
+
+def runs_of(word):
+    """A word's runs of characters, as tuples padded with blanks."""
+    chars = [" "] * (tox.ORDER - 1) + list(word) + [" "]
+    return [tuple(chars[i : i + tox.ORDER]) for i in range(len(word) + 1)]
+
+
+def unpacked(run):
+    return tuple(chr(run >> tox.BITS * (tox.ORDER - 1 - i) & ((1 << tox.BITS) - 1)) for i in range(tox.ORDER))
+
+
+def test_counts_cover_whole_texts(spark):
+    rows = [("The cat, the é1dog", 1), (None, 0), ("", 1), ("cat " * 3000, 0), ("a", None), ("12 34", 1)]
+    got = defaultdict(Counter)
+    for r in tox.counted(spark.createDataFrame(rows, "text string, toxic int").repartition(2)).collect():
+        got[r.model][unpacked(r.run)] += r.n
+    import re
+
+    want = defaultdict(Counter)
+    for text, label in rows:
+        for word in re.findall(r"[^\W\d_]+", (text or "").lower()):
+            want[-1].update(runs_of(word))
+            if label is not None:
+                want[label].update(runs_of(word))
+    assert dict(got) == dict(want)
+
+
+def test_models_are_distributions():
+    """The interpolated probabilities of all characters sum to one in every known context."""
+    rng = random.Random(1)
+    words = ["".join(rng.choices("abcd", weights=[5, 3, 2, 1], k=rng.randrange(1, 7))) for _ in range(400)]
+    runs, _, _, _ = tox._stream([" ".join(words)])
+    level = tox._unique(runs)
+    shared = tox.shared_levels(*level)
+    toxic = tox._unique(runs[: len(runs) // 3])
+    total = np.array([toxic[1][toxic[0] >> tox.BITS == r >> tox.BITS].sum() for r in toxic[0]], float)
+    kept = toxic[1] > tox.CLASS_DISCOUNT
+    own = tox.ClassCounts(toxic[0][kept], toxic[1][kept].astype(float), total[kept])
+    alphabet = np.array([ord(c) for c in "abcd "])
+    for context in np.unique(level[0] >> tox.BITS)[:60]:
+        some = (context << tox.BITS) | alphabet
+        p = tox.shared_probability(shared, some)
+        # One character's worth of probability is for unknown characters at the lowest order.
+        assert 0.75 < p.sum() <= 1 + 1e-9
+        assert abs(own.backed_off(some, p / p.sum()).sum() - 1) < 1e-9
+
+
+def test_rare_in_both_says_nothing():
+    empty = np.empty(0, np.int64)
+    nothing = tox.ClassCounts(empty, empty.astype(float), empty.astype(float))
+    runs, counts = tox._unique(tox._stream(["some words here"])[0])
+    lookup = tox.build((runs, counts), nothing, nothing).lookup()
+    assert (tox.features(["some words", "", None, "123"], lookup)[:, :4] == 0).all()
+
+
+def test_odd_documents(spark, odd_documents, no_documents):
+    schema = "doc_id long, quality int, toxic int, text string"
+    labels = spark.createDataFrame([(1, 0, 1, "x"), (1, 0, 0, "x"), (5, None, 0, None), (None, 1, 1, "x"), (3, 1, None, "x")], schema)
+    for some in (labels, labels.limit(0)):
+        rows = tox.scored(odd_documents, some).collect()
+        assert len(rows) == odd_documents.count() and all(0 <= r.score <= 1 for r in rows)
+    assert tox.scored(no_documents, labels).count() == 0
+    picked = {r.doc_id: r.toxic for r in tox.labelled_sample(labels, 10).collect()}
+    assert picked == {d: t for d, t in ((1, 1), (5, 0)) if zlib.crc32(str(d).encode()) % 5}
