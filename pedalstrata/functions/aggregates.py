@@ -1,7 +1,8 @@
 """Aggregate expressions with the null, NaN and rounding rules of the daily roll-up.
 
-All of them have mutable fixed-width buffers, so Spark plans a partial and a final
-``HashAggregate``: a group that holds a third of the rows is reduced before the shuffle.
+Spark plans a partial and a final aggregate for each, so a group that holds a third of the rows
+is reduced before the shuffle. All but the first non-null value of an order that may repeat have
+fixed-width buffers, which keeps the aggregates hash-based.
 """
 
 from __future__ import annotations
@@ -14,20 +15,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pedalstrata.functions.casting import is_missing, null_if_missing, round_half_even
+from pedalstrata.errors import DatasetError
+from pedalstrata.functions.casting import column, is_missing, null_if_missing, round_half_even
 
 _LAST = 2**63 - 1
 
 
-def first_non_null(c: Column, dtype: T.DataType, order: Column) -> Column:
+def first_non_null(
+    c: Column, dtype: T.DataType, order: Column, rest: Sequence[Column] = (), unique: bool = False
+) -> Column:
     """The value of the lowest ``order`` among rows where it is not missing.
 
-    Unlike ``first``, the answer does not depend on how rows arrive after a shuffle, given
-    that ``order`` is unique in a group, as a record number is. Rows without one come last.
-    ``order`` must be numeric to keep the hash aggregate.
+    Unlike ``first``, the answer does not depend on how rows arrive after a shuffle: equal
+    orders are told apart by the columns ``rest``, then by the value, smallest first and null
+    before any value. Rows without an order come last. Comparing whole rows takes a sort-based
+    aggregate; where the caller knows that a numeric ``order`` is ``unique`` in each group, the
+    hash aggregate stays.
     """
     position = F.coalesce(order, F.lit(_LAST))
-    return F.min_by(c, F.when(~is_missing(c, dtype), position))
+    if unique:
+        return F.min_by(c, F.when(~is_missing(c, dtype), position))
+    row = F.struct(position.alias("order"), *[r.alias(f"r{i}") for i, r in enumerate(rest)], c.alias("value"))
+    return F.min(F.when(~is_missing(c, dtype), row))["value"]
 
 
 def mean_rounded(c: Column, dtype: T.DataType, digits: int = 6) -> Column:
@@ -53,8 +62,10 @@ def row_count() -> Column:
 
 def missing_in_row(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
     """Number of missing cells in a row, over all (or the given) columns."""
+    if unknown := set(columns or ()) - set(df.columns):
+        raise DatasetError(f"no such columns: {sorted(unknown)}; available: {df.columns}")
     flags = [
-        is_missing(F.col(f.name), f.dataType).cast("bigint")
+        is_missing(column(f.name), f.dataType).cast("bigint")
         for f in df.schema
         if columns is None or f.name in columns
     ]

@@ -23,6 +23,9 @@ from pedalstrata.schemas import NA_TOKENS
 _INTEGER = r"^\s*[+-]?\d+\s*$"
 # Also keeps out "1d", "1f" and hexadecimal floats, which Java's parser would take.
 _DOUBLE = r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf(?:inity)?))\s*$"
+# Year, month and day, alone or before a time of day; also without separators.
+_DATE = r"^\s*\d{4}-\d{1,2}-\d{1,2}(?:[ T]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?:Z|[+-]\d{2}:?\d{2})?)?\s*$"
+_COMPACT_DATE = r"^\s*\d{8}\s*$"
 # The texts pandas reads as booleans by default.
 _BOOLEANS = ("True", "TRUE", "true", "False", "FALSE", "false")
 
@@ -44,24 +47,29 @@ def null_if_missing(c: Column, dtype: T.DataType) -> Column:
     return nan_to_null(c) if is_floating(dtype) else c
 
 
-def _quoted(name: str) -> str:
+def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def column(name: str) -> Column:
+    """A column by its exact name, whatever characters are in it."""
+    return F.col(quoted(name))
+
+
 def _text_list(values: Sequence[str]) -> str:
     return ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values)
 
 
 def normalise_na(name: str, tokens: Sequence[str] = NA_TOKENS) -> Column:
     """A text column with every missing-value token turned into null."""
-    c = _quoted(name)
+    c = quoted(name)
     return F.expr(f"CASE WHEN {c} NOT IN ({_text_list(tokens)}) THEN {c} END")
 
 
 def normalise_na_columns(df: DataFrame, tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
     return df.select(
         *[
-            normalise_na(f.name, tokens).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
+            normalise_na(f.name, tokens).alias(f.name) if isinstance(f.dataType, T.StringType) else column(f.name)
             for f in df.schema
         ]
     )
@@ -73,7 +81,7 @@ INTEGER, DOUBLE, BOOLEAN, TEXT = 1, 2, 3, 4
 
 def literal_kind(name: str) -> Column:
     """The narrowest kind each cell of a text column fits, null for a null cell."""
-    c = _quoted(name)
+    c = quoted(name)
     return F.expr(
         f"""CASE WHEN {c} RLIKE r'{_INTEGER}'
               THEN IF(length({c}) < 19 OR try_cast({c} AS bigint) IS NOT NULL, {INTEGER}, {TEXT})
@@ -104,10 +112,18 @@ def safe_double(c: Column, dtype: T.DataType) -> Column:
 
 
 def parse_date(c: Column, dtype: T.DataType, fmt: str | None = None) -> Column:
-    """Date or null: any ISO-like text, or exactly ``fmt`` when given."""
+    """Date or null: ISO text with or without a time of day, ``yyyyMMdd`` as text or number, or
+    exactly ``fmt`` when given. Anything behind a date that is no time of day makes it null."""
     if fmt is not None and isinstance(dtype, T.StringType):
         return F.try_to_date(c, fmt)
-    return c.try_cast("date")
+    if isinstance(dtype, T.IntegralType):
+        c, dtype = c.cast("string"), T.StringType()
+    if isinstance(dtype, T.StringType):
+        compact = F.when(c.rlike(_COMPACT_DATE), F.try_to_date(F.trim(c), "yyyyMMdd"))
+        return F.when(c.rlike(_DATE), c.try_cast("date")).otherwise(compact)
+    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return c.cast("date")
+    return F.lit(None).cast("date")
 
 
 def safe_cast(c: Column, dtype: T.DataType, target: str) -> Column:

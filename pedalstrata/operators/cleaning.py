@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from pedalstrata.errors import DatasetError
 from pedalstrata.functions.aggregates import row_count
+from pedalstrata.functions.casting import column as _named
 from pedalstrata.functions.casting import is_missing, normalise_na, parse_date
 from pedalstrata.schemas import REQUIRED_COLUMNS
 
@@ -27,7 +28,7 @@ def check_required(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS) ->
 
 
 def _value(df: DataFrame, name: str) -> Column:
-    return normalise_na(name) if isinstance(df.schema[name].dataType, T.StringType) else F.col(name)
+    return normalise_na(name) if isinstance(df.schema[name].dataType, T.StringType) else _named(name)
 
 
 def _absent(df: DataFrame, required: Sequence[str]) -> Column:
@@ -45,13 +46,13 @@ def drop_missing(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS) -> D
 
 def drop_bad_dates(df: DataFrame, column: str = "dteday", fmt: str | None = None) -> DataFrame:
     """The date column parsed, without the rows where it does not parse."""
-    parsed = parse_date(F.col(column), df.schema[column].dataType, fmt)
-    return df.withColumn(column, parsed).where(F.col(column).isNotNull())
+    parsed = parse_date(_named(column), df.schema[column].dataType, fmt)
+    return df.withColumn(column, parsed).where(_named(column).isNotNull())
 
 
 def drop_null_keys(df: DataFrame, key: str) -> DataFrame:
     """Rows that belong to some group; Spark would otherwise keep a group for the null key."""
-    return df.where(~is_missing(F.col(key), df.schema[key].dataType))
+    return df.where(~is_missing(_named(key), df.schema[key].dataType))
 
 
 def clean(
@@ -76,7 +77,7 @@ def cleaning_report(
     """
     check_required(df, required)
     absent = _absent(df, required)
-    bad = ~absent & parse_date(F.col(date_column), df.schema[date_column].dataType, fmt).isNull()
+    bad = ~absent & parse_date(_named(date_column), df.schema[date_column].dataType, fmt).isNull()
     return df.agg(
         row_count().alias("rows_in"),
         F.count_if(absent).alias("dropped_null"),

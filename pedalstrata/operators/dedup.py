@@ -8,13 +8,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from pedalstrata.operators.numbering import POSITION_BITS
+from pedalstrata.sources.staging import stage
+
 NULL_KEYS = ("collapse", "keep", "drop")
 
 
 def rank_latest(df: DataFrame, key: str, order_by: Sequence[str], name: str = "rn") -> DataFrame:
     """All rows with their rank within the key, newest first, nulls last.
 
-    Filtered to one rank, Spark keeps only each task's first row per key before the shuffle
+    For a filter on the rank; to keep all ranks use ``rank_all``. Filtered to one rank, Spark keeps only each task's first row per key before the shuffle
     (``WindowGroupLimit``), so a hot key moves one row per task.
     """
     order = _total_order(df, key, order_by)
@@ -22,6 +25,30 @@ def rank_latest(df: DataFrame, key: str, order_by: Sequence[str], name: str = "r
     return df.withColumn(name, F.row_number().over(window))
 
 
+def rank_all(df: DataFrame, key: str, order_by: Sequence[str], name: str = "rn") -> DataFrame:
+    """The ranks of ``rank_latest`` for keeping all of them, with no task for a whole key.
+
+    Rows are range-sorted by key and order, with a stored row id as last order column, so a hot
+    key spans several ranges, and stored with their place. A rank is the place among the key's
+    rows of the own range plus the key's rows in earlier ranges. Only the first key of a range
+    has any there, so that takes at most one number per range.
+    """
+    columns = df.columns
+    order = [F.asc_nulls_first(key), *[F.desc_nulls_last(c) for c in _total_order(df, key, order_by)], F.col("_row")]
+    rows = stage(df.withColumn("_row", F.monotonically_increasing_id()))
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = stage(ordered.select(*columns, F.monotonically_increasing_id().alias("_at")))
+    placed = placed.withColumn("_part", F.shiftright("_at", POSITION_BITS))
+    earlier = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    runs = placed.groupBy("_part", key).agg(F.count(F.lit(1)).alias("_n"))
+    carried = runs.select("_part", F.col(key).alias("_key"), F.sum("_n").over(earlier).alias("_before")).where("_before > 0")
+    local = F.row_number().over(Window.partitionBy("_part", key).orderBy("_at"))
+    ranked, before = placed.withColumn("_local", local).alias("r"), F.broadcast(carried).alias("b")
+    same = (F.col("r._part") == F.col("b._part")) & F.col(f"r.{key}").eqNullSafe(F.col("b._key"))
+    rank = F.col("_local") + F.coalesce("_before", F.lit(0))
+    return ranked.join(before, same, "left").select(*[F.col(f"r.{c}").alias(c) for c in columns], rank.cast("int").alias(name))
+
+
 def _total_order(df: DataFrame, key: str, order_by: Sequence[str]) -> list[str]:
     return [*order_by, *[c for c in df.columns if c != key and c not in order_by]]
 

@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from pedalstrata.operators.projection import with_leading
 from pedalstrata.sources.staging import stage
 
-_POSITION_BITS = 33  # monotonically_increasing_id: partition above, position in it below
+POSITION_BITS = 33  # monotonically_increasing_id: partition above, position in it below
 
 
 def sequence_id(df: DataFrame, order_by: Sequence[str], name: str = "instant") -> DataFrame:
@@ -46,8 +46,8 @@ def sequence_id_distributed(
     at = F.monotonically_increasing_id()
     sorted_rows = stage(ranged.select(*columns, at.alias("_at")))
 
-    part = F.shiftright("_at", _POSITION_BITS)
-    position = F.col("_at").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
+    part = F.shiftright("_at", POSITION_BITS)
+    position = F.col("_at").bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
     counts = sorted_rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))

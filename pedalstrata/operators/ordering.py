@@ -7,15 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pedalstrata.sources.staging import stage
+
 
 def newest_first(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
     """Descending, nulls last, over the whole frame.
 
-    A range-partitioned sort keeps equal keys in one range, and a null or default date may
-    hold a large share of the rows. A hash of the other columns as last order column lets
-    the ranges cut through such a group; it depends on the row alone, so a task that runs
-    again sends each row the same way.
+    A range-partitioned sort keeps equal keys in one range, and a null or default date, or copies
+    of one row, may hold a large share of the rows. A hash of a row id as last order column lets
+    the ranges cut through such a group. The ids are stored first: one computed on the fly could
+    change when a task runs again, and send its row elsewhere.
     """
-    rest = [c for c in df.columns if c not in order_by]
-    spread = [F.xxhash64(*rest)] if rest else []
-    return df.orderBy(*[F.desc_nulls_last(c) for c in order_by], *spread)
+    columns = df.columns
+    numbered = stage(df.withColumn("_row", F.monotonically_increasing_id()))
+    return numbered.orderBy(*[F.desc_nulls_last(c) for c in order_by], F.xxhash64("_row")).select(*columns)

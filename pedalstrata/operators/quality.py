@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from pedalstrata.errors import DatasetError
 from pedalstrata.functions.aggregates import missing_cells, row_count
-from pedalstrata.functions.casting import is_missing
+from pedalstrata.functions.casting import column, is_missing
 from pedalstrata.functions.labels import calendar_season, month_day
 from pedalstrata.schemas import DOMAIN_RULES, MIN_COLUMNS, MIN_ROWS, REQUIRED_COLUMNS
 
 
 def _unpivot(row: DataFrame, names: Sequence[str], name: str, value: str) -> DataFrame:
     """A one-row frame as one (name, value) row per listed column."""
-    return row.unpivot([], [F.col(n) for n in names], name, value)
+    return row.unpivot([], [column(n) for n in names], name, value)
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -74,7 +74,7 @@ def require_rows(df: DataFrame, dataset: str) -> DataFrame:
 def required_columns_report(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS) -> DataFrame:
     """Per required column: whether it exists, and how many rows lack a value."""
     counts = [
-        F.count_if(is_missing(F.col(c), df.schema[c].dataType)).alias(c)
+        F.count_if(is_missing(column(c), df.schema[c].dataType)).alias(c)
         if c in df.columns
         else row_count().alias(c)
         for c in required
@@ -85,7 +85,7 @@ def required_columns_report(df: DataFrame, required: Sequence[str] = REQUIRED_CO
 
 def schema_report(df: DataFrame) -> DataFrame:
     """Per column: position, name, type and number of present values."""
-    counts = [F.count_if(~is_missing(F.col(f.name), f.dataType)).alias(f.name) for f in df.schema]
+    counts = [F.count_if(~is_missing(column(f.name), f.dataType)).alias(f.name) for f in df.schema]
     long = _unpivot(df.agg(*counts), df.columns, "name", "n_values")
     names = F.array(*[F.lit(c) for c in df.columns])
     types = F.array(*[F.lit(f.dataType.simpleString()) for f in df.schema])
@@ -100,16 +100,32 @@ def schema_report(df: DataFrame) -> DataFrame:
 
 def check_total(df: DataFrame) -> DataFrame:
     """Rows where the total is not the sum of its two parts."""
-    broken = F.col("total_rides") != F.col("casual_users") + F.col("registered_users")
-    return df.agg(row_count().alias("n_rows"), F.count_if(broken).alias("n_violations"))
+    return total_report(df).select("n_rows", "n_violations")
+
+
+def total_report(df: DataFrame) -> DataFrame:
+    """Rows where the total is not the sum of its two parts, and apart from those, rows where that
+    cannot be told because the total or a part is missing."""
+    total = F.col("total_rides")
+    parts = F.col("casual_users") + F.col("registered_users")
+    return df.agg(
+        row_count().alias("n_rows"),
+        F.count_if(total != parts).alias("n_violations"),
+        F.count_if(total.isNull()).alias("n_null_totals"),
+        F.count_if(total.isNotNull() & parts.isNull()).alias("n_null_parts"),
+    )
 
 
 def check_domains(
     df: DataFrame, rules: Sequence[tuple[str, str, int, int]] = DOMAIN_RULES
 ) -> DataFrame:
-    """Violations per rule ``(name, column, lowest, highest)``; a null violates nothing."""
-    rules = [r for r in rules if r[1] in df.columns]
-    counts = [F.count_if(~F.col(c).between(lo, hi)).alias(rule) for rule, c, lo, hi in rules]
+    """Violations per rule ``(name, column, lowest, highest)``; a null violates nothing.
+
+    A rule on a column that is not there is an error: it must not pass for a kept one.
+    """
+    if absent := [(rule, c) for rule, c, _, _ in rules if c not in df.columns]:
+        raise DatasetError(f"rules on missing columns: {absent}; available: {df.columns}")
+    counts = [F.count_if(~column(c).between(lo, hi)).alias(rule) for rule, c, lo, hi in rules]
     return _unpivot(df.agg(*counts), [r[0] for r in rules], "rule", "n_violations")
 
 

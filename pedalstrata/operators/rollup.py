@@ -17,7 +17,7 @@ from pedalstrata.functions.aggregates import (
     row_count,
     sum_or_zero,
 )
-from pedalstrata.functions.casting import parse_date, safe_int
+from pedalstrata.functions.casting import column, parse_date, safe_int
 from pedalstrata.operators.cleaning import drop_null_keys
 from pedalstrata.operators.numbering import sequence_id, sequence_id_distributed
 from pedalstrata.schemas import RAW_DAY_COLUMNS
@@ -60,12 +60,13 @@ def _with_order(df: DataFrame, order_by: str, measures: Sequence[Measure]) -> Da
     return df.withColumn(_ORDER, safe_int(F.col(order_by), df.schema[order_by].dataType))
 
 
-def _expression(df: DataFrame, measure: Measure, strict: bool) -> Column:
-    c, dtype = F.col(measure.column), df.schema[measure.column].dataType
+def _expression(df: DataFrame, measure: Measure, strict: bool, key: str, unique: bool) -> Column:
+    c, dtype = column(measure.column), df.schema[measure.column].dataType
     if callable(measure.kind):
         return measure.kind(c)
     if measure.kind == "first":
-        return first_non_null(c, dtype, F.col(_ORDER))
+        rest = [column(x) for x in df.columns if x != key]
+        return first_non_null(c, dtype, F.col(_ORDER), rest, unique)
     if measure.kind == "half_up_mean":
         return half_up_mean(c, dtype, strict)
     if measure.kind == "mean":
@@ -81,9 +82,14 @@ def rollup(
     measures: Sequence[Measure],
     order_by: str = "instant",
     strict: bool = False,
+    unique: bool = False,
 ) -> DataFrame:
-    """One row per non-null key; one shuffle, of partial aggregates only."""
-    exprs = [_expression(df, m, strict).alias(m.column) for m in measures]
+    """One row per non-null key; one shuffle, of partial aggregates only.
+
+    ``unique`` states that no two rows of a key have the same ``order_by``, which makes first
+    values cheaper. Otherwise ties in it are broken by all other columns.
+    """
+    exprs = [_expression(df, m, strict, key, unique).alias(m.column) for m in measures]
     return drop_null_keys(_with_order(df, order_by, measures), key).groupBy(key).agg(*exprs)
 
 
@@ -103,18 +109,18 @@ def number_days(days: DataFrame, key: str = "dteday") -> DataFrame:
     return numbered.select(*RAW_DAY_COLUMNS)
 
 
-def rollup_day(hours: DataFrame, strict: bool = False) -> DataFrame:
+def rollup_day(hours: DataFrame, strict: bool = False, unique: bool = False) -> DataFrame:
     """The daily table rebuilt from the hourly one."""
-    return number_days(rollup(hours, "dteday", DAY_MEASURES, strict=strict))
+    return number_days(rollup(hours, "dteday", DAY_MEASURES, strict=strict, unique=unique))
 
 
-def rollup_day_profiled(hours: DataFrame, strict: bool = False) -> DataFrame:
+def rollup_day_profiled(hours: DataFrame, strict: bool = False, unique: bool = False) -> DataFrame:
     """Daily aggregates plus, per group, the rows and missing cells behind it.
 
     The null-date group stays, so the extra columns add up to the profile of the whole
     hourly table: roll-up and validation then need one scan instead of two.
     """
-    exprs = [_expression(hours, m, strict).alias(m.column) for m in DAY_MEASURES]
+    exprs = [_expression(hours, m, strict, "dteday", unique).alias(m.column) for m in DAY_MEASURES]
     return _with_order(hours, "instant", DAY_MEASURES).groupBy("dteday").agg(
         *exprs, row_count().alias("_rows"), missing_cells(hours).alias("_missing")
     )

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pedalstrata.functions.aggregates import missing_cells, row_count
-from pedalstrata.operators.cleaning import clean, drop_null_keys
+from pedalstrata.operators.cleaning import clean, cleaning_report, drop_null_keys
 from pedalstrata.operators.quality import require_rows, require_valid, verdict
 from pedalstrata.operators.rollup import number_days, rollup_day_profiled
 from pedalstrata.plans.gold import gold_tables
@@ -38,6 +39,7 @@ def build_raw(
 ) -> RawLayer:
     """Hourly table, daily table and their validation, from one scan of the hours."""
     grouped = stage(rollup_day_profiled(hours, strict))
+    require_rows(grouped, "hour")  # without hours there is no group
     days = drop_null_keys(grouped, "dteday").drop("_rows", "_missing")
     zero = F.lit(0).cast("bigint")
     hour_profile = grouped.agg(
@@ -62,26 +64,44 @@ def extract(
     skip_publish: bool = False,
     strict: bool = False,
 ) -> dict[str, str]:
-    """Build, validate both tables, only then write both, and publish if a target is set."""
-    raw = build_raw(require_rows(hours, "hour"), strict)
+    """Build, validate both tables, only then write both, and publish if a target is set.
+
+    Both copies of the days are written from one stored table, and both of the hours from the
+    source, so nothing is read back from text.
+    """
+    raw = build_raw(hours, strict)
     require_valid(raw.report)
-    paths = {name: write_layer(df, base, name, fmt) for name, df in raw.tables().items()}
-    # The published copy is made from the written files, as text for CSV, not computed again.
-    reader = hours.sparkSession.read.format(fmt).option("header", True)
-    publish_raw({name: reader.load(path) for name, path in paths.items()}, publish_to, fmt, skip_publish)
+    tables = {"day": stage(raw.day), "hour": raw.hour}
+    paths = {name: write_layer(df, base, name, fmt) for name, df in tables.items()}
+    publish_raw(tables, publish_to, fmt, skip_publish)
     return paths
 
 
+@dataclass(frozen=True)
+class Cleaned:
+    """Where each cleaned table was written, and per table the rows in, dropped and out."""
+
+    paths: dict[str, str]
+    report: DataFrame
+
+
+def accounting(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """The cleaning report of every table, under its name."""
+    reports = [cleaning_report(df).select(F.lit(name).alias("dataset"), "*") for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, reports)
+
+
 def clean_files(
     spark: SparkSession,
     base_in: str,
     base_out: str,
     fmt: str = "csv",
     schemas: dict[str, T.StructType] | None = None,
-) -> dict[str, str]:
-    """Clean whichever raw tables exist and write them in the same format."""
-    tables = {name: clean(df) for name, df in scan_optional(spark, base_in, fmt=fmt, schemas=schemas).items()}
-    return {name: write_layer(df, base_out, name, fmt) for name, df in tables.items()}
+) -> Cleaned:
+    """Clean whichever raw tables exist and write them in the same format, with the accounting."""
+    found = scan_optional(spark, base_in, fmt=fmt, schemas=schemas)
+    paths = {name: write_layer(clean(df), base_out, name, fmt) for name, df in found.items()}
+    return Cleaned(paths, accounting(found))
 
 
 def load(
@@ -94,28 +114,33 @@ def load(
     """Load processed files into ``silver``, ``gold`` or ``both``.
 
     Silver gets one table per grain; gold gets the daily table and the aggregates of the
-    hourly one. A Parquet file wins over a CSV file of the same table.
+    hourly one. A Parquet file wins over a CSV file of the same table. The rows are those of the
+    files, under raw names and with repeated records; the tables are therefore called
+    ``loaded_...`` and leave those of ``medallion`` alone.
     """
     files = scan_by_format(spark, base, schemas=schemas)
     tables = {name.split(".")[0]: df for name, df in files.items()}
     gold = {"day": tables["day"]} if "day" in tables else {}
     if layer != "silver" and "hour" in tables:
         gold |= gold_tables(silver(tables["hour"], "hour"))
-    return load_layers(layer, {"silver": tables, "gold": gold}, database)
+    return load_layers(layer, {"silver": tables, "gold": gold}, database, prefix="loaded_")
 
 
 def medallion(hours: DataFrame, database: str, partition_by: Sequence[str] = ()) -> dict[str, DataFrame]:
     """Raw hours to gold tables: validate, clean, silver, aggregate.
 
+    Besides the tables, ``cleaning`` accounts for the rows that cleaning dropped.
+
     The hours are scanned twice: once for the roll-up with its validation profile, once for
     silver. Gold reads the stored silver table, and only the columns it needs. Large silver
     tables can be partitioned, say by ``year_flag``, for later queries to prune.
     """
-    raw = build_raw(require_rows(hours, "hour"))
+    raw = build_raw(hours)
     require_valid(raw.report)
     loaded = {
         f"silver_{grain}": load_truncate(silver(clean(df), grain), f"{database}.silver_{grain}", partition_by)
         for grain, df in raw.tables().items()
     }
     gold = {"day": loaded["silver_day"], **gold_tables(loaded["silver_hour"])}
-    return loaded | load_layers("gold", {"gold": gold}, database)
+    report = load_truncate(accounting(raw.tables()), f"{database}.cleaning")
+    return loaded | load_layers("gold", {"gold": gold}, database) | {"cleaning": report}

@@ -7,6 +7,7 @@ adds faults (bad keys, bad dates, NaN, nulls) for the operators to handle.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pedalstrata.operators.rollup import rollup_day
 from pedalstrata.schemas import RAW_HOUR_COLUMNS
@@ -54,6 +55,27 @@ def hour_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hour_raw(spark, sf_dir).selectExpr(*[f"{_FAULTS.get(c, c)} as {c}" for c in RAW_HOUR_COLUMNS])
 
 
+# More faults, for the operators that look for them: bad tails, compact and impossible dates, no
+# date, totals that are no sum, missing parts.
+_MORE_FAULTS = {
+    "dteday": """case when endswith(instant, '0') then concat(dteday, ' garbage')
+      when endswith(instant, '1') then concat(dteday, 'Tfoo')
+      when endswith(instant, '2') then concat(dteday, ' 10:20:30')
+      when endswith(instant, '3') then replace(dteday, '-', '')
+      when endswith(instant, '4') then null
+      when endswith(instant, '5') then concat('99999', substring(dteday, 5))
+      when endswith(instant, '6') then 'not-a-date' else dteday end""",
+    "cnt": "case when l % 7 = 0 then cnt + 1 when l % 7 = 1 then null else cnt end",
+    "casual": "case when l % 7 = 2 then null else casual end",
+}
+
+
+def hour_faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``hour_raw`` with faults in dates and totals; record numbers are whole."""
+    hours = hour_raw(spark, sf_dir).withColumn("l", F.col("registered"))
+    return hours.selectExpr(*[f"{_MORE_FAULTS.get(c, c)} as {c}" for c in RAW_HOUR_COLUMNS])
+
+
 def day_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup_day(hour_raw(spark, sf_dir))
 

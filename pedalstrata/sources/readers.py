@@ -14,72 +14,91 @@ from pedalstrata.functions.casting import (
     BOOLEAN,
     DOUBLE,
     INTEGER,
+    column,
     literal_kind,
+    nan_to_null,
     normalise_na_columns,
-    safe_double,
-    safe_int,
+    parse_date,
 )
 from pedalstrata.operators.quality import require_rows
+from pedalstrata.sources.writers import CSV_TEXT
 
 TABLES = ("day", "hour")
 FORMATS = ("csv", "parquet")
 
 
-def scan_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def scan_csv(spark: SparkSession, path: str, schema: T.StructType, strict: bool = False) -> DataFrame:
     """CSV with a header and a given schema.
 
     The header must match the schema: by default Spark assigns by position and would put
-    reordered columns under wrong names without an error.
+    reordered columns under wrong names without an error. A cell that does not fit its type is
+    null and a row of another length is cut or filled, unless ``strict``: then a row of another
+    length fails every query, and a bad cell every query that reads its column.
     """
-    return spark.read.csv(path, schema=schema, header=True, enforceSchema=False)
+    reader = spark.read.options(**CSV_TEXT)
+    if strict:
+        reader = reader.option("mode", "FAILFAST").option("columnPruning", "false")
+    return reader.csv(path, schema=schema, header=True, enforceSchema=False)
 
 
 def scan_raw(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A raw CSV that must exist and hold rows."""
+    """A raw CSV that must exist and hold rows, all of which must fit the schema."""
     try:
-        return require_rows(scan_csv(spark, path, schema), path)
+        return require_rows(scan_csv(spark, path, schema, strict=True), path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         raise DatasetError(f"no such dataset: {path}") from e
 
 
-def _inferred(df: DataFrame) -> list[Column]:
-    """Per text column the narrowest of integer, double, boolean or text that fits every value."""
+def _inferred(df: DataFrame, dates: bool) -> list[Column]:
+    """Per text column the narrowest of integer, double, boolean, date if asked for, or text that
+    fits every value. Detection has tested every cell, so the casts need no test of their own."""
     text = T.StringType()
-    kinds = df.select(*[literal_kind(c).alias(f"k{i}") for i, c in enumerate(df.columns)])
-    found = kinds.agg(*[f(k) for k in kinds.columns for f in (F.min, F.max)]).first()
+    names = range(len(df.columns))
+    kinds = df.select(
+        *[literal_kind(c).alias(f"k{i}") for i, c in enumerate(df.columns)],
+        *[parse_date(column(c), text).isNotNull().alias(f"d{i}") for i, c in enumerate(df.columns) if dates],
+    )
+    found = kinds.agg(
+        *[f(f"k{i}") for i in names for f in (F.min, F.max)],
+        *[F.bool_and(F.col(f"d{i}") | F.col(f"k{i}").isNull()) for i in names if dates],
+    ).first()
     out = []
     for i, name in enumerate(df.columns):
-        c, low, high = F.col(name), found[2 * i], found[2 * i + 1]
+        c, low, high = column(name), found[2 * i], found[2 * i + 1]
         if high == INTEGER:
-            out.append(safe_int(c, text).alias(name))
+            out.append(c.try_cast("bigint").alias(name))
         elif high == DOUBLE:
-            out.append(safe_double(c, text).alias(name))
+            out.append(nan_to_null(c.try_cast("double")).alias(name))
         elif low == high == BOOLEAN:
             out.append(c.try_cast("boolean").alias(name))
+        elif dates and high is not None and found[2 * len(df.columns) + i]:
+            out.append(parse_date(c, text).alias(name))
         else:
             out.append(c)
     return out
 
 
-def scan_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
+def scan_csv_inferred(spark: SparkSession, path: str, dates: bool = False) -> DataFrame:
     """CSV without a schema: missing-value tokens become null first, then types are inferred.
 
     Spark's own inference knows a single null token, so one stray ``NA`` would turn a number
     column into text. Inference is one full aggregate pass; give ``scan_csv`` a schema where
-    one is known. Dates stay text, for the cleaning step to parse.
+    one is known. Dates stay text, for the cleaning step to parse, unless ``dates`` is set.
     """
     # Without inferSchema only the header line is read here.
-    text = normalise_na_columns(spark.read.csv(path, header=True))
-    return text.select(*_inferred(text))
+    text = normalise_na_columns(spark.read.options(**CSV_TEXT).csv(path, header=True))
+    return text.select(*_inferred(text, dates))
 
 
-def _open(spark: SparkSession, path: str, fmt: str, schema: T.StructType | None) -> DataFrame | None:
+def _open(
+    spark: SparkSession, path: str, fmt: str, schema: T.StructType | None, dates: bool = False
+) -> DataFrame | None:
     try:
         if fmt == "parquet":
             return spark.read.parquet(path)
-        return scan_csv(spark, path, schema) if schema is not None else scan_csv_inferred(spark, path)
+        return scan_csv(spark, path, schema) if schema is not None else scan_csv_inferred(spark, path, dates)
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return None
@@ -108,12 +127,15 @@ def scan_by_format(
     names: Sequence[str] = TABLES,
     schemas: dict[str, T.StructType] | None = None,
 ) -> dict[str, DataFrame]:
-    """Every ``<name>.csv`` and ``<name>.parquet`` that exists, keyed by file name; an error if none."""
+    """Every ``<name>.csv`` and ``<name>.parquet`` that exists, keyed by file name; an error if none.
+
+    Types of a CSV without a schema, dates included, are detected.
+    """
     schemas = schemas or {}
     out = {}
     for fmt in FORMATS:
         for name in names:
-            df = _open(spark, f"{base}/{name}.{fmt}", fmt, schemas.get(name))
+            df = _open(spark, f"{base}/{name}.{fmt}", fmt, schemas.get(name), dates=True)
             if df is not None:
                 out[f"{name}.{fmt}"] = df
     if not out:
@@ -132,12 +154,12 @@ def external_csv_table(
     value seen.
     """
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    options = {"header": "true"} | ({"inferSchema": "true"} if schema is None else {"enforceSchema": "false"})
+    options = {"header": "true", **CSV_TEXT} | ({"inferSchema": "true"} if schema is None else {"enforceSchema": "false"})
     spark.catalog.createTable(table, path=path, source="csv", schema=schema, **options)
     df = spark.table(table)
     return df.select(
         *[
-            F.col(f.name).cast("bigint").alias(f.name) if isinstance(f.dataType, T.IntegerType) else F.col(f.name)
+            column(f.name).cast("bigint").alias(f.name) if isinstance(f.dataType, T.IntegerType) else column(f.name)
             for f in df.schema
         ]
     )

@@ -61,6 +61,17 @@ def remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def move(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a folder; False if there is none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(source).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(path(source)):
+        return False
+    if not system.rename(path(source), path(target)):
+        raise OSError(f"cannot rename {source} to {target}")
+    return True
+
+
 def discard(df: DataFrame) -> None:
     """Delete the folders behind staged frames that no later result reads."""
     for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:

@@ -2,20 +2,59 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from pedalstrata.functions.casting import column, quoted
+from pedalstrata.sources.staging import move, remove
 
 LAYERS = {"silver": ("silver",), "gold": ("gold",), "both": ("silver", "gold")}
 
 
+# Blanks stay, and a quote is doubled, so that every text without a line break comes back as it
+# was; only an empty one comes back as null.
+CSV_TEXT = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def _one_line(df: DataFrame) -> DataFrame:
+    """Fails on text with a line break: files that may hold one cannot be split on reading."""
+    fault = F.raise_error(F.lit("line break in a CSV text")).cast("string")
+    return df.select(
+        *[
+            F.when(column(f.name).rlike("[\\r\\n]"), fault).otherwise(column(f.name)).alias(f.name)
+            if isinstance(f.dataType, T.StringType)
+            else column(f.name)
+            for f in df.schema
+        ]
+    )
+
+
 def write_layer(df: DataFrame, base: str, name: str, fmt: str = "csv") -> str:
-    """Write ``base/<name>.<fmt>`` as part files (CSV with a header) and return the path."""
+    """Write ``base/<name>.<fmt>`` as part files (CSV with a header) and return the path.
+
+    Files are written next to what is there, which is replaced only once they are complete: a
+    failing write leaves the old layer as it was.
+    """
     if fmt not in ("csv", "parquet"):
         raise ValueError(f"unknown format: {fmt}")
-    path = f"{base}/{name}.{fmt}"
-    writer = df.write.mode("overwrite").format(fmt)
-    (writer.option("header", True) if fmt == "csv" else writer).save(path)
+    spark, path, run = df.sparkSession, f"{base}/{name}.{fmt}", uuid.uuid4().hex
+    new, old = f"{base}/_new_{name}_{run}", f"{base}/_old_{name}_{run}"
+    try:
+        if fmt == "csv":
+            _one_line(df).write.format(fmt).option("header", True).options(**CSV_TEXT).save(new)
+        else:
+            df.write.format(fmt).save(new)
+    except Exception:
+        remove(spark, new)
+        raise
+    had_one = move(spark, path, old)
+    move(spark, new, path)
+    if had_one:
+        remove(spark, old)
     return path
 
 
@@ -34,20 +73,45 @@ def publish_raw(
 def load_truncate(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Replace a table, rows and schema, and return it; also serves create-or-replace from a query.
 
-    The frame must not read the table it replaces: Spark refuses that.
+    The rows go to a folder of their own first. Only then does the catalog name change over to
+    it, and the old rows are removed last, so a failing write leaves the old table, and a frame
+    may read the table it replaces.
     """
+    spark = df.sparkSession
+    database, _, name = table.rpartition(".")
+    home = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri.rstrip("/")
+    path = f"{home}/{name}-{uuid.uuid4().hex}"
+    # One shuffle sized by AQE instead of one small file per task and partition value.
+    rows = df.hint("rebalance", *partition_by) if partition_by else df
+    try:
+        rows.write.format("parquet").partitionBy(*partition_by).save(path)
+    except Exception:
+        remove(spark, path)
+        raise
+    old = _table_folder(spark, table)
+    fields = [f"{quoted(f.name)} {f.dataType.simpleString()}" for f in df.schema]
+    parted = f"PARTITIONED BY ({', '.join(map(quoted, partition_by))})" if partition_by else ""
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"CREATE TABLE {table} ({', '.join(fields)}) USING parquet {parted} LOCATION '{path}'")
     if partition_by:
-        # One shuffle sized by AQE instead of one small file per task and partition value.
-        df = df.hint("rebalance", *partition_by)
-    writer = df.write.mode("overwrite").format("parquet")
-    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
-    return df.sparkSession.table(table)
+        spark.sql(f"MSCK REPAIR TABLE {table}")
+    if old:
+        remove(spark, old)
+    return spark.table(table).select(*[column(c) for c in df.columns])
+
+
+def _table_folder(spark: SparkSession, table: str) -> str | None:
+    """Where the rows of a table lie, if it is there and its rows are its own."""
+    if not spark.catalog.tableExists(table):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    return next((r.data_type for r in rows if r.col_name == "Location"), None)
 
 
 def load_layers(
-    layer: str, layers: Mapping[str, Mapping[str, DataFrame]], database: str
+    layer: str, layers: Mapping[str, Mapping[str, DataFrame]], database: str, prefix: str = ""
 ) -> dict[str, DataFrame]:
-    """Load the tables of ``silver``, ``gold`` or ``both`` (silver first) as ``<layer>_<name>``.
+    """Load the tables of ``silver``, ``gold`` or ``both`` (silver first) as ``<prefix><layer>_<name>``.
 
     Hourly data never goes to gold.
     """
@@ -58,6 +122,6 @@ def load_layers(
         for name, df in layers.get(part, {}).items():
             if part == "gold" and name == "hour":
                 continue
-            table = f"{part}_{name}"
+            table = f"{prefix}{part}_{name}"
             loaded[table] = load_truncate(df, f"{database}.{table}")
     return loaded

@@ -2,8 +2,54 @@
 
 from __future__ import annotations
 
-from pedalstrata.schemas import DAY_FIELDS, HOUR_FIELDS, RAW_HOUR_COLUMNS
-from pedalstrata.verification.queries import FEED_RULES
+from typing import NamedTuple
+
+
+class Field(NamedTuple):
+    raw: str
+    silver: str
+    type: str
+
+
+# Stated here again, so that a wrong name or rule in the code does not agree with itself.
+# Raw name, silver name and type, in silver column order.
+HOUR_FIELDS = [
+    Field(*line.split())
+    for line in """
+    instant ride_id bigint
+    dteday ride_date date
+    hr ride_hour bigint
+    season season bigint
+    yr year_flag bigint
+    mnth month bigint
+    holiday holiday bigint
+    weekday weekday bigint
+    workingday workingday bigint
+    weathersit weather_situation bigint
+    temp temperature double
+    atemp feels_like_temperature double
+    hum humidity double
+    windspeed windspeed double
+    casual casual_users bigint
+    registered registered_users bigint
+    cnt total_rides bigint
+    """.strip().splitlines()
+]
+DAY_FIELDS = [f for f in HOUR_FIELDS if f.raw != "hr"]
+RAW_HOUR_COLUMNS = (
+    "instant dteday season yr mnth hr holiday weekday workingday weathersit temp atemp hum windspeed "
+    "casual registered cnt"
+).split()
+FEED_RULES = (
+    ("season_1_4", "season", 1, 4),
+    ("year_flag_0_6", "year_flag", 0, 6),
+    ("month_1_12", "month", 1, 12),
+    ("hour_0_11", "ride_hour", 0, 11),
+    ("holiday_0_1", "holiday", 0, 1),
+    ("weekday_0_6", "weekday", 0, 6),
+    ("workingday_0_1", "workingday", 0, 1),
+    ("weather_1_3", "weather_situation", 1, 3),
+)
 
 _CHRISTMAS = "(month(l_shipdate) = 12 and day(l_shipdate) = 25)"
 
@@ -42,8 +88,27 @@ def _columns(replaced: dict[str, str], skip: tuple[str, ...] = (), table: str =
 
 
 _HOUR_DIRTY = f"{_HOUR_RAW}, hour_dirty as (select {_columns(_FAULTS)} from hour_raw h)"
+_MORE_FAULTS = {
+    "dteday": """case right(h.instant, 1) when '0' then h.dteday || ' garbage' when '1' then h.dteday || 'Tfoo'
+      when '2' then h.dteday || ' 10:20:30' when '3' then replace(h.dteday, '-', '') when '4' then null
+      when '5' then '99999' || substring(h.dteday, 5) when '6' then 'not-a-date' else h.dteday end""",
+    "cnt": "case h.registered % 7 when 0 then h.cnt + 1 when 1 then null else h.cnt end",
+    "casual": "case when h.registered % 7 = 2 then null else h.casual end",
+}
+_HOUR_FAULTY = f"{_HOUR_RAW}, hour_faulty as (select {_columns(_MORE_FAULTS)} from hour_raw h)"
 _DAY_DIRTY = f"{_HOUR_DIRTY}, day_dirty as (select * exclude (hr) from hour_dirty)"
 
+
+
+def _date(c: str) -> str:
+    """The date that text stands for: ISO with or without a time, or eight digits."""
+    iso = r"\s*\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?\s*"
+    return (
+        f"case when regexp_full_match({c}, '{iso}') then try_cast(regexp_extract({c}, '\\d+-\\d+-\\d+') as date)"
+        f" when regexp_full_match({c}, '\\d{{8}}') then try_cast({c}[1:4] || '-' || {c}[5:6] || '-' || {c}[7:8] as date) end"
+    )
+
+
 _TEMP_NULL = "case when isnan(d.temp) then null else d.temp end"
 
 
@@ -51,18 +116,29 @@ def _mean6(column: str) -> str:
     return f"round_even(avg({column}), 6)"
 
 
+def _in_order(source: str) -> str:
+    """Rows with their place in the day: by record number, none last, then by all other columns."""
+    rest = ", ".join(f"{c} nulls first" for c in RAW_HOUR_COLUMNS if c != "dteday")
+    return (
+        "select *, row_number() over (partition by dteday order by"
+        f" coalesce(try_cast(instant as bigint), 9223372036854775807), {rest}) as place from {source}"
+    )
+
+
+def _first(c: str) -> str:
+    present = f"{c} is not null" + (f" and not isnan({c})" if c == "temp" else "")
+    return f"arg_min({c}, place) filter ({present}) as {c}"
+
+
 def _daily(source: str) -> str:
     """The daily table: groups by the text date, numbered by date."""
-    firsts = ", ".join(
-        f"arg_min({c}, cast(instant as bigint)) as {c}"
-        for c in ("season", "yr", "mnth", "holiday", "weekday", "workingday")
-    )
+    firsts = ", ".join(_first(c) for c in ("season", "yr", "mnth", "holiday", "weekday", "workingday"))
     means = ", ".join(f"{_mean6(c)} as {c}" for c in ("temp", "atemp", "hum", "windspeed"))
     sums = ", ".join(f"cast(coalesce(sum({c}), 0) as bigint) as {c}" for c in ("casual", "registered", "cnt"))
     return f"""day_raw as (
       select row_number() over (order by dteday) as instant, *
       from (select dteday, {firsts}, cast(trunc(avg(weathersit) + 0.5) as bigint) as weathersit, {means}, {sums}
-            from {source} where dteday is not null group by dteday))"""
+            from ({_in_order(source)}) where dteday is not null group by dteday))"""
 
 
 _DAY_RAW = f"{_HOUR_RAW}, {_daily('hour_raw')}"
@@ -94,7 +170,10 @@ _PROJECTED_HOUR = f"{_HOUR_DIRTY}, {_projected('hour_dirty', HOUR_FIELDS)}"
 _RANKED_HOUR = f"{_PROJECTED_HOUR}, {_ranked(HOUR_FIELDS)}"
 _SILVER_HOUR = _silver(_HOUR_DIRTY, "hour_dirty", HOUR_FIELDS)
 _SILVER_DAY = _silver(_DAY_DIRTY, "day_dirty", DAY_FIELDS)
-_SILVER_CLEAN_SOURCE = _silver(_HOUR_RAW, "hour_raw", HOUR_FIELDS)
+# The faulty hours' dates need the lenient parse.
+_SILVER_OF_FAULTY = _silver(
+    f"{_HOUR_FAULTY}, parsed as (select * replace ({_date('dteday')} as dteday) from hour_faulty)", "parsed", HOUR_FIELDS
+)
 
 _CLEANED = "d.dteday is not null and d.cnt is not null and try_cast(d.dteday as date) is not null"
 _SILVER_OF_CLEANED = _silver(
@@ -109,6 +188,9 @@ _TYPED_DAY = f"with {_DAY_RAW} select {_columns(_TYPED, ('hr',))} from day_raw h
 _RAW = f"with {_HOUR_RAW} select * from hour_raw"
 _DAY = f"with {_DAY_RAW} select * from day_raw"
 
+_NOTE = r"""case registered % 4 when 0 then '  "' || instant || '", x ' when 1 then 'a\\b\\"' || instant || '\\'
+  when 2 then ' ' end as note"""
+
 _INFERRED = {
     **{f.raw: f"cast(d.{f.raw} as {f.type})" for f in HOUR_FIELDS},
     "instant": "d.instant",
@@ -178,16 +260,22 @@ def _bins(column: str) -> str:
     )
 
 
+def _contents(tables: dict[str, tuple[str, str, int]], with_: str) -> str:
+    """Per table its rows, columns and total; ``tables`` has (source, total, number of columns)."""
+    return f"with {with_} " + " union all ".join(
+        f"select '{name}' as table_name, count(*) as n_rows, cast({n} as bigint) as n_columns,"
+        f" cast({total} as bigint) as total from {source}"
+        for name, (source, total, n) in tables.items()
+    )
+
+
 def _load_route(*tables: str) -> str:
+    rides, months = "sum(total_rides)", "(select year_flag, month, sum(total_rides) as t from silver group by all)"
     parts = {
-        "silver_day": "select 'silver_day' as table_name, count(*) as n_rows,"
-        " cast(sum(total_rides) as bigint) as total_rides from silver_d",
-        "silver_hour": "select 'silver_hour' as table_name, count(*) as n_rows,"
-        " cast(sum(total_rides) as bigint) as total_rides from silver",
-        "gold_day": "select 'gold_day' as table_name, count(*) as n_rows,"
-        " cast(sum(total_rides) as bigint) as total_rides from silver_d",
-        "gold_monthly": "select 'gold_monthly' as table_name, count(distinct (year_flag, month)) as n_rows,"
-        " cast(sum(total_rides) as bigint) as total_rides from silver",
+        "silver_day": ("silver_d", rides, 16),
+        "silver_hour": ("silver", rides, 17),
+        "gold_day": ("silver_d", rides, 16),
+        "gold_monthly": (months, "sum(t)", 7),
     }
     day = (
         f"{_projected('hour_dirty', DAY_FIELDS)}, {_ranked(DAY_FIELDS)}, "
@@ -195,7 +283,41 @@ def _load_route(*tables: str) -> str:
     )
     for name in ("projected", "ranked"):
         day = day.replace(f"{name} as (", f"{name}_d as (").replace(f"from {name}", f"from {name}_d")
-    return f"with {_SILVER_HOUR}, {day} " + " union all ".join(parts[t] for t in tables)
+    return _contents({t: parts[t] for t in tables}, f"{_SILVER_HOUR}, {day}")
+
+
+def _groups(*keys: str, total: str = "sum(total_rides)") -> str:
+    return f"(select {', '.join(keys)}, {total} as t from silver group by all)"
+
+
+# What the flows write, of cleaned hours and of the days that are made from all hours.
+_GOLD = {
+    "monthly": (_groups("year_flag", "month"), "sum(t)", 7),
+    "yearly": (_groups("year_flag"), "sum(t)", 6),
+    "rental_metrics": (_groups("year_flag", "month"), "sum(t)", 7),
+    "weather_metrics": (_groups("weather_situation"), "null", 7),
+}
+
+
+def _flow_load() -> str:
+    tables = {"loaded_silver_hour": ("cleaned", "sum(cnt)", 17)}
+    tables |= {f"loaded_gold_{name}": spec for name, spec in _GOLD.items()}
+    return _contents(tables, _SILVER_OF_CLEANED)
+
+
+def _flow_medallion() -> str:
+    # Days are made of the hours before cleaning; those whose text is no date are cleaned away.
+    days = f"{_daily('hour_dirty')}, days as (select * from day_raw where try_cast(dteday as date) is not null)"
+    tables = {
+        "silver_day": ("days", "sum(cnt)", 16),
+        "silver_hour": ("silver", "sum(total_rides)", 17),
+        "gold_day": ("days", "sum(cnt)", 16),
+        **{f"gold_{name}": spec for name, spec in _GOLD.items()},
+        "cleaning": (
+            "(select count(*) as n from cleaned union all select count(*) from days)", "sum(n)", 5
+        ),
+    }
+    return _contents(tables, f"{_SILVER_OF_CLEANED}, {days}")
 
 
 def _month_day(column: str) -> str:
@@ -241,7 +363,7 @@ _SCHEMA_REPORT = f"with {_HOUR_DIRTY} " + " union all ".join(
 
 def _label(column: str, name: str, labels: dict[int, str]) -> str:
     branches = " ".join(f"when {column} = {k} then '{v}'" for k, v in labels.items())
-    return _from_silver(f"select ride_id, {column}, case {branches} end as {name} from silver")
+    return f"with {_PROJECTED_HOUR} select ride_id, {column}, case {branches} end as {name} from projected"
 
 
 ORACLE: dict[str, str] = {
@@ -256,9 +378,9 @@ ORACLE: dict[str, str] = {
       union all
       select 'hour.parquet' as file, count(*) as n_rows, cast(sum(cnt) as bigint) as total_rides from hour_raw""",
     # sinks
-    "sink_raw_csv": _RAW,
+    "sink_raw_csv": f"with {_HOUR_RAW} select *, {_NOTE} from hour_raw",
     "sink_raw_parquet": _RAW,
-    "sink_processed_csv": _cleaned("hour"),
+    "sink_processed_csv": f"with c as ({_cleaned('hour')}) select *, {_NOTE} from c",
     "sink_processed_parquet": _cleaned("hour"),
     "publish_raw": _RAW,
     "load_truncate": _RAW,
@@ -283,10 +405,10 @@ ORACLE: dict[str, str] = {
         from cleaned)
       select * exclude (rn) from ranked where rn = 1""",
     # filters
-    "filter_required_not_null": f"""with {_HOUR_DIRTY} select {_columns({"temp": _TEMP_NULL}, (), "d")}
-      from hour_dirty d where d.dteday is not null and d.cnt is not null""",
-    "filter_bad_dates": f"""with {_HOUR_DIRTY} select {_columns(_CLEAN, (), "d")}
-      from hour_dirty d where try_cast(d.dteday as date) is not null""",
+    "filter_required_not_null": f"""with {_HOUR_FAULTY} select {_columns({}, (), "d")}
+      from hour_faulty d where d.dteday is not null and d.cnt is not null""",
+    "filter_bad_dates": f"""with {_HOUR_FAULTY} select {_columns({"dteday": _date("d.dteday")}, (), "d")}
+      from hour_faulty d where {_date("d.dteday")} is not null""",
     "filter_rank_one": f"""with {_RANKED_HOUR}
       select ride_id, ride_date, ride_hour, total_rides from ranked where rn = 1""",
     "check_required_columns": f"""with {_HOUR_DIRTY}
@@ -298,12 +420,9 @@ ORACLE: dict[str, str] = {
       where try_cast(dteday as date) is not null group by 1""",
     # aggregations
     "rollup_day": _DAY,
-    "agg_first_non_null": f"""with {_HOUR_DIRTY} select dteday, """
-    + ", ".join(
-        f"arg_min({c}, coalesce(try_cast(instant as bigint), 9223372036854775807)) as {c}"
-        for c in ("season", "yr", "mnth", "holiday", "weekday", "workingday")
-    )
-    + " from hour_dirty where dteday <> 'not-a-date' group by dteday",
+    "agg_first_non_null": f"with {_HOUR_DIRTY} select dteday, "
+    + ", ".join(map(_first, ("season", "yr", "mnth", "holiday", "weekday", "workingday", "hr", "temp", "cnt")))
+    + f" from ({_in_order('hour_dirty')}) where dteday is not null group by dteday",
     "agg_half_up_mean": f"""with {_HOUR_RAW}
       select dteday, cast(trunc(avg(weathersit) + 0.5) as bigint) as weathersit from hour_raw group by dteday""",
     "agg_mean_round6": f"""with {_HOUR_DIRTY} select dteday, round_even(avg({_TEMP_NULL}), 6) as temp,
@@ -336,7 +455,8 @@ ORACLE: dict[str, str] = {
       try_cast(round(hum * 50 + 0.25) as bigint) as quantity from hour_dirty""",
     "safe_cast_double": f"""with {_HOUR_DIRTY} select instant, try_cast(instant as double) as id_value,
       {_TEMP_NULL} as temperature from hour_dirty d""",
-    "parse_date_lenient": f"with {_HOUR_DIRTY} select dteday, try_cast(dteday as date) as ride_date from hour_dirty",
+    "parse_date_lenient": f"""with {_HOUR_FAULTY} select instant, dteday, {_date("dteday")} as ride_date,
+      try_cast((yr + 1995) || '-' || mnth || '-' || hr as date) as number_date from hour_faulty""",
     "int_truncate": f"""with {_HOUR_RAW}
       select instant, hum, cast(trunc(hum * 10 - 4.75) as bigint) as truncated from hour_raw""",
     "round_half_even": f"""with {_HOUR_RAW}
@@ -348,15 +468,17 @@ ORACLE: dict[str, str] = {
         select count(*) as n_rows, cast(sum({_NULL_CELLS}) as bigint) as n_nulls from hour_dirty d)
       select 'hour' as dataset, n_rows, cast(17 as bigint) as n_cols, n_nulls, n_rows >= 100 as rows_ok,
         true as cols_ok, n_rows >= 100 as valid from p""",
-    "cleaning_report": f"""with {_HOUR_DIRTY}
-      select count(*) as rows_in, count(*) filter (dteday is null or cnt is null) as dropped_null,
-        count(*) filter (dteday is not null and cnt is not null and try_cast(dteday as date) is null)
-          as dropped_bad_date,
-        count(*) filter (cnt is not null and try_cast(dteday as date) is not null) as rows_out
-      from hour_dirty""",
+    "cleaning_report": f"""with {_HOUR_FAULTY}, told as (
+        select dteday is null or cnt is null as absent, {_date("dteday")} is null as bad from hour_faulty)
+      select count(*) as rows_in, count(*) filter (absent) as dropped_null,
+        count(*) filter (not absent and bad) as dropped_bad_date, count(*) filter (not absent and not bad) as rows_out
+      from told""",
     "schema_report": _SCHEMA_REPORT,
-    "check_total_invariant": f"""with {_SILVER_CLEAN_SOURCE}
-      select count(*) as n_rows, count(*) filter (total_rides <> casual_users + registered_users) as n_violations
+    "check_total_invariant": f"""with {_SILVER_OF_FAULTY}
+      select count(*) as n_rows,
+        count(*) filter (total_rides <> casual_users + registered_users) as n_violations,
+        count(*) filter (total_rides is null) as n_null_totals,
+        count(*) filter (total_rides is not null and (casual_users is null or registered_users is null)) as n_null_parts
       from silver""",
     "season_calendar_check": _SEASON_CHECK,
     "check_domains": _DOMAINS,
@@ -390,18 +512,20 @@ ORACLE: dict[str, str] = {
     "trough_month": _demand("month", tail="order by avg_rides nulls last, month limit 1"),
     "season_ranking": _SEASON_RANKING,
     # data dictionary
-    "denormalize_temp": _from_silver(
-        "select ride_id, round_even(temperature * 41.0::double, 6) as celsius from silver"
-    ),
+    "denormalize_temp": f"""with {_PROJECTED_HOUR}
+      select ride_id, round_even(temperature * 41.0::double, 6) as celsius from projected""",
     "label_season": _label("season", "season_name", {1: "spring", 2: "summer", 3: "fall", 4: "winter"}),
-    "label_year": _from_silver("select ride_id, year_flag, year_flag + cast(1995 as bigint) as year from silver"),
+    "label_year": f"with {_PROJECTED_HOUR} select ride_id, year_flag, year_flag + cast(1995 as bigint) as year from projected",
     "label_weather": _label("weather_situation", "weather_name", {1: "good", 2: "cloudy", 3: "rain", 4: "storm"}),
     # flows
-    "flow_extract_day": _DAY,
+    "flow_extract_day": _contents(
+        {f"{p}{n}": (f"{n}_raw", "sum(cnt)", c) for p in ("", "published_") for n, c in (("day", 16), ("hour", 17))},
+        _DAY_RAW,
+    ),
     "flow_clean_day": _cleaned_typed("day"),
     "flow_clean_hour": _cleaned_typed("hour"),
     "flow_silver_day": f"with {_SILVER_DAY} select * from silver",
     "flow_silver_hour": f"with {_SILVER_HOUR} select * from silver",
-    "flow_load": f"with {_SILVER_OF_CLEANED} {_RENTAL_METRICS}",
-    "flow_medallion": f"with {_SILVER_OF_CLEANED} {_rentals('year_flag', 'month')}",
+    "flow_load": _flow_load(),
+    "flow_medallion": _flow_medallion(),
 }

@@ -4,20 +4,21 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pedalstrata.functions import aggregates as agg
 from pedalstrata.functions import casting, labels, udaf
 from pedalstrata.operators import cleaning, dedup, numbering, ordering, projection, quality, rollup
 from pedalstrata.plans import demand, flows, gold
-from pedalstrata.plans.lineitem_feed import day_dirty, day_raw, hour_dirty, hour_raw
+from pedalstrata.plans.lineitem_feed import day_dirty, day_raw, hour_dirty, hour_faulty, hour_raw
 from pedalstrata.plans.silver import KEY, ORDER, silver
 from pedalstrata.schemas import bronze_schema, raw_schema
 from pedalstrata.sources import readers, writers
-from pedalstrata.sources.staging import shared_dir
+from pedalstrata.sources.staging import own_database, shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -35,6 +36,11 @@ FEED_RULES = (
 )
 
 
+# Blanks at both ends or alone, quotes, a separator, backslashes.
+AWKWARD_NOTE = r"""case registered % 4 when 0 then concat('  "', instant, '", x ')
+  when 1 then concat('a\\\\b\\\\"', instant, '\\\\') when 2 then ' ' end"""
+
+
 def query(f: Query) -> Query:
     QUERIES[f.__name__] = f
     return f
@@ -42,7 +48,7 @@ def query(f: Query) -> Query:
 
 def _database(spark: SparkSession) -> str:
     """A fresh database whose tables live in the shared folder."""
-    name = f"pedalstrata_{uuid.uuid4().hex}"
+    name = own_database(f"pedalstrata_{uuid.uuid4().hex}")
     spark.sql(f"CREATE DATABASE {name} LOCATION '{shared_dir(spark)}'")
     return name
 
@@ -51,6 +57,10 @@ def _silver_hour(spark: SparkSession, sf: str) -> DataFrame:
     return silver(hour_dirty(spark, sf), "hour")
 
 
+def _projected_hour(spark: SparkSession, sf: str) -> DataFrame:
+    return projection.project_silver(hour_dirty(spark, sf), "hour")
+
+
 def _dtype(df: DataFrame, name: str):
     return df.schema[name].dataType
 
@@ -112,7 +122,7 @@ def scan_by_format(spark, sf):
 
 @query
 def sink_raw_csv(spark, sf):
-    source = hour_raw(spark, sf)
+    source = hour_raw(spark, sf).withColumn("note", F.expr(AWKWARD_NOTE))
     path = writers.write_layer(source, shared_dir(spark), "hour", "csv")
     return readers.scan_csv(spark, path, source.schema)
 
@@ -124,7 +134,7 @@ def sink_raw_parquet(spark, sf):
 
 @query
 def sink_processed_csv(spark, sf):
-    cleaned = cleaning.clean(hour_dirty(spark, sf))
+    cleaned = cleaning.clean(hour_dirty(spark, sf)).withColumn("note", F.expr(AWKWARD_NOTE))
     path = writers.write_layer(cleaned, shared_dir(spark), "hour", "csv")
     return readers.scan_csv(spark, path, cleaned.schema).withColumn("temp", casting.nan_to_null(F.col("temp")))
 
@@ -149,23 +159,32 @@ def load_truncate(spark, sf):
     return writers.load_truncate(hour_raw(spark, sf), table, partition_by=["yr"])
 
 
-def _load_route(layer: str, spark: SparkSession, sf: str) -> DataFrame:
-    hours = silver(hour_dirty(spark, sf), "hour")
-    days = silver(day_dirty(spark, sf), "day")
-    layers = {
-        "silver": {"day": days, "hour": hours},
-        "gold": {"day": days, "hour": hours, "monthly": gold.monthly(hours)},
-    }
-    loaded = writers.load_layers(layer, layers, _database(spark))
-    out = None
-    for table, df in loaded.items():
-        row = df.agg(
-            F.lit(table).alias("table_name"),
+def _contents(tables: dict[str, DataFrame], total: str = "total_rides") -> DataFrame:
+    """Per table its rows, columns, and the sum of ``total`` if it has that column."""
+    rows = [
+        df.agg(
+            F.lit(name).alias("table_name"),
             agg.row_count().alias("n_rows"),
-            F.sum("total_rides").alias("total_rides"),
+            F.lit(len(df.columns)).cast("bigint").alias("n_columns"),
+            (F.sum(total) if total in df.columns else F.lit(None)).cast("bigint").alias("total"),
         )
-        out = row if out is None else out.unionByName(row)
-    return out
+        for name, df in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
+def _load_route(layer: str, spark: SparkSession, sf: str) -> DataFrame:
+    database = _database(spark)
+    silver_tables = {"day": silver(day_dirty(spark, sf), "day"), "hour": silver(hour_dirty(spark, sf), "hour")}
+    loaded = {}
+    if layer != "gold":
+        loaded = writers.load_layers("silver", {"silver": silver_tables}, database)
+        # Gold reads what was loaded, so each silver table is computed once.
+        silver_tables = {name.removeprefix("silver_"): df for name, df in loaded.items()}
+    if layer != "silver":
+        gold_tables = silver_tables | {"monthly": gold.monthly(silver_tables["hour"])}
+        loaded |= writers.load_layers("gold", {"gold": gold_tables}, database)
+    return _contents(loaded)
 
 
 QUERIES["load_route_silver"] = partial(_load_route, "silver")
@@ -204,7 +223,7 @@ def project_passthrough(spark, sf):
 @query
 def project_star_plus(spark, sf):
     projected = projection.project_silver(hour_dirty(spark, sf), "hour")
-    return dedup.rank_latest(projected, KEY, ORDER).withColumn("rn", F.col("rn").cast("bigint"))
+    return dedup.rank_all(projected, KEY, ORDER).withColumn("rn", F.col("rn").cast("bigint"))
 
 
 @query
@@ -225,21 +244,16 @@ def project_day_columns(spark, sf):
 
 @query
 def cte_chain(spark, sf):
-    hour_dirty(spark, sf).createOrReplaceTempView("pedalstrata_hour_dirty")
-    return spark.sql(
-        """
-        WITH cleaned AS (
-          SELECT try_cast(instant AS bigint) AS ride_id, try_cast(dteday AS date) AS ride_date,
-                 try_cast(hr AS bigint) AS ride_hour, try_cast(cnt AS bigint) AS total_rides
-          FROM pedalstrata_hour_dirty
-        ), ranked AS (
-          SELECT *, row_number() OVER (
-            PARTITION BY ride_id ORDER BY ride_date DESC, ride_hour DESC, total_rides DESC) AS rn
-          FROM cleaned
-        )
-        SELECT * EXCEPT (rn) FROM (SELECT * FROM ranked WHERE rn = 1)
-        """
+    """Named steps, each a frame that the next one reads: Catalyst plans them as one query."""
+    hours = hour_dirty(spark, sf)
+    typed = hours.select(
+        casting.safe_int(F.col("instant"), _dtype(hours, "instant")).alias("ride_id"),
+        casting.parse_date(F.col("dteday"), _dtype(hours, "dteday")).alias("ride_date"),
+        F.col("hr").cast("bigint").alias("ride_hour"),
+        F.col("cnt").alias("total_rides"),
     )
+    newest = dedup.rank_latest(typed, KEY, ORDER, "place").where("place = 1")
+    return newest.drop("place")
 
 
 # --- filters -------------------------------------------------------------------------------
@@ -247,12 +261,12 @@ def cte_chain(spark, sf):
 
 @query
 def filter_required_not_null(spark, sf):
-    return _nan_free(cleaning.drop_missing(hour_dirty(spark, sf)))
+    return _nan_free(cleaning.drop_missing(hour_faulty(spark, sf)))
 
 
 @query
 def filter_bad_dates(spark, sf):
-    return _nan_free(cleaning.drop_bad_dates(hour_dirty(spark, sf)))
+    return _nan_free(cleaning.drop_bad_dates(hour_faulty(spark, sf)))
 
 
 def _nan_free(df: DataFrame) -> DataFrame:
@@ -293,10 +307,12 @@ def _per_day(df: DataFrame, *columns) -> DataFrame:
 
 @query
 def agg_first_non_null(spark, sf):
-    hours = hour_dirty(spark, sf).withColumn("id", F.col("instant").try_cast("bigint"))
-    names = ("season", "yr", "mnth", "holiday", "weekday", "workingday")
-    days = hours.where(F.col("dteday") != "not-a-date")
-    return _per_day(days, *[agg.first_non_null(F.col(n), _dtype(hours, n), F.col("id")).alias(n) for n in names])
+    # Record numbers repeat and may be missing; the rows with a bad date are one large group.
+    hours = hour_dirty(spark, sf)
+    names = ("season", "yr", "mnth", "holiday", "weekday", "workingday", "hr", "temp", "cnt")
+    order = F.col("instant").try_cast("bigint")
+    rest = [F.col(c) for c in hours.columns if c != "dteday"]
+    return _per_day(hours, *[agg.first_non_null(F.col(n), _dtype(hours, n), order, rest).alias(n) for n in names])
 
 
 @query
@@ -409,8 +425,14 @@ def safe_cast_double(spark, sf):
 
 @query
 def parse_date_lenient(spark, sf):
-    hours = hour_dirty(spark, sf)
-    return hours.select("dteday", casting.parse_date(F.col("dteday"), _dtype(hours, "dteday")).alias("ride_date"))
+    hours = hour_faulty(spark, sf)
+    number = (F.col("yr") + 1995) * 10_000 + F.col("mnth") * 100 + F.col("hr")  # no date where hr is 0
+    return hours.select(
+        "instant",
+        "dteday",
+        casting.parse_date(F.col("dteday"), _dtype(hours, "dteday")).alias("ride_date"),
+        casting.parse_date(number, T.IntegerType()).alias("number_date"),
+    )
 
 
 @query
@@ -445,7 +467,7 @@ def validate_dataset(spark, sf):
 
 @query
 def cleaning_report(spark, sf):
-    return cleaning.cleaning_report(hour_dirty(spark, sf))
+    return cleaning.cleaning_report(hour_faulty(spark, sf))
 
 
 @query
@@ -455,7 +477,7 @@ def schema_report(spark, sf):
 
 @query
 def check_total_invariant(spark, sf):
-    return quality.check_total(silver(hour_raw(spark, sf), "hour"))
+    return quality.total_report(silver(hour_faulty(spark, sf), "hour"))
 
 
 @query
@@ -581,25 +603,25 @@ def season_ranking(spark, sf):
 
 @query
 def denormalize_temp(spark, sf):
-    rides = _silver_hour(spark, sf)
+    rides = _projected_hour(spark, sf)
     return rides.select("ride_id", casting.round_half_even(labels.celsius(F.col("temperature"))).alias("celsius"))
 
 
 @query
 def label_season(spark, sf):
-    rides = _silver_hour(spark, sf)
+    rides = _projected_hour(spark, sf)
     return rides.select("ride_id", "season", labels.season_label(F.col("season")).alias("season_name"))
 
 
 @query
 def label_year(spark, sf):
-    rides = _silver_hour(spark, sf)
+    rides = _projected_hour(spark, sf)
     return rides.select("ride_id", "year_flag", labels.calendar_year(F.col("year_flag"), 1995).alias("year"))
 
 
 @query
 def label_weather(spark, sf):
-    rides = _silver_hour(spark, sf)
+    rides = _projected_hour(spark, sf)
     code = F.col("weather_situation")
     return rides.select("ride_id", code, labels.weather_label(code).alias("weather_name"))
 
@@ -609,16 +631,20 @@ def label_weather(spark, sf):
 
 @query
 def flow_extract_day(spark, sf):
-    paths = flows.extract(hour_raw(spark, sf), shared_dir(spark), "parquet")
-    return spark.read.parquet(paths["day"])
+    """Both written tables and both published ones."""
+    base, target = shared_dir(spark), shared_dir(spark)
+    paths = flows.extract(hour_raw(spark, sf), base, "parquet", publish_to=target)
+    written = {name: spark.read.parquet(path) for name, path in paths.items()}
+    published = {f"published_{n}": spark.read.parquet(f"{target}/raw/{n}.parquet") for n in written}
+    return _contents(written | published, "cnt")
 
 
 def _flow_clean(grain: str, spark: SparkSession, sf: str) -> DataFrame:
     source = {"day": day_dirty, "hour": hour_dirty}[grain](spark, sf)
     raw, processed = shared_dir(spark), shared_dir(spark)
     writers.write_layer(source, raw, grain)
-    paths = flows.clean_files(spark, raw, processed, schemas={grain: bronze_schema(grain)})
-    written = readers.scan_csv(spark, paths[grain], raw_schema(grain))
+    cleaned = flows.clean_files(spark, raw, processed, schemas={grain: bronze_schema(grain)})
+    written = readers.scan_csv(spark, cleaned.paths[grain], raw_schema(grain))
     return written.withColumn("temp", casting.nan_to_null(F.col("temp")))
 
 
@@ -630,7 +656,8 @@ def _flow_silver(grain: str, spark: SparkSession, sf: str) -> DataFrame:
     source = {"day": day_dirty, "hour": hour_dirty}[grain](spark, sf)
     path = writers.write_layer(source, shared_dir(spark), grain)
     database = _database(spark)
-    bronze = readers.external_csv_table(spark, f"{database}.bronze_{grain}", path)
+    # Silver casts safely from text, so the types need no detection.
+    bronze = readers.external_csv_table(spark, f"{database}.bronze_{grain}", path, bronze_schema(grain))
     return writers.load_truncate(silver(bronze, grain), f"{database}.silver_{grain}")
 
 
@@ -642,9 +669,13 @@ QUERIES["flow_silver_hour"] = partial(_flow_silver, "hour")
 def flow_load(spark, sf):
     base = shared_dir(spark)
     writers.write_layer(cleaning.clean(hour_dirty(spark, sf)), base, "hour", "parquet")
-    return flows.load(spark, base, "both", _database(spark))["gold_rental_metrics"]
+    """Every table that the load writes."""
+    loaded = flows.load(spark, base, "both", _database(spark))
+    return _contents({n: df.withColumnRenamed("cnt", "total_rides") for n, df in loaded.items()})
 
 
 @query
 def flow_medallion(spark, sf):
-    return flows.medallion(hour_dirty(spark, sf), _database(spark))["gold_monthly"]
+    """Every table that the flow writes; of the accounting, the rows that came out."""
+    loaded = flows.medallion(hour_dirty(spark, sf), _database(spark))
+    return _contents({n: df.withColumnRenamed("rows_out", "total_rides") for n, df in loaded.items()})

@@ -9,6 +9,8 @@ from pyspark.sql import SparkSession
 ROOT = Path(__file__).resolve().parent.parent
 sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
+from pedalstrata.sources import staging  # noqa: E402
+
 SF_DIR = "/root/testdata/sf0.001"
 
 
@@ -22,6 +24,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     )
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
@@ -29,6 +32,13 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture(autouse=True, scope="module")
+def _released(spark):
+    """Every module leaves no staged copy and no database of a query."""
+    yield
+    staging.release(spark)
+
+
 @pytest.fixture(scope="session")
 def sf_dir():
     return SF_DIR

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from pedalstrata.functions import aggregates as agg
 from pedalstrata.functions import casting, labels, udaf
 from pedalstrata.operators.rollup import Measure, rollup
+from pedalstrata.plans.lineitem_feed import hour_dirty
 
 NAN = float("nan")
 
@@ -68,6 +69,11 @@ def test_parse_date(spark):
     day = datetime.date(2011, 1, 1)
     assert apply(spark, values, "string", casting.parse_date) == [day, day, None, None, datetime.date(2011, 1, 3), None]
 
+    odd = ["2011-01-01 garbage", "2011-01-01Tfoo", "99999-01-01", "2011-01-01T10:00", "20110101", "20111301", "2011", "1/1/2011", ""]
+    assert apply(spark, odd, "string", casting.parse_date) == [None, None, None, day, day, None, None, None, None]
+    assert apply(spark, [20110101, 5, None], "long", casting.parse_date) == [day, None, None]
+    assert apply(spark, [1.5], "double", casting.parse_date) == [None]
+
     def strict(c, dtype):
         return casting.parse_date(c, dtype, "yyyy-MM-dd")
 
@@ -118,6 +124,25 @@ def test_first_non_null(spark):
     assert df.agg(agg.first_non_null(F.col("v"), T.IntegerType(), F.col("id")).alias("f")).first().f == 5
 
 
+@pytest.mark.parametrize("partitions", [1, 7, 13])
+def test_first_non_null_of_repeated_orders(spark, sf_dir, partitions):
+    """Ties in the record number are broken by the other columns, however rows are dealt out."""
+    hours = hour_dirty(spark, sf_dir).repartition(partitions)
+    names = ("hr", "temp", "cnt")
+    order = F.col("instant").try_cast("bigint")
+    rest = [F.col(c) for c in hours.columns if c != "dteday"]
+    firsts = [agg.first_non_null(F.col(n), hours.schema[n].dataType, order, rest).alias(n) for n in names]
+    got = {r.dteday: tuple(r)[1:] for r in hours.groupBy("dteday").agg(*firsts).collect()}
+    key = lambda r: [int(r.instant) if r.instant != "bad" else 2**63 - 1, *[(v is not None, v != v, v) for c, v in r.asDict().items() if c != "dteday"]]
+    want = {}
+    for r in sorted(hours.collect(), key=key):
+        day = want.setdefault(r.dteday, dict.fromkeys(names))
+        for n in names:
+            if day[n] is None and r[n] is not None and r[n] == r[n]:
+                day[n] = r[n]
+    assert got == {d: tuple(v.values()) for d, v in want.items()}
+
+
 def test_mean_and_sum_skip_nan(spark):
     df = column(spark, [1.0, NAN, None, 2.0], "double")
     row = df.agg(

@@ -15,6 +15,7 @@ from pedalstrata.operators import cleaning, dedup, numbering, ordering, quality,
 from pedalstrata.plans import demand, gold
 from pedalstrata.plans.lineitem_feed import day_dirty, hour_dirty, hour_raw
 from pedalstrata.plans.silver import silver
+from pedalstrata.schemas import DOMAIN_RULES
 
 NAN = float("nan")
 FUZZ = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -172,6 +173,42 @@ def test_newest_first_keeps_all_rows_in_order(spark):
     assert dates == sorted(present, reverse=True) + [None] * 50
 
 
+def shares(df):
+    """Rows of the largest task of the last stage that sorts or ranks, over the even share."""
+    n = df.rdd.getNumPartitions()
+    sizes = df.rdd.mapPartitions(lambda it: [sum(1 for _ in it)]).collect()
+    return max(sizes) * n / sum(sizes)
+
+
+def test_rank_all_equals_the_window_and_splits_a_hot_key(spark):
+    df = spark.range(20_000, numPartitions=6).selectExpr(
+        "if(id % 3 = 0, null, id % 500) as ride_id", "date_add(date'2011-01-01', cast(id % 40 as int)) as ride_date", "id % 7 as x"
+    )
+    got = dedup.rank_all(df, "ride_id", ["ride_date"])
+    want = dedup.rank_latest(df, "ride_id", ["ride_date"])
+    assert Counter(rows(got)) == Counter(rows(want)) and got.columns == want.columns
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert shares(dedup.rank_all(df, "ride_id", ["ride_date"])) < 2 * 2.2
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_newest_first_splits_one_column_and_copies(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        dates = spark.range(20_000).selectExpr("if(id % 3 = 0, null, date_add(date'2011-01-01', cast(id % 900 as int))) as d")
+        copies = spark.range(20_000).selectExpr("if(id % 3 = 0, 5, id) as a", "if(id % 3 = 0, 'x', 'y') as b")
+        for df, by in ((dates, ["d"]), (copies, ["a"])):
+            out = ordering.newest_first(df, by)
+            assert shares(out) < 2 and out.count() == 20_000
+            values = [r[0] for r in out.collect()]
+            present = [v for v in values if v is not None]
+            assert present == sorted(present, reverse=True) and values[: len(present)] == present
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_newest_first_splits_a_hot_key(spark):
     """Half of the rows without a date still spread over the ranges of the sort."""
     df = spark.range(0, 20_000, numPartitions=8).select(
@@ -242,13 +279,29 @@ def test_null_cells_only_warn(spark):
 
 def test_domains_ignore_null(spark):
     df = spark.createDataFrame([(1, 0), (5, 7), (None, None)], "season long, weekday long")
-    found = dict(rows(quality.check_domains(df)))
-    assert found == {"season_1_4": 1, "weekday_0_6": 1}
+    rules = [r for r in DOMAIN_RULES if r[1] in df.columns]
+    assert dict(rows(quality.check_domains(df, rules))) == {"season_1_4": 1, "weekday_0_6": 1}
+
+
+def test_unknown_columns_are_errors(spark):
+    df = spark.createDataFrame([(1, 0)], "season long, `week.day` long")
+    with pytest.raises(DatasetError, match="hour_0_23.*ride_hour"):
+        quality.check_domains(df)
+    with pytest.raises(DatasetError, match="sesaon"):
+        quality.count_missing(df, ["sesaon"])
+    assert rows(quality.count_missing(df, ["week.day"])) == [(0,)]
+    assert quality.required_columns_report(df, ["week.day", "x"]).count() == 2
+    assert cleaning.drop_missing(df, ["week.day"]).count() == 1
 
 
 def test_total_invariant(spark):
     df = spark.createDataFrame([(1, 2, 3), (1, 2, 4)], "casual_users long, registered_users long, total_rides long")
     assert rows(quality.check_total(df)) == [(2, 1)]
+    df = spark.createDataFrame(
+        [(1, 2, 3), (1, 2, 4), (1, 2, None), (None, 2, 3), (None, None, None)],
+        "casual_users long, registered_users long, total_rides long",
+    )
+    assert rows(quality.total_report(df)) == [(5, 1, 2, 1)]
 
 
 # --- gold and demand -----------------------------------------------------------------------
