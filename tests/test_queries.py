@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import importlib
+import sys
+
 import pytest
 from compare import connect, differences
 
 import __spark_entry__ as entry_point
-
-ORACLE = entry_point.oracle_sql()
+from pedalstrata.verification.oracle import ORACLE
+from pedalstrata.verification.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -15,14 +18,26 @@ def con(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, sf_dir, con, name):
     df = entry_point.queries()[name](spark, sf_dir)
     assert differences(df, con, ORACLE[name]) == []
 
 
 def test_every_query_has_sql():
-    assert set(entry_point.queries()) == set(ORACLE)
+    assert set(QUERIES) == set(ORACLE)
+    assert entry_point.queries().items() >= QUERIES.items()
+    assert entry_point.oracle_sql().items() >= ORACLE.items()
+
+
+def test_entry_works_without_the_training_text_operators(monkeypatch):
+    for name in [n for n in sys.modules if n.startswith(("pedalstrata.llm", "corpus_pipeline"))]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "pedalstrata.llm", None)
+    alone = importlib.reload(entry_point)
+    assert alone.queries() == QUERIES and alone.oracle_sql() == ORACLE
+    monkeypatch.undo()
+    importlib.reload(entry_point)
 
 
 def test_entry(spark):
