@@ -43,7 +43,9 @@ def rank_all(df: DataFrame, key: str, order_by: Sequence[str], name: str = "rn")
     runs = placed.groupBy("_part", key).agg(F.count(F.lit(1)).alias("_n"))
     carried = runs.select("_part", F.col(key).alias("_key"), F.sum("_n").over(earlier).alias("_before")).where("_before > 0")
     local = F.row_number().over(Window.partitionBy("_part", key).orderBy("_at"))
-    ranked, before = placed.withColumn("_local", local).alias("r"), F.broadcast(carried).alias("b")
+    # Ranges stay apart, as a hash of them might not keep them.
+    apart = placed.repartitionByRange("_part")
+    ranked, before = apart.withColumn("_local", local).alias("r"), F.broadcast(carried).alias("b")
     same = (F.col("r._part") == F.col("b._part")) & F.col(f"r.{key}").eqNullSafe(F.col("b._key"))
     rank = F.col("_local") + F.coalesce("_before", F.lit(0))
     return ranked.join(before, same, "left").select(*[F.col(f"r.{c}").alias(c) for c in columns], rank.cast("int").alias(name))
