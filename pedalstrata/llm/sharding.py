@@ -33,7 +33,7 @@ from pedalstrata.sources.staging import stage
 
 SHARDS = 16
 SEED = 20
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 _POSITION_BITS = 33  # monotonically_increasing_id: partition above, position in it below
 
 
@@ -42,13 +42,37 @@ def shard_sizes(n_rows: int, n_shards: int) -> np.ndarray:
     return n_rows // n_shards + (np.arange(n_shards) < n_rows % n_shards)
 
 
+def hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
+    """How many of ``n`` draws without replacement are good, by inversion; for numbers of any size.
+
+    Probabilities follow from each other by their ratios, outward from the mode; what lies beyond
+    fourteen standard deviations is left out, which no draw of a double would reach.
+    """
+    low, high = max(0, n - bad), min(n, good)
+    mode = min(max((n + 1) * (good + 1) // (good + bad + 2), low), high)
+    share = good / max(good + bad, 1)
+    width = int(14 * (n * share * (1 - share)) ** 0.5) + 40
+    low, high = max(low, mode - width), min(high, mode + width)
+    up = np.arange(mode, high, dtype=float)
+    down = np.arange(mode, low, -1, dtype=float)
+    rising = np.cumprod((good - up) * (n - up) / ((up + 1) * (bad - n + up + 1)))
+    falling = np.cumprod(down * (bad - n + down) / ((good - down + 1) * (n - down + 1)))
+    weights = np.concatenate([falling[::-1], [1.0], rising])
+    sums = np.cumsum(weights)
+    return low + min(int(np.searchsorted(sums, rng.random() * sums[-1], side="right")), high - low)
+
+
 def communication_matrix(part_rows: np.ndarray, n_shards: int, seed: int) -> np.ndarray:
     """Rows that each partition sends to each shard: exact margins, jointly hypergeometric."""
     rng = np.random.default_rng(seed)
     free = shard_sizes(int(part_rows.sum()), n_shards)
     matrix = np.zeros((len(part_rows), n_shards), np.int64)
-    for i, n in enumerate(part_rows):
-        matrix[i] = rng.multivariate_hypergeometric(free, int(n), method="marginals")
+    for i, rows in enumerate(part_rows.tolist()):
+        left, rest = rows, int(free.sum())
+        for s in range(n_shards):
+            rest -= int(free[s])
+            matrix[i, s] = hypergeometric(rng, int(free[s]), rest, left)
+            left -= int(matrix[i, s])
         free = free - matrix[i]
     return matrix
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter, defaultdict
 
@@ -57,6 +58,18 @@ def test_matrix_has_exact_margins_and_hypergeometric_cells():
     assert abs(np.mean(cells) - mean) < 4 * (var / 2000) ** 0.5 and abs(np.var(cells) / var - 1) < 0.15
 
 
+def test_hypergeometric_draws():
+    rng = np.random.default_rng(3)
+    for good, bad, n in ((5, 7, 6), (0, 9, 4), (9, 0, 4), (3, 2, 5), (40, 1, 30)):
+        draws = [sharding.hypergeometric(rng, good, bad, n) for _ in range(4000)]
+        ways = [math.comb(good, k) * math.comb(bad, n - k) if n - k <= bad else 0 for k in range(min(n, good) + 1)]
+        for k, w in enumerate(ways):
+            p = w / math.comb(good + bad, n)
+            assert abs(draws.count(k) / 4000 - p) < 5 * (p * (1 - p) / 4000) ** 0.5 + 1e-9
+    large = [sharding.hypergeometric(rng, 3 * 10**9, 45 * 10**9, 10**6) for _ in range(500)]
+    assert abs(np.mean(large) - 62_500) < 5 * 242 / 500**0.5 and 210 < np.std(large) < 275
+
+
 def test_places_are_uniform_over_seeds(spark):
     """Chi-square over all places of a few rows; the bound is far beyond chance."""
     df = spark.range(12, numPartitions=3)
