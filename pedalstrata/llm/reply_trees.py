@@ -26,6 +26,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -112,21 +113,24 @@ def paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     level = m.join(l, _same("m", "l") & (F.col("m.message_id") == F.col("l.message_id")), "left").select(
         "m.conv_id", "m.message_id", "l.up", F.col("m.score").alias("total"), F.lit(1).cast("bigint").alias("length")
     )
-    jumps = []
+    jumps, done = [], []
     while True:
         level = stage(level)
-        if level.where("up is not null").isEmpty():
+        done.append(level.where("up is null"))
+        further = level.where("up is not null")
+        if further.isEmpty():
             break
-        jumps.append(level.select("conv_id", "message_id", "up").where("up is not null"))
-        a, b = level.alias("a"), level.alias("b")
-        level = a.join(b, _same("a", "b") & (F.col("a.up") == F.col("b.message_id")), "left").select(
+        jumps.append(further.select("conv_id", "message_id", "up"))
+        # Only messages still below their root go on; whom they reach may have got there already.
+        a, b = further.alias("a"), reduce(DataFrame.unionByName, done, further).alias("b")
+        level = a.join(b, _same("a", "b") & (F.col("a.up") == F.col("b.message_id"))).select(
             "a.conv_id",
             "a.message_id",
             "b.up",
-            (F.col("a.total") + F.coalesce("b.total", F.lit(0.0))).alias("total"),
-            (F.col("a.length") + F.coalesce("b.length", F.lit(0))).alias("length"),
+            (F.col("a.total") + F.col("b.total")).alias("total"),
+            (F.col("a.length") + F.col("b.length")).alias("length"),
         )
-    ends = level.alias("e")
+    ends = reduce(DataFrame.unionByName, done).alias("e")
     if jumps:
         answered = jumps[0].select("conv_id", F.col("up").alias("message_id")).alias("p")
         ends = ends.join(answered, _same("e", "p") & (F.col("e.message_id") == F.col("p.message_id")), "left_anti")
@@ -134,18 +138,13 @@ def paths(messages: DataFrame, branches: int = 1) -> DataFrame:
         (F.col("total") / F.col("length")).desc(), F.col("length").desc(), "message_id"
     )
     chosen = ends.select("conv_id", "message_id", "total", "length").withColumn("branch_rank", F.row_number().over(best))
-    walked = stage(
-        chosen.where(F.col("branch_rank") <= branches).select(
-            "conv_id", F.col("message_id").alias("leaf_id"), "branch_rank", "message_id"
-        )
-    )
+    leaf = F.col("message_id").alias("leaf_id")
+    walked = [stage(chosen.where(F.col("branch_rank") <= branches).select("conv_id", leaf, "branch_rank", "message_id"))]
     for jump in jumps:
-        w, j = walked.alias("w"), jump.alias("j")
-        further = w.join(j, _same("w", "j") & (F.col("w.message_id") == F.col("j.message_id"))).select(
-            "w.conv_id", "w.leaf_id", "w.branch_rank", F.col("j.up").alias("message_id")
-        )
-        walked = stage(walked.unionByName(further))
-    return walked
+        w, j = reduce(DataFrame.unionByName, walked).alias("w"), jump.alias("j")
+        further = w.join(j, _same("w", "j") & (F.col("w.message_id") == F.col("j.message_id")))
+        walked.append(stage(further.select("w.conv_id", "w.leaf_id", "w.branch_rank", F.col("j.up").alias("message_id"))))
+    return reduce(DataFrame.unionByName, walked)
 
 
 _FORMATTED = (
