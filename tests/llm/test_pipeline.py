@@ -8,7 +8,7 @@ import pytest
 from compare import connect, differences
 from test_decontaminate import brute_force as leaked
 from test_near_duplicates import bag, linked
-from test_tokens import check_pieces, crc, ids_of  # noqa: F401
+from test_tokens import check_pieces
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry_point
