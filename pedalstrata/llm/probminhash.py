@@ -11,13 +11,13 @@ process early. Two texts agree in a register with their probability Jaccard simi
 2. Stars: in every bucket two nodes, picked by a hash that differs per bucket, are compared with
    all others. That is linear in the bucket, and joins groups of copies at once.
 3. What the stars leave apart: members of one bucket in different components are compared by
-   their signatures, in blocks of bounded size; pairs whose estimate is within five standard
-   errors of the threshold are verified too.
+   their signatures, in blocks of bounded size; pairs whose estimate is above ``SIGMAS`` standard
+   errors below the threshold are verified too, where they are compared.
 4. Verification is exact, on the whole texts: a link needs probability Jaccard or plain Jaccard
    of the shingles of at least the threshold. Linked texts form a class.
 
 At similarity 0.8, a pair meets in some band with probability 0.9998; the estimate then loses it
-with 3e-7.
+with probability 3e-5.
 
 Edge cases: a null text is an empty one; texts without words are one class; a text of one to
 four words is a single shingle. Rows of equal ``doc_id`` are kept as rows. A null ``doc_id`` gets a
@@ -46,7 +46,8 @@ THRESHOLD = 0.8
 BAND_ROWS = 8
 BANDS = 48
 REGISTERS = BAND_ROWS * BANDS
-BLOCK = 2000
+BLOCK = 1000
+SIGMAS = 4
 BATCH_BYTES = 1_000_000
 
 
@@ -172,18 +173,20 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return float((1.0 / (high_p[cut] / here[both] + low_q[cut] / there[both])).sum()), plain
 
 
+def _weighted_sets(texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+    w = textcodes.words(texts)
+    ids, text, weights = weighted(*textcodes.shingles(w, SHINGLE))
+    at = np.searchsorted(text, np.arange(w.n_texts + 1))
+    return [(ids[i:j], weights[i:j]) for i, j in zip(at[:-1], at[1:], strict=True)]
+
+
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The pairs ``u``, ``v`` whose texts are similar enough. ``texts`` has ``node`` and ``text``."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text_u", BATCH_BYTES):
-                sides = []
-                for name in ("text_u", "text_v"):
-                    w = textcodes.words(batch.column(name).to_pylist())
-                    ids, text, weights = weighted(*textcodes.shingles(w, SHINGLE))
-                    at = np.searchsorted(text, np.arange(w.n_texts + 1))
-                    sides.append([(ids[i:j], weights[i:j]) for i, j in zip(at[:-1], at[1:], strict=True)])
+                sides = [_weighted_sets(batch.column(name).to_pylist()) for name in ("text_u", "text_v")]
                 good = [max(similarity(a, b)) >= threshold for a, b in zip(*sides, strict=True)]
                 yield pa.RecordBatch.from_pydict({c: batch.column(c) for c in ("u", "v")}).filter(pa.array(good, pa.bool_()))
 
@@ -195,34 +198,37 @@ def _pairs(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("u"), F.greatest(a, b).alias("v")]
 
 
-def _estimated(members: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of one bucket in different components whose sketches agree nearly often enough.
+def linked_in_blocks(members: DataFrame, payload: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Links between members of one bucket that lie in different components.
 
-    A large bucket is cut into blocks by a hash of the node, and every two blocks meet in a task.
+    ``members`` has ``key``, ``band``, ``node`` and ``root``; ``payload`` has ``node``, ``sketch`` and
+    ``text``. A large bucket is cut into blocks by a hash of the node, and every two blocks meet in a
+    task. There, pairs whose sketches nearly agree often enough are verified on their texts, in
+    the first band that they share, so each pair is looked at once. A task returns only links that
+    join what its earlier links have not joined: fewer than it has members.
     """
-    least = threshold - 5 * (threshold * (1 - threshold) / REGISTERS) ** 0.5
     sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     dealt = (
         members.join(sizes, "key")
-        .withColumn("blocks", blocks)
+        .withColumn("blocks", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int"))
         .withColumn("mine", mine)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .join(sketches, "node")
-        .select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", "root", "sketch")
+        .select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "band", "mine", "node", "root")
+        .join(payload, "node")
     )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
-            held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            new = pa.Table.from_batches([batch])
+            held = new if held is None else pa.concat_tables([held, new])
             groups = _groups(held)
             if len(groups) > 1:
-                yield _near(held.slice(0, groups[-1]), groups[:-1], least)
+                yield _joined(held.slice(0, groups[-1]), groups[:-1], threshold)
                 held = held.slice(groups[-1])
         if held is not None:
-            yield _near(held, _groups(held), least)
+            yield _joined(held, _groups(held), threshold)
 
     order = ["key", "i", "j"]
     return dealt.repartition(*order).sortWithinPartitions(*order).mapInArrow(compare, "u bigint, v bigint").distinct()
@@ -237,36 +243,51 @@ def _groups(rows: pa.Table) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], new]))
 
 
-def _near(rows: pa.Table, starts: np.ndarray, least: float) -> pa.RecordBatch:
-    """Pairs in each group, across its two blocks or within its one, that may be similar enough."""
-    node, root, mine, i, j = (rows[c].to_numpy() for c in ("node", "root", "mine", "i", "j"))
-    sketch = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint8).reshape(rows.num_rows, -1)
+def _joined(rows: pa.Table, starts: np.ndarray, threshold: float) -> pa.RecordBatch:
+    """Links in each group, across its two blocks or within its one."""
+    least = threshold - SIGMAS * (threshold * (1 - threshold) / REGISTERS) ** 0.5
+    node, root, mine, i, j, band = (rows[c].to_numpy() for c in ("node", "root", "mine", "i", "j", "band"))
+    sketch = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint8).reshape(rows.num_rows, BANDS, BAND_ROWS)
     u, v = [], []
-    for a, b in zip(starts, [*starts[1:], rows.num_rows], strict=True):
-        within = i[a] == j[a]
-        at = np.arange(a, b)
-        right = at if within else at[mine[a:b] == j[a]]
-        for one in at if within else at[mine[a:b] == i[a]]:
-            rest = right[root[right] != root[one]]
-            if within:
-                rest = rest[rest > one]
-            near = rest[(sketch[rest] == sketch[one]).mean(axis=1) >= least] if len(rest) else rest
-            u += [node[one]] * len(near)
-            v += node[near].tolist()
+    for a, b in zip(starts.tolist(), [*starts[1:].tolist(), rows.num_rows], strict=True):
+        within, at = i[a] == j[a], np.arange(a, b)
+        left, right = (at, at) if within else (at[mine[a:b] == i[a]], at[mine[a:b] == j[a]])
+        component = root[a:b].copy()
+        sets: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        texts = rows["text"].slice(a, b - a)
+        for one in left.tolist():
+            rest = right[right > one] if within else right
+            rest = rest[component[rest - a] != component[one - a]]
+            if not len(rest):
+                continue
+            same = sketch[rest] == sketch[one]
+            agreement = same.mean(axis=(1, 2))
+            first = same.all(axis=2).argmax(axis=1)
+            near = np.flatnonzero((agreement >= least) & (first == band[one]))
+            for two in rest[near[np.argsort(-agreement[near])]].tolist():
+                if component[one - a] == component[two - a]:
+                    continue
+                for x in (one, two):
+                    if x not in sets:
+                        sets[x] = _weighted_sets([texts[x - a].as_py()])[0]
+                if max(similarity(sets[one], sets[two])) >= threshold:
+                    component[component == component[two - a]] = component[one - a]
+                    u.append(node[one])
+                    v.append(node[two])
     pair = np.array([u, v], np.int64).reshape(2, -1)
     return pa.RecordBatch.from_pydict({"u": pa.array(pair.min(axis=0)), "v": pa.array(pair.max(axis=0))})
 
 
 def links(docs: DataFrame, rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Enough links between nodes to join whatever is similar; ``rows`` is the stored ``signed(docs)``."""
-    spread = rows.select("node", F.explode("bands").alias("key"))
+    spread = rows.select("node", F.posexplode("bands").alias("band", "key"))
     # A key is different per band, so the smallest and largest node by this hash differ per bucket.
     mixed = F.col("node").bitwiseXOR(F.col("key"))
     buckets = spread.groupBy("key").agg(F.min(mixed).alias("low"), F.max(mixed).alias("high")).where("low <> high")
     members = stage(spread.join(buckets, "key").distinct())
     one, two = (F.col(c).bitwiseXOR(F.col("key")) for c in ("low", "high"))
     star = members.select(*_pairs(F.col("node"), one)).unionByName(members.select(*_pairs(F.col("node"), two)))
-    star = stage(star.where("u <> v").distinct())
+    star = star.where("u <> v").distinct()
 
     # One row of each node that shares a bucket, and its text.
     some = members.select("node").distinct()
@@ -278,14 +299,14 @@ def links(docs: DataFrame, rows: DataFrame, threshold: float = THRESHOLD) -> Dat
     texts = stage(d.join(k, own).groupBy("node").agg(F.first("text").alias("text")))
     found = stage(verified(star, texts, threshold))
 
-    apart = members.where((F.col("node") != one) & (F.col("node") != two)).select("key", "node")
+    apart = members.where((F.col("node") != one) & (F.col("node") != two)).select("key", "band", "node")
     roots = components(found)
-    labelled = apart.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    mixed_keys = labelled.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
-    rest = stage(labelled.join(mixed_keys, "key", "left_semi"))
-    more = stage(_estimated(rest, known.select("node", "sketch"), threshold).join(star, ["u", "v"], "left_anti"))
-    out = stage(found.unionByName(verified(more, texts, threshold)))
-    for used in (members, star, known, texts, rest, more, found):
+    labelled = apart.join(roots, "node", "left").select("key", "band", "node", F.coalesce("root", "node").alias("root"))
+    split = labelled.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
+    rest = stage(labelled.join(split, "key", "left_semi"))
+    payload = known.select("node", "sketch").join(texts, "node")
+    out = stage(found.unionByName(linked_in_blocks(rest, payload, threshold)))
+    for used in (members, known, texts, rest, found):
         discard(used)
     return out
 
