@@ -87,12 +87,9 @@ def signatures(
         at = time[source] + sums - np.repeat(sums[first] - gaps[first], count)
         register = ((textcodes.mix(drawn) >> np.uint64(32)) * np.uint64(registers) >> np.uint64(32)).astype(np.int64)
         cell = text[source] * registers + register
-        # The earliest arrival of this round in each cell, then against what is there.
-        order = np.lexsort((at, cell))
-        head = order[np.concatenate([[True], cell[order][1:] != cell[order][:-1]])]
-        better = head[at[head] < earliest[cell[head]]]
-        earliest[cell[better]] = at[better]
-        owner[cell[better]] = ids[source[better]] + np.uint64(1)
+        np.minimum.at(earliest, cell, at)
+        won = at == earliest[cell]
+        owner[cell[won]] = ids[source[won]] + np.uint64(1)
         last = first + count - 1
         time[alive], done[alive] = at[last], done[alive] + count
         latest = earliest.reshape(n_texts, registers).max(axis=1)
