@@ -36,14 +36,16 @@ def rank_all(df: DataFrame, key: str, order_by: Sequence[str], name: str = "rn")
     columns = df.columns
     order = [F.asc_nulls_first(key), *[F.desc_nulls_last(c) for c in _total_order(df, key, order_by)], F.col("_row")]
     rows = stage(df.withColumn("_row", F.monotonically_increasing_id()))
-    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    # Fine ranges, so that however they are dealt out below, tasks get about as many rows.
+    ranges = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
     placed = stage(ordered.select(*columns, F.monotonically_increasing_id().alias("_at")))
     placed = placed.withColumn("_part", F.shiftright("_at", POSITION_BITS))
     earlier = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     runs = placed.groupBy("_part", key).agg(F.count(F.lit(1)).alias("_n"))
     carried = runs.select("_part", F.col(key).alias("_key"), F.sum("_n").over(earlier).alias("_before")).where("_before > 0")
     local = F.row_number().over(Window.partitionBy("_part", key).orderBy("_at"))
-    # Ranges stay apart, as a hash of them might not keep them.
+    # Whole ranges, next to each other: a hash of them could bring many large ones together.
     apart = placed.repartitionByRange("_part")
     ranked, before = apart.withColumn("_local", local).alias("r"), F.broadcast(carried).alias("b")
     same = (F.col("r._part") == F.col("b._part")) & F.col(f"r.{key}").eqNullSafe(F.col("b._key"))
