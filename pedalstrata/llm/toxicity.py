@@ -10,9 +10,9 @@ text's mean per character, its highest word scores and its length go through a l
 
 Bounds, all documented parameters: class counts and curve are fitted on ``SAMPLE`` labelled rows
 per class, picked by a hash; three of four folds are counted, the fourth fits the curve. Counts
-over the corpus cover all documents and grow with it. A model keeps runs of at least
-``SHARE`` of its characters, so at most 1 / ``SHARE`` of them, whatever the corpus; what falls
-below goes to the backoff.
+over the corpus cover all documents and grow with it; all of them enter every order's continuation
+counts, totals and kinds, which Spark aggregates. Only what the class tables ask for comes to the
+driver, and these are as large as the sample makes them.
 
 Edge cases: a null or wordless text has score features of zero. Several labels of a document count
 as toxic if one is; null labels are ignored. A null ``doc_id`` counts as an empty one for the fold
@@ -37,7 +37,6 @@ from pedalstrata.sources.staging import stage
 ORDER = 6
 BITS = 10  # per character in a packed run
 SAMPLE = 20_000
-SHARE = 1e-6
 DISCOUNT = 0.75  # of the corpus model
 CLASS_DISCOUNT = 3.0  # what a class must show beyond chance before it departs from the corpus
 BATCH_BYTES = 1_000_000
@@ -147,17 +146,25 @@ class ClassCounts:
 
 @dataclass
 class Counts:
-    """Runs of one order, ascending, with their counts, and their contexts' totals and kinds."""
+    """Runs of one order, ascending, with their counts, and their contexts' totals and kinds.
+
+    ``distinct`` is the number of all runs of the order, of which these may be a part.
+    """
 
     runs: np.ndarray
     counts: np.ndarray
+    contexts: np.ndarray
+    totals: np.ndarray
+    kinds: np.ndarray
+    distinct: int
 
-    def __post_init__(self) -> None:
-        context = self.runs >> BITS
+    @classmethod
+    def of(cls, runs: np.ndarray, counts: np.ndarray) -> Counts:
+        """From all runs of the order."""
+        context = runs >> BITS
         heads = np.flatnonzero(np.diff(context, prepend=-1))
-        self.contexts = context[heads]
-        self.totals = np.add.reduceat(self.counts, heads) if len(heads) else self.counts
-        self.kinds = np.diff(heads, append=len(self.runs))
+        totals = np.add.reduceat(counts, heads) if len(heads) else counts
+        return cls(runs, counts, context[heads], totals, np.diff(heads, append=len(runs)), len(runs))
 
     def backed_off(self, runs: np.ndarray, lower: np.ndarray) -> np.ndarray:
         """Interpolated probability of each run's last character, given that of the lower order."""
@@ -177,15 +184,42 @@ class Counts:
 
 def shared_levels(runs: np.ndarray, counts: np.ndarray) -> list[Counts]:
     """The corpus model by order, lowest first; lower orders hold continuation counts."""
-    levels = [Counts(runs, counts.astype(float))]
+    levels = [Counts.of(runs, counts.astype(float))]
     for n in range(ORDER - 1, 0, -1):
         shorter, kinds = _unique(levels[0].runs & ((1 << (BITS * n)) - 1))
-        levels.insert(0, Counts(shorter, kinds.astype(float)))
+        levels.insert(0, Counts.of(shorter, kinds.astype(float)))
+    return levels
+
+
+def wanted_levels(corpus: DataFrame, wanted: DataFrame) -> list[Counts]:
+    """The levels of ``corpus`` (``run``, ``n``; all of it), with the entries that ``wanted`` runs need."""
+    context = F.shiftright("run", BITS).alias("context")
+    levels: list[Counts] = []
+    level = corpus
+    for n in range(ORDER, 0, -1):
+        if n < ORDER:
+            level = stage(level.groupBy(F.col("run").bitwiseAND(F.lit((1 << (BITS * n)) - 1)).alias("run")).agg(F.count(F.lit(1)).alias("n")))
+        own = wanted.select(F.col("run").bitwiseAND(F.lit((1 << (BITS * n)) - 1)).alias("run")).distinct()
+        runs = level.join(own, "run", "left_semi").select("run", "n").toArrow().sort_by("run")
+        sums = level.groupBy(context).agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
+        sums = sums.join(own.select(context).distinct(), "context", "left_semi").select("context", "total", "kinds")
+        sums = sums.toArrow().sort_by("context")
+        levels.insert(
+            0,
+            Counts(
+                runs["run"].to_numpy(),
+                runs["n"].to_numpy().astype(float),
+                sums["context"].to_numpy(),
+                sums["total"].to_numpy().astype(float),
+                sums["kinds"].to_numpy(),
+                level.count(),
+            ),
+        )
     return levels
 
 
 def shared_probability(levels: list[Counts], runs: np.ndarray) -> np.ndarray:
-    p = np.full(len(runs), 1.0 / max(1, len(levels[0].runs) + 1))
+    p = np.full(len(runs), 1.0 / (levels[0].distinct + 1))
     for n, level in enumerate(levels, start=1):
         p = level.backed_off(runs & ((1 << (BITS * n)) - 1), p)
     return p
@@ -229,7 +263,11 @@ class Lookup:
 
 def build(shared: tuple[np.ndarray, np.ndarray], ordinary: ClassCounts, toxic: ClassCounts) -> Model:
     """A model from the corpus's (ascending runs, counts) and both classes."""
-    levels = shared_levels(*shared)
+    return compared(shared_levels(*shared), ordinary, toxic)
+
+
+def compared(levels: list[Counts], ordinary: ClassCounts, toxic: ClassCounts) -> Model:
+    """A model from the corpus's levels and both classes."""
     runs = np.union1d(ordinary.runs, toxic.runs)
     contexts = np.union1d(ordinary.contexts, toxic.contexts)
     below = shared_probability(levels, runs)
@@ -279,24 +317,22 @@ def labelled_sample(labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     return pick(0).unionByName(pick(1))
 
 
-def scored(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, share: float = SHARE) -> DataFrame:
+def scored(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """``doc_id``, ``held_out``, ``score`` and ``predicted`` of every document."""
     picked = F.broadcast(stage(labelled_sample(labels, sample)))  # at most 2 x sample rows
     rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string").alias("text")).join(picked, "doc_id", "left")
     for_curve = fold(F.col("doc_id"), 5) == 4
     counts = stage(counted(rows.withColumn("toxic", F.when(~for_curve, F.col("toxic")))))
-    totals = F.broadcast(counts.groupBy("model").agg(F.sum("n").alias("total")))  # three rows
     context = F.shiftright("run", BITS).alias("context")
-    contexts = counts.groupBy("model", context).agg(F.sum("n").alias("context_total"))
-    # At most 1 / share rows per model pass.
-    kept = counts.join(totals, "model").where(F.col("n") >= share * F.col("total")).select("model", "run", "n")
-    corpus = kept.where("model = -1").toPandas().sort_values("run")
-    own = kept.where((F.col("model") >= 0) & (F.col("n") > CLASS_DISCOUNT)).select("*", context)
-    own = own.join(contexts, ["model", "context"]).toPandas().sort_values("run")
-    tables = [own[own.model == c] for c in (0, 1)]
-    model = build(
-        (corpus.run.to_numpy(np.int64), corpus.n.to_numpy(np.int64)),
-        *[ClassCounts(*(t[c].to_numpy(k) for c, k in (("run", np.int64), ("n", float), ("context_total", float)))) for t in tables],
+    of_class = counts.where("model >= 0")
+    contexts = of_class.groupBy("model", context).agg(F.sum("n").alias("context_total"))
+    # Bounded by the sample.
+    own = stage(of_class.where(F.col("n") > CLASS_DISCOUNT).select("*", context).join(contexts, ["model", "context"]))
+    levels = wanted_levels(counts.where("model = -1").select("run", "n"), own.select("run").distinct())
+    tables = [own.where(F.col("model") == c).select("run", "n", "context_total").toArrow().sort_by("run") for c in (0, 1)]
+    model = compared(
+        levels,
+        *[ClassCounts(t["run"].to_numpy(), *(t[c].to_numpy().astype(float) for c in ("n", "context_total"))) for t in tables],
     )
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -312,7 +348,7 @@ def scored(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, share: floa
     schema = "doc_id bigint, toxic int, " + ", ".join(f"{f} double" for f in FEATURES)
     measured = stage(rows.mapInArrow(score, schema))
     known = measured.where(F.col("toxic").isNotNull() & for_curve).dropDuplicates(["doc_id"]).toPandas()  # part of the sample
-    if known.toxic.nunique() == 2 and all(len(t) for t in tables):
+    if known.toxic.nunique() == 2 and all(t.num_rows for t in tables):
         weights = fit_curve(known[list(FEATURES)].to_numpy(), known.toxic.to_numpy(float)).tolist()
         logit = F.lit(weights[0])
         for f, weight in zip(FEATURES, weights[1:], strict=True):

@@ -91,3 +91,38 @@ def test_odd_documents(spark, odd_documents, no_documents):
     assert tox.scored(no_documents, labels).count() == 0
     picked = {r.doc_id: r.toxic for r in tox.labelled_sample(labels, 10).collect()}
     assert picked == {d: t for d, t in ((1, 1), (5, 0)) if zlib.crc32(str(d).encode()) % 5}
+
+
+def test_levels_cover_rare_runs(spark):
+    """Rare runs count as any others, and what is fetched equals the model of all runs, at every order."""
+    rng = random.Random(4)
+    rare = ["".join(rng.choices("abcdefgh", k=7)) for _ in range(300)]
+    text = " ".join(["common"] * 30_000 + rare)
+    docs = spark.createDataFrame([(text,)] * 6 + [(" ".join(rare[:50]),)], "text string").selectExpr("text", "cast(null as int) toxic")
+    counts = tox.counted(docs).where("model = -1").select("run", "n").cache()
+    rows = sorted((r.run, r.n) for r in counts.collect())
+    runs, n = (np.array(x) for x in zip(*rows, strict=True))
+    assert n.min() < 1e-5 * n.sum()
+    some = runs[::3]
+    levels = tox.wanted_levels(counts, spark.createDataFrame([(int(r),) for r in some], "run long"))
+    whole = tox.shared_levels(runs, n)
+    assert [x.distinct for x in levels] == [len(x.runs) for x in whole]
+    assert np.allclose(tox.shared_probability(levels, some), tox.shared_probability(whole, some), rtol=1e-12)
+
+
+def test_scores_use_rare_corpus_runs(spark, monkeypatch):
+    """A run far below a millionth of the corpus still has its count where the model is built."""
+    built = []
+    compared = tox.compared
+    monkeypatch.setattr(tox, "compared", lambda *a: built.append(a) or compared(*a))
+    ids = [d for d in range(1, 60) if zlib.crc32(str(d).encode()) % 5 not in (0, 4)][:8]
+    odd = "zqxjvk"
+    rows = [(d, f"{odd} ok" if i < 4 else "fine ok") for i, d in enumerate(ids)]
+    rows += [(1000 + i, "common words again " * 30_000) for i in range(11)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(d, int(i < 4)) for i, d in enumerate(ids)], "doc_id long, toxic int")
+    tox.scored(docs, labels).collect()
+    top = built[0][0][-1]
+    run = tox._stream([odd])[0][tox.ORDER - 1]
+    at = np.searchsorted(top.runs, run)
+    assert top.runs[at] == run and top.counts[at] == 4
