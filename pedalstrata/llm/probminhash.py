@@ -185,10 +185,10 @@ def _pairs(a: Column, b: Column) -> list[Column]:
 def linked_in_blocks(members: DataFrame, payload: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Links between members of one bucket that lie in different components.
 
-    ``members`` has ``key``, ``band``, ``node`` and ``root``; ``payload`` has ``node``, ``sketch`` and
+    ``members`` has ``key``, ``node`` and ``root``; ``payload`` has ``node``, ``bands``, ``sketch`` and
     ``text``. A large bucket is cut into blocks by a hash of the node, and every two blocks meet in a
     task. There, pairs whose sketches nearly agree often enough are verified on their texts, in
-    the first band that they share, so each pair is looked at once. A task returns only links that
+    the bucket of the smallest key that they share, so each pair is looked at once. A task returns only links that
     join what its earlier links have not joined: fewer than it has members.
     """
     sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
@@ -198,7 +198,7 @@ def linked_in_blocks(members: DataFrame, payload: DataFrame, threshold: float =
         .withColumn("blocks", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int"))
         .withColumn("mine", mine)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "band", "mine", "node", "root")
+        .select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", "root")
         .join(payload, "node")
     )
 
@@ -227,11 +227,22 @@ def _groups(rows: pa.Table) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], new]))
 
 
+def _band_keys(column: pa.ChunkedArray) -> np.ndarray:
+    """The band keys of each row, as rows of a matrix."""
+    return np.concatenate([c.flatten().to_numpy() for c in column.chunks]).reshape(-1, BANDS)
+
+
+def _smallest_shared(keys: np.ndarray, one: int, others: np.ndarray) -> np.ndarray:
+    """The smallest key that a row shares with each of others, the largest number if none."""
+    return np.where(keys[others] == keys[one], keys[others], np.iinfo(np.int64).max).min(axis=1)
+
+
 def _joined(rows: pa.Table, starts: np.ndarray, threshold: float) -> pa.RecordBatch:
     """Links in each group, across its two blocks or within its one."""
     least = threshold - SIGMAS * (threshold * (1 - threshold) / REGISTERS) ** 0.5
-    node, root, mine, i, j, band = (rows[c].to_numpy() for c in ("node", "root", "mine", "i", "j", "band"))
-    sketch = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint8).reshape(rows.num_rows, BANDS, BAND_ROWS)
+    node, root, mine, i, j, key = (rows[c].to_numpy() for c in ("node", "root", "mine", "i", "j", "key"))
+    sketch = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint8).reshape(rows.num_rows, REGISTERS)
+    keys = _band_keys(rows["bands"])
     u, v = [], []
     for a, b in zip(starts.tolist(), [*starts[1:].tolist(), rows.num_rows], strict=True):
         within, at = i[a] == j[a], np.arange(a, b)
@@ -244,10 +255,9 @@ def _joined(rows: pa.Table, starts: np.ndarray, threshold: float) -> pa.RecordBa
             rest = rest[component[rest - a] != component[one - a]]
             if not len(rest):
                 continue
-            same = sketch[rest] == sketch[one]
-            agreement = same.mean(axis=(1, 2))
-            first = same.all(axis=2).argmax(axis=1)
-            near = np.flatnonzero((agreement >= least) & (first == band[one]))
+            agreement = (sketch[rest] == sketch[one]).mean(axis=1)
+            near = np.flatnonzero(agreement >= least)
+            near = near[_smallest_shared(keys, one, rest[near]) == key[a]]
             for two in rest[near[np.argsort(-agreement[near])]].tolist():
                 if component[one - a] == component[two - a]:
                     continue
@@ -264,7 +274,7 @@ def _joined(rows: pa.Table, starts: np.ndarray, threshold: float) -> pa.RecordBa
 
 def links(docs: DataFrame, rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Enough links between nodes to join whatever is similar; ``rows`` is the stored ``signed(docs)``."""
-    spread = rows.select("node", F.posexplode("bands").alias("band", "key"))
+    spread = rows.select("node", F.explode("bands").alias("key"))
     # A key is different per band, so the smallest and largest node by this hash differ per bucket.
     mixed = F.col("node").bitwiseXOR(F.col("key"))
     buckets = spread.groupBy("key").agg(F.min(mixed).alias("low"), F.max(mixed).alias("high")).where("low <> high")
@@ -276,19 +286,19 @@ def links(docs: DataFrame, rows: DataFrame, threshold: float = THRESHOLD) -> Dat
     # One row of each node that shares a bucket, and its text.
     some = members.select("node").distinct()
     first = Window.partitionBy("node").orderBy("doc_id", "text_key")
-    known = rows.join(some, "node", "left_semi").select("node", "doc_id", "text_key", "sketch")
+    known = rows.join(some, "node", "left_semi").select("node", "doc_id", "text_key", "bands", "sketch")
     known = stage(known.withColumn("n", F.row_number().over(first)).where("n = 1").drop("n"))
     d, k = _keyed(docs).alias("d"), known.select("node", "doc_id", "text_key").alias("k")
     own = (F.col("d.text_key") == F.col("k.text_key")) & F.col("d.doc_id").eqNullSafe(F.col("k.doc_id"))
     texts = stage(d.join(k, own).groupBy("node").agg(F.first("text").alias("text")))
     found = stage(verified(star, texts, threshold))
 
-    apart = members.where((F.col("node") != one) & (F.col("node") != two)).select("key", "band", "node")
+    apart = members.where((F.col("node") != one) & (F.col("node") != two)).select("key", "node")
     roots = components(found)
-    labelled = apart.join(roots, "node", "left").select("key", "band", "node", F.coalesce("root", "node").alias("root"))
+    labelled = apart.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     split = labelled.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
     rest = stage(labelled.join(split, "key", "left_semi"))
-    payload = known.select("node", "sketch").join(texts, "node")
+    payload = known.select("node", "bands", "sketch").join(texts, "node")
     out = stage(found.unionByName(linked_in_blocks(rest, payload, threshold)))
     for used in (members, known, texts, rest, found):
         discard(used)

@@ -180,3 +180,22 @@ def test_components(spark):
         parent[max(root(a), root(b))] = min(root(a), root(b))
     nodes = {x for e in chain + star + loose if e[0] != e[1] for x in e}
     assert got == {n: root(n) for n in nodes}
+
+
+def test_a_sketch_collision_does_not_lose_a_pair():
+    """An earlier band agrees in the sketch by chance only; the pair is compared in the band that it shares."""
+    import pyarrow as pa
+
+    n = probminhash.BANDS
+    keys = [list(range(100, 100 + n)), list(range(1000, 1000 + n))]
+    keys[1][30] = keys[0][30]
+    sketch = [bytes(probminhash.REGISTERS)] * 2
+    text = " ".join(f"w{i}" for i in range(60))
+    columns = {"node": [1, 2], "root": [1, 2], "mine": [0, 0], "i": [0, 0], "j": [0, 0], "band": [30, 30], "key": [keys[0][30]] * 2}
+    rows = pa.table(columns | {"sketch": pa.array(sketch, pa.binary()), "bands": pa.array(keys, pa.list_(pa.int64())), "text": [text, f"{text} more"]})
+    assert probminhash._joined(rows, np.array([0]), 0.8).to_pylist() == [{"u": 1, "v": 2}]
+    # In any other bucket of theirs they are left to that one.
+    both = [[*keys[0]], [*keys[1]]]
+    both[0][40] = both[1][40] = 7
+    rows = rows.set_column(rows.column_names.index("bands"), "bands", pa.array(both, pa.list_(pa.int64())))
+    assert probminhash._joined(rows, np.array([0]), 0.8).num_rows == 0
