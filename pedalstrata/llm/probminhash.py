@@ -6,20 +6,22 @@ rest. Every shingle is the source of a Poisson process whose rate is its weight;
 into one of ``registers`` at random, and a register keeps the shingle of its earliest arrival.
 Shingles are followed only until their next arrival comes after the latest register's, which ends
 the process early. Two texts agree in a register with their probability Jaccard similarity, which is
-plain Jaccard where no shingle repeats.
+plain Jaccard where no shingle repeats. A second signature, with unit weights, agrees with plain
+Jaccard in every text; a text in which no shingle repeats has the same signature twice.
 
 1. Texts with the same words are one node, known by a 64-bit hash of its words. Equal bands
-   (``BAND_ROWS`` registers) of different nodes form a bucket.
+   (``BAND_ROWS`` registers) of different nodes form a bucket, whichever of their signatures they
+   are from.
 2. Stars: in every bucket two nodes, picked by a hash that differs per bucket, are compared with
    all others. That is linear in the bucket, and joins groups of copies at once.
 3. What the stars leave apart: members of one bucket in different components are compared by
-   their signatures, in blocks of bounded size; pairs whose estimate is above ``SIGMAS`` standard
+   their unit-weight signatures, in blocks of bounded size; pairs whose estimate is above ``SIGMAS`` standard
    errors below the threshold are verified too, where they are compared.
 4. Verification is exact, on the whole texts: a link needs a plain Jaccard similarity of the
    shingles of at least the threshold, as is usual. Linked texts form a class.
 
-At similarity 0.8, a pair misses all bands with probability 1.3e-5; the estimate loses it with
-probability 3e-7.
+At plain Jaccard 0.8, a pair misses all unit-weight bands with probability 1.3e-5; the estimate loses
+it with probability 3e-7. How often shingles repeat makes no difference to either.
 
 Edge cases: a null text is an empty one; texts without words are one class; a text of one to
 four words is a single shingle. Rows of equal ``doc_id`` are kept as rows. A null ``doc_id`` gets a
@@ -118,19 +120,28 @@ def _nodes(w: textcodes.Words) -> np.ndarray:
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``node``, band keys and an 8-bit sketch of the signature of every document.
+    """``doc_id``, ``node``, band keys and an 8-bit sketch of the unit-weight signature of every document.
 
-    Texts without words have no bands.
+    The keys are those of unit weights, then, where a shingle repeats, those of the weighted
+    signature. Texts without words have no bands.
     """
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text", BATCH_BYTES):
                 w = textcodes.words(batch.column("text").to_pylist())
-                found = signatures(*weighted(*textcodes.shingles(w, SHINGLE)), w.n_texts)
+                ids, text, weights = weighted(*textcodes.shingles(w, SHINGLE))
+                found = signatures(ids, text, np.ones(len(ids)), w.n_texts)
                 wordless = np.diff(w.bounds()) == 0
-                keys = bands(found).view(np.int64)[~wordless]
-                ends = np.concatenate([[0], np.cumsum(np.where(wordless, 0, BANDS))]).astype(np.int32)
+                repeats = np.unique(text[weights > 1])
+                own = np.isin(text, repeats)
+                again = signatures(ids[own], np.searchsorted(repeats, text[own]), weights[own], len(repeats))
+                # Both key rows of a text stay together.
+                keys = np.concatenate([bands(found)[~wordless], bands(again)]).view(np.int64)
+                keys = keys[np.argsort(np.concatenate([np.flatnonzero(~wordless), repeats]), kind="stable")]
+                rows = np.where(wordless, 0, 1)
+                rows[repeats] = 2
+                ends = np.concatenate([[0], np.cumsum(rows * BANDS)]).astype(np.int32)
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": batch.column("doc_id").cast(pa.int64()),
@@ -228,13 +239,18 @@ def _groups(rows: pa.Table) -> np.ndarray:
 
 
 def _band_keys(column: pa.ChunkedArray) -> np.ndarray:
-    """The band keys of each row, as rows of a matrix."""
-    return np.concatenate([c.flatten().to_numpy() for c in column.chunks]).reshape(-1, BANDS)
+    """The band keys of each row: of unit weights and weighted (the same where there is one list)."""
+    keys = np.concatenate([c.flatten().to_numpy() for c in column.chunks])
+    ends = np.cumsum(np.concatenate([c.value_lengths().to_numpy() for c in column.chunks]))
+    band = np.arange(BANDS)
+    unit = np.concatenate([[0], ends[:-1]])[:, None] + band
+    return np.stack([keys[unit], keys[ends[:, None] - BANDS + band]])
 
 
 def _smallest_shared(keys: np.ndarray, one: int, others: np.ndarray) -> np.ndarray:
     """The smallest key that a row shares with each of others, the largest number if none."""
-    return np.where(keys[others] == keys[one], keys[others], np.iinfo(np.int64).max).min(axis=1)
+    shared = [np.where((k == keys[0, one]) | (k == keys[1, one]), k, np.iinfo(np.int64).max) for k in keys[:, others]]
+    return np.minimum(*shared).min(axis=1)
 
 
 def _joined(rows: pa.Table, starts: np.ndarray, threshold: float) -> pa.RecordBatch:
@@ -274,7 +290,7 @@ def _joined(rows: pa.Table, starts: np.ndarray, threshold: float) -> pa.RecordBa
 
 def links(docs: DataFrame, rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Enough links between nodes to join whatever is similar; ``rows`` is the stored ``signed(docs)``."""
-    spread = rows.select("node", F.explode("bands").alias("key"))
+    spread = rows.select("node", F.explode(F.array_distinct("bands")).alias("key"))
     # A key is different per band, so the smallest and largest node by this hash differ per bucket.
     mixed = F.col("node").bitwiseXOR(F.col("key"))
     buckets = spread.groupBy("key").agg(F.min(mixed).alias("low"), F.max(mixed).alias("high")).where("low <> high")

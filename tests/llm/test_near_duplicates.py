@@ -199,3 +199,29 @@ def test_a_sketch_collision_does_not_lose_a_pair():
     both[0][40] = both[1][40] = 7
     rows = rows.set_column(rows.column_names.index("bands"), "bands", pa.array(both, pa.list_(pa.int64())))
     assert probminhash._joined(rows, np.array([0]), 0.8).num_rows == 0
+
+
+def test_repeats_do_not_hide_a_link(spark):
+    """Plain Jaccard 0.96, probability Jaccard 0.6: one text repeats a line a thousand times."""
+    rng = random.Random(12)
+    rows = []
+    for i in range(30):
+        words = " ".join(f"w{rng.randrange(10**9)}" for _ in range(100))
+        line = "\n" + " ".join(f"v{rng.randrange(10**9)}" for _ in range(10))
+        rows += [(2 * i, words + line), (2 * i + 1, words + line * 1000)]
+    assert all(linked(bag(a[1]), bag(b[1])) for a, b in zip(rows[::2], rows[1::2], strict=True))
+    got = probminhash.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.class_id for r in got} == {d: d - d % 2 for d, _ in rows}
+
+
+def test_bands_of_both_weights(spark):
+    """Texts with a repeat have both band lists, in their own row; the sketch is that of unit weights."""
+    texts = ["a b c d e f", "a b c d e a b c d e a b c d e f", "", "x " * 40, "one"]
+    rows = probminhash.signed(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)).collect()
+    assert [len(r.bands) // probminhash.BANDS for r in rows] == [1, 2, 0, 2, 1]
+    for r in rows:
+        alone = textcodes.words([texts[r.doc_id]])
+        ids, text, weights = probminhash.weighted(*textcodes.shingles(alone, 5))
+        for n, w in enumerate([np.ones(len(ids)), weights][: len(r.bands) // probminhash.BANDS]):
+            s = probminhash.signatures(ids, text, w, 1)
+            assert r.bands[n * probminhash.BANDS : (n + 1) * probminhash.BANDS] == probminhash.bands(s).view(np.int64)[0].tolist()
