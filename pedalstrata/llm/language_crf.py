@@ -5,7 +5,9 @@ runs of one to four characters, start and end of the word included (so prefixes
 runs of their own), and of the word itself if it was learned (lexicon). Learned transition weights
 tie each word's language to the one before in the same line, so a line may switch languages.
 Forward-backward gives every word its distribution over languages; a text's language is the one
-with most expected words, and its score the share of these.
+with most expected words, and its score the share of these. Its evidence is the mean, over words, of
+the emission score of that language less the mean of the others': a share says which language is
+likeliest, the evidence whether it is any. With a single learned language all evidence is 0.
 
 Weights are fitted on whole texts of at most ``SAMPLE`` labelled documents per language, picked by
 a hash of the document id, with the document's language on every word. Lines of different documents
@@ -219,8 +221,40 @@ def train(docs: DataFrame, held_out: Column, sample: int = SAMPLE) -> Model | No
     return fit(rows["text"].fillna("").tolist(), rows["lang"].tolist()) if len(rows) else None
 
 
-def predicted(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of ``docs`` with ``lang_pred`` and ``score``, which replace columns so named."""
+def told(texts: list[str | None], model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each text that has words: its number, main language, that one's share of words, and evidence."""
+    o = observe(texts)
+    if not len(o.first):
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0), np.empty(0)
+    emission = model.emissions(o)
+    marginal, _ = forward_backward(emission, o.lines, model.transitions, model.start)
+    bounds = o.words.bounds()
+    has = np.flatnonzero(np.diff(bounds))
+    at = np.arange(len(has))
+    expected = np.add.reduceat(marginal, bounds[has], axis=0)
+    best = expected.argmax(axis=1)
+    share = np.clip(expected[at, best] / expected.sum(axis=1), 0.0, 1.0)
+    mean = np.add.reduceat(emission.astype(float), bounds[has], axis=0) / np.diff(bounds)[has][:, None]
+    own = mean[at, best]
+    return has, best, share, own - (mean.sum(axis=1) - own) / max(1, len(model.languages) - 1)
+
+
+def least_evidence(docs: DataFrame, held_out: Column, model: Model, sample: int = SAMPLE) -> float:
+    """Half of what all but one in a hundred of the held-out labelled texts reach.
+
+    At most ``sample`` documents per language are brought to the driver; 0 if there are none.
+    """
+    picked = F.broadcast(stage(labelled_sample(docs, ~held_out, sample)))
+    rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string").alias("text")).join(picked, "doc_id", "left_semi")
+    found = told([r.text for r in rows.collect()], model)[3]
+    return max(0.0, 0.5 * float(np.quantile(found, 0.01))) if len(found) else 0.0
+
+
+def predicted(docs: DataFrame, model: Model | None, keep: list[str], least: float | None = None) -> DataFrame:
+    """Columns ``keep`` of ``docs`` with ``lang_pred`` and ``score``, which replace columns so named.
+
+    With ``least``, only the texts with words whose evidence is at least so much.
+    """
     added = "lang_pred", "score"
     keep = [c for c in keep if c.lower() not in added]
     if model is None:
@@ -231,21 +265,16 @@ def predicted(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFram
         model = sent.value
         for whole in batches:
             for batch in slices(whole, "_text", BATCH_BYTES):
-                o = observe(batch.column("_text").to_pylist())
                 names, scores = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows)
-                if len(o.first):
-                    marginal, _ = forward_backward(model.emissions(o), o.lines, model.transitions, model.start)
-                    bounds = o.words.bounds()
-                    has = np.flatnonzero(np.diff(bounds))
-                    expected = np.add.reduceat(marginal, bounds[has], axis=0)
-                    best = expected.argmax(axis=1)
-                    scores[has] = np.clip(expected[np.arange(len(has)), best] / expected.sum(axis=1), 0.0, 1.0)
-                    for i, b in zip(has.tolist(), best.tolist(), strict=True):
-                        names[i] = model.languages[b]
+                has, best, share, evidence = told(batch.column("_text").to_pylist(), model)
+                scores[has] = share
+                for i, b in zip(has.tolist(), best.tolist(), strict=True):
+                    names[i] = model.languages[b]
                 kept = [batch.column(i) for i in range(len(keep))]
-                yield pa.RecordBatch.from_arrays(
+                out = pa.RecordBatch.from_arrays(
                     [*kept, pa.array(names, pa.string()), pa.array(scores)], names=[*keep, *added]
                 )
+                yield out if least is None else out.take(pa.array(has[evidence >= least]))
 
     given = docs.select(*keep, F.col("text").cast("string").alias("_text"))
     fields = [docs.schema[c] for c in keep]

@@ -107,3 +107,27 @@ def test_odd_and_no_documents(spark, sf_dir, odd_documents, no_documents):
     blank = odd_documents.where("text is null or trim(text) = ''")
     for _, stage_of in corpus_pipeline.STAGES:
         blank = stage(stage_of(spark, blank, sf_dir))
+
+
+def test_language_stage_rejects_what_is_in_no_language(spark):
+    """Noise made of letters and texts in languages that no label names go; others stay."""
+    import random
+
+    rng = random.Random(3)
+    sf_dir = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    odd = [
+        " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randrange(2, 10))) for _ in range(n)) for n in (20, 60, 300) for _ in range(10)
+    ]
+    odd.append("Wczoraj wieczorem poszliśmy do kina, ponieważ padał deszcz i nie chcieliśmy siedzieć w domu. Film był długi, ale ciekawy.")
+    odd.append("Вчера вечером мы пошли в кино, потому что шёл дождь и мы не хотели сидеть дома.")
+    odd.append("12 34 !")
+    planted = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(odd)], docs.schema)
+    kept = [r.doc_id for r in corpus_pipeline.identify_language(spark, docs.unionByName(planted), sf_dir).select("doc_id").collect()]
+    assert min(kept) >= 0 and len(kept) >= 0.995 * docs.count()
+
+
+def test_letterless_texts_go_without_labels(spark, sf_dir):
+    rows = [(1, "some words", None), (2, "12 34", None), (3, None, None), (4, "é", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert sorted(r.doc_id for r in corpus_pipeline.identify_language(spark, docs, sf_dir).collect()) == [1, 4]
