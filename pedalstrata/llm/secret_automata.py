@@ -5,10 +5,13 @@ within a kind. Their values are labelled credentials: per kind, the prefix tree
 into a probabilistic automaton by merging states whose symbol frequencies are statistically
 compatible (ALERGIA: a Hoeffding bound on every outgoing frequency, recursively). Symbols are classes
 of characters, since credentials are random within their alphabet. One more automaton is
-inferred from ordinary candidates. A candidate is a maximal run of ``MIN_RUN`` or more characters that
-occur in credentials; every candidate that touches no base span is scored, and becomes a span
-``inferred`` if the best credential automaton gives it at least ``MARGIN`` more log-likelihood per
-character than the ordinary one.
+inferred from ordinary candidates: maximal runs of ``MIN_RUN`` or more characters that occur in
+credentials and touch no base span. All runs are scored, and what no automaton claims is cut at ever
+more separators and its parts are scored: whole, at ``=``, ``.``, ``/``, ``-``, ``_`` and ``+``, without
+punctuation at the edges. Of a run that touches base spans, what is left beside them is scored so,
+and parts without a separator that reach over a span. A part becomes a span ``inferred`` if the best
+credential automaton gives it at least ``MARGIN`` more log-likelihood per character than the ordinary
+one; each symbol that a format never showed costs it ``UNSEEN`` more.
 
 Bounds, as parameters: ``SAMPLE`` distinct values per automaton, picked by a hash. Every text is
 scanned whole, twice: once for the samples, once for the spans.
@@ -38,6 +41,7 @@ KINDS = ("assign", "access", "hex", "inferred")
 SAMPLE = 1500
 MIN_RUN = 12
 MARGIN = 1.0
+UNSEEN = 10.0
 ALPHA = 0.05
 MASK = "[secret]"
 
@@ -47,6 +51,8 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")  # the same maximal runs as of one or more, then of 16 or more
 _RUN = re.compile(r"[A-Za-z0-9+/_.=-]{%d,}" % MIN_RUN)
+_SEPARATORS = "=./-_+"
+_GLUED = re.compile(r"[A-Za-z0-9]+")
 _NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 Span = tuple[int, int, int]  # start, number of the kind, end
@@ -62,8 +68,8 @@ def base_spans(text: str) -> list[Span]:
     return sorted(out)
 
 
-def candidates(text: str, base: Sequence[Span]) -> Iterator[tuple[int, int]]:
-    """Runs that touch no base span; ``base`` is sorted by start."""
+def _runs(text: str, base: Sequence[Span]) -> Iterator[tuple[int, int, list[list[int]]]]:
+    """All runs, with the merged base spans that each touches; ``base`` is sorted by start."""
     taken: list[list[int]] = []
     for start, _, end in base:
         if taken and start <= taken[-1][1]:
@@ -74,8 +80,55 @@ def candidates(text: str, base: Sequence[Span]) -> Iterator[tuple[int, int]]:
     for m in _RUN.finditer(text):
         while at < len(taken) and taken[at][1] <= m.start():
             at += 1
-        if at == len(taken) or taken[at][0] >= m.end():
-            yield m.start(), m.end()
+        last = at
+        while last < len(taken) and taken[last][0] < m.end():
+            last += 1
+        yield m.start(), m.end(), taken[at:last]
+
+
+def candidates(text: str, base: Sequence[Span]) -> Iterator[tuple[int, int]]:
+    """Runs that touch no base span."""
+    return ((a, b) for a, b, touched in _runs(text, base) if not touched)
+
+
+def _parts(text: str, start: int, end: int, formats: Formats, level: int = 0) -> Iterator[tuple[int, int]]:
+    """Parts of a run that are secret, the longest first: whole, else between ever more separators."""
+    # Padding at the end may belong to a credential.
+    while start < end and text[start] in _SEPARATORS:
+        start += 1
+    while start < end and text[end - 1] in "./-_":
+        end -= 1
+    if end - start < MIN_RUN:
+        return
+    if formats.is_secret(text[start:end]):
+        yield start, end
+        return
+    while level < len(_SEPARATORS) and text.find(_SEPARATORS[level], start, end) < 0:
+        level += 1
+    if level == len(_SEPARATORS):
+        return
+    at = start
+    for part in text[start:end].split(_SEPARATORS[level]):
+        yield from _parts(text, at, at + len(part), formats, level + 1)
+        at += len(part) + 1
+
+
+def inferred(text: str, base: Sequence[Span], formats: Formats) -> Iterator[tuple[int, int]]:
+    """What the formats claim beside the base spans."""
+    if not formats.credentials or formats.ordinary is None:
+        return
+    for start, end, touched in _runs(text, base):
+        at = start
+        for a, b in [*touched, [end, end]]:
+            if a - at >= MIN_RUN:
+                yield from _parts(text, at, a, formats)
+            at = max(at, b)
+        for m in _GLUED.finditer(text, start, end) if touched else ():
+            a, b = m.span()
+            over = [t for t in touched if t[0] < b and a < t[1]]
+            if over and any(t[0] > a or t[1] < b for t in over) and not any(t[0] <= a and b <= t[1] for t in over):
+                if b - a >= MIN_RUN and formats.is_secret(m[0]):
+                    yield a, b
 
 
 def _classes() -> dict[str, int]:
@@ -202,9 +255,9 @@ class Formats:
         if not self.credentials or self.ordinary is None:
             return False
         word = symbols(text)
-        # A format that never used a symbol does not produce it, however the frequencies are smoothed.
-        own = [a.log_likelihood(word) for a in self.credentials if a.alphabet.issuperset(word)]
-        return bool(own) and max(own) - self.ordinary.log_likelihood(word) >= margin * len(word)
+        # A symbol that a format never showed is unlikely in it, however few values smoothed its frequencies.
+        own = max(a.log_likelihood(word) - UNSEEN * sum(s not in a.alphabet for s in word) for a in self.credentials)
+        return own - self.ordinary.log_likelihood(word) >= margin * len(word)
 
 
 def learned(docs: DataFrame, sample: int = SAMPLE) -> Formats:
@@ -234,7 +287,7 @@ def learned(docs: DataFrame, sample: int = SAMPLE) -> Formats:
 
 def spans(text: str, formats: Formats) -> list[Span]:
     base = base_spans(text)
-    return sorted([*base, *((a, 3, b) for a, b in candidates(text, base) if formats.is_secret(text[a:b]))])
+    return sorted([*base, *{(a, 3, b) for a, b in inferred(text, base, formats)}])
 
 
 def written(found: Sequence[Span]) -> str:

@@ -99,3 +99,20 @@ def test_odd_documents(odd_documents, no_documents):
 def test_overlapping_spans_are_masked_once():
     assert secrets._masked("ab token=0123 cd", [(3, 0, 13), (9, 2, 13)], "#") == "ab # cd"
     assert secrets._masked("abcdef", [(1, 0, 3), (2, 1, 5)], "#") == "a#f"
+
+
+def test_glued_credentials_are_found(spark, words):
+    """At a sentence end, behind a name or in a path, and on both sides of a run of hex digits."""
+    credentials, ordinary = words
+    rng = random.Random(2)
+    rows = [(i, f"some {rng.choice(ordinary)} here token = {c}\nand more {rng.choice(ordinary)}.") for i, c in enumerate(credentials[:200])]
+    formats = secrets.learned(spark.createDataFrame(rows, "doc_id long, text string"))
+    for c in [c for c in credentials[200:] if formats.is_secret(c)][:50]:
+        for before, after in (("the end ", "."), ("auth=", ""), ("see /path/", "/x"), (f"{ordinary[0]}/", "-")):
+            text = f"{before}{c}{after}"
+            at = text.index(c)
+            assert any(a <= at and at + len(c) <= b for a, k, b in secrets.spans(text, formats) if k == 3), text
+        text = f"a {c}0123456789abcdef{c} b"
+        assert secrets._masked(text, secrets.spans(text, formats), "#") == "a # b"
+    for text in (f"{ordinary[0]}/{ordinary[1]}.", f"/{ordinary[2]}/0123456789abcdef0.{ordinary[3]}", "=" * 40, "/".join(ordinary[:4])):
+        assert not [s for s in secrets.spans(text, formats) if s[1] == 3], text
