@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pedalstrata.llm import (
     decontaminate,
     divergence,
     language_crf,
+    merkle,
     packing,
     probminhash,
     reply_trees,
@@ -108,3 +110,22 @@ def op9_reply_trees(spark: SparkSession, sf: str) -> DataFrame:
 def op10_divergence(spark: SparkSession, sf: str) -> DataFrame:
     judged = divergence.judged(table(spark, sf, "documents"), ["doc_id"])
     return judged.select("doc_id", *divergence.BASE, "base_failed", "kept")
+
+
+@query
+def op13_merkle(spark: SparkSession, sf: str) -> DataFrame:
+    """Leaf, roots and proof of every document; a fifth of them is checked with a tampered text."""
+    docs = table(spark, sf, "documents")
+    lowered = F.translate("text", ascii_uppercase, ascii_lowercase)
+    values = {c: F.col(c) for c in merkle.FIELDS}
+    leaf = merkle.leaf(list(values.values()))
+    claimed = F.when(fold(F.col("doc_id"), 5) == 0, merkle.leaf(list((values | {"text": lowered}).values()))).otherwise(leaf)
+    proofs = merkle.manifest(docs.select("doc_id", "source", leaf.alias("leaf"), claimed.alias("claimed")))
+    return proofs.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+        merkle.folded(F.col("claimed"), F.col("path")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
