@@ -125,8 +125,116 @@ FROM ruled LEFT JOIN by_class USING (doc_id) LEFT JOIN by_word USING (doc_id)
 """
 
 
+def _crc32(codes: str) -> str:
+    """Unsigned crc32 of a list of byte values."""
+    shifted = "list_reduce([xor(state, byte), 1, 2, 3, 4, 5, 6, 7, 8], lambda a, b: xor(a >> 1, (a & 1) * 3988292384))"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda state, byte: {shifted}), 4294967295)"
+
+
+def _codes(text: str) -> str:
+    """UTF-8 byte values of a text of ASCII and of letters up to U+00FF."""
+    pair = "CASE WHEN ord(c) < 128 THEN [ord(c)::BIGINT] ELSE [195::BIGINT, ord(c)::BIGINT - 64] END"
+    return f"flatten(list_transform(string_split({text}, ''), lambda c: {pair}))"
+
+
+def _merkle() -> str:
+    def field(name: str) -> str:
+        text = f"CAST({name} AS VARCHAR)"
+        return f"coalesce(CAST(strlen({text}) AS VARCHAR) || ':' || {text}, '-')"
+
+    fields = [field(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    leaf, changed = (f"sha256({' || '.join([*fields, field(t)])})" for t in ("text", lowered))
+    tampered = f"({_crc32(_codes('CAST(doc_id AS VARCHAR)'))}) % 5 = 0"
+    return rf"""
+WITH RECURSIVE leaves AS (
+  SELECT row_number() OVER () AS id, doc_id, source, {leaf} AS leaf,
+         CASE WHEN {tampered} THEN {changed} ELSE {leaf} END AS claimed FROM documents),
+-- Nodes of the groups' trees, level by level.
+low AS (
+  SELECT source, 0 AS level, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY source) AS n, leaf AS node, id FROM leaves
+  UNION ALL
+  SELECT source, level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(node, '' ORDER BY pos)), NULL
+  FROM low WHERE n > 1 GROUP BY source, level, pos // 16, n),
+subroots AS (
+  SELECT source, level, node, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place, count(*) OVER () AS n
+  FROM low WHERE n = 1),
+high AS (
+  SELECT 0 AS level, place AS pos, n, node FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(node, '' ORDER BY pos))
+  FROM high WHERE n > 1 GROUP BY level, pos // 16, n),
+-- All nodes with the step at which a proof uses them; upper levels follow those of the group.
+steps AS (
+  SELECT low.source, low.level AS step, pos, node FROM low WHERE n > 1
+  UNION ALL
+  SELECT s.source, s.level + h.level, h.pos, h.node FROM subroots s JOIN high h ON h.n > 1),
+places AS (
+  SELECT low.id, low.source, low.level AS step, low.pos FROM low WHERE n > 1 AND level = 0
+  UNION ALL
+  SELECT low.id, low.source, 0, s.place FROM low JOIN subroots s ON low.source IS NOT DISTINCT FROM s.source
+  WHERE low.n = 1 AND low.level = 0 AND s.n > 1),
+depth AS (
+  SELECT s.source, s.place, s.node AS subroot, s.level AS own, s.level + (SELECT max(level) FROM high) AS steps FROM subroots s),
+walk AS (
+  SELECT l.id, l.source, 0 AS step,
+         CASE WHEN d.own = 0 THEN d.place ELSE low.pos END AS pos, l.claimed AS node, '' AS siblings, d.own, d.place, d.steps
+  FROM leaves l JOIN low ON low.id = l.id JOIN depth d ON d.source IS NOT DISTINCT FROM l.source
+  UNION ALL
+  SELECT w.id, w.source, w.step + 1, CASE WHEN w.step + 1 = w.own THEN w.place ELSE w.pos // 16 END,
+         sha256(string_agg(CASE WHEN s.pos = w.pos THEN w.node ELSE s.node END, '' ORDER BY s.pos)),
+         w.siblings || coalesce(string_agg(CASE WHEN s.pos <> w.pos THEN s.node END, '' ORDER BY s.pos), ''),
+         w.own, w.place, w.steps
+  FROM walk w JOIN steps s ON s.source IS NOT DISTINCT FROM w.source AND s.step = w.step AND s.pos // 16 = w.pos // 16
+  WHERE w.step < w.steps
+  GROUP BY w.id, w.source, w.step, w.pos, w.node, w.siblings, w.own, w.place, w.steps)
+SELECT l.doc_id, l.leaf, d.subroot, (SELECT node FROM high WHERE n = 1) AS root, sha256(w.siblings) AS proof_sha256,
+       w.node AS folded_root, w.node = (SELECT node FROM high WHERE n = 1) AS verified
+FROM walk w JOIN leaves l USING (id) JOIN depth d ON d.source IS NOT DISTINCT FROM l.source
+WHERE w.step = w.steps
+"""
+
+
+def _spelling() -> str:
+    run = "unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zA-Z\\x{00C0}-\\x{00FF}]+'))"
+    return rf"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (SELECT doc_id, {run} AS run FROM documents) WHERE length(run) >= 7 GROUP BY ALL),
+hashed AS (
+  SELECT run, n, {_crc32(_codes("concat(CAST(doc_id AS VARCHAR), ':', run)"))} AS h FROM runs),
+words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n
+    FROM hashed) WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+-- Every word without each of its code points.
+cut AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+replaced AS (
+  SELECT DISTINCT a.word AS one, b.word AS two, b.n FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word),
+shorter AS (SELECT DISTINCT c.word AS one, w.word AS two, c.n AS one_n, w.n AS two_n FROM cut c JOIN words w ON w.word = c.rest),
+near AS (
+  SELECT one, two, n FROM replaced UNION ALL SELECT one, two, two_n FROM shorter UNION ALL SELECT two, one, one_n FROM shorter),
+best AS (
+  SELECT one, count(*) AS n_near, max(n) AS top, arg_min(two, (-n, encode(two))) AS largest FROM near GROUP BY one),
+formed AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 10 * n THEN largest END AS form,
+         CASE WHEN top >= 10 * n THEN top END AS form_n
+  FROM words LEFT JOIN best ON word = one),
+followed AS (
+  SELECT word, word AS root FROM formed
+  UNION ALL
+  SELECT f.word, g.form FROM followed f JOIN formed g ON g.word = f.root WHERE g.form IS NOT NULL)
+SELECT formed.word, form, n, n_near, form_n, root
+FROM formed JOIN followed USING (word) JOIN (SELECT word AS last FROM formed WHERE form IS NULL) ON last = root
+"""
+
+
 ORACLE = {
     "op5_decontaminate": DECONTAMINATION,
     "op9_reply_trees": CONVERSATIONS,
     "op10_divergence": _divergence(),
+    "op11_spelling": _spelling(),
+    "op13_merkle": _merkle(),
 }

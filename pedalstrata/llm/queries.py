@@ -18,6 +18,8 @@ from pedalstrata.llm import (
     reply_trees,
     secret_automata,
     sharding,
+    simhash,
+    spelling,
     token_files,
     toxicity,
 )
@@ -129,3 +131,17 @@ def op13_merkle(spark: SparkSession, sf: str) -> DataFrame:
         merkle.proof_digest(F.col("path")).alias("proof_sha256"),
         merkle.folded(F.col("claimed"), F.col("path")).alias("folded_root"),
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query
+def op11_spelling(spark: SparkSession, sf: str) -> DataFrame:
+    """Every frequent enough word with the word that it is a variant of."""
+    words = spelling.numbered(spelling.counted(table(spark, sf, "documents")))
+    return spelling.forms(words, spelling.near_pairs(words))
+
+
+@query
+def op12_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document with its fingerprint and the smallest doc_id that links lead to."""
+    found = simhash.linked(table(spark, sf, "documents"))
+    return found.select("doc_id", simhash.as_hex(F.col("print")).alias("fingerprint"), "component_id", "links")

@@ -1,0 +1,97 @@
+"""SimHash fingerprints and links against all pairs."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from xxhash import xxh64_intdigest
+
+from pedalstrata.llm import simhash
+from pedalstrata.llm.queries import QUERIES
+
+
+def fingerprint(text):
+    text = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    runs = [" ".join(words[i : i + 3]) for i in range(max(len(words) - 2, 1))] if words else []
+    hashes = [xxh64_intdigest(r.encode(), 42) for r in runs]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def all_links(prints):
+    values = np.array(sorted(prints), np.uint64)
+    out = set()
+    for i, v in enumerate(values):
+        near = np.flatnonzero(np.bitwise_count(values[i + 1 :] ^ v) <= 2)
+        out |= {(int(v), int(values[i + 1 + j])) for j in near}
+    return out
+
+
+def expected(rows):
+    """Rows of (doc_id, fingerprint, component_id, links)."""
+    prints = [(r.doc_id, fingerprint(r.text)) for r in rows]
+    links = all_links({p for _, p in prints})
+    root = {p: p for _, p in prints}
+
+    def find(p):
+        while root[p] != p:
+            p = root[p]
+        return p
+
+    for a, b in links:
+        root[find(a)] = find(b)
+    least, count = {}, Counter(p for pair in links for p in pair)
+    for doc_id, p in prints:
+        if doc_id is not None:
+            least[find(p)] = min(least.get(find(p), doc_id), doc_id)
+    return Counter((d, f"{p:016x}", least.get(find(p)), count[p]) for d, p in prints)
+
+
+def test_op12(spark, sf_dir, documents):
+    assert Counter(map(tuple, QUERIES["op12_simhash"](spark, sf_dir).collect())) == expected(documents.collect())
+
+
+def test_odd_documents(spark, odd_documents, no_documents, tmp_path):
+    for name, docs in (("odd", odd_documents), ("none", no_documents)):
+        docs.write.parquet(str(tmp_path / name / "documents.parquet"))
+        found = QUERIES["op12_simhash"](spark, str(tmp_path / name)).collect()
+        assert Counter(map(tuple, found)) == expected(docs.collect())
+
+
+def test_fingerprint_counts_in_blocks(monkeypatch):
+    text = " ".join(f"W{i % 83}é" for i in range(500))
+    whole = fingerprint(text)
+    for block in (1, 7, 498, 10_000):
+        monkeypatch.setattr(simhash, "BLOCK", block)
+        assert simhash.fingerprint(text) == whole
+
+
+@pytest.mark.parametrize("bucket", [2, 16, 64])
+def test_links_among_crowded_fingerprints(spark, bucket):
+    """Many fingerprints within few bits of each other, and others; the sign bit too."""
+    rng, prints = random.Random(bucket), set()
+    for centre in (0, 2**64 - 1, rng.getrandbits(64)):
+        for _ in range(300):
+            p = centre
+            for b in rng.sample(range(64), rng.randint(0, 4)):
+                p ^= 1 << b
+            prints.add(p)
+        # Half the fingerprint in common, the rest at random.
+        prints |= {centre >> 32 << 32 | rng.getrandbits(32) for _ in range(200)}
+    signed = [(p - 2**64 if p >= 2**63 else p,) for p in prints]
+    found = simhash.links(spark.createDataFrame(signed, "print long").repartition(3), bucket).collect()
+    pairs = {tuple(sorted((r.u % 2**64, r.v % 2**64))) for r in found}
+    assert len(found) == len(pairs) and pairs == all_links(prints)
+
+
+def test_hot_fingerprint(spark, tmp_path):
+    """Half of all rows are copies."""
+    texts = ["the same text over and over again"] * 600 + [f"text number {i} is here once {i * i} only" for i in range(600)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    found = QUERIES["op12_simhash"](spark, str(tmp_path)).collect()
+    assert Counter(map(tuple, found)) == expected(docs.collect())

@@ -1,0 +1,113 @@
+"""Spelling variants against all pairs, and the pivots against every single edit."""
+
+from __future__ import annotations
+
+import random
+import re
+import zlib
+from collections import Counter
+from itertools import combinations
+
+import pytest
+
+from pedalstrata.llm import spelling
+from pedalstrata.llm.queries import QUERIES
+
+
+def near(a, b):
+    """Exactly one code point inserted, deleted or replaced."""
+    a, b = sorted((a, b), key=len)
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    return len(b) - len(a) == 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def words_of(rows):
+    counts = Counter()
+    for r in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", r.text or ""):
+            run = re.sub("[A-Z]", lambda m: m[0].lower(), run)
+            h = zlib.crc32(f"{'' if r.doc_id is None else r.doc_id}:{run}".encode())
+            if h % 31 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    return {w: n for w, n in counts.items() if len(w) >= 7 and n >= 2}
+
+
+def expected(rows):
+    """Rows of (word, form, root, n, n_near, form_n)."""
+    counts = words_of(rows)
+    others = {w: [] for w in counts}
+    by_length = {}
+    for w in counts:
+        by_length.setdefault(len(w), []).append(w)
+    for n, group in by_length.items():
+        pairs = [*combinations(group, 2), *((a, b) for a in group for b in by_length.get(n + 1, ()))]
+        for a, b in pairs:
+            if near(a, b):
+                others[a].append(b)
+                others[b].append(a)
+    form = {}
+    for w, found in others.items():
+        best = min(found, key=lambda o: (-counts[o], o), default=None)
+        form[w] = best if best is not None and counts[best] >= 10 * counts[w] else None
+    out = []
+    for w, n in counts.items():
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out.append((w, form[w], root, n, len(others[w]), counts.get(form[w])))
+    return Counter(out)
+
+
+def found(spark, docs, path):
+    docs.write.parquet(f"{path}/documents.parquet")
+    return Counter(map(tuple, QUERIES["op11_spelling"](spark, str(path)).collect()))
+
+
+def test_odd_documents(spark, odd_documents, no_documents, tmp_path):
+    assert found(spark, odd_documents, tmp_path / "odd") == expected(odd_documents.collect())
+    assert found(spark, no_documents, tmp_path / "none") == Counter()
+
+
+def test_forms_and_chains(spark, tmp_path):
+    """A chain of forms, ties in the count, upper case, letters beyond ASCII and a word of 30,000 letters."""
+    long = "ab" * 15_000
+    counts = {"shipment": 1500, "shipmant": 100, "shipmaant": 4, "straßenÉ": 300, "strassenÉ": 3, "lantern": 40, "lantarn": 40,
+              "lantrn": 9, "lantirn": 4, "HARBOURS": 30, "harbour": 2, "a" * 9: 50, "a" * 8: 3, long: 30, long + "b": 2, long[1:]: 2}
+    rows = [(i, " ".join([w] * n) + ".") for i, (w, n) in enumerate(counts.items())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = expected(docs.collect())
+    assert found(spark, docs, tmp_path) == want
+    assert any(form is not None and root != form for _, form, root, *_ in want)
+
+
+@pytest.mark.parametrize("bucket", [2, 64])
+def test_all_pairs(spark, bucket):
+    """Words of few letters, so that most buckets are crowded, with edits at every place."""
+    rng = random.Random(bucket)
+    words = {"".join(rng.choices("abcé", k=rng.randint(7, 9))) for _ in range(300)}
+    for w in [*words][:60]:
+        i = rng.randrange(len(w) + 1)
+        words |= {w[:i] + rng.choice("abcdé") + w[i:], w[: i - 1] + w[i:], w[:i] + rng.choice("abcdé") + w[i + 1 :]}
+    words = sorted(w for w in words if len(w) >= 7)
+    stored = spelling.numbered(spark.createDataFrame([(w, 1) for w in words], "word string, n long").repartition(3))
+    names = {r.id: r.word for r in stored.collect()}
+    pairs = [tuple(sorted((names[r.a], names[r.b]))) for r in spelling.near_pairs(stored, bucket).collect()]
+    assert len(pairs) == len(set(pairs))
+    assert set(pairs) == {(a, b) for a, b in combinations(words, 2) if near(a, b)}
+
+
+def test_pivots_are_disjoint_and_cheapest():
+    rng = random.Random(5)
+    for _ in range(300):
+        word = "".join(rng.choices("abcdefgh", k=rng.randint(4, 12)))
+        grams = [word[i : i + 2] for i in range(len(word) - 1)]
+        counts = {g: rng.randint(1, 9) for g in grams}
+        ranks = {g: i for i, (g, _) in enumerate(sorted(counts.items(), key=lambda x: (x[1], x[0])))}
+        places = spelling.prefix(word, ranks)
+        chosen = spelling.pivots(word, places, ranks, counts)
+        first = sorted(places, key=lambda i: (ranks[grams[i]], i))[:3]
+        costs = [counts[grams[i]] + counts[grams[j]] for i, j in combinations(first, 2) if abs(i - j) >= 2]
+        i, j = sorted(chosen)
+        assert j - i >= 2 and counts[grams[i]] + counts[grams[j]] == min(costs)
