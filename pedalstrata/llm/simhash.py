@@ -93,29 +93,49 @@ def _double_variants(prints: DataFrame) -> DataFrame:
     return both.select("one", "two", F.expr("print & ~shiftleft(1L, one) & ~shiftleft(1L, two)").alias("key"), "print")
 
 
+def _near(a: Column, b: Column) -> Column:
+    return F.bit_count(a.bitwiseXOR(b)) <= DISTANCE
+
+
 def _met(members: DataFrame, on: list[str]) -> DataFrame:
     """Pairs of nodes that share a key and differ in few enough bits."""
     a, b = members.alias("a"), members.alias("b")
     same = F.col("a.print") < F.col("b.print")
     for k in on:
         same = same & (F.col(f"a.{k}") == F.col(f"b.{k}"))
-    near = F.bit_count(F.col("a.print").bitwiseXOR(F.col("b.print"))) <= DISTANCE
-    return a.join(b, same).where(near).select(F.col("a.print").alias("u"), F.col("b.print").alias("v"))
+    found = a.join(b, same).where(_near(F.col("a.print"), F.col("b.print")))
+    return found.select(F.col("a.print").alias("u"), F.col("b.print").alias("v"))
+
+
+def _met_in_small(shared: DataFrame) -> DataFrame:
+    """The same for keys of two or three nodes, which their least, their largest and the XOR of all tell."""
+    low, high = F.col("low"), F.col("high")
+    between = low.bitwiseXOR(high).bitwiseXOR(F.col("all"))
+    pairs = [(low, high, F.lit(True)), *[(a, b, F.col("n") == 3) for a, b in ((low, between), (between, high))]]
+    listed = F.array(*[F.when(given, F.struct(a.alias("u"), b.alias("v"))) for a, b, given in pairs])
+    opened = shared.where("n <= 3").select(F.inline(F.filter(listed, lambda p: p.isNotNull() & _near(p["u"], p["v"]))))
+    return opened.select("u", "v")
 
 
 def links(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
-    """All pairs ``u``, ``v`` of different values of ``print`` that differ in two bits or fewer, once each."""
+    """All pairs ``u``, ``v`` of different values of ``print`` that differ in two bits or fewer, once each.
+
+    Most variants that are shared at all are shared by two or three nodes. One aggregate tells which;
+    only those of more nodes take a second look at the variants.
+    """
     variants = _variants(prints)
-    shared = variants.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = stage(shared.select("key", "n", (F.col("n") > bucket).alias("crowd")))
-    members = stage(join_keyed(variants, shared, ["key"], "n"))
+    sums = [F.count(F.lit(1)).alias("n"), F.min("print").alias("low"), F.max("print").alias("high"), F.bit_xor("print").alias("all")]
+    shared = stage(variants.groupBy("key").agg(*sums).where("n > 1"))
+    larger = stage(shared.where("n > 3").select("key", "n", (F.col("n") > bucket).alias("crowd")))
+    members = stage(join_keyed(variants, larger, ["key"], "n"))
     crowded = members.where("crowd").select("print").distinct()
     doubles = ["one", "two", "key"]
     split = _double_variants(crowded)
     held = split.groupBy(*doubles).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     few = stage(split.join(held, doubles))
-    out = stage(_met(members.where("NOT crowd"), ["key"]).unionByName(_met(few, doubles)).distinct())
-    for used in (shared, members, few):
+    found = _met(members.where("NOT crowd"), ["key"]).unionByName(_met(few, doubles))
+    out = stage(found.unionByName(_met_in_small(shared)).distinct())
+    for used in (shared, larger, members, few):
         discard(used)
     return out
 
