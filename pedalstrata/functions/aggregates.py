@@ -1,7 +1,7 @@
 """Aggregate expressions with the null, NaN and rounding rules of the daily roll-up.
 
 Spark plans a partial and a final aggregate for each, so a group that holds a third of the rows
-is reduced before the shuffle. All but the first non-null value of an order that may repeat have
+is reduced before the shuffle. All but ``first_non_null`` of an order that may repeat have
 fixed-width buffers, which keeps the aggregates hash-based.
 """
 
@@ -21,6 +21,16 @@ from pedalstrata.functions.casting import column, is_missing, null_if_missing, r
 _LAST = 2**63 - 1
 
 
+def position(order: Column) -> Column:
+    """The order as a number; rows without one come last."""
+    return F.coalesce(order, F.lit(_LAST))
+
+
+def lowest_order(c: Column, dtype: T.DataType, order: Column) -> Column:
+    """The lowest ``position`` among rows where the value is not missing; a number, so hash-aggregated."""
+    return F.min(F.when(~is_missing(c, dtype), order))
+
+
 def first_non_null(
     c: Column, dtype: T.DataType, order: Column, rest: Sequence[Column] = (), unique: bool = False
 ) -> Column:
@@ -29,13 +39,13 @@ def first_non_null(
     Unlike ``first``, the answer does not depend on how rows arrive after a shuffle: equal
     orders are told apart by the columns ``rest``, then by the value, smallest first and null
     before any value. Rows without an order come last. Comparing whole rows takes a sort-based
-    aggregate; where the caller knows that a numeric ``order`` is ``unique`` in each group, the
-    hash aggregate stays.
+    aggregate, for which ``rollup.first_values`` leaves only the rows that can be first; where the
+    caller knows that a numeric ``order`` is ``unique`` in each group, the hash aggregate stays.
     """
-    position = F.coalesce(order, F.lit(_LAST))
+    at = position(order)
     if unique:
-        return F.min_by(c, F.when(~is_missing(c, dtype), position))
-    row = F.struct(position.alias("order"), *[r.alias(f"r{i}") for i, r in enumerate(rest)], c.alias("value"))
+        return F.min_by(c, F.when(~is_missing(c, dtype), at))
+    row = F.struct(at.alias("order"), *[r.alias(f"r{i}") for i, r in enumerate(rest)], c.alias("value"))
     return F.min(F.when(~is_missing(c, dtype), row))["value"]
 
 

@@ -56,14 +56,27 @@ def column(name: str) -> Column:
     return F.col(quoted(name))
 
 
+def free_name(columns: Sequence[str], wanted: str) -> str:
+    """``wanted``, with underscores in front until none of the columns has that name."""
+    taken = {c.lower() for c in columns}
+    while wanted.lower() in taken:
+        wanted = "_" + wanted
+    return wanted
+
+
 def _text_list(values: Sequence[str]) -> str:
     return ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values)
 
 
+def na_to_null(name: str, tokens: Sequence[str] = NA_TOKENS) -> str:
+    """SQL for a text column with every missing-value token turned into null."""
+    c = quoted(name)
+    return f"CASE WHEN {c} NOT IN ({_text_list(tokens)}) THEN {c} END"
+
+
 def normalise_na(name: str, tokens: Sequence[str] = NA_TOKENS) -> Column:
     """A text column with every missing-value token turned into null."""
-    c = quoted(name)
-    return F.expr(f"CASE WHEN {c} NOT IN ({_text_list(tokens)}) THEN {c} END")
+    return F.expr(na_to_null(name, tokens))
 
 
 def normalise_na_columns(df: DataFrame, tokens: Sequence[str] = NA_TOKENS) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from pedalstrata.functions.casting import column, free_name, quoted
 from pedalstrata.operators.numbering import POSITION_BITS
 from pedalstrata.sources.staging import stage
 
@@ -20,8 +21,8 @@ def rank_latest(df: DataFrame, key: str, order_by: Sequence[str], name: str = "r
     For a filter on the rank; to keep all ranks use ``rank_all``. Filtered to one rank, Spark keeps only each task's first row per key before the shuffle
     (``WindowGroupLimit``), so a hot key moves one row per task.
     """
-    order = _total_order(df, key, order_by)
-    window = Window.partitionBy(key).orderBy(*[F.desc_nulls_last(c) for c in order])
+    order = [column(c).desc_nulls_last() for c in _total_order(df, key, order_by)]
+    window = Window.partitionBy(column(key)).orderBy(*order)
     return df.withColumn(name, F.row_number().over(window))
 
 
@@ -33,24 +34,27 @@ def rank_all(df: DataFrame, key: str, order_by: Sequence[str], name: str = "rn")
     rows of the own range plus the key's rows in earlier ranges. Only the first key of a range
     has any there, so that takes at most one number per range.
     """
-    columns = df.columns
-    order = [F.asc_nulls_first(key), *[F.desc_nulls_last(c) for c in _total_order(df, key, order_by)], F.col("_row")]
-    rows = stage(df.withColumn("_row", F.monotonically_increasing_id()))
+    row, at, part, n, same_key, before, local = (
+        free_name([*df.columns, name], x) for x in ("row", "at", "part", "n", "key", "before", "local")
+    )
+    columns, of_key = [column(c) for c in df.columns], column(key)
+    order = [of_key.asc_nulls_first(), *[column(c).desc_nulls_last() for c in _total_order(df, key, order_by)], F.col(row)]
+    rows = stage(df.withColumn(row, F.monotonically_increasing_id()))
     # Fine ranges, so that however they are dealt out below, tasks get about as many rows.
     ranges = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
-    placed = stage(ordered.select(*columns, F.monotonically_increasing_id().alias("_at")))
-    placed = placed.withColumn("_part", F.shiftright("_at", POSITION_BITS))
-    earlier = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    runs = placed.groupBy("_part", key).agg(F.count(F.lit(1)).alias("_n"))
-    carried = runs.select("_part", F.col(key).alias("_key"), F.sum("_n").over(earlier).alias("_before")).where("_before > 0")
-    local = F.row_number().over(Window.partitionBy("_part", key).orderBy("_at"))
+    placed = stage(ordered.select(*columns, F.monotonically_increasing_id().alias(at)))
+    placed = placed.withColumn(part, F.shiftright(at, POSITION_BITS))
+    earlier = Window.partitionBy(same_key).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    runs = placed.groupBy(part, of_key.alias(same_key)).agg(F.count(F.lit(1)).alias(n))
+    carried = runs.select(part, same_key, F.sum(n).over(earlier).alias(before)).where(F.col(before) > 0)
+    in_range = F.row_number().over(Window.partitionBy(F.col(part), of_key).orderBy(at))
     # Whole ranges, next to each other: a hash of them could bring many large ones together.
-    apart = placed.repartitionByRange("_part")
-    ranked, before = apart.withColumn("_local", local).alias("r"), F.broadcast(carried).alias("b")
-    same = (F.col("r._part") == F.col("b._part")) & F.col(f"r.{key}").eqNullSafe(F.col("b._key"))
-    rank = F.col("_local") + F.coalesce("_before", F.lit(0))
-    return ranked.join(before, same, "left").select(*[F.col(f"r.{c}").alias(c) for c in columns], rank.cast("int").alias(name))
+    apart = placed.repartitionByRange(part)
+    ranked, first = apart.withColumn(local, in_range).alias("r"), F.broadcast(carried).alias("b")
+    same = (F.col(f"r.{part}") == F.col(f"b.{part}")) & F.col(f"r.{quoted(key)}").eqNullSafe(F.col(f"b.{same_key}"))
+    rank = F.col(local) + F.coalesce(before, F.lit(0))
+    return ranked.join(first, same, "left").select(*[F.col(f"r.{quoted(c)}") for c in df.columns], rank.cast("int").alias(name))
 
 
 def _total_order(df: DataFrame, key: str, order_by: Sequence[str]) -> list[str]:
@@ -58,14 +62,19 @@ def _total_order(df: DataFrame, key: str, order_by: Sequence[str]) -> list[str]:
 
 
 def _by_window(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
-    return rank_latest(df, key, order_by, "_rn").where("_rn = 1").drop("_rn")
+    rank = free_name(df.columns, "rank")
+    ranked = rank_latest(df, key, order_by, rank).where(F.col(rank) == 1)
+    return ranked.select(*[column(c) for c in df.columns])
 
 
 def _by_aggregate(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
     # A struct compares field by field, null lowest and NaN highest: its maximum is the row
     # that a descending, nulls-last order puts first.
-    latest = F.max(F.struct(*_total_order(df, key, order_by)))
-    return df.groupBy(key).agg(latest.alias("_row")).select(key, "_row.*").select(*df.columns)
+    names, row = _total_order(df, key, order_by), free_name(df.columns, "row")
+    latest = F.max(F.struct(*[column(c).alias(f"c{i}") for i, c in enumerate(names)]))
+    parts = {name: F.col(row)[f"c{i}"].alias(name) for i, name in enumerate(names)}
+    picked = df.groupBy(column(key)).agg(latest.alias(row))
+    return picked.select(*[parts.get(c, column(c)) for c in df.columns])
 
 
 def latest_per_key(
@@ -89,5 +98,5 @@ def latest_per_key(
     pick = {"aggregate": _by_aggregate, "window": _by_window}[method]
     if null_keys == "collapse":
         return pick(df, key, order_by)
-    keyed = pick(df.where(F.col(key).isNotNull()), key, order_by)
-    return keyed if null_keys == "drop" else keyed.unionByName(df.where(F.col(key).isNull()))
+    keyed = pick(df.where(column(key).isNotNull()), key, order_by)
+    return keyed if null_keys == "drop" else keyed.unionByName(df.where(column(key).isNull()))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from pedalstrata.functions.casting import column, free_name
 from pedalstrata.operators.projection import with_leading
 from pedalstrata.sources.staging import stage
 
@@ -20,7 +21,7 @@ def sequence_id(df: DataFrame, order_by: Sequence[str], name: str = "instant") -
     The window gathers its input in one task: only for inputs of bounded size, such as one
     row per calendar day. Anything else goes through ``sequence_id_distributed``.
     """
-    return with_leading(df, name, F.row_number().over(Window.orderBy(*order_by)).cast("bigint"))
+    return with_leading(df, name, F.row_number().over(Window.orderBy(*[column(c) for c in order_by])).cast("bigint"))
 
 
 def sequence_id_distributed(
@@ -38,21 +39,21 @@ def sequence_id_distributed(
     one range; a stored row id as last order column splits them too. It is written before the
     sort because an id computed on the fly could change when a task runs again.
     """
-    columns, order = df.columns, list(order_by)
+    row, at, part, n, before = (free_name([*df.columns, name], x) for x in ("row", "at", "part", "n", "before"))
+    columns, order = [column(c) for c in df.columns], [column(c) for c in order_by]
     if not unique:
-        df = stage(df.withColumn("_row", F.monotonically_increasing_id()))
-        order += [c for c in columns if c not in order_by] + ["_row"]
+        order += [column(c) for c in df.columns if c not in order_by] + [F.col(row)]
+        df = stage(df.withColumn(row, F.monotonically_increasing_id()))
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    at = F.monotonically_increasing_id()
-    sorted_rows = stage(ranged.select(*columns, at.alias("_at")))
-
-    part = F.shiftright("_at", POSITION_BITS)
-    position = F.col("_at").bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
-    counts = sorted_rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    sorted_rows = stage(ranged.select(*columns, F.monotonically_increasing_id().alias(at)))
+
+    of_part = F.shiftright(at, POSITION_BITS)
+    position = F.col(at).bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
+    counts = sorted_rows.groupBy(of_part.alias(part)).agg(F.count(F.lit(1)).alias(n))
+    earlier = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(part, F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(before))
     return (
-        sorted_rows.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")
-        .select((F.col("_before") + position + 1).alias(name), *columns)
+        sorted_rows.withColumn(part, of_part)
+        .join(F.broadcast(offsets), part)
+        .select((F.col(before) + position + 1).alias(name), *columns)
     )

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pedalstrata.functions.casting import column, free_name
 from pedalstrata.sources.staging import stage
 
 
@@ -18,6 +19,7 @@ def newest_first(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
     the ranges cut through such a group. The ids are stored first: one computed on the fly could
     change when a task runs again, and send its row elsewhere.
     """
-    columns = df.columns
-    numbered = stage(df.withColumn("_row", F.monotonically_increasing_id()))
-    return numbered.orderBy(*[F.desc_nulls_last(c) for c in order_by], F.xxhash64("_row")).select(*columns)
+    row = free_name(df.columns, "row")
+    numbered = stage(df.withColumn(row, F.monotonically_increasing_id()))
+    order = [column(c).desc_nulls_last() for c in order_by]
+    return numbered.orderBy(*order, F.xxhash64(row)).select(*[column(c) for c in df.columns])

@@ -5,16 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
-from pedalstrata.functions.casting import safe_cast
+from pedalstrata.functions.casting import column, safe_cast
 from pedalstrata.schemas import FIELDS, Field
 
 
 def cast_and_rename(df: DataFrame, fields: Sequence[Field]) -> DataFrame:
     """Safe-cast every listed column to its silver type under its silver name."""
     return df.select(
-        *[safe_cast(F.col(f.raw), df.schema[f.raw].dataType, f.type).alias(f.silver) for f in fields]
+        *[safe_cast(column(f.raw), df.schema[f.raw].dataType, f.type).alias(f.silver) for f in fields]
     )
 
 
@@ -24,7 +23,7 @@ def project_silver(df: DataFrame, grain: str) -> DataFrame:
 
 def rename_only(df: DataFrame, names: dict[str, str]) -> DataFrame:
     """Columns under new names, values and types untouched."""
-    return df.select(*[F.col(old).alias(new) for old, new in names.items()])
+    return df.select(*[column(old).alias(new) for old, new in names.items()])
 
 
 def with_leading(df: DataFrame, name: str, value: Column) -> DataFrame:

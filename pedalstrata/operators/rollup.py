@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from operator import or_
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -12,15 +14,18 @@ from pyspark.sql import types as T
 from pedalstrata.functions.aggregates import (
     first_non_null,
     half_up_mean,
+    lowest_order,
     mean_rounded,
     missing_cells,
+    position,
     row_count,
     sum_or_zero,
 )
-from pedalstrata.functions.casting import column, parse_date, safe_int
+from pedalstrata.functions.casting import column, free_name, is_missing, parse_date, quoted, safe_int
 from pedalstrata.operators.cleaning import drop_null_keys
 from pedalstrata.operators.numbering import sequence_id, sequence_id_distributed
 from pedalstrata.schemas import RAW_DAY_COLUMNS
+from pedalstrata.sources.staging import stage
 
 # A kind by name, or any function from the column to a built-in aggregate expression.
 Kind = str | Callable[[Column], Column]
@@ -50,23 +55,12 @@ DAY_MEASURES = (
 )
 
 
-_ORDER = "_order"
-
-
-def _with_order(df: DataFrame, order_by: str, measures: Sequence[Measure]) -> DataFrame:
-    """The row order as a number, if needed; parsed once per row rather than once per ``first``."""
-    if not any(m.kind == "first" for m in measures):
-        return df
-    return df.withColumn(_ORDER, safe_int(F.col(order_by), df.schema[order_by].dataType))
-
-
-def _expression(df: DataFrame, measure: Measure, strict: bool, key: str, unique: bool) -> Column:
+def _expression(df: DataFrame, measure: Measure, strict: bool, order: Column) -> Column:
     c, dtype = column(measure.column), df.schema[measure.column].dataType
     if callable(measure.kind):
         return measure.kind(c)
     if measure.kind == "first":
-        rest = [column(x) for x in df.columns if x != key]
-        return first_non_null(c, dtype, F.col(_ORDER), rest, unique)
+        return first_non_null(c, dtype, order, unique=True)
     if measure.kind == "half_up_mean":
         return half_up_mean(c, dtype, strict)
     if measure.kind == "mean":
@@ -76,6 +70,56 @@ def _expression(df: DataFrame, measure: Measure, strict: bool, key: str, unique:
     raise ValueError(f"unknown aggregate: {measure.kind}")
 
 
+def _aggregated(
+    df: DataFrame, key: str, measures: Sequence[Measure], more: Sequence[Column], order_by: str, strict: bool, unique: bool
+) -> DataFrame:
+    """One row per key, null keys too.
+
+    Where orders may repeat, first values take two steps. The first finds the lowest order with a
+    value, per group and column, next to the other aggregates: numbers, in one hash aggregate.
+    Only rows that have one of these orders, a few per group, are then compared as a whole. The
+    groups are stored in between, so that Spark knows their size when it joins them.
+    """
+    firsts = [m.column for m in measures if m.kind == "first"]
+    order = position(safe_int(column(order_by), df.schema[order_by].dataType)) if firsts else F.lit(None)
+    if unique or not firsts:
+        exprs = [_expression(df, m, strict, order).alias(m.column) for m in measures]
+        return df.groupBy(column(key)).agg(*exprs, *more)
+    taken = [*df.columns, *[m.column for m in measures]]
+    lows = {c: free_name(taken, f"low{i}") for i, c in enumerate(firsts)}
+    others = [_expression(df, m, strict, order).alias(m.column) for m in measures if m.kind != "first"]
+    lowest = [lowest_order(column(c), df.schema[c].dataType, order).alias(low) for c, low in lows.items()]
+    groups = stage(df.groupBy(column(key)).agg(*lowest, *others, *more))
+    found = tied_firsts(df, groups, key, lows, order)
+    left, right = groups.alias("g"), found.alias("f")
+    joined = left.join(right, F.col(f"g.{quoted(key)}").eqNullSafe(F.col(f"f.{quoted(key)}")), "left")
+    names = [key, *[m.column for m in measures], *[c for c in groups.columns if c not in (key, *taken, *lows.values())]]
+    return joined.select(*[F.col(f"{'f' if n in lows else 'g'}.{quoted(n)}") for n in names])
+
+
+def tied_firsts(df: DataFrame, groups: DataFrame, key: str, lows: Mapping[str, str], order: Column) -> DataFrame:
+    """Per key the value of each column of ``lows`` at its lowest order, which ``groups`` has.
+
+    Rows of one order are told apart by all columns but the key, then by the value.
+    """
+    low, row = groups.alias("g"), df.alias("r")
+    kept = [F.col(f"r.{quoted(c)}") for c in df.columns]
+    at = {c: free_name([*df.columns, key], name) for c, name in lows.items()}
+    named = low.select(column(key).alias(free_name(df.columns, "key")), *[column(lows[c]).alias(n) for c, n in at.items()])
+    same = F.col(f"r.{quoted(key)}").eqNullSafe(F.col(free_name(df.columns, "key")))
+    hit = {c: (order == F.col(n)) & ~is_missing(column(c), df.schema[c].dataType) for c, n in at.items()}
+    joined = row.join(named, same & reduce(or_, hit.values())).select(*kept, *[F.col(n) for n in at.values()])
+    rest = [column(c) for c in df.columns if c != key]
+    whole = [c.alias(f"r{i}") for i, c in enumerate(rest)]
+    best = [F.min(F.when(hit[c], F.struct(*whole, column(c).alias("value"))))["value"].alias(c) for c in lows]
+    return joined.groupBy(column(key)).agg(*best)
+
+
+def first_values(df: DataFrame, key: str, names: Sequence[str], order_by: str) -> DataFrame:
+    """Per key, null too, the value of each column in the row of lowest order that has one."""
+    return _aggregated(df, key, [Measure(n, "first") for n in names], [], order_by, False, False)
+
+
 def rollup(
     df: DataFrame,
     key: str,
@@ -84,13 +128,12 @@ def rollup(
     strict: bool = False,
     unique: bool = False,
 ) -> DataFrame:
-    """One row per non-null key; one shuffle, of partial aggregates only.
+    """One row per non-null key; partial aggregates reduce each group before the shuffle.
 
-    ``unique`` states that no two rows of a key have the same ``order_by``, which makes first
-    values cheaper. Otherwise ties in it are broken by all other columns.
+    ``unique`` states that no two rows of a key have the same ``order_by``, which saves first values
+    the second look at the rows. Otherwise ties in it are broken by all other columns.
     """
-    exprs = [_expression(df, m, strict, key, unique).alias(m.column) for m in measures]
-    return drop_null_keys(_with_order(df, order_by, measures), key).groupBy(key).agg(*exprs)
+    return _aggregated(drop_null_keys(df, key), key, measures, [], order_by, strict, unique)
 
 
 def number_days(days: DataFrame, key: str = "dteday") -> DataFrame:
@@ -102,10 +145,11 @@ def number_days(days: DataFrame, key: str = "dteday") -> DataFrame:
     if isinstance(days.schema[key].dataType, T.DateType):
         numbered = sequence_id(days, [key])
     else:
-        dated = days.withColumn("_date", parse_date(F.col(key), days.schema[key].dataType))
+        date, undated = free_name(days.columns, "date"), free_name(days.columns, "undated")
+        dated = days.withColumn(date, parse_date(column(key), days.schema[key].dataType))
         # Text that is no date goes last, as letters sort after digits.
-        dated = dated.withColumn("_undated", F.col("_date").isNull())
-        numbered = sequence_id_distributed(dated, ["_undated", "_date", key], unique=True)
+        dated = dated.withColumn(undated, F.col(date).isNull())
+        numbered = sequence_id_distributed(dated, [undated, date, key], unique=True)
     return numbered.select(*RAW_DAY_COLUMNS)
 
 
@@ -120,7 +164,5 @@ def rollup_day_profiled(hours: DataFrame, strict: bool = False, unique: bool = F
     The null-date group stays, so the extra columns add up to the profile of the whole
     hourly table: roll-up and validation then need one scan instead of two.
     """
-    exprs = [_expression(hours, m, strict, "dteday", unique).alias(m.column) for m in DAY_MEASURES]
-    return _with_order(hours, "instant", DAY_MEASURES).groupBy("dteday").agg(
-        *exprs, row_count().alias("_rows"), missing_cells(hours).alias("_missing")
-    )
+    profile = [row_count().alias("_rows"), missing_cells(hours).alias("_missing")]
+    return _aggregated(hours, "dteday", DAY_MEASURES, profile, "instant", strict, unique)

@@ -11,15 +11,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pedalstrata.functions.aggregates import missing_cells, row_count
-from pedalstrata.operators.cleaning import clean, cleaning_report, drop_null_keys
+from pedalstrata.functions.casting import column
+from pedalstrata.operators.cleaning import drop_null_keys, split
 from pedalstrata.operators.quality import require_rows, require_valid, verdict
 from pedalstrata.operators.rollup import number_days, rollup_day_profiled
 from pedalstrata.plans.gold import gold_tables
 from pedalstrata.plans.silver import silver
 from pedalstrata.schemas import MIN_COLUMNS, MIN_ROWS, RAW_DAY_COLUMNS
-from pedalstrata.sources.readers import scan_by_format, scan_optional
+from pedalstrata.sources.readers import Told, scan_by_format, scan_optional_told
 from pedalstrata.sources.staging import stage
-from pedalstrata.sources.writers import load_layers, load_truncate, publish_raw, write_layer
+from pedalstrata.sources.tables import TableLoad
+from pedalstrata.sources.writers import layer_tables, load_layers, publish_raw, write_layers
 
 
 @dataclass(frozen=True)
@@ -72,23 +74,25 @@ def extract(
     raw = build_raw(hours, strict)
     require_valid(raw.report)
     tables = {"day": stage(raw.day), "hour": raw.hour}
-    paths = {name: write_layer(df, base, name, fmt) for name, df in tables.items()}
+    paths = write_layers(tables, base, fmt)
     publish_raw(tables, publish_to, fmt, skip_publish)
     return paths
 
 
 @dataclass(frozen=True)
 class Cleaned:
-    """Where each cleaned table was written, and per table the rows in, dropped and out."""
+    """Where each cleaned table was written, per table the rows in, dropped and out, and the rows
+    set aside, with their ``status`` and, from CSV, the ``line`` and ``fault`` of those that did not fit."""
 
     paths: dict[str, str]
     report: DataFrame
+    rejected: dict[str, DataFrame]
 
 
-def accounting(tables: Mapping[str, DataFrame]) -> DataFrame:
+def accounting(reports: Mapping[str, DataFrame]) -> DataFrame:
     """The cleaning report of every table, under its name."""
-    reports = [cleaning_report(df).select(F.lit(name).alias("dataset"), "*") for name, df in tables.items()]
-    return reduce(DataFrame.unionByName, reports)
+    named = [df.select(F.lit(name).alias("dataset"), "*") for name, df in reports.items()]
+    return reduce(DataFrame.unionByName, named)
 
 
 def clean_files(
@@ -98,10 +102,14 @@ def clean_files(
     fmt: str = "csv",
     schemas: dict[str, T.StructType] | None = None,
 ) -> Cleaned:
-    """Clean whichever raw tables exist and write them in the same format, with the accounting."""
-    found = scan_optional(spark, base_in, fmt=fmt, schemas=schemas)
-    paths = {name: write_layer(clean(df), base_out, name, fmt) for name, df in found.items()}
-    return Cleaned(paths, accounting(found))
+    """Clean whichever raw tables exist and write them in the same format, with the accounting.
+
+    Every file is read once; rows, counts and rejected rows come from the stored copy of that read.
+    """
+    found = scan_optional_told(spark, base_in, fmt=fmt, schemas=schemas)
+    parts = {n: split(t.df, line=t.line, fault=t.fault) if isinstance(t, Told) else split(t) for n, t in found.items()}
+    paths = write_layers({n: p.rows for n, p in parts.items()}, base_out, fmt)
+    return Cleaned(paths, accounting({n: p.report for n, p in parts.items()}), {n: p.rejected for n, p in parts.items()})
 
 
 def load(
@@ -129,18 +137,26 @@ def load(
 def medallion(hours: DataFrame, database: str, partition_by: Sequence[str] = ()) -> dict[str, DataFrame]:
     """Raw hours to gold tables: validate, clean, silver, aggregate.
 
-    Besides the tables, ``cleaning`` accounts for the rows that cleaning dropped.
+    Besides the tables, ``cleaning`` accounts for the rows that cleaning dropped. All tables are
+    replaced together, or none.
 
-    The hours are scanned twice: once for the roll-up with its validation profile, once for
-    silver. Gold reads the stored silver table, and only the columns it needs. Large silver
-    tables can be partitioned, say by ``year_flag``, for later queries to prune.
+    The hours are scanned once, and stored with their cleaning status; roll-up, validation, silver and
+    the accounting read that copy. Gold reads the stored silver table, and only the columns it
+    needs. Large silver tables can be partitioned, say by ``year_flag``, for later queries to prune.
     """
-    raw = build_raw(hours)
+    hour = split(hours)
+    raw = build_raw(hour.every)
     require_valid(raw.report)
-    loaded = {
-        f"silver_{grain}": load_truncate(silver(clean(df), grain), f"{database}.silver_{grain}", partition_by)
-        for grain, df in raw.tables().items()
-    }
-    gold = {"day": loaded["silver_day"], **gold_tables(loaded["silver_hour"])}
-    report = load_truncate(accounting(raw.tables()), f"{database}.cleaning")
-    return loaded | load_layers("gold", {"gold": gold}, database) | {"cleaning": report}
+    parts = {"day": split(raw.day), "hour": hour}
+    with TableLoad(hours.sparkSession) as load:
+        stored = {
+            f"silver_{grain}": load.add(silver(part.rows, grain), f"{database}.silver_{grain}", partition_by)
+            for grain, part in parts.items()
+        }
+        gold = {"day": stored["silver_day"], **gold_tables(stored["silver_hour"])}
+        for name, df in layer_tables("gold", {"gold": gold}):
+            stored[name] = load.add(df, f"{database}.{name}")
+        reports = {grain: part.report.drop("dropped_malformed") for grain, part in parts.items()}
+        stored["cleaning"] = load.add(accounting(reports), f"{database}.cleaning")
+        load.commit()
+    return {name: hours.sparkSession.table(f"{database}.{name}").select(*[column(c) for c in df.columns]) for name, df in stored.items()}

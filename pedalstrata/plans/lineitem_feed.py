@@ -82,3 +82,29 @@ def day_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def day_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hour_dirty(spark, sf_dir).drop("hr")
+
+
+def with_tokens(df: DataFrame) -> DataFrame:
+    """All columns as text, with a token for a missing value in some cells of some of them."""
+    cells = {
+        "dteday": "case when registered % 10 = 3 then 'None' else dteday end",
+        "temp": "case when registered % 10 = 4 then 'NA' when registered % 10 = 5 then 'n/a' else string(temp) end",
+        "weathersit": "case when registered % 10 = 6 then 'NULL' else string(weathersit) end",
+        "casual": "case when registered % 10 = 7 then '' when registered % 10 = 8 then '#N/A' else string(casual) end",
+    }
+    return df.selectExpr(*[f"{cells.get(c, f'string({c})')} as {c}" for c in df.columns])
+
+
+def damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``hour_raw`` as lines of CSV, under a header line, some of which do not fit."""
+    hours = hour_raw(spark, sf_dir)
+    cells = {c: F.col(c).cast("string") for c in hours.columns}
+    cells["hum"] = F.when(F.col("registered") % 20 == 9, "damp").otherwise(F.col("hum").cast("decimal(4,2)").cast("string"))
+    cells["instant"] = F.when(F.col("registered") % 20 == 11, F.concat(F.lit('"'), "instant", F.lit('"'))).otherwise(F.col("instant"))
+    for name in ("temp", "atemp", "windspeed"):
+        cells[name] = F.col(name).cast("decimal(4,2)").cast("string")
+    names = list(cells)
+    whole = F.concat_ws(",", *cells.values())
+    short = F.concat_ws(",", *[cells[c] for c in names[:-1]])
+    line = F.when(F.col("registered") % 20 == 7, short).when(F.col("registered") % 20 == 8, F.concat(whole, F.lit(',"a,b"'))).otherwise(whole)
+    return hours.select(line.alias(",".join(names)))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import logging
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+from typing import TypeVar
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,14 +18,20 @@ from pedalstrata.functions.casting import (
     DOUBLE,
     INTEGER,
     column,
+    free_name,
     literal_kind,
-    nan_to_null,
+    na_to_null,
     normalise_na_columns,
     parse_date,
+    quoted,
 )
 from pedalstrata.operators.quality import require_rows
+from pedalstrata.sources.layers import current
+from pedalstrata.sources.staging import stage
 from pedalstrata.sources.writers import CSV_TEXT
 
+log = logging.getLogger(__name__)
+
 TABLES = ("day", "hour")
 FORMATS = ("csv", "parquet")
 
@@ -33,12 +42,65 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType, strict: bool
     The header must match the schema: by default Spark assigns by position and would put
     reordered columns under wrong names without an error. A cell that does not fit its type is
     null and a row of another length is cut or filled, unless ``strict``: then a row of another
-    length fails every query, and a bad cell every query that reads its column.
+    length fails every query, and a bad cell every query that reads its column. ``scan_csv_told``
+    accounts for both.
     """
     reader = spark.read.options(**CSV_TEXT)
     if strict:
         reader = reader.option("mode", "FAILFAST").option("columnPruning", "false")
-    return reader.csv(path, schema=schema, header=True, enforceSchema=False)
+    return reader.csv(current(spark, path), schema=schema, header=True, enforceSchema=False)
+
+
+#: What can be wrong with a line: too few cells, too many, or a cell that does not fit its type.
+FAULTS = ("short", "long", "unfit")
+
+
+@dataclass(frozen=True)
+class Told:
+    """A tolerant read. ``df`` has, besides the data, the column ``line`` with the text of a line that
+    does not fit and ``fault`` with what is wrong with it, both null in good rows."""
+
+    df: DataFrame
+    line: str
+    fault: str
+
+    def rows(self) -> DataFrame:
+        """Good rows, data columns only."""
+        return self.df.where(column(self.fault).isNull()).drop(column(self.line), column(self.fault))
+
+    def aside(self) -> DataFrame:
+        """``line`` and ``fault`` of every other row."""
+        bad = self.df.where(column(self.fault).isNotNull())
+        return bad.select(column(self.line).alias("line"), column(self.fault).alias("fault"))
+
+    def counts(self) -> DataFrame:
+        """``fault`` and ``n_rows`` for every kind of fault, and for the good rows."""
+        kinds = self.df.sparkSession.createDataFrame([("none",), *[(f,) for f in FAULTS]], "fault string")
+        found = self.df.groupBy(F.coalesce(column(self.fault), F.lit("none")).alias("fault")).agg(F.count(F.lit(1)).alias("n"))
+        return kinds.join(F.broadcast(found), "fault", "left").select("fault", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_rows"))
+
+
+def scan_csv_told(spark: SparkSession, path: str, schema: T.StructType | None = None, dates: bool = False) -> Told:
+    """CSV with a header, every line accounted for. The files are read once and kept as a staged copy.
+
+    Without a schema the types are inferred from the lines that have a cell for every column.
+    """
+    where, typed = current(spark, path), schema
+    if typed is None:
+        names = spark.read.options(**CSV_TEXT).csv(where, header=True).columns
+        typed = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    line, fault = (free_name(typed.names, n) for n in ("line", "fault"))
+    # Without pruning every cell is parsed, whatever is selected.
+    reader = spark.read.options(**CSV_TEXT, columnPruning="false", columnNameOfCorruptRecord=line)
+    read = reader.csv(where, schema=T.StructType([*typed, T.StructField(line, T.StringType())]), header=True, enforceSchema=False)
+    # Separators outside quotes; a doubled quote is two quoted parts next to each other.
+    cells = F.regexp_count(F.regexp_replace(column(line), '"[^"]*"', ""), F.lit(",")) + 1
+    kind = F.when(cells < len(typed), FAULTS[0]).when(cells > len(typed), FAULTS[1]).otherwise(FAULTS[2])
+    told = stage(read.withColumn(fault, F.when(column(line).isNotNull(), kind)))
+    if schema is None:
+        exprs = inferred(told.where(column(fault).isNull()).select(*[column(c) for c in typed.names]), dates)
+        told = told.select(*[F.expr(e).alias(n) for n, e in exprs.items()], column(line), column(fault))
+    return Told(told, line, fault)
 
 
 def scan_raw(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -51,32 +113,37 @@ def scan_raw(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         raise DatasetError(f"no such dataset: {path}") from e
 
 
-def _inferred(df: DataFrame, dates: bool) -> list[Column]:
-    """Per text column the narrowest of integer, double, boolean, date if asked for, or text that
-    fits every value. Detection has tested every cell, so the casts need no test of their own."""
-    text = T.StringType()
+def inferred(df: DataFrame, dates: bool) -> dict[str, str]:
+    """Per text column a SQL expression that reads it as the narrowest of integer, double, boolean,
+    date if asked for, or text that fits every value; missing-value tokens are null.
+
+    Detection tests every cell, so the casts need no test of their own. A column is of dates if none
+    of them has a time of day.
+    """
     names = range(len(df.columns))
-    kinds = df.select(
+    text = normalise_na_columns(df)
+    is_date = [parse_date(column(c), T.StringType()).isNotNull() & (F.length(F.trim(column(c))) <= 10) for c in df.columns]
+    kinds = text.select(
         *[literal_kind(c).alias(f"k{i}") for i, c in enumerate(df.columns)],
-        *[parse_date(column(c), text).isNotNull().alias(f"d{i}") for i, c in enumerate(df.columns) if dates],
+        *[c.alias(f"d{i}") for i, c in enumerate(is_date) if dates],
     )
     found = kinds.agg(
         *[f(f"k{i}") for i in names for f in (F.min, F.max)],
         *[F.bool_and(F.col(f"d{i}") | F.col(f"k{i}").isNull()) for i in names if dates],
     ).first()
-    out = []
+    out = {}
     for i, name in enumerate(df.columns):
-        c, low, high = column(name), found[2 * i], found[2 * i + 1]
+        c, low, high = na_to_null(name), found[2 * i], found[2 * i + 1]
         if high == INTEGER:
-            out.append(c.try_cast("bigint").alias(name))
+            out[name] = f"try_cast({c} AS bigint)"
         elif high == DOUBLE:
-            out.append(nan_to_null(c.try_cast("double")).alias(name))
+            out[name] = f"nullif(try_cast({c} AS double), double('NaN'))"
         elif low == high == BOOLEAN:
-            out.append(c.try_cast("boolean").alias(name))
+            out[name] = f"try_cast({c} AS boolean)"
         elif dates and high is not None and found[2 * len(df.columns) + i]:
-            out.append(parse_date(c, text).alias(name))
+            out[name] = f"coalesce(try_cast({c} AS date), try_to_date(trim({c}), 'yyyyMMdd'))"
         else:
-            out.append(c)
+            out[name] = c
     return out
 
 
@@ -88,8 +155,8 @@ def scan_csv_inferred(spark: SparkSession, path: str, dates: bool = False) -> Da
     one is known. Dates stay text, for the cleaning step to parse, unless ``dates`` is set.
     """
     # Without inferSchema only the header line is read here.
-    text = normalise_na_columns(spark.read.options(**CSV_TEXT).csv(path, header=True))
-    return text.select(*_inferred(text, dates))
+    text = spark.read.options(**CSV_TEXT).csv(current(spark, path), header=True)
+    return text.select(*[F.expr(e).alias(n) for n, e in inferred(text, dates).items()])
 
 
 def _open(
@@ -97,7 +164,7 @@ def _open(
 ) -> DataFrame | None:
     try:
         if fmt == "parquet":
-            return spark.read.parquet(path)
+            return spark.read.parquet(current(spark, path))
         return scan_csv(spark, path, schema) if schema is not None else scan_csv_inferred(spark, path, dates)
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
@@ -105,6 +172,20 @@ def _open(
         raise
 
 
+Opened = TypeVar("Opened")
+
+
+def _present(base: str, names: Sequence[str], fmt: str, opened: Callable[[str], Opened | None]) -> dict[str, Opened]:
+    """Those inputs that exist, with a warning for each that does not; an error if none does."""
+    found = {n: opened(n) for n in names}
+    present = {n: df for n, df in found.items() if df is not None}
+    if not present:
+        raise DatasetError(f"no {fmt} input among {list(names)} in {base}")
+    for name in found.keys() - present.keys():
+        log.warning("no %s/%s.%s; skipped", base, name, fmt)
+    return present
+
+
 def scan_optional(
     spark: SparkSession,
     base: str,
@@ -114,11 +195,30 @@ def scan_optional(
 ) -> dict[str, DataFrame]:
     """Those of ``base/<name>.<fmt>`` that exist; an error if none does."""
     schemas = schemas or {}
-    found = {n: _open(spark, f"{base}/{n}.{fmt}", fmt, schemas.get(n)) for n in names}
-    present = {n: df for n, df in found.items() if df is not None}
-    if not present:
-        raise DatasetError(f"no {fmt} input among {list(names)} in {base}")
-    return present
+    return _present(base, names, fmt, lambda n: _open(spark, f"{base}/{n}.{fmt}", fmt, schemas.get(n)))
+
+
+def scan_optional_told(
+    spark: SparkSession,
+    base: str,
+    names: Sequence[str] = TABLES,
+    fmt: str = "csv",
+    schemas: dict[str, T.StructType] | None = None,
+) -> dict[str, DataFrame | Told]:
+    """The same with CSV lines accounted for; Parquet has none that do not fit."""
+    if fmt == "parquet":
+        return scan_optional(spark, base, names, fmt)
+    schemas = schemas or {}
+
+    def opened(name: str) -> Told | None:
+        try:
+            return scan_csv_told(spark, f"{base}/{name}.{fmt}", schemas.get(name))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+
+    return _present(base, names, fmt, opened)
 
 
 def scan_by_format(
@@ -146,20 +246,32 @@ def scan_by_format(
 def external_csv_table(
     spark: SparkSession, table: str, path: str, schema: T.StructType | None = None
 ) -> DataFrame:
-    """(Re)create a catalog table over CSV files, with a header line and detected types.
+    """(Re)create a catalog table over CSV files with a header line.
 
-    Only the definition is stored; rows stay in the files and are read when queried.
-    Detection reads every file once; a given ``schema`` saves that. Whole numbers come back
-    as 64-bit whatever width detection chose, so the type does not change with the largest
-    value seen.
+    Only definitions are stored; rows stay in the files and are read when queried. With a
+    ``schema`` it is a table. Without one, ``<table>_text`` is a table of text columns, and ``table`` a view
+    on it that casts each to the type that ``scan_csv_inferred`` would find, dates included:
+    missing-value tokens are null, and whole numbers 64-bit, so the type does not change with the
+    largest value seen. Detection reads every file once. A layer with versions is bound to the
+    committed one; create the table again after a refresh.
     """
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    options = {"header": "true", **CSV_TEXT} | ({"inferSchema": "true"} if schema is None else {"enforceSchema": "false"})
-    spark.catalog.createTable(table, path=path, source="csv", schema=schema, **options)
-    df = spark.table(table)
-    return df.select(
-        *[
-            column(f.name).cast("bigint").alias(f.name) if isinstance(f.dataType, T.IntegerType) else column(f.name)
-            for f in df.schema
-        ]
-    )
+    where = current(spark, path)
+    _drop_definition(spark, table)
+    options = {"header": "true", "enforceSchema": "false", **CSV_TEXT}
+    if schema is not None:
+        spark.catalog.createTable(table, path=where, source="csv", schema=schema, **options)
+        return spark.table(table)
+    names = spark.read.options(**CSV_TEXT).csv(where, header=True).columns
+    text = f"{table}_text"
+    _drop_definition(spark, text)
+    strings = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    spark.catalog.createTable(text, path=where, source="csv", schema=strings, **options)
+    casts = [f"{e} AS {quoted(n)}" for n, e in inferred(spark.table(text), dates=True).items()]
+    spark.sql(f"CREATE VIEW {table} AS SELECT {', '.join(casts)} FROM {text}")
+    return spark.table(table)
+
+
+def _drop_definition(spark: SparkSession, table: str) -> None:
+    if spark.catalog.tableExists(table):
+        kind = "VIEW" if spark.catalog.getTable(table).tableType == "VIEW" else "TABLE"
+        spark.sql(f"DROP {kind} {table}")

@@ -55,21 +55,34 @@ def stage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder, on whatever file system it lies."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-
-
-def move(spark: SparkSession, source: str, target: str) -> bool:
-    """Rename a folder; False if there is none."""
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    system = path(source).getFileSystem(spark._jsc.hadoopConfiguration())
-    if not system.exists(path(source)):
-        return False
-    if not system.rename(path(source), path(target)):
-        raise OSError(f"cannot rename {source} to {target}")
-    return True
+    where, system = _system(spark, path)
+    system.delete(where, True)
+
+
+def is_file(spark: SparkSession, path: str) -> bool:
+    where, system = _system(spark, path)
+    return system.exists(where) and not system.getFileStatus(where).isDirectory()
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    where, system = _system(spark, path)
+    if not system.exists(where) or not system.getFileStatus(where).isDirectory():
+        return []
+    return [s.getPath().getName() for s in system.listStatus(where)]
+
+
+def create_empty(spark: SparkSession, path: str) -> None:
+    """A new empty file; an error if it is there already."""
+    where, system = _system(spark, path)
+    system.create(where, False).close()
 
 
 def discard(df: DataFrame) -> None:

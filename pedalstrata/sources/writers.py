@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pedalstrata.functions.casting import column, quoted
-from pedalstrata.sources.staging import move, remove
+from pedalstrata.functions.casting import column
+from pedalstrata.sources.layers import replace_all
+from pedalstrata.sources.tables import TableLoad
 
 LAYERS = {"silver": ("silver",), "gold": ("gold",), "both": ("silver", "gold")}
 
@@ -33,29 +33,31 @@ def _one_line(df: DataFrame) -> DataFrame:
     )
 
 
-def write_layer(df: DataFrame, base: str, name: str, fmt: str = "csv") -> str:
-    """Write ``base/<name>.<fmt>`` as part files (CSV with a header) and return the path.
-
-    Files are written next to what is there, which is replaced only once they are complete: a
-    failing write leaves the old layer as it was.
-    """
+def _writer(df: DataFrame, fmt: str) -> Callable[[str], None]:
     if fmt not in ("csv", "parquet"):
         raise ValueError(f"unknown format: {fmt}")
-    spark, path, run = df.sparkSession, f"{base}/{name}.{fmt}", uuid.uuid4().hex
-    new, old = f"{base}/_new_{name}_{run}", f"{base}/_old_{name}_{run}"
-    try:
-        if fmt == "csv":
-            _one_line(df).write.format(fmt).option("header", True).options(**CSV_TEXT).save(new)
-        else:
-            df.write.format(fmt).save(new)
-    except Exception:
-        remove(spark, new)
-        raise
-    had_one = move(spark, path, old)
-    move(spark, new, path)
-    if had_one:
-        remove(spark, old)
-    return path
+    if fmt == "csv":
+        return lambda path: _one_line(df).write.format(fmt).option("header", True).options(**CSV_TEXT).save(path)
+    return lambda path: df.write.format(fmt).save(path)
+
+
+def write_layers(tables: Mapping[str, DataFrame], base: str, fmt: str = "csv") -> dict[str, str]:
+    """Write a new version of ``base/<name>.<fmt>`` for each table, as part files (CSV with a header).
+
+    Returns the folders of the versions. They take effect together, once all are complete; a failure at
+    any step leaves the old ones. Readers find the committed version by ``layers.current``, which
+    those of this package do themselves.
+    """
+    if not tables:
+        return {}
+    layers = {name: f"{base}/{name}.{fmt}" for name in tables}
+    writes = {layers[name]: _writer(df, fmt) for name, df in tables.items()}
+    paths = replace_all(next(iter(tables.values())).sparkSession, writes)
+    return {name: paths[layer] for name, layer in layers.items()}
+
+
+def write_layer(df: DataFrame, base: str, name: str, fmt: str = "csv") -> str:
+    return write_layers({name: df}, base, fmt)[name]
 
 
 def publish_raw(
@@ -67,45 +69,19 @@ def publish_raw(
     """
     if not target or skip:
         return {}
-    return {name: write_layer(df, f"{target}/raw", name, fmt) for name, df in tables.items()}
+    return write_layers(tables, f"{target}/raw", fmt)
 
 
 def load_truncate(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Replace a table, rows and schema, and return it; also serves create-or-replace from a query.
 
-    The rows go to a folder of their own first. Only then does the catalog name change over to
-    it, and the old rows are removed last, so a failing write leaves the old table, and a frame
-    may read the table it replaces.
+    A write or a definition that fails leaves the old table (see ``tables``), and a frame may read
+    the table it replaces.
     """
-    spark = df.sparkSession
-    database, _, name = table.rpartition(".")
-    home = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri.rstrip("/")
-    path = f"{home}/{name}-{uuid.uuid4().hex}"
-    # One shuffle sized by AQE instead of one small file per task and partition value.
-    rows = df.hint("rebalance", *partition_by) if partition_by else df
-    try:
-        rows.write.format("parquet").partitionBy(*partition_by).save(path)
-    except Exception:
-        remove(spark, path)
-        raise
-    old = _table_folder(spark, table)
-    fields = [f"{quoted(f.name)} {f.dataType.simpleString()}" for f in df.schema]
-    parted = f"PARTITIONED BY ({', '.join(map(quoted, partition_by))})" if partition_by else ""
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"CREATE TABLE {table} ({', '.join(fields)}) USING parquet {parted} LOCATION '{path}'")
-    if partition_by:
-        spark.sql(f"MSCK REPAIR TABLE {table}")
-    if old:
-        remove(spark, old)
-    return spark.table(table).select(*[column(c) for c in df.columns])
-
-
-def _table_folder(spark: SparkSession, table: str) -> str | None:
-    """Where the rows of a table lie, if it is there and its rows are its own."""
-    if not spark.catalog.tableExists(table):
-        return None
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
-    return next((r.data_type for r in rows if r.col_name == "Location"), None)
+    with TableLoad(df.sparkSession) as load:
+        load.add(df, table, partition_by)
+        load.commit()
+    return df.sparkSession.table(table).select(*[column(c) for c in df.columns])
 
 
 def load_layers(
@@ -113,15 +89,22 @@ def load_layers(
 ) -> dict[str, DataFrame]:
     """Load the tables of ``silver``, ``gold`` or ``both`` (silver first) as ``<prefix><layer>_<name>``.
 
-    Hourly data never goes to gold.
+    Hourly data never goes to gold. All tables are replaced together, or none.
     """
+    tables = dict(layer_tables(layer, layers, prefix))
+    if not tables:
+        return {}
+    with TableLoad(next(iter(tables.values())).sparkSession) as load:
+        stored = {table: load.add(df, f"{database}.{table}") for table, df in tables.items()}
+        load.commit()
+    return {t: df.sparkSession.table(f"{database}.{t}").select(*[column(c) for c in df.columns]) for t, df in stored.items()}
+
+
+def layer_tables(layer: str, layers: Mapping[str, Mapping[str, DataFrame]], prefix: str = "") -> Iterator[tuple[str, DataFrame]]:
+    """Table names of a layer and their frames."""
     if layer not in LAYERS:
         raise ValueError(f"unknown layer: {layer}")
-    loaded = {}
     for part in LAYERS[layer]:
         for name, df in layers.get(part, {}).items():
-            if part == "gold" and name == "hour":
-                continue
-            table = f"{prefix}{part}_{name}"
-            loaded[table] = load_truncate(df, f"{database}.{table}")
-    return loaded
+            if part != "gold" or name != "hour":
+                yield f"{prefix}{part}_{name}", df

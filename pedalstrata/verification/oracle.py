@@ -14,32 +14,30 @@ class Field(NamedTuple):
 # Stated here again, so that a wrong name or rule in the code does not agree with itself.
 # Raw name, silver name and type, in silver column order.
 HOUR_FIELDS = [
-    Field(*line.split())
-    for line in """
-    instant ride_id bigint
-    dteday ride_date date
-    hr ride_hour bigint
-    season season bigint
-    yr year_flag bigint
-    mnth month bigint
-    holiday holiday bigint
-    weekday weekday bigint
-    workingday workingday bigint
-    weathersit weather_situation bigint
-    temp temperature double
-    atemp feels_like_temperature double
-    hum humidity double
-    windspeed windspeed double
-    casual casual_users bigint
-    registered registered_users bigint
-    cnt total_rides bigint
-    """.strip().splitlines()
+    Field("instant", "ride_id", "bigint"),
+    Field("dteday", "ride_date", "date"),
+    Field("hr", "ride_hour", "bigint"),
+    Field("season", "season", "bigint"),
+    Field("yr", "year_flag", "bigint"),
+    Field("mnth", "month", "bigint"),
+    Field("holiday", "holiday", "bigint"),
+    Field("weekday", "weekday", "bigint"),
+    Field("workingday", "workingday", "bigint"),
+    Field("weathersit", "weather_situation", "bigint"),
+    Field("temp", "temperature", "double"),
+    Field("atemp", "feels_like_temperature", "double"),
+    Field("hum", "humidity", "double"),
+    Field("windspeed", "windspeed", "double"),
+    Field("casual", "casual_users", "bigint"),
+    Field("registered", "registered_users", "bigint"),
+    Field("cnt", "total_rides", "bigint"),
 ]
 DAY_FIELDS = [f for f in HOUR_FIELDS if f.raw != "hr"]
-RAW_HOUR_COLUMNS = (
-    "instant dteday season yr mnth hr holiday weekday workingday weathersit temp atemp hum windspeed "
-    "casual registered cnt"
-).split()
+RAW_HOUR_COLUMNS = [
+    "instant", "dteday", "season", "yr", "mnth", "hr", "holiday", "weekday", "workingday",
+    "weathersit", "temp", "atemp", "hum", "windspeed", "casual", "registered", "cnt",
+]
+RAW_DAY_COLUMNS = [c for c in RAW_HOUR_COLUMNS if c != "hr"]
 FEED_RULES = (
     ("season_1_4", "season", 1, 4),
     ("year_flag_0_6", "year_flag", 0, 6),
@@ -133,7 +131,8 @@ def _first(c: str) -> str:
 def _daily(source: str) -> str:
     """The daily table: groups by the text date, numbered by date."""
     firsts = ", ".join(_first(c) for c in ("season", "yr", "mnth", "holiday", "weekday", "workingday"))
-    means = ", ".join(f"{_mean6(c)} as {c}" for c in ("temp", "atemp", "hum", "windspeed"))
+    present = {c: f"case when isnan({c}) then null else {c} end" for c in ("temp", "atemp", "hum", "windspeed")}
+    means = ", ".join(f"{_mean6(value)} as {c}" for c, value in present.items())
     sums = ", ".join(f"cast(coalesce(sum({c}), 0) as bigint) as {c}" for c in ("casual", "registered", "cnt"))
     return f"""day_raw as (
       select row_number() over (order by dteday) as instant, *
@@ -260,22 +259,42 @@ def _bins(column: str) -> str:
     )
 
 
-def _contents(tables: dict[str, tuple[str, str, int]], with_: str) -> str:
-    """Per table its rows, columns and total; ``tables`` has (source, total, number of columns)."""
+# Which columns hold doubles.
+DOUBLES = {
+    "temp", "atemp", "hum", "windspeed", "temperature", "feels_like_temperature", "humidity", "avg_rides", "casual_share",
+    "avg_temperature", "avg_feels_like_temperature", "avg_humidity", "avg_windspeed",
+}
+SILVER_HOUR_COLUMNS = [f.silver for f in HOUR_FIELDS]
+SILVER_DAY_COLUMNS = [f.silver for f in DAY_FIELDS]
+RENTAL_COLUMNS = ["n_records", "total_rides", "avg_rides", "casual_users", "registered_users"]
+
+
+def _checksum(columns: list[str]) -> str:
+    """Sum over all rows of a number from the MD5 of all cells; doubles with six digits."""
+
+    def cell(c: str) -> str:
+        value = f"cast(round(case when isnan({c}) then null else {c} end * 1e6) as bigint)" if c in DOUBLES else c
+        return f"coalesce(cast({value} as varchar), '-')"
+
+    row = f"concat_ws('|', {', '.join(cell(c) for c in sorted(columns))})"
+    return f"cast(sum(cast('0x' || substr(md5({row}), 1, 8) as bigint)) as bigint)"
+
+
+def _contents(tables: dict[str, tuple[str, list[str]]], with_: str) -> str:
+    """Per table its rows, columns and checksum; ``tables`` has the source and its columns."""
     return f"with {with_} " + " union all ".join(
-        f"select '{name}' as table_name, count(*) as n_rows, cast({n} as bigint) as n_columns,"
-        f" cast({total} as bigint) as total from {source}"
-        for name, (source, total, n) in tables.items()
+        f"select '{name}' as table_name, count(*) as n_rows, cast({len(columns)} as bigint) as n_columns,"
+        f" {_checksum(columns)} as checksum from {source}"
+        for name, (source, columns) in tables.items()
     )
 
 
 def _load_route(*tables: str) -> str:
-    rides, months = "sum(total_rides)", "(select year_flag, month, sum(total_rides) as t from silver group by all)"
     parts = {
-        "silver_day": ("silver_d", rides, 16),
-        "silver_hour": ("silver", rides, 17),
-        "gold_day": ("silver_d", rides, 16),
-        "gold_monthly": (months, "sum(t)", 7),
+        "silver_day": ("silver_d", SILVER_DAY_COLUMNS),
+        "silver_hour": ("silver", SILVER_HOUR_COLUMNS),
+        "gold_day": ("silver_d", SILVER_DAY_COLUMNS),
+        "gold_monthly": _GOLD["monthly"],
     }
     day = (
         f"{_projected('hour_dirty', DAY_FIELDS)}, {_ranked(DAY_FIELDS)}, "
@@ -286,38 +305,50 @@ def _load_route(*tables: str) -> str:
     return _contents({t: parts[t] for t in tables}, f"{_SILVER_HOUR}, {day}")
 
 
-def _groups(*keys: str, total: str = "sum(total_rides)") -> str:
-    return f"(select {', '.join(keys)}, {total} as t from silver group by all)"
-
+_WEATHER_METRICS = f"""select weather_situation, count(*) as n_records, {_mean6("temperature")} as avg_temperature,
+  {_mean6("feels_like_temperature")} as avg_feels_like_temperature, {_mean6("humidity")} as avg_humidity,
+  {_mean6("windspeed")} as avg_windspeed, {_mean6("total_rides")} as avg_rides
+  from silver group by weather_situation"""
+_METRICS = ["total_rides", "avg_rides", "min_rides", "max_rides", "casual_share"]
+_WEATHER = ["n_records", "avg_temperature", "avg_feels_like_temperature", "avg_humidity", "avg_windspeed", "avg_rides"]
 
-# What the flows write, of cleaned hours and of the days that are made from all hours.
+# Gold tables of silver hours.
 _GOLD = {
-    "monthly": (_groups("year_flag", "month"), "sum(t)", 7),
-    "yearly": (_groups("year_flag"), "sum(t)", 6),
-    "rental_metrics": (_groups("year_flag", "month"), "sum(t)", 7),
-    "weather_metrics": (_groups("weather_situation"), "null", 7),
+    "monthly": (f"({_rentals('year_flag', 'month')})", ["year_flag", "month", *RENTAL_COLUMNS]),
+    "yearly": (f"({_rentals('year_flag')})", ["year_flag", *RENTAL_COLUMNS]),
+    "rental_metrics": (f"({_RENTAL_METRICS})", ["year_flag", "month", *_METRICS]),
+    "weather_metrics": (f"({_WEATHER_METRICS})", ["weather_situation", *_WEATHER]),
 }
 
 
 def _flow_load() -> str:
-    tables = {"loaded_silver_hour": ("cleaned", "sum(cnt)", 17)}
+    tables = {
+        "loaded_silver_day": ("cleaned", RAW_DAY_COLUMNS),
+        "loaded_silver_hour": ("cleaned", RAW_HOUR_COLUMNS),
+        "loaded_gold_day": ("cleaned", RAW_DAY_COLUMNS),
+    }
     tables |= {f"loaded_gold_{name}": spec for name, spec in _GOLD.items()}
     return _contents(tables, _SILVER_OF_CLEANED)
 
 
 def _flow_medallion() -> str:
     # Days are made of the hours before cleaning; those whose text is no date are cleaned away.
-    days = f"{_daily('hour_dirty')}, days as (select * from day_raw where try_cast(dteday as date) is not null)"
+    days = ", ".join(f"{f.raw} as {f.silver}" for f in DAY_FIELDS)
+    report = """accounted as (
+      select 'hour' as dataset, count(*) as rows_in, count(*) filter (d.dteday is null or d.cnt is null) as dropped_null,
+        count(*) filter (d.dteday is not null and d.cnt is not null and try_cast(d.dteday as date) is null) as dropped_bad_date,
+        (select count(*) from cleaned) as rows_out from hour_dirty d
+      union all
+      select 'day', count(*), 0, count(*) filter (try_cast(dteday as date) is null), (select count(*) from days) from day_raw)"""
+    daily = f"{_daily('hour_dirty')}, days as (select {days} from day_raw where try_cast(dteday as date) is not null), {report}"
     tables = {
-        "silver_day": ("days", "sum(cnt)", 16),
-        "silver_hour": ("silver", "sum(total_rides)", 17),
-        "gold_day": ("days", "sum(cnt)", 16),
+        "silver_day": ("days", SILVER_DAY_COLUMNS),
+        "silver_hour": ("silver", SILVER_HOUR_COLUMNS),
+        "gold_day": ("days", SILVER_DAY_COLUMNS),
         **{f"gold_{name}": spec for name, spec in _GOLD.items()},
-        "cleaning": (
-            "(select count(*) as n from cleaned union all select count(*) from days)", "sum(n)", 5
-        ),
-    }
-    return _contents(tables, f"{_SILVER_OF_CLEANED}, {days}")
+        "cleaning": ("accounted", ["dataset", "rows_in", "dropped_null", "dropped_bad_date", "rows_out"]),
+    }
+    return _contents(tables, f"{_SILVER_OF_CLEANED}, {daily}")
 
 
 def _month_day(column: str) -> str:
@@ -366,6 +397,39 @@ def _label(column: str, name: str, labels: dict[int, str]) -> str:
     return f"with {_PROJECTED_HOUR} select ride_id, {column}, case {branches} end as {name} from projected"
 
 
+# Cells that hold a token for a missing value.
+_TOKENS = _TYPED | {
+    "dteday": "case when h.registered % 10 <> 3 then cast(h.dteday as date) end",
+    "temp": "case when h.registered % 10 not in (4, 5) then h.temp end",
+    "weathersit": "case when h.registered % 10 <> 6 then cast(h.weathersit as bigint) end",
+    "casual": "case when h.registered % 10 not in (7, 8) then cast(h.casual as bigint) end",
+}
+
+
+def _two_digits(c: str) -> str:
+    return f"cast(cast({c} as decimal(4,2)) as varchar)"
+
+
+def _line(columns: list[str]) -> str:
+    cells = {c: f"cast({c} as varchar)" for c in columns}
+    cells |= {c: _two_digits(c) for c in ("temp", "atemp", "windspeed")}
+    cells["hum"] = f"case when registered % 20 = 9 then 'damp' else {_two_digits('hum')} end"
+    cells["instant"] = """case when registered % 20 = 11 then '"' || instant || '"' else instant end"""
+    return f"concat_ws(',', {', '.join(cells[c] for c in columns)})"
+
+
+# Lines of CSV and what is wrong with them.
+_DAMAGED = f"""{_HOUR_RAW}, damaged as (select *,
+    case registered % 20 when 7 then {_line(RAW_HOUR_COLUMNS[:-1])}
+      when 8 then {_line(RAW_HOUR_COLUMNS)} || ',"a,b"' else {_line(RAW_HOUR_COLUMNS)} end as line,
+    case registered % 20 when 7 then 'short' when 8 then 'long' when 9 then 'unfit' else 'none' end as fault
+  from hour_raw)"""
+_TOLD = {f.raw: f"cast(d.{f.raw} as {f.type})" for f in HOUR_FIELDS} | {
+    **{c: f"cast({_two_digits(f'd.{c}')} as double)" for c in ("temp", "atemp", "windspeed")},
+    "dteday": "d.dteday",
+    "hum": f"case when d.registered % 20 = 9 then 'damp' else {_two_digits('d.hum')} end",
+}
+
 ORACLE: dict[str, str] = {
     # sources
     "scan_hour_raw": _TYPED_HOUR,
@@ -373,10 +437,13 @@ ORACLE: dict[str, str] = {
     "bronze_external_day": _TYPED_DAY,
     "scan_csv_inferred": f"with {_HOUR_DIRTY} select {_columns(_INFERRED, (), 'd')} from hour_dirty d",
     "scan_optional_inputs": _TYPED_HOUR,
-    "scan_by_format": f"""with {_DAY_RAW}
-      select 'day.csv' as file, count(*) as n_rows, cast(sum(cnt) as bigint) as total_rides from day_raw
-      union all
-      select 'hour.parquet' as file, count(*) as n_rows, cast(sum(cnt) as bigint) as total_rides from hour_raw""",
+    "scan_by_format": _contents({"day.csv": ("day_raw", RAW_DAY_COLUMNS), "hour.parquet": ("hour_raw", RAW_HOUR_COLUMNS)}, _DAY_RAW),
+    "bronze_external_day_tokens": f"with {_DAY_RAW} select {_columns(_TOKENS, ('hr',))} from day_raw h",
+    "bronze_external_hour_tokens": f"with {_HOUR_RAW} select {_columns(_TOKENS)} from hour_raw h",
+    "scan_fault_counts": f"""with {_DAMAGED} select fault, count(instant) as n_rows
+      from (values ('none'), ('short'), ('long'), ('unfit')) f(fault) left join damaged using (fault) group by fault""",
+    "scan_set_aside": f"with {_DAMAGED} select line, fault from damaged where fault <> 'none'",
+    "scan_told_inferred": f"with {_DAMAGED} select {_columns(_TOLD, (), 'd')} from damaged d where fault not in ('short', 'long')",
     # sinks
     "sink_raw_csv": f"with {_HOUR_RAW} select *, {_NOTE} from hour_raw",
     "sink_raw_parquet": _RAW,
@@ -435,6 +502,8 @@ ORACLE: dict[str, str] = {
     "agg_null_cells": f"with {_HOUR_DIRTY} select cast(sum({_NULL_CELLS}) as bigint) as n_nulls from hour_dirty d",
     "udaf_half_up_mean": f"""with {_HOUR_RAW}
       select dteday, cast(trunc(avg(weathersit) + 0.5) as bigint) as weathersit from hour_raw group by dteday""",
+    "udaf_exact_median": f"""with {_HOUR_DIRTY} select dteday, median(cnt) as cnt from hour_dirty
+      where dteday is not null and cnt is not null group by dteday""",
     # windows, order, top-k
     "dedup_latest_day": f"with {_SILVER_DAY} select * from silver",
     "dedup_latest_hour": f"with {_SILVER_HOUR} select * from silver",
@@ -486,12 +555,7 @@ ORACLE: dict[str, str] = {
     "gold_monthly": _from_silver(_rentals("year_flag", "month")),
     "gold_yearly": _from_silver(_rentals("year_flag")),
     "gold_rental_metrics": _from_silver(_RENTAL_METRICS),
-    "gold_weather_metrics": _from_silver(
-        f"""select weather_situation, count(*) as n_records, {_mean6("temperature")} as avg_temperature,
-        {_mean6("feels_like_temperature")} as avg_feels_like_temperature, {_mean6("humidity")} as avg_humidity,
-        {_mean6("windspeed")} as avg_windspeed, {_mean6("total_rides")} as avg_rides
-        from silver group by weather_situation"""
-    ),
+    "gold_weather_metrics": _from_silver(_WEATHER_METRICS),
     # demand
     "demand_by_season": _demand("season"),
     "demand_by_hour": _demand("ride_hour"),
@@ -519,9 +583,12 @@ ORACLE: dict[str, str] = {
     "label_weather": _label("weather_situation", "weather_name", {1: "good", 2: "cloudy", 3: "rain", 4: "storm"}),
     # flows
     "flow_extract_day": _contents(
-        {f"{p}{n}": (f"{n}_raw", "sum(cnt)", c) for p in ("", "published_") for n, c in (("day", 16), ("hour", 17))},
+        {f"{p}{n}": (f"{n}_raw", c) for p in ("", "published_") for n, c in (("day", RAW_DAY_COLUMNS), ("hour", RAW_HOUR_COLUMNS))},
         _DAY_RAW,
     ),
+    "flow_clean_accounting": f"""with {_DAMAGED} select 'hour' as dataset, count(*) as rows_in,
+      count(*) filter (fault <> 'none') as dropped_malformed, cast(0 as bigint) as dropped_null,
+      cast(0 as bigint) as dropped_bad_date, count(*) filter (fault = 'none') as rows_out from damaged""",
     "flow_clean_day": _cleaned_typed("day"),
     "flow_clean_hour": _cleaned_typed("hour"),
     "flow_silver_day": f"with {_SILVER_DAY} select * from silver",

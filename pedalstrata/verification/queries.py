@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,10 +14,18 @@ from pedalstrata.functions import aggregates as agg
 from pedalstrata.functions import casting, labels, udaf
 from pedalstrata.operators import cleaning, dedup, numbering, ordering, projection, quality, rollup
 from pedalstrata.plans import demand, flows, gold
-from pedalstrata.plans.lineitem_feed import day_dirty, day_raw, hour_dirty, hour_faulty, hour_raw
+from pedalstrata.plans.lineitem_feed import (
+    damaged_lines,
+    day_dirty,
+    day_raw,
+    hour_dirty,
+    hour_faulty,
+    hour_raw,
+    with_tokens,
+)
 from pedalstrata.plans.silver import KEY, ORDER, silver
 from pedalstrata.schemas import bronze_schema, raw_schema
-from pedalstrata.sources import readers, writers
+from pedalstrata.sources import layers, readers, writers
 from pedalstrata.sources.staging import own_database, shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +94,39 @@ def bronze_external_day(spark, sf):
     return readers.external_csv_table(spark, f"{_database(spark)}.bronze_day", path)
 
 
+def _bronze_external_tokens(grain: str, spark: SparkSession, sf: str) -> DataFrame:
+    """Missing values as several tokens, in number, date and text columns."""
+    path = writers.write_layer(with_tokens({"day": day_raw, "hour": hour_raw}[grain](spark, sf)), shared_dir(spark), grain)
+    return readers.external_csv_table(spark, f"{_database(spark)}.bronze_{grain}", path)
+
+
+QUERIES["bronze_external_day_tokens"] = partial(_bronze_external_tokens, "day")
+QUERIES["bronze_external_hour_tokens"] = partial(_bronze_external_tokens, "hour")
+
+
+def _damaged(spark: SparkSession, sf: str) -> str:
+    """A CSV folder with lines that lack a cell, have one more or one that is no number."""
+    path, lines = shared_dir(spark), damaged_lines(spark, sf)
+    lines.write.options(header="true", sep="\u0001", quote="").csv(path)
+    return path
+
+
+@query
+def scan_fault_counts(spark, sf):
+    return readers.scan_csv_told(spark, _damaged(spark, sf), raw_schema("hour")).counts()
+
+
+@query
+def scan_set_aside(spark, sf):
+    return readers.scan_csv_told(spark, _damaged(spark, sf), raw_schema("hour")).aside()
+
+
+@query
+def scan_told_inferred(spark, sf):
+    """Types from the lines that are whole; a cell that is no number makes its column text."""
+    return readers.scan_csv_told(spark, _damaged(spark, sf)).rows()
+
+
 @query
 def scan_csv_inferred(spark, sf):
     path = writers.write_layer(hour_dirty(spark, sf), shared_dir(spark), "hour")
@@ -106,15 +147,7 @@ def scan_by_format(spark, sf):
     writers.write_layer(day_raw(spark, sf), base, "day", "csv")
     writers.write_layer(hour_raw(spark, sf), base, "hour", "parquet")
     found = readers.scan_by_format(spark, base, schemas={"day": raw_schema("day")})
-    shapes = [
-        df.agg(
-            F.lit(name).alias("file"),
-            agg.row_count().alias("n_rows"),
-            F.sum(F.col("cnt").cast("bigint")).alias("total_rides"),
-        )
-        for name, df in found.items()
-    ]
-    return shapes[0].unionByName(shapes[1])
+    return _contents(found)
 
 
 # --- sinks ---------------------------------------------------------------------------------
@@ -159,14 +192,28 @@ def load_truncate(spark, sf):
     return writers.load_truncate(hour_raw(spark, sf), table, partition_by=["yr"])
 
 
-def _contents(tables: dict[str, DataFrame], total: str = "total_rides") -> DataFrame:
-    """Per table its rows, columns, and the sum of ``total`` if it has that column."""
+def _cell(df: DataFrame, name: str) -> Column:
+    """A cell as text that SQL engines agree on: six digits of a double, ``-`` for a missing value."""
+    c, dtype = casting.column(name), _dtype(df, name)
+    if casting.is_floating(dtype):
+        c = F.round(casting.nan_to_null(c) * 1e6).cast("bigint")
+    return F.coalesce(c.cast("string"), F.lit("-"))
+
+
+def _checksum(df: DataFrame) -> Column:
+    """Sum over all rows of a number from the MD5 of all cells, columns in order of their names."""
+    row = F.concat_ws("|", *[_cell(df, c) for c in sorted(df.columns)])
+    return F.sum(F.conv(F.substring(F.md5(row), 1, 8), 16, 10).cast("bigint"))
+
+
+def _contents(tables: dict[str, DataFrame]) -> DataFrame:
+    """Per table its rows, columns, and a checksum over all cells."""
     rows = [
         df.agg(
             F.lit(name).alias("table_name"),
             agg.row_count().alias("n_rows"),
             F.lit(len(df.columns)).cast("bigint").alias("n_columns"),
-            (F.sum(total) if total in df.columns else F.lit(None)).cast("bigint").alias("total"),
+            _checksum(df).alias("checksum"),
         )
         for name, df in tables.items()
     ]
@@ -308,11 +355,9 @@ def _per_day(df: DataFrame, *columns) -> DataFrame:
 @query
 def agg_first_non_null(spark, sf):
     # Record numbers repeat and may be missing; the rows with a bad date are one large group.
-    hours = hour_dirty(spark, sf)
+    hours = cleaning.drop_null_keys(hour_dirty(spark, sf), "dteday")
     names = ("season", "yr", "mnth", "holiday", "weekday", "workingday", "hr", "temp", "cnt")
-    order = F.col("instant").try_cast("bigint")
-    rest = [F.col(c) for c in hours.columns if c != "dteday"]
-    return _per_day(hours, *[agg.first_non_null(F.col(n), _dtype(hours, n), order, rest).alias(n) for n in names])
+    return rollup.first_values(hours, "dteday", names, "instant")
 
 
 @query
@@ -350,6 +395,13 @@ def udaf_half_up_mean(spark, sf):
     return udaf.aggregate_with(hour_raw(spark, sf), "dteday", "weathersit", udaf.HALF_UP_MEAN)
 
 
+@query
+def udaf_exact_median(spark, sf):
+    # Days whose text is no date are one large group.
+    hours = hour_dirty(spark, sf).where("cnt is not null")
+    return udaf.aggregate_slices(hours, "dteday", ["cnt"], udaf.exact_median, T.DoubleType(), "cnt", ["cnt"])
+
+
 # --- windows, order, top-k -----------------------------------------------------------------
 
 
@@ -635,8 +687,8 @@ def flow_extract_day(spark, sf):
     base, target = shared_dir(spark), shared_dir(spark)
     paths = flows.extract(hour_raw(spark, sf), base, "parquet", publish_to=target)
     written = {name: spark.read.parquet(path) for name, path in paths.items()}
-    published = {f"published_{n}": spark.read.parquet(f"{target}/raw/{n}.parquet") for n in written}
-    return _contents(written | published, "cnt")
+    published = {f"published_{n}": spark.read.parquet(layers.current(spark, f"{target}/raw/{n}.parquet")) for n in written}
+    return _contents(written | published)
 
 
 def _flow_clean(grain: str, spark: SparkSession, sf: str) -> DataFrame:
@@ -667,15 +719,22 @@ QUERIES["flow_silver_hour"] = partial(_flow_silver, "hour")
 
 @query
 def flow_load(spark, sf):
+    """Every table that the load writes, from files of both grains."""
+    tables = {"day": cleaning.clean(day_dirty(spark, sf)), "hour": cleaning.clean(hour_dirty(spark, sf))}
+    base = shared_dir(spark)
+    writers.write_layers(tables, base, "parquet")
+    return _contents(flows.load(spark, base, "both", _database(spark)))
+
+
+@query
+def flow_clean_accounting(spark, sf):
+    """What cleaning a damaged CSV file did to its lines."""
     base = shared_dir(spark)
-    writers.write_layer(cleaning.clean(hour_dirty(spark, sf)), base, "hour", "parquet")
-    """Every table that the load writes."""
-    loaded = flows.load(spark, base, "both", _database(spark))
-    return _contents({n: df.withColumnRenamed("cnt", "total_rides") for n, df in loaded.items()})
+    damaged_lines(spark, sf).write.options(header="true", sep="\u0001", quote="").csv(f"{base}/hour.csv")
+    return flows.clean_files(spark, base, shared_dir(spark), schemas={"hour": raw_schema("hour")}).report
 
 
 @query
 def flow_medallion(spark, sf):
-    """Every table that the flow writes; of the accounting, the rows that came out."""
-    loaded = flows.medallion(hour_dirty(spark, sf), _database(spark))
-    return _contents({n: df.withColumnRenamed("rows_out", "total_rides") for n, df in loaded.items()})
+    """Every table that the flow writes, the accounting among them."""
+    return _contents(flows.medallion(hour_dirty(spark, sf), _database(spark)))

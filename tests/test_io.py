@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pedalstrata.errors import DatasetError
-from pedalstrata.operators import quality
+from pedalstrata.operators import cleaning, quality
 from pedalstrata.plans import flows
 from pedalstrata.plans.lineitem_feed import hour_dirty, hour_raw
 from pedalstrata.schemas import bronze_schema, raw_schema
-from pedalstrata.sources import readers, staging, writers
+from pedalstrata.sources import layers, readers, staging, tables, writers
 
 
 def write_text(path: Path, text: str) -> str:
@@ -82,7 +82,7 @@ def test_external_table_reads_files_when_queried(spark, tmp_path, db):
     schema = T.StructType([T.StructField(c, T.StringType()) for c in ("dteday", "cnt")])
     text = readers.external_csv_table(spark, f"{db}.text", f"{tmp_path}/raw", schema)
     assert sorted(rows(text)) == [("2011-01-01", "5"), ("2011-01-02", "6")]
-    spark.sql(f"DROP TABLE {db}.bronze")
+    spark.sql(f"DROP VIEW {db}.bronze")
     assert (tmp_path / "raw" / "a.csv").exists()
 
 
@@ -109,7 +109,7 @@ def test_publish_only_with_target(spark, tmp_path):
     assert writers.publish_raw({"hour": df}, str(tmp_path), skip=True) == {}
     assert not any(tmp_path.iterdir())
     paths = writers.publish_raw({"hour": df}, str(tmp_path), "parquet")
-    assert paths == {"hour": f"{tmp_path}/raw/hour.parquet"}
+    assert paths == {"hour": layers.current(spark, f"{tmp_path}/raw/hour.parquet")}
     assert spark.read.parquet(paths["hour"]).count() == 3
 
 
@@ -142,15 +142,141 @@ def test_failed_load_leaves_the_old_table(spark, db, tmp_path, partition_by):
     assert len([p for p in (tmp_path / "db").iterdir() if not p.name.startswith(".")]) == 1
 
 
+# --- tables that are replaced together --------------------------------------------------------
+
+
+class Broken(Exception):
+    pass
+
+
+def failing_at(monkeypatch, module, name, number):
+    """Have the ``number``-th call of a function fail."""
+    calls, real = [], getattr(module, name)
+
+    def called(*args):
+        calls.append(args)
+        if len(calls) == number:
+            raise Broken(name)
+        return real(*args)
+
+    monkeypatch.setattr(module, name, called)
+
+
+def names_in(spark, db):
+    return sorted(t.name for t in spark.catalog.listTables(db))
+
+
+def test_a_definition_that_the_catalog_refuses_leaves_the_old_table(spark, db, tmp_path, monkeypatch):
+    writers.load_truncate(spark.range(10), f"{db}.t")
+    # The rows are written; the catalog then refuses the definition, as for a name that it can't hold.
+    monkeypatch.setattr(tables, "_NEW", "__new ?")
+    with pytest.raises(Exception, match="INVALID_SCHEMA_OR_RELATION_NAME"):
+        writers.load_truncate(spark.range(3).withColumn("more", F.lit(1)), f"{db}.t")
+    assert spark.table(f"{db}.t").count() == 10 and names_in(spark, db) == ["t"]
+    assert len([p for p in (tmp_path / "db").iterdir() if not p.name.startswith(".")]) == 1
+
+
+def test_nested_names_with_blanks(spark, db):
+    df = spark.range(3).select(F.struct(F.col("id").alias("a b"), F.lit("x").alias("c,d")).alias("s"), F.col("id").alias("k.x"))
+    for _ in range(2):
+        out = writers.load_truncate(df, f"{db}.t")
+        assert out.schema.simpleString() == df.schema.simpleString()
+        assert sorted(map(str, rows(out))) == sorted(map(str, rows(df)))
+
+
+@pytest.mark.parametrize("step", [1, 2, 3, 4, 5, 6])
+def test_a_failure_at_any_step_of_the_switch_leaves_all_tables(spark, db, monkeypatch, step):
+    """Three tables, two renames each."""
+    old = {f"gold_{n}": spark.range(n + 1) for n in range(3)}
+    writers.load_layers("gold", {"gold": {n.removeprefix("gold_"): df for n, df in old.items()}}, db)
+    failing_at(monkeypatch, tables, "_rename", step)
+    with pytest.raises(Broken):
+        writers.load_layers("gold", {"gold": {str(n): spark.range(50).withColumn("x", F.lit(n)) for n in range(3)}}, db)
+    assert names_in(spark, db) == sorted(old)
+    for name, df in old.items():
+        assert sorted(rows(spark.table(f"{db}.{name}"))) == sorted(rows(df))
+
+
+def test_a_failing_last_table_leaves_all_tables(spark, sf_dir, db):
+    flows.medallion(hour_dirty(spark, sf_dir), db)
+    before = {n: spark.table(f"{db}.{n}").count() for n in names_in(spark, db)}
+    gold = {"first": spark.range(3), "last": failing(spark)}
+    with pytest.raises(Exception, match="halfway"):
+        writers.load_layers("both", {"silver": {"hour": spark.range(2)}, "gold": gold}, db)
+    assert {n: spark.table(f"{db}.{n}").count() for n in names_in(spark, db)} == before
+
+
+def test_a_load_puts_back_what_a_dead_driver_left(spark, db):
+    writers.load_truncate(spark.range(4), f"{db}.t")
+    spark.sql(f"ALTER TABLE {db}.t RENAME TO {db}.t{tables._SPARE}123")
+    assert tables.recover(spark, db) == ["t"] and spark.table(f"{db}.t").count() == 4
+    assert tables.recover(spark, db) == []
+
+
+def test_prepared_rows_can_be_read_and_are_gone_without_commit(spark, db, tmp_path):
+    with tables.TableLoad(spark) as load:
+        prepared = load.add(spark.range(7), f"{db}.t")
+        assert prepared.count() == 7 and not spark.catalog.tableExists(f"{db}.t")
+        with pytest.raises(ValueError, match="in this load already"):
+            load.add(spark.range(1), f"{db}.t")
+    assert names_in(spark, db) == [] and not any((tmp_path / "db").glob("t-*"))
+
+
+# --- committed layers ---------------------------------------------------------------------------
+
+
+def read_back(spark, base):
+    return {n: spark.read.parquet(layers.current(spark, f"{base}/{n}.parquet")).count() for n in ("day", "hour")}
+
+
+@pytest.mark.parametrize(("function", "number", "after"), [("create_empty", 1, 10), ("create_empty", 2, 10), ("remove", 1, 3)])
+def test_a_fault_at_any_step_leaves_complete_layers(spark, tmp_path, monkeypatch, function, number, after):
+    """Before the commit, between two commits, and when the old version is to be deleted."""
+    old = {"day": spark.range(10), "hour": spark.range(10)}
+    writers.write_layers(old, str(tmp_path), "parquet")
+    failing_at(monkeypatch, layers, function, number)
+    with pytest.raises(Broken):
+        writers.write_layers({"day": spark.range(3), "hour": spark.range(3)}, str(tmp_path), "parquet")
+    assert read_back(spark, tmp_path) == {"day": after, "hour": after}
+    monkeypatch.undo()
+    writers.write_layers({"day": spark.range(5), "hour": spark.range(5)}, str(tmp_path), "parquet")
+    assert read_back(spark, tmp_path) == {"day": 5, "hour": 5}
+
+
+def test_no_folder_is_renamed(spark, tmp_path, monkeypatch):
+    """Where renaming is a copy, or fails, layers still switch."""
+    assert not hasattr(staging, "move")
+    for n in (4, 6):
+        path = writers.write_layer(spark.range(n), str(tmp_path), "hour", "parquet")
+        assert spark.read.parquet(path).count() == n
+
+
+def test_a_layer_of_another_writer_is_read_and_replaced(spark, tmp_path):
+    path = f"{tmp_path}/hour.parquet"
+    spark.range(4).write.parquet(path)
+    assert layers.current(spark, path) == path and readers.scan_optional(spark, str(tmp_path), fmt="parquet")["hour"].count() == 4
+    writers.write_layer(spark.range(2), str(tmp_path), "hour", "parquet")
+    assert readers.scan_optional(spark, str(tmp_path), fmt="parquet")["hour"].count() == 2
+    assert not list(Path(path).glob("part-*"))
+    single = write_text(tmp_path / "day.csv", "a\n1\n")
+    with pytest.raises(DatasetError, match="single file"):
+        writers.write_layer(spark.range(2), str(tmp_path), "day")
+    assert Path(single).read_text() == "a\n1\n"
+
+
 @pytest.mark.parametrize("fmt", ["csv", "parquet"])
 def test_failed_write_leaves_the_old_layer(spark, tmp_path, fmt):
     path = writers.write_layer(spark.range(10), str(tmp_path), "hour", fmt)
     with pytest.raises(Exception, match="halfway"):
         writers.write_layer(failing(spark), str(tmp_path), "hour", fmt)
+    layer = f"{tmp_path}/hour.{fmt}"
+    assert layers.current(spark, layer) == path
     assert spark.read.format(fmt).option("header", True).load(path).count() == 10
-    writers.write_layer(spark.range(3), str(tmp_path), "hour", fmt)
+    path = writers.write_layer(spark.range(3), str(tmp_path), "hour", fmt)
+    assert layers.current(spark, layer) == path
     assert spark.read.format(fmt).option("header", True).load(path).count() == 3
     assert [p.name for p in tmp_path.iterdir()] == [f"hour.{fmt}"]
+    assert sorted(p.name for p in Path(layer).iterdir()) == ["_commits", Path(path).name]
 
 
 def test_csv_keeps_text(spark, tmp_path):
@@ -174,6 +300,52 @@ def test_malformed_rows_are_loud(spark, tmp_path):
                 readers.scan_raw(spark, path, schema).select("b").collect()
 
 
+def test_every_line_is_accounted_for(spark, tmp_path):
+    lines = ["1,x,2011-01-01", "2,y", "3,z,2011-01-02,more", "four,u,2011-01-03", "5,\"a,b\",2011-01-04", "6,v,never",
+             '7,"say ""hi"", ok",', '8,"a,b"']
+    path = write_text(tmp_path / "t.csv", "\n".join(["n,t,`d", *lines]) + "\n")
+    schema = spark.createDataFrame([], "n long, t string, ```d` date").schema
+    told = readers.scan_csv_told(spark, path, schema)
+    assert sorted(r.n for r in told.rows().collect()) == [1, 5, 7] and told.rows().schema == schema
+    assert dict(rows(told.counts())) == {"none": 3, "short": 2, "long": 1, "unfit": 2}
+    assert sorted(rows(told.aside())) == sorted(
+        [(lines[1], "short"), (lines[2], "long"), (lines[3], "unfit"), (lines[5], "unfit"), (lines[7], "short")]
+    )
+    detected = readers.scan_csv_told(spark, path, dates=True)
+    assert [f.dataType.simpleString() for f in detected.rows().schema] == ["string", "string", "string"]
+    assert dict(rows(detected.counts())) == {"none": 5, "short": 2, "long": 1, "unfit": 0}
+
+
+def test_told_columns_do_not_hide_data(spark, tmp_path):
+    path = write_text(tmp_path / "t.csv", "line,fault,status,dteday,cnt\na,b,c,2011-01-01,1\nd,e,f,bad,2\ng,h\n")
+    parts = readers.scan_csv_told(spark, path)
+    assert rows(parts.rows().select("line", "fault").where("cnt = 1")) == [("a", "b")]
+    done = cleaning.split(parts.df, line=parts.line, fault=parts.fault)
+    assert rows(done.rows.select("line", "fault", "status")) == [("a", "b", "c")]
+    assert done.report.first().asDict() == {"rows_in": 3, "dropped_malformed": 1, "dropped_null": 0, "dropped_bad_date": 1, "rows_out": 1}
+    assert done.rejected.count() == 2
+
+
+def test_a_skipped_input_is_warned_of(spark, tmp_path, caplog):
+    write_text(tmp_path / "hour.csv", "dteday,cnt\n2011-01-01,5\n")
+    with caplog.at_level("WARNING"):
+        readers.scan_optional(spark, str(tmp_path))
+    assert f"no {tmp_path}/day.csv; skipped" in caplog.text
+
+
+def test_external_table_with_tokens(spark, tmp_path, db):
+    write_text(tmp_path / "raw" / "a.csv", "n,x,d,b,t,w\n1,NA,2011-01-01,true,a,2011-01-01 10:00:00\nn/a,2.5,null,NULL,-,\n")
+    for _ in range(2):  # created again
+        df = readers.external_csv_table(spark, f"{db}.bronze", f"{tmp_path}/raw")
+    assert [f.dataType.simpleString() for f in df.schema] == ["bigint", "double", "date", "boolean", "string", "string"]
+    assert sorted(map(str, rows(spark.table(f"{db}.bronze")))) == sorted(map(str, rows(df)))
+    write_text(tmp_path / "raw" / "b.csv", "n,x,d,b,t,w\nodd,1,2011-02-30,false,b,\n")
+    spark.catalog.refreshTable(f"{db}.bronze_text")
+    assert spark.table(f"{db}.bronze").where("t = 'b'").select("n", "x", "d").first() == (None, 1.0, None)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in "nxdbtw"])
+    assert readers.external_csv_table(spark, f"{db}.bronze", f"{tmp_path}/raw", schema).count() == 3
+
+
 def test_inferred_dates_and_dotted_names(spark, tmp_path):
     text = "a.b,day,odd,when\n1,2011-01-01,2011-01-01,20110101\n2,NA,bad,20110102\n"
     path = write_text(tmp_path / "t.csv", text)
@@ -293,7 +465,43 @@ def test_cleaning_is_accounted_for(spark, sf_dir, tmp_path):
     cleaned = flows.clean_files(spark, str(tmp_path), f"{tmp_path}/out", schemas={"hour": bronze_schema("hour")})
     (row,) = cleaned.report.collect()
     assert row.dataset == "hour" and row.rows_in == 6000 and row.rows_out == 4251
-    assert row.rows_in == row.dropped_null + row.dropped_bad_date + row.rows_out
+    assert row.rows_in == row.dropped_malformed + row.dropped_null + row.dropped_bad_date + row.rows_out
+    assert cleaned.rejected["hour"].count() == row.rows_in - row.rows_out
+
+
+def test_cleaning_reads_its_input_once(spark, sf_dir, tmp_path, monkeypatch):
+    """Each file is scanned by one plan, the one that stores the rows with their status."""
+    writers.write_layer(hour_dirty(spark, sf_dir), str(tmp_path), "hour")
+    plans, real = [], staging.stage
+    for module in (readers, cleaning):
+        monkeypatch.setattr(module, "stage", lambda df: (plans.append(df._jdf.queryExecution().executedPlan().toString()), real(df))[1])
+    cleaned = flows.clean_files(spark, str(tmp_path), f"{tmp_path}/out", schemas={"hour": bronze_schema("hour")})
+    assert sum(p.count("FileScan csv") for p in plans) == 1
+    for df in (cleaned.report, *cleaned.rejected.values()):
+        assert "FileScan csv" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_counts_survive_a_repeated_task(spark, tmp_path):
+    """Every task fails once after it has given out rows."""
+    spark_master = spark.sparkContext.master
+    mark = str(tmp_path / "failed")
+
+    def fails_once(batches):
+        import os
+
+        from pyspark import TaskContext
+
+        own = f"{mark}-{TaskContext.get().partitionId()}"
+        yield from batches
+        if spark_master.endswith("]") and TaskContext.get().attemptNumber() == 0 and not os.path.exists(own) and retries:
+            open(own, "w").close()
+            raise RuntimeError("lost")
+
+    retries = int(spark.conf.get("spark.task.maxFailures", "1")) > 1
+    df = spark.range(300, numPartitions=3).selectExpr("if(id % 3 = 0, null, '2011-01-01') as dteday", "id as cnt")
+    done = cleaning.split(df.mapInArrow(fails_once, "dteday string, cnt bigint"))
+    assert done.report.first().asDict() == {"rows_in": 300, "dropped_malformed": 0, "dropped_null": 100, "dropped_bad_date": 0, "rows_out": 200}
+    assert done.rows.count() == 200
 
 
 def test_medallion_then_load_keep_their_tables(spark, sf_dir, tmp_path, db):

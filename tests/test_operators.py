@@ -9,9 +9,12 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pedalstrata.errors import DatasetError
-from pedalstrata.operators import cleaning, dedup, numbering, ordering, quality, rollup
+from pedalstrata.functions import udaf
+from pedalstrata.functions.aggregates import first_non_null
+from pedalstrata.operators import cleaning, dedup, numbering, ordering, projection, quality, rollup
 from pedalstrata.plans import demand, gold
 from pedalstrata.plans.lineitem_feed import day_dirty, hour_dirty, hour_raw
 from pedalstrata.plans.silver import silver
@@ -339,3 +342,95 @@ def test_correlation_without_variance_is_null(spark):
 def test_day_grain_silver(spark, sf_dir):
     day = silver(day_dirty(spark, sf_dir), "day")
     assert "ride_hour" not in day.columns and day.count() == 3906
+
+
+# --- names -----------------------------------------------------------------------------------
+
+AWKWARD = ("_row", "_at", "_part", "_local", "_before", "_key", "_rn", "_n", "row", "at", "part", "n", "key", "rank", "local", "before", "k.x")
+
+
+@pytest.fixture(scope="module")
+def plain_and_awkward(spark):
+    """The same rows under plain names, and with a column of every name that could be used inside."""
+    plain = spark.range(200, numPartitions=4).selectExpr("id % 7 as k", "nullif(id % 11, 3) as v", "id % 2 as w")
+    awkward = plain.select(F.col("k").alias("k.x"), "v", "w", *[F.lit(i).alias(c) for i, c in enumerate(AWKWARD[:-1])])
+    return plain, awkward
+
+
+def shared_rows(df):
+    """Rows without the columns that only the second frame has."""
+    own = [F.col(f"`{c}`") for c in df.columns if c not in AWKWARD[:-1]]
+    return sorted(str(tuple(r)) for r in df.select(*own).collect())
+
+
+@pytest.mark.parametrize("method", ["aggregate", "window"])
+@pytest.mark.parametrize("null_keys", ["collapse", "keep", "drop"])
+def test_latest_per_key_with_awkward_names(plain_and_awkward, method, null_keys):
+    plain, awkward = plain_and_awkward
+    got = dedup.latest_per_key(awkward, "k.x", ["v"], null_keys, method)
+    assert got.columns == awkward.columns
+    assert shared_rows(got) == shared_rows(dedup.latest_per_key(plain, "k", ["v"], null_keys, method))
+    assert got.select(*[c for c in AWKWARD[:-1]]).distinct().collect() == [tuple(range(len(AWKWARD) - 1))]
+
+
+def test_ranks_numbers_and_order_with_awkward_names(plain_and_awkward):
+    plain, awkward = plain_and_awkward
+    assert shared_rows(dedup.rank_all(awkward, "k.x", ["v"], "place")) == shared_rows(dedup.rank_all(plain, "k", ["v"], "place"))
+    pairs = [(numbering.sequence_id_distributed(df, [key, "v", "w"], "place"), df) for df, key in ((awkward, "k.x"), (plain, "k"))]
+    assert shared_rows(pairs[0][0]) == shared_rows(pairs[1][0])
+    got, want = (ordering.newest_first(df, ["v", key]) for df, key in ((awkward, "k.x"), (plain, "k")))
+    assert [r.v for r in got.collect()] == [r.v for r in want.collect()] and got.columns == awkward.columns
+    assert projection.rename_only(awkward, {"k.x": "k"}).columns == ["k"]
+
+
+# --- first values and slices -------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("partitions", [1, 7, 13])
+def test_rollup_does_not_depend_on_partitions(spark, sf_dir, partitions):
+    hours = hour_dirty(spark, sf_dir).withColumn("instant", F.expr("case when registered % 3 = 0 then '5' else instant end"))
+    want = rollup.rollup(hours.coalesce(1), "dteday", rollup.DAY_MEASURES)
+    got = rollup.rollup(hours.repartition(partitions), "dteday", rollup.DAY_MEASURES)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    # The whole-row aggregate over all rows, as the definition has it.
+    order = F.col("instant").try_cast("bigint")
+    rest = [F.col(c) for c in hours.columns if c != "dteday"]
+    firsts = [m.column for m in rollup.DAY_MEASURES if m.kind == "first"]
+    direct = hours.where("dteday is not null").groupBy("dteday").agg(
+        *[first_non_null(F.col(c), hours.schema[c].dataType, order, rest).alias(c) for c in firsts]
+    )
+    assert sorted(map(str, got.select("dteday", *firsts).collect())) == sorted(map(str, direct.collect()))
+
+
+def test_a_callable_sees_its_whole_group_in_order(spark):
+    df = spark.range(30_000, numPartitions=6).selectExpr("if(id % 3 = 0, null, id % 5) as `k.x`", "id as v", "id % 2 as w")
+
+    def check(batches, n):
+        seen = [v for b in batches for v in b.column("v").to_pylist()]
+        return f"{n} {len(seen)} {seen == sorted(seen)} {sum(seen)}"
+
+    out = udaf.aggregate_slices(df, "k.x", ["v", "w"], check, T.StringType(), "told", ["v"])
+    # One shuffle for the counts and one, sorted once, for the rows.
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert text.count("hashpartitioning") == 2 and text.count("Sort [") == 1
+    want = df.where("`k.x` is not null").groupBy("`k.x`").agg(F.count("v"), F.sum("v")).collect()
+    assert dict(map(tuple, out.collect())) == {k: f"{n} {n} True {s}" for k, n, s in want}
+    stops = udaf.aggregate_slices(df, "k.x", ["v"], lambda batches, n: next(batches).num_rows > 0, T.BooleanType(), "some", ["v"])
+    assert {r.some for r in stops.collect()} == {True}
+    assert udaf.aggregate_slices(df.where("false"), "k.x", ["v"], check, T.StringType(), "told").count() == 0
+
+
+def test_a_hot_group_takes_no_more_memory_than_a_small_one(spark):
+    """Three million rows in one group, fifty in another."""
+    df = spark.range(3_000_000).selectExpr("if(id < 50, 'small', 'hot') as k", "repeat(string(id), 20) as v")
+
+    def peak(batches, n):
+        import resource
+
+        before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+        total = sum(b.num_rows for b in batches)
+        return f"{total} {(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024}"
+
+    got = dict(map(tuple, udaf.aggregate_slices(df, "k", ["v"], peak, T.StringType(), "peak").collect()))
+    total, grown = map(int, got["hot"].split())
+    assert total == 3_000_000 - 50 and grown < 150  # MB; the group holds 400
