@@ -112,7 +112,9 @@ def _reduced(nodes: DataFrame, group: Sequence[str]) -> tuple[list[DataFrame], D
         slots = F.array_sort(F.collect_list(F.struct("pos", "node", "own")))  # FAN at most
         level = nodes.groupBy(*group, F.expr(f"pos div {FAN}").alias("up")).agg(slots.alias("slots"))
         level = stage(level.withColumn("node", F.when(~lone, digest(F.array_join("slots.node", "")))))
-        last = level.where("node IS NULL").select(*group, F.lit(len(levels)).alias("level"), F.col("slots")[0]["node"].alias("node"))
+        last = level.where("node IS NULL").select(
+            *group, F.lit(len(levels)).alias("level"), F.col("up").alias("pos"), F.col("slots")[0]["node"].alias("node")
+        )
         tops = last if tops is None else tops.unionByName(last)
         levels.append(level)
         nodes = level.where("node IS NOT NULL").select(*group, F.col("up").alias("pos"), "node", F.lit(None).cast("int").alias("own"))
@@ -147,7 +149,7 @@ def _paths(levels: list[DataFrame], tops: DataFrame, group: Sequence[str], down:
     """Members of the first level with their paths; ``tops`` has the last nodes' ``path`` and ``down``."""
     known = None
     for number in reversed(range(len(levels))):
-        own = tops.where(F.col("level") == number).select(*group, F.lit(0).cast("bigint").alias("pos"), *down, "path", F.lit(True).alias("top"))
+        own = tops.where(F.col("level") == number).select(*group, "pos", *down, "path", F.lit(True).alias("top"))
         above = own if known is None else known.withColumn("top", F.lit(False)).unionByName(own)
         members = _members(levels[number], above, group, ["top", *down])
         known = members.select(*group, "pos", *down, "path") if number else members
@@ -168,14 +170,14 @@ def manifest(rows: DataFrame) -> DataFrame:
     )
     leaves = placed(given).select("grp", "pos", F.col("leaf").alias("node"), F.struct("id", "kept").alias("own"))
     levels, tops = _reduced(leaves, ["grp"])
-    numbered = sequence_id_distributed(tops.select("grp"), ["grp"], "number", unique=True)
-    order = stage(tops.join(numbered, tops.grp.eqNullSafe(numbered.grp)).select(tops.grp, "level", "node", "number"))
-    upper = order.select((F.col("number") - 1).alias("pos"), "node", F.struct("grp", "level").alias("own"))
+    numbered = sequence_id_distributed(tops.select(F.col("grp").alias("name")), ["name"], "number", unique=True)
+    order = stage(tops.join(numbered, F.col("grp").eqNullSafe(F.col("name"))).select("grp", "level", "pos", "node", "number"))
+    upper = order.select((F.col("number") - 1).alias("pos"), "node", F.struct("grp", "level", "pos").alias("own"))
     above, root = _reduced(upper, [])
-    start = root.select("level", F.col("node").alias("root"), F.expr(f"cast(array() AS {_SIDE})").alias("path"))
+    start = root.select("level", "pos", F.col("node").alias("root"), F.expr(f"cast(array() AS {_SIDE})").alias("path"))
     subroots = _paths(above, start, [], ["root"])
     subroots = stage(
-        subroots.select("member.own.grp", "member.own.level", F.col("member.node").alias("subroot"), "root", "path")
+        subroots.select("member.own.grp", "member.own.level", "member.own.pos", F.col("member.node").alias("subroot"), "root", "path")
     )
     found = _paths(levels, subroots, ["grp"], ["subroot", "root"])
     return found.select(
