@@ -77,6 +77,9 @@ def _status(df: DataFrame, required: Sequence[str], date_column: str, fmt: str |
     return told.otherwise(KEPT)
 
 
+REPORT_COLUMNS = ("rows_in", "dropped_null", "dropped_bad_date", "rows_out")
+
+
 def _report(status: Column) -> list[Column]:
     """Rows in, dropped for each reason, and out."""
     return [
@@ -87,6 +90,14 @@ def _report(status: Column) -> list[Column]:
     ]
 
 
+def status_counts(
+    df: DataFrame, prefix: str = "", required: Sequence[str] = REQUIRED_COLUMNS, date_column: str = "dteday"
+) -> list[Column]:
+    """The columns of ``cleaning_report`` as aggregates over rows of ``df``, to go with others."""
+    counts = _report(_status(check_required(df, required), required, date_column, None, None))
+    return [c.alias(f"{prefix}{n}") for c, n in zip(counts, REPORT_COLUMNS, strict=True)]
+
+
 @dataclass(frozen=True)
 class Split:
     """What cleaning made of a table; all three read one stored copy, so they agree.

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from pedalstrata.functions.aggregates import missing_cells, row_count
 from pedalstrata.functions.casting import column
-from pedalstrata.operators.cleaning import drop_null_keys, split
+from pedalstrata.operators.cleaning import REPORT_COLUMNS, clean, drop_null_keys, split
 from pedalstrata.operators.quality import require_rows, require_valid, verdict
 from pedalstrata.operators.rollup import number_days, rollup_day_profiled
 from pedalstrata.plans.gold import gold_tables
@@ -26,11 +26,12 @@ from pedalstrata.sources.writers import layer_tables, load_layers, publish_raw,
 
 @dataclass(frozen=True)
 class RawLayer:
-    """Both raw tables and one validation row for each."""
+    """Both raw tables, one validation row for each, and what cleaning would do to the hours."""
 
     day: DataFrame
     hour: DataFrame
     report: DataFrame
+    hour_cleaning: DataFrame
 
     def tables(self) -> dict[str, DataFrame]:
         return {"day": self.day, "hour": self.hour}
@@ -39,10 +40,11 @@ class RawLayer:
 def build_raw(
     hours: DataFrame, strict: bool = False, min_rows: int = MIN_ROWS, min_cols: int = MIN_COLUMNS
 ) -> RawLayer:
-    """Hourly table, daily table and their validation, from one scan of the hours."""
+    """Hourly table, daily table and their validation, from one roll-up of the hours."""
     grouped = stage(rollup_day_profiled(hours, strict))
     require_rows(grouped, "hour")  # without hours there is no group
-    days = drop_null_keys(grouped, "dteday").drop("_rows", "_missing")
+    counts = [f"_{c}" for c in REPORT_COLUMNS]
+    days = drop_null_keys(grouped, "dteday").drop("_rows", "_missing", *counts)
     zero = F.lit(0).cast("bigint")
     hour_profile = grouped.agg(
         F.coalesce(F.sum("_rows"), zero).alias("n_rows"), F.coalesce(F.sum("_missing"), zero).alias("n_nulls")
@@ -55,6 +57,7 @@ def build_raw(
         report=verdict(day_profile, "day", len(RAW_DAY_COLUMNS), min_rows, min_cols).unionByName(
             verdict(hour_profile, "hour", len(hours.columns), min_rows, min_cols)
         ),
+        hour_cleaning=grouped.agg(*[F.coalesce(F.sum(c), zero).alias(c[1:]) for c in counts]),
     )
 
 
@@ -140,23 +143,22 @@ def medallion(hours: DataFrame, database: str, partition_by: Sequence[str] = ())
     Besides the tables, ``cleaning`` accounts for the rows that cleaning dropped. All tables are
     replaced together, or none.
 
-    The hours are scanned once, and stored with their cleaning status; roll-up, validation, silver and
-    the accounting read that copy. Gold reads the stored silver table, and only the columns it
-    needs. Large silver tables can be partitioned, say by ``year_flag``, for later queries to prune.
+    The hours are read by the roll-up, which takes their profile and the accounting along, and by
+    silver. Gold reads the stored silver table, and only the columns it needs. Large silver tables
+    can be partitioned, say by ``year_flag``, for later queries to prune.
     """
-    hour = split(hours)
-    raw = build_raw(hour.every)
+    raw = build_raw(hours)
     require_valid(raw.report)
-    parts = {"day": split(raw.day), "hour": hour}
+    day = split(raw.day)
     with TableLoad(hours.sparkSession) as load:
         stored = {
-            f"silver_{grain}": load.add(silver(part.rows, grain), f"{database}.silver_{grain}", partition_by)
-            for grain, part in parts.items()
+            f"silver_{grain}": load.add(silver(df, grain), f"{database}.silver_{grain}", partition_by)
+            for grain, df in (("day", day.rows), ("hour", clean(hours)))
         }
         gold = {"day": stored["silver_day"], **gold_tables(stored["silver_hour"])}
         for name, df in layer_tables("gold", {"gold": gold}):
             stored[name] = load.add(df, f"{database}.{name}")
-        reports = {grain: part.report.drop("dropped_malformed") for grain, part in parts.items()}
+        reports = {"day": day.report.drop("dropped_malformed"), "hour": raw.hour_cleaning}
         stored["cleaning"] = load.add(accounting(reports), f"{database}.cleaning")
         load.commit()
     return {name: hours.sparkSession.table(f"{database}.{name}").select(*[column(c) for c in df.columns]) for name, df in stored.items()}
