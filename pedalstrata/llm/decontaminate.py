@@ -12,11 +12,12 @@ wherever they lie, one mask at one place misses none of its positions. Items of
 ``EXACT_BELOW`` words must occur exactly; windows of their own length are hashed for that.
 
 Documents are only scanned: hashes meet the benchmark's, which are broadcast in blocks of a
-checked size (a larger benchmark takes more blocks, each one pass over the documents). One row
-per (document, item) pair is shuffled from each task.
+bounded number of words (a larger benchmark takes more blocks, each one pass over the documents).
+A hash travels with the number of its item and its place in it; the words of an item, which a
+hit is verified on, travel once per block. One row per (document, item) pair is shuffled from each task.
 
 Edge cases: null, empty or wordless texts and items match nothing. Items with the same words are
-one item, with the smallest ``item_id`` (null only if all are). Rows of equal ``doc_id`` are one
+looked for once and reported under each of their ids, a null one too. Rows of equal ``doc_id`` are one
 document as to pairs; a null ``doc_id`` is reported as null. ``clean`` judges each row by its own
 text. Extra columns are ignored in pairs and kept by ``clean``.
 """
@@ -28,13 +29,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pedalstrata.llm.common import free_name, quoted
+from pedalstrata.llm.common import free_name, quoted, running_totals
+from pedalstrata.sources.staging import stage
 
 MASKS = ((0, 1, 2, 3, 5), (0, 1, 4, 5, 6))
 WINDOW = 13
 EXACT_BELOW = 8
-#: Hashes broadcast at a time: about 100 bytes each in the executors' join table.
-BLOCK_SEEDS = 200_000
+#: Words of the items broadcast at a time, or one longer item: two hashes a word at about 100 bytes
+#: each in the executors' join table, and the word itself.
+BLOCK_WORDS = 100_000
 
 
 def tolerance(words: Column) -> Column:
@@ -54,20 +57,28 @@ def _windows(h: Column, number: int, mask: tuple[int, ...]) -> Column:
     return F.transform(starts, lambda w, i: F.xxhash64(F.lit(number), w, *[F.get(h, i + p) for p in mask[1:]]))
 
 
-def benchmark_items(benchmark: DataFrame) -> DataFrame:
-    """``item_id`` and word hashes ``item`` of each distinct item that has words."""
-    items = benchmark.select(F.col("item_id").cast("bigint"), word_hashes(F.col("text")).alias("item"))
-    return items.where(F.size("item") > 0).groupBy("item").agg(F.min("item_id").alias("item_id"))
+def benchmark_items(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> tuple[DataFrame, DataFrame]:
+    """Distinct items that have words, and their ids.
+
+    The first has ``item_no``, word hashes ``item`` and the ``block`` it is broadcast in, the second ``item_no`` and
+    ``item_id``. Both are stored.
+    """
+    given = benchmark.select(F.col("item_id").cast("bigint"), word_hashes(F.col("text")).alias("item"))
+    given = stage(given.where(F.size("item") > 0).distinct())
+    items = stage(given.select("item").distinct().withColumn("item_no", F.monotonically_increasing_id()))
+    sized = running_totals(items.withColumn("words", F.size("item")), [], ["item_no"], "words", "before")
+    blocked = stage(sized.select("item_no", "item", F.expr(f"before div {block_words}").alias("block")))
+    return blocked, stage(given.join(items, "item").select("item_no", "item_id"))
 
 
 def item_seeds(items: DataFrame, masks: dict[int, tuple[int, ...]]) -> DataFrame:
-    """``seed`` and ``item_at`` of every window of every item, with the item."""
+    """``seed`` of every window of every item, with ``item_no``, ``item_at`` and ``block``."""
     n = F.size("item")
     return reduce(
         DataFrame.unionByName,
         [
             items.where(n >= EXACT_BELOW if number < len(MASKS) else n == len(mask)).select(
-                "item_id", "item", F.posexplode(_windows(F.col("item"), number, mask)).alias("item_at", "seed")
+                "item_no", "block", F.posexplode(_windows(F.col("item"), number, mask)).alias("item_at", "seed")
             )
             for number, mask in masks.items()
         ],
@@ -96,14 +107,12 @@ def _verified(h: Column, item: Column, shift: Column) -> tuple[Column, Column, C
     return F.aggregate(same, F.lit(0), lambda a, x: a + x), F.coalesce(best[0], F.lit(0)), run
 
 
-def _hits(docs: DataFrame, items: DataFrame, keys: list[str], block_seeds: int) -> DataFrame:
-    """Every verified hit: ``keys`` of ``docs``, ``item_id``, and what was found."""
+def _hits(docs: DataFrame, items: DataFrame, keys: list[str]) -> DataFrame:
+    """Every verified hit: ``keys`` of ``docs``, ``item_no``, and what was found."""
     short = [r[0] for r in items.where(F.size("item") < EXACT_BELOW).select(F.size("item")).distinct().collect()]
     masks = dict(enumerate([*MASKS, *(tuple(range(n)) for n in sorted(short))]))
     seeds = item_seeds(items, masks)
-    # Seeds in blocks of items, so that each broadcast has a known bound.
-    n_seeds = seeds.count()
-    blocks = max(1, -(-n_seeds // block_seeds))
+    blocks = (items.agg(F.max("block")).first()[0] or 0) + 1
     h = free_name(docs, "h")
     hashed = docs.select(*keys, word_hashes(F.col("text")).alias(h))
     every = F.concat(*[_windows(F.col(h), number, mask) for number, mask in masks.items()])
@@ -112,8 +121,9 @@ def _hits(docs: DataFrame, items: DataFrame, keys: list[str], block_seeds: int)
     sizes = [F.greatest(F.size(h) - F.lit(m[-1]), F.lit(0)) for m in masks.values()]
     found = []
     for block in range(blocks):
-        own = seeds if blocks == 1 else seeds.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block)
-        found.append(windows.join(F.broadcast(own), "seed"))
+        own = seeds.where(F.col("block") == block).drop("block")
+        texts = items.where(F.col("block") == block).select("item_no", "item")
+        found.append(windows.join(F.broadcast(own), "seed").join(F.broadcast(texts), "item_no"))
     hit = reduce(DataFrame.unionByName, found)
     place, before = F.lit(0), F.lit(0)
     for size in sizes:
@@ -123,7 +133,7 @@ def _hits(docs: DataFrame, items: DataFrame, keys: list[str], block_seeds: int)
     agree, best, run = _verified(F.col(h), F.col("item"), F.col("shift"))
     out = hit.select(
         *keys,
-        "item_id",
+        "item_no",
         F.size("item").cast("bigint").alias("item_words"),
         agree.cast("bigint").alias("agreeing_words"),
         best.alias("best"),
@@ -133,29 +143,27 @@ def _hits(docs: DataFrame, items: DataFrame, keys: list[str], block_seeds: int)
     return out.where(F.col("best") >= F.col("run") - tolerance(F.col("run")))
 
 
-def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, block_seeds: int = BLOCK_SEEDS) -> DataFrame:
+def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``doc_id``, ``item_id``, ``item_words``, and of the best place ``agreeing_words`` and ``first_word``.
 
     ``first_word`` is the word of the document that the item's first word lies on (negative if
     the document has only a later part of the item).
     """
-    hits = _hits(docs.select(F.col("doc_id").cast("bigint"), "text"), benchmark_items(benchmark), ["doc_id"], block_seeds)
-    best = F.max(F.struct("agreeing_words", (-F.col("shift")).alias("back")))
-    return (
-        hits.groupBy("doc_id", "item_id", "item_words")
-        .agg(best.alias("b"))
-        .select(
-            "doc_id", "item_id", "item_words", F.col("b.agreeing_words").alias("agreeing_words"), (-F.col("b.back")).alias("first_word")
-        )
+    items, ids = benchmark_items(benchmark, block_words)
+    hits = _hits(docs.select(F.col("doc_id").cast("bigint"), "text"), items, ["doc_id"])
+    best = F.max(F.struct("agreeing_words", (-F.col("shift")).alias("back"))).alias("b")
+    placed = hits.groupBy("doc_id", "item_no", "item_words").agg(best)
+    return placed.join(ids, "item_no").select(
+        "doc_id", "item_id", "item_words", F.col("b.agreeing_words").alias("agreeing_words"), (-F.col("b.back")).alias("first_word")
     )
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, block_seeds: int = BLOCK_SEEDS) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The rows of ``docs`` whose text holds no benchmark passage, with all their columns.
 
     Rows are recognised by a hash of their text, which is all that the verdict depends on.
     """
     key = free_name(docs, "text_key")
     keyed = docs.withColumn(key, F.sha2(F.coalesce(F.col("text"), F.lit("")), 256))
-    bad = _hits(keyed.select(key, "text"), benchmark_items(benchmark), [key], block_seeds).select(key).distinct()
+    bad = _hits(keyed.select(key, "text"), benchmark_items(benchmark, block_words)[0], [key]).select(key).distinct()
     return keyed.join(bad, key, "left_anti").select(*[quoted(c) for c in docs.columns])

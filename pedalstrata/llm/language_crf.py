@@ -209,8 +209,13 @@ def labelled_sample(docs: DataFrame, held_out: Column, sample: int = SAMPLE) ->
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out).select(
         F.col("doc_id").cast("bigint"), "lang"
     )
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    return known.withColumn("n", F.row_number().over(order)).where(F.col("n") <= sample).drop("n").dropDuplicates(["doc_id"])
+    # A threshold on the hash leaves about twice the sample, so that few rows are ranked, whatever the input.
+    share = F.lit(2.0 * sample) / F.col("of_lang")
+    place = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / F.lit(2.0**53)
+    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("of_lang"))  # one row per language
+    few = known.join(F.broadcast(sizes), "lang").where(place < share).select("doc_id", "lang")
+    order = Window.partitionBy("lang").orderBy(place, "doc_id")
+    return few.withColumn("n", F.row_number().over(order)).where(F.col("n") <= sample).drop("n").dropDuplicates(["doc_id"])
 
 
 def train(docs: DataFrame, held_out: Column, sample: int = SAMPLE) -> Model | None:

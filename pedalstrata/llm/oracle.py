@@ -11,9 +11,9 @@ from pedalstrata.llm.divergence import common_words
 
 DECONTAMINATION = r"""
 WITH items AS (
-  SELECT min(item_id) AS item_id, w FROM (
+  SELECT DISTINCT item_id, w FROM (
     SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM benchmark)
-  WHERE len(w) > 0 GROUP BY w),
+  WHERE len(w) > 0),
 item_words AS (
   SELECT item_id, len(w) AS n, unnest(w) AS word, generate_subscripts(w, 1) AS j FROM items),
 doc_words AS (

@@ -4,9 +4,11 @@ First pass: each task encodes its documents, numbers their ids from its own star
 them; prefix sums over the tasks' token totals (one row per task) turn local starts into global
 offsets. Second pass: every document is cut where its global offsets cross a multiple of the
 window, without a shuffle. Windows that no single task holds whole are put together from
-boundary records, of which there are at most two per run of stored rows.
+boundary records, of which there are at most two per run of stored rows. Sequences are written with
+their ids and a list of the pieces that lie in them; ``pieces_of`` tells the pieces, and their
+checksums, from the files.
 
-Only the last sequence is not full; ``sequences`` pads it. The order of documents is that of the
+Only the last sequence is not full; it is padded. The order of documents is that of the
 input files. Edge cases: a null or empty text is one ``END`` id; equal and null ``doc_id`` are
 separate documents; an empty table gives no piece. Other columns of the input are ignored.
 """
@@ -26,6 +28,7 @@ from pedalstrata.llm.token_files import SCHEMA, encoded, orc_options, part_offse
 from pedalstrata.sources.staging import shared_dir
 
 WINDOW = 1024
+PIECES = "array<struct<doc_id:bigint,start:bigint,length:bigint,doc_tokens:bigint>>"
 
 
 @dataclass(frozen=True)
@@ -35,40 +38,14 @@ class Packed:
     rows: DataFrame
     window: int
 
-    def pieces(self, with_ids: bool = False) -> DataFrame:
-        """One row per document and window: where the piece lies in both, and its checksum."""
-        window = self.window
-
-        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                ids, at, lengths = list_values(batch.column("ids"))
-                begin = batch.column("start").to_numpy()
-                row, sequence, left, n = _cut(begin, lengths, window)
-                start = left - begin[row]
-                columns = {
-                    "doc_id": batch.column("doc_id").take(pa.array(row)),
-                    "start": pa.array(start),
-                    "length": pa.array(n),
-                    "ids_crc32": pa.array(crc32s(ids, at[row] + start, n)),
-                    "doc_tokens": pa.array(lengths[row]),
-                    "sequence_id": pa.array(sequence),
-                    "offset": pa.array(left - sequence * window),
-                }
-                if with_ids:
-                    # Pieces follow the documents, so the ids need no copy by piece.
-                    used = ids[at[0] : at[0] + int(lengths.sum())] if len(at) else ids[:0]
-                    columns["ids"] = ids_array(used, n)
-                yield pa.RecordBatch.from_pydict(columns)
-
-        schema = (
-            "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
-            "sequence_id bigint, offset bigint" + (", ids array<int>" if with_ids else "")
-        )
-        return self.rows.select("doc_id", "start", "ids").mapInArrow(cut, schema)
-
     def sequences(self, pad: int = 0) -> DataFrame:
-        """``sequence_id``, ``n_tokens`` and the padded ``ids`` of every window."""
+        """``sequence_id``, ``n_tokens``, the padded ``ids`` and the ``pieces`` of every window.
+
+        ``pieces`` are in their order, each with ``doc_id``, ``start`` (the document's ids before it),
+        ``length`` and ``doc_tokens``.
+        """
         window = self.window
+        members = pa.struct([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64())])
 
         def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -80,24 +57,65 @@ class Packed:
                 # Neighbouring pieces of one window become one record.
                 joined = np.concatenate([[False], (sequence[1:] == sequence[:-1]) & (left[1:] == left[:-1] + n[:-1])])
                 heads = np.flatnonzero(~joined)
+                fields = [batch.column("doc_id").take(pa.array(row)), *map(pa.array, (left - begin[row], n, lengths[row]))]
+                pieces = pa.StructArray.from_arrays(fields, fields=list(members))
+                ends = pa.array(np.append(heads, len(row)).astype(np.int32))
                 columns = {
                     "sequence_id": pa.array(sequence[heads]),
                     "offset": pa.array((left - sequence * window)[heads]),
                     "ids": ids_array(ids[at[0] : at[0] + int(lengths.sum())], np.add.reduceat(n, heads)),
+                    "pieces": pa.ListArray.from_arrays(ends, pieces),
                 }
                 yield pa.RecordBatch.from_pydict(columns)
 
-        found = self.rows.select("start", "ids").mapInArrow(gather, "sequence_id bigint, offset bigint, ids array<int>")
-        whole = found.where(F.size("ids") == window).select("sequence_id", "ids")
+        schema = f"sequence_id bigint, offset bigint, ids array<int>, pieces {PIECES}"
+        found = self.rows.select("doc_id", "start", "ids").mapInArrow(gather, schema)
+        whole = found.where(F.size("ids") == window).select("sequence_id", "ids", "pieces")
         boundary = (
             found.where(F.size("ids") < window)
             .groupBy("sequence_id")
-            .agg(F.sort_array(F.collect_list(F.struct("offset", "ids"))).alias("records"))
-            .select("sequence_id", F.flatten("records.ids").alias("ids"))
+            .agg(F.sort_array(F.collect_list(F.struct("offset", "ids", "pieces"))).alias("records"))
+            .select("sequence_id", F.flatten("records.ids").alias("ids"), F.flatten("records.pieces").alias("pieces"))
         )
         n = F.size("ids")
         filled = F.concat("ids", F.array_repeat(F.lit(pad), F.lit(window) - n))
-        return whole.unionByName(boundary).select("sequence_id", n.cast("bigint").alias("n_tokens"), filled.alias("ids"))
+        return whole.unionByName(boundary).select("sequence_id", n.cast("bigint").alias("n_tokens"), filled.alias("ids"), "pieces")
+
+    def write(self, path: str, pad: int = 0) -> DataFrame:
+        """Write the sequences to ORC files, and return them as read from there."""
+        found = self.sequences(pad)
+        found.write.format("orc").options(**{"orc.compress": "ZSTD"}).save(path)
+        return found.sparkSession.read.schema(found.schema).orc(path)
+
+
+def pieces_of(sequences: DataFrame) -> DataFrame:
+    """One row per piece, from the sequences: where it lies in its document and its sequence, and its checksum."""
+
+    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, at, _ = list_values(batch.column("ids"))
+            pieces = batch.column("pieces")
+            ends = pieces.offsets.to_numpy()
+            counts = np.diff(ends)
+            inner = pieces.values.slice(int(ends[0]), int(ends[-1] - ends[0]))
+            doc_id, start, length, doc_tokens = inner.flatten()
+            n = length.to_numpy()
+            row = np.repeat(np.arange(len(counts)), counts)
+            before = np.cumsum(n) - n
+            offset = before - before[np.cumsum(counts) - counts][row] if len(n) else before
+            columns = {
+                "doc_id": doc_id,
+                "start": start,
+                "length": length,
+                "ids_crc32": pa.array(crc32s(ids, at[row] + offset, n)),
+                "doc_tokens": doc_tokens,
+                "sequence_id": batch.column("sequence_id").take(pa.array(row)),
+                "offset": pa.array(offset),
+            }
+            yield pa.RecordBatch.from_pydict(columns)
+
+    schema = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
+    return sequences.select("sequence_id", "ids", "pieces").mapInArrow(opened, schema)
 
 
 def _cut(begin: np.ndarray, lengths: np.ndarray, window: int) -> tuple[np.ndarray, ...]:

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pedalstrata.llm import textcodes
-from pedalstrata.llm.common import free_name, quoted
+from pedalstrata.llm.common import free_name, join_keyed, quoted
 from pedalstrata.llm.components import components
 from pedalstrata.llm.encoding import slices
 from pedalstrata.sources.staging import discard, stage
@@ -203,10 +203,10 @@ def linked_in_blocks(members: DataFrame, payload: DataFrame, threshold: float =
     join what its earlier links have not joined: fewer than it has members.
     """
     sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    sizes = stage(sizes.withColumn("blocks", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")))
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     dealt = (
-        members.join(sizes, "key")
-        .withColumn("blocks", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int"))
+        join_keyed(members, sizes, ["key"], "n")
         .withColumn("mine", mine)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", "root")
@@ -321,15 +321,20 @@ def links(docs: DataFrame, rows: DataFrame, threshold: float = THRESHOLD) -> Dat
     return out
 
 
+def _labelled(rows: DataFrame, roots: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns`` of ``rows``, among them ``node``, with the ``root`` of the component."""
+    sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n"))
+    keyed = stage(sizes.join(roots, "node", "left").select("node", "n", F.coalesce("root", "node").alias("root")))
+    return join_keyed(rows.select(*columns), keyed, ["node"], "n")
+
+
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id``, ``class_id`` (smallest id of the class) and ``node`` of every row."""
     rows = stage(signed(docs))
-    roots = components(links(docs, rows, threshold))
-    labelled = rows.select("doc_id", "node").join(roots, "node", "left").select(
-        "doc_id", "node", F.coalesce("root", "node").alias("root")
-    )
-    named = labelled.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    return labelled.join(named, "root").select("doc_id", "class_id", "node")
+    labelled = _labelled(rows, components(links(docs, rows, threshold)), ["doc_id", "node"])
+    labelled = stage(labelled)
+    named = stage(labelled.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("n")))
+    return join_keyed(labelled, named, ["root"], "n").select("doc_id", "class_id", "node")
 
 
 def representatives(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -339,8 +344,7 @@ def representatives(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     in both any one stays.
     """
     rows = stage(signed(docs))
-    roots = components(links(docs, rows, threshold))
-    labelled = rows.select("doc_id", "text_key", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    labelled = _labelled(rows, components(links(docs, rows, threshold)), ["doc_id", "text_key", "node"])
     order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_key")
     best = labelled.groupBy("root").agg(F.min(order).alias("k")).select("k.doc_id", "k.text_key")
     key, own_id = free_name(docs, "text_key"), free_name(docs, "own_id")

@@ -53,7 +53,9 @@ def op2_probminhash(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def op3_pack(spark: SparkSession, sf: str) -> DataFrame:
-    return packing.pack(table(spark, sf, "documents"), tokenizer_path()).pieces()
+    """Write the sequences, and tell every piece from their files."""
+    packed = packing.pack(table(spark, sf, "documents"), tokenizer_path())
+    return packing.pieces_of(packed.write(shared_dir(spark)))
 
 
 @query

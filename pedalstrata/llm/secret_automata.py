@@ -4,17 +4,20 @@ Base spans are those of three patterns (``assign``, ``access``, ``hex``), leftmo
 within a kind. Their values are labelled credentials: per kind, the prefix tree of a sample is folded
 into a probabilistic automaton by merging states whose symbol frequencies are statistically
 compatible (ALERGIA: a Hoeffding bound on every outgoing frequency, recursively). Symbols are classes
-of characters, since credentials are random within their alphabet. One more automaton is
-inferred from ordinary candidates: maximal runs of ``MIN_RUN`` or more characters that occur in
-credentials and touch no base span. All runs are scored, and what no automaton claims is cut at ever
+of characters, since credentials are random within their alphabet. Credentials of other formats can be
+given with their kinds; each kind is one more automaton. The ordinary automaton stands for candidates:
+maximal runs of ``MIN_RUN`` or more characters that occur in credentials and touch no base span. Its
+states are the last ``MEMORY`` symbols (a language testable by its factors), its counts those of all
+runs of all documents, and each state falls back to that of one symbol less. All runs are scored, and what no automaton claims is cut at ever
 more separators and its parts are scored: whole, at ``=``, ``.``, ``/``, ``-``, ``_`` and ``+``, without
 punctuation at the edges. Of a run that touches base spans, what is left beside them is scored so,
 and parts without a separator that reach over a span. A part becomes a span ``inferred`` if the best
 credential automaton gives it at least ``MARGIN`` more log-likelihood per character than the ordinary
-one; each symbol that a format never showed costs it ``UNSEEN`` more.
+one.
 
-Bounds, as parameters: ``SAMPLE`` distinct values per automaton, picked by a hash. Every text is
-scanned whole, twice: once for the samples, once for the spans.
+Bounds, as parameters: ``SAMPLE`` distinct labelled values per kind, picked by a hash. The ordinary
+counts cover all rows; there are as many as states and symbols allow, whatever the input. Every text is
+scanned whole, twice: once for values and counts, once for the spans.
 
 Edge cases: a null text is an empty one. Without labelled credentials nothing is inferred. Repeated
 rows are scanned alike. ``redacted`` keeps all columns; where there is a column ``n_chars`` it
@@ -26,7 +29,8 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections.abc import Iterator, Sequence
+from collections import Counter
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -41,7 +45,7 @@ KINDS = ("assign", "access", "hex", "inferred")
 SAMPLE = 1500
 MIN_RUN = 12
 MARGIN = 1.0
-UNSEEN = 10.0
+MEMORY = 3
 ALPHA = 0.05
 MASK = "[secret]"
 
@@ -153,7 +157,6 @@ class Automaton:
     successors: list[list[int]]
     steps: list[list[float]]
     ends: list[float]
-    alphabet: frozenset[int] = frozenset()
 
     def log_likelihood(self, word: Sequence[int]) -> float:
         total, state = 0.0, 0
@@ -235,7 +238,7 @@ def infer(words: Sequence[Sequence[int]], alpha: float = ALPHA) -> Automaton:
             kept.append(state)
         border = [(r, s) for r in kept for s in sorted(children[r]) if children[r][s] not in kept]
     number = {state: i for i, state in enumerate(kept)}
-    out = Automaton([], [], [], frozenset(s for word in words for s in word))
+    out = Automaton([], [], [])
     for state in kept:
         n = passed[state] + 0.1 * (N_CLASSES + 1)  # additive smoothing
         out.successors.append([number[children[state].get(s, state)] for s in range(N_CLASSES)])
@@ -244,6 +247,48 @@ def infer(words: Sequence[Sequence[int]], alpha: float = ALPHA) -> Automaton:
     return out
 
 
+END_SYMBOL = N_CLASSES
+
+
+def factors(word: Sequence[int], memory: int = MEMORY) -> Iterator[tuple[int, ...]]:
+    """Each symbol of a word and its end, behind the symbols before it, at most ``memory`` of them."""
+    padded = [*word, END_SYMBOL]
+    return (tuple(padded[max(0, i - memory) : i + 1]) for i in range(len(padded)))
+
+
+def testable(counts: Mapping[tuple[int, ...], int], memory: int = MEMORY) -> Automaton:
+    """The automaton whose states are the last symbols, from the counts of all factors.
+
+    A state's frequencies are smoothed by those of the state without its first symbol, whose counts
+    are summed over all its extensions, and in the end by equal ones.
+    """
+    states: dict[tuple[int, ...], dict[int, int]] = {}
+    for factor, n in counts.items():
+        # Every shorter context has the counts of the longer ones, for words that begin otherwise.
+        for cut in range(len(factor)):
+            row = states.setdefault(factor[cut:-1], {})
+            row[factor[-1]] = row.get(factor[-1], 0) + n
+    smoothed: dict[tuple[int, ...], list[float]] = {}
+    for state in sorted(states, key=len):
+        below = smoothed[state[1:]] if state else [1 / (N_CLASSES + 1)] * (N_CLASSES + 1)
+        row, total = states[state], sum(states[state].values())
+        smoothed[state] = [(row.get(s, 0) + below[s]) / (total + 1) for s in range(N_CLASSES + 1)]
+    number = {state: i for i, state in enumerate(sorted(smoothed, key=lambda s: (len(s), s)))}
+
+    def after(state: tuple[int, ...], s: int) -> int:
+        following = (*state, s)[-memory:] if memory else ()
+        while following not in number:
+            following = following[1:]
+        return number[following]
+
+    out = Automaton([], [], [])
+    for state in number:
+        out.successors.append([after(state, s) for s in range(N_CLASSES)])
+        out.steps.append([math.log(p) for p in smoothed[state][:N_CLASSES]])
+        out.ends.append(math.log(smoothed[state][END_SYMBOL]))
+    return out
+
+
 @dataclass
 class Formats:
     """Automata of the labelled kinds, and of ordinary candidates."""
@@ -255,34 +300,45 @@ class Formats:
         if not self.credentials or self.ordinary is None:
             return False
         word = symbols(text)
-        # A symbol that a format never showed is unlikely in it, however few values smoothed its frequencies.
-        own = max(a.log_likelihood(word) - UNSEEN * sum(s not in a.alphabet for s in word) for a in self.credentials)
+        own = max(a.log_likelihood(word) for a in self.credentials)
         return own - self.ordinary.log_likelihood(word) >= margin * len(word)
 
 
-def learned(docs: DataFrame, sample: int = SAMPLE) -> Formats:
-    """Infer the formats from the values of base spans and from ordinary candidates."""
+def learned(docs: DataFrame, labelled: DataFrame | None = None, sample: int = SAMPLE) -> Formats:
+    """Infer the formats: of the values of base spans, of credentials with ``kind`` and ``value`` in
+    ``labelled``, and of ordinary candidates. Values with other characters than candidates have are ignored."""
 
     def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text"):
-                rows = set()
+                rows, ordinary = set(), Counter()
                 for text in batch.column("text").to_pylist():
                     text = text or ""
                     base = base_spans(text)
                     for start, kind, end in base:
                         value = _ASSIGN.match(text, start)[2] if kind == 0 else text[start:end]
-                        rows.add((kind, value))
-                    rows.update((3, text[a:b]) for a, b in candidates(text, base))
-                kinds, found = zip(*rows, strict=True) if rows else ((), ())
-                yield pa.RecordBatch.from_pydict({"kind": pa.array(kinds, pa.int32()), "value": pa.array(found, pa.string())})
-
-    seen = stage(docs.select(F.col("text").cast("string").alias("text")).mapInArrow(values, "kind int, value string").distinct())
+                        rows.add((KINDS[kind], value))
+                    for a, b in candidates(text, base):
+                        ordinary.update(factors(symbols(text[a:b])))
+                # A factor as letters: one per symbol.
+                told = [(k, v, 1) for k, v in rows] + [(None, "".join(chr(65 + s) for s in f), n) for f, n in ordinary.items()]
+                kinds, found, n = zip(*told, strict=True) if told else ((), (), ())
+                columns = (pa.array(kinds, pa.string()), pa.array(found, pa.string()), pa.array(n, pa.int64()))
+                yield pa.RecordBatch.from_arrays(list(columns), names=["kind", "value", "n"])
+
+    told = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(values, "kind string, value string, n bigint")
+    seen = stage(told.groupBy("kind", "value").agg(F.sum("n").alias("n")))
+    known = seen.where("kind IS NOT NULL").select("kind", "value")
+    if labelled is not None:
+        fits = F.col("value").rlike(f"^{_RUN.pattern}$")
+        known = stage(known.unionByName(labelled.select("kind", "value").where(fits & F.col("kind").isNotNull())).distinct())
+    kinds = sorted(r[0] for r in known.select("kind").distinct().collect())  # one per format
     picked = [
-        [symbols(r[0]) for r in seen.where(F.col("kind") == k).select("value").orderBy(F.xxhash64("value"), "value").limit(sample).collect()]
-        for k in range(4)
+        [symbols(r[0]) for r in known.where(F.col("kind") == k).select("value").orderBy(F.xxhash64("value"), "value").limit(sample).collect()]
+        for k in kinds
     ]
-    return Formats([infer(words) for words in picked[:3] if words], infer(picked[3]) if picked[3] else None)
+    counts = {tuple(ord(c) - 65 for c in r.value): r.n for r in seen.where("kind IS NULL").collect()}
+    return Formats([infer(words) for words in picked], testable(counts) if counts else None)
 
 
 def spans(text: str, formats: Formats) -> list[Span]:

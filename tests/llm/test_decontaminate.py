@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from pedalstrata.llm import decontaminate
 
@@ -63,9 +64,9 @@ def test_pairs_are_those_of_brute_force(spark, planted, block):
     d = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     b = spark.createDataFrame(items, "item_id long, text string")
     got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated_pairs(d, b, block).collect()}
-    # Item 50 repeats item 0; the unnamed item repeats item 1.
-    want = {(x, i) for x, i in brute_force(docs, items) if i is not None and i != 50}
-    assert got == want and len(want) > 60
+    # Item 50 repeats item 0; the unnamed item repeats item 1: both are told.
+    want = brute_force(docs, items)
+    assert got == want and len(want) > 60 and {i for _, i in want} >= {None, 0, 50}
     kept = sorted(r.doc_id for r in decontaminate.clean(d, b, block).collect())
     assert kept == sorted(x for x, _ in docs if x not in {a for a, _ in want})
 
@@ -81,6 +82,24 @@ def test_odd_documents(spark, odd_documents, no_documents):
     assert decontaminate.contaminated_pairs(no_documents, b).count() == 0
 
 
+def test_a_long_item_is_broadcast_once(spark):
+    """Hashes travel without the words of their item: 4,000 words are not sent 8,000 times."""
+    rng = random.Random(3)
+    item = [f"w{rng.randrange(10**6)}" for _ in range(4000)]
+    items = [(1, " ".join(item)), (2, "one two three four five six seven eight nine"), (3, " ".join(item))]
+    docs = [(10, "so " + " ".join(item[2000:2040])), (11, "one two three four five six seven eight nine"), (12, "nothing")]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    stored, ids = decontaminate.benchmark_items(b, 1000)
+    assert stored.count() == 2 and ids.count() == 3
+    # A block begins where so many words lie before it: the long item is alone in its block or last in it.
+    words_of = {r.block: r.n for r in stored.selectExpr("block", "size(item) n").groupBy("block").agg(F.sum("n").alias("n")).collect()}
+    assert max(words_of.values()) <= 1000 + 4000
+    seeds = decontaminate.item_seeds(stored, dict(enumerate(decontaminate.MASKS)))
+    assert set(seeds.columns) == {"item_no", "block", "item_at", "seed"}
+    got = {(r.doc_id, r.item_id, r.item_words) for r in decontaminate.contaminated_pairs(d, b, 1000).collect()}
+    assert got == {(10, 1, 4000), (10, 3, 4000), (11, 2, 9)}
+
+
 def test_plan_stays_in_the_jvm(spark, planted):
     docs, items = planted
     d = spark.createDataFrame(docs, "doc_id long, text string")

@@ -37,6 +37,45 @@ def test_code_switching(model):
     assert names[:8] == ["en"] * 8 and names[-7:] == ["de"] * 7
 
 
+def test_word_labels_of_spliced_texts(spark):
+    """Held-out documents of two languages, spliced inside lines: every word has a known language."""
+    import random
+
+    rng = random.Random(4)
+    rows = [r for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect() if r.text and r.lang]
+    fold = lambda r: zlib.crc32(str(r.doc_id).encode()) % 4
+    learned = crf.fit([r.text for r in rows if fold(r) != 2], [r.lang for r in rows if fold(r) != 2])
+    held = {}
+    for r in rows:
+        if fold(r) == 2:
+            held.setdefault(r.lang, []).extend([r.text.replace("\n", " ").split()])
+    right = total = 0
+    for _ in range(150):
+        parts = [(lang, rng.choice(held[lang])) for lang in rng.sample(sorted(held), 2)]
+        pieces = [(lang, w[(at := rng.randrange(max(1, len(w) - 12))) : at + 12]) for lang, w in parts]
+        o = crf.observe([" ".join(" ".join(w) for _, w in pieces)])
+        if not len(o.first):
+            continue
+        marginal, _ = crf.forward_backward(learned.emissions(o), o.lines, learned.transitions, learned.start)
+        truth = [lang for lang, w in pieces for _ in crf.observe([" ".join(w)]).first]
+        got = [learned.languages[i] for i in marginal.argmax(axis=1)]
+        right += sum(a == b for a, b in zip(got, truth, strict=True))
+        total += len(truth)
+    print(f"word accuracy {right / total:.4f} of {total}")
+    assert right / total >= 0.9
+
+
+def test_the_sample_is_bounded_and_covers_every_language(spark):
+    docs = spark.range(20_000).selectExpr("id as doc_id", "case when id % 3 = 0 then 'en' when id % 500 = 1 then 'xx' else 'de' end as lang")
+    picked = crf.labelled_sample(docs, docs.doc_id % 4 == 2, 50).collect()
+    sizes = {lang: sum(r.lang == lang for r in picked) for lang in ("en", "de", "xx")}
+    assert sizes["xx"] == docs.where("lang = 'xx' and doc_id % 4 <> 2").count() and 40 <= sizes["en"] <= 50 and 40 <= sizes["de"] <= 50
+    assert not [r for r in picked if r.doc_id % 4 == 2]
+    # Few rows reach the ranking, whatever the input.
+    plan = crf.labelled_sample(docs, docs.doc_id % 4 == 2, 50)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Window") < plan.index("BroadcastHashJoin")
+
+
 def test_forward_backward_by_enumeration():
     rng = np.random.default_rng(0)
     lines, n, k = np.array([0, 3, 4]), 8, 3

@@ -15,13 +15,14 @@ import __spark_entry__ as entry_point
 import corpus_pipeline
 from pedalstrata.llm import secret_automata
 from pedalstrata.llm.common import tokenizer_path
+from pedalstrata.llm.packing import pieces_of
 from pedalstrata.llm.queries import ORACLE, QUERIES
 from pedalstrata.sources.staging import stage
 
 
 def test_all_are_registered():
     names = sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0]))
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14))
     assert entry_point.queries().items() >= {**QUERIES, "pipeline": corpus_pipeline.run}.items()
     assert entry_point.oracle_sql().items() >= ORACLE.items()
 
@@ -89,12 +90,16 @@ def test_packing_holds_what_is_left(steps):
     given, gave = steps["packing"]
     tokenizer = Tokenizer.from_file(tokenizer_path())
     tokenizer.encode_special_tokens = True
-    check_pieces(gave.collect(), [(r.doc_id, r.text) for r in given.collect()], tokenizer, 1024)
+    stream = check_pieces(pieces_of(gave).collect(), [(r.doc_id, r.text) for r in given.collect()], tokenizer, 1024)
+    sequences = gave.orderBy("sequence_id").collect()
+    assert [i for r in sequences for i in r.ids[: r.n_tokens]] == stream and {len(r.ids) for r in sequences} == {1024}
+    assert all(r.doc_ids == [p.doc_id for p in r.pieces] for r in sequences)
 
 
 def test_run_gives_the_last_stage(spark, sf_dir, steps):
-    key = lambda r: (r.doc_id, r.start, r.length, r.ids_crc32)
-    assert Counter(map(key, corpus_pipeline.run(spark, sf_dir).collect())) == Counter(map(key, steps["packing"][1].collect()))
+    key = lambda r: (r.doc_id, r.doc_tokens)
+    wholes = [Counter(map(key, pieces_of(df).where("start = 0").collect())) for df in (corpus_pipeline.run(spark, sf_dir), steps["packing"][1])]
+    assert wholes[0] == wholes[1]
 
 
 def test_odd_and_no_documents(spark, sf_dir, odd_documents, no_documents):

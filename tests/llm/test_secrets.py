@@ -1,9 +1,12 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
+from collections import Counter
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -74,12 +77,55 @@ def test_inferred_formats(spark, words):
     assert row.text == f"loose [secret] in text, {ordinary[0]} too" and row.n_chars == len(row.text) and row.new_text == "x"
 
 
+ALPHABETS = {
+    "mixed": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", 40),
+    "base32": ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 32),
+    "lower": ("abcdefghijklmnopqrstuvwxyz0123456789", 30),
+    "url": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_", 43),
+}
+
+
+def test_held_out_credentials_of_several_alphabets(spark):
+    """Formats that no pattern knows, learned from labelled values; others of them stand in real texts."""
+    rng = random.Random(21)
+    drawn = {k: ["".join(rng.choices(chars, k=n)) for _ in range(300)] for k, (chars, n) in ALPHABETS.items()}
+    labelled = spark.createDataFrame([(k, v) for k, values in drawn.items() for v in values[:200]], "kind string, value string")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    formats = secrets.learned(docs, labelled)
+    assert len(formats.credentials) == 4 + 2  # with those of the assign and hex spans
+    texts = [r.text or "" for r in docs.collect()]
+    hidden = [(rng.choice(texts)[:200], v) for values in drawn.values() for v in values[200:]]
+    found = 0
+    for text, value in hidden:
+        whole = f"{text} {value} and on"
+        at = len(text) + 1
+        found += any(k == 3 and a <= at and b >= at + len(value) for a, k, b in secrets.spans(whole, formats))
+    runs = sum(1 for t in texts for _ in secrets.candidates(t, secrets.base_spans(t)))
+    false = sum(k == 3 for t in texts for _, k, _ in secrets.spans(t, formats))
+    print(f"recall {found / len(hidden):.3f}, false {false} of {runs} runs")
+    assert found >= 0.9 * len(hidden) and runs > 3000 and false <= 0.002 * runs
+
+
+def test_the_ordinary_automaton_counts_all_runs(spark):
+    """Its probabilities sum to one in every state, and a run that occurs more often is likelier."""
+    rare, common = "abcdefghijkl", "MNOPQRSTUVWX"
+    docs = spark.createDataFrame([(i, f"{common} {common} {rare if i == 3 else ''}") for i in range(50)], "doc_id long, text string")
+    ordinary = secrets.learned(docs.repartition(4)).ordinary
+    for steps, end in zip(ordinary.steps, ordinary.ends, strict=True):
+        assert math.isclose(sum(map(math.exp, steps)) + math.exp(end), 1.0)
+    score = {w: ordinary.log_likelihood(secrets.symbols(w)) for w in (rare, common)}
+    assert score[common] > score[rare] + 3
+    # Of a hundred and one runs the first symbol of a hundred is upper case.
+    first = [math.exp(x) for x in ordinary.steps[0]]
+    every = {w: secrets.symbols(w) for w in (rare, common)}
+    want = Counter(f for w, n in ((rare, 1), (common, 100)) for f in list(secrets.factors(every[w])) * n)
+    assert np.allclose(secrets.testable(want).steps, ordinary.steps) and first[every[common][0]] > 0.5
+
+
 def test_automaton_is_a_distribution_and_learns_length():
     rng = random.Random(0)
     sample = [[rng.randrange(2) for _ in range(4)] for _ in range(2000)]
     a = secrets.infer(sample)
-    import math
-
     for steps, end in zip(a.steps, a.ends, strict=True):
         assert math.isclose(sum(map(math.exp, steps)) + math.exp(end), 1.0)
     assert a.log_likelihood([0, 1, 0, 1]) > a.log_likelihood([0, 1, 0]) + 3 and a.log_likelihood([0, 1, 0, 1]) > a.log_likelihood([0, 1, 0, 1, 1]) + 3

@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from pedalstrata.llm import packing, token_files
@@ -99,6 +100,32 @@ def test_conditions_reach_the_orc_reader(spark, documents):
     assert all(bytes(f.content[:3]) == b"ORC" for f in files)
 
 
+def rows_scanned(df):
+    """Rows that the scan gave out, after the reader skipped what it could."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().collectLeaves().apply(0).metrics().apply("numOutputRows").value()
+
+
+def test_stripes_and_row_groups_are_skipped(spark, documents):
+    """One file of several stripes; a condition on ids leaves most of its rows unread."""
+    docs = documents.crossJoin(spark.range(40)).selectExpr("doc_id * 40 + id as doc_id", "left(text, 400) as text")
+    path = shared_dir(spark)
+    token_files.write_token_files(docs, path, tokenizer_path(), partitions=1, stripe_bytes=1 << 16, index_stride=1000)
+    total = docs.count()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        whole = token_files.read_token_files(spark, path)
+        assert rows_scanned(whole) == total and whole.rdd.getNumPartitions() > 1  # several tasks read the one file
+        spread = sorted(r.n for r in whole.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect())
+        assert len(spread) > 1 and spread[-1] < total
+        one = token_files.read_token_files(spark, path, doc_ids=[total // 2])
+        assert one.count() == 1 and rows_scanned(one) <= 1000
+        few = token_files.read_token_files(spark, path, between=(100, 1099))
+        assert few.count() == 1000 and rows_scanned(few) <= 3000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def check_pieces(rows, texts, tokenizer, window):
     """Every id in one piece; sequences gapless and full but for the last."""
     by_place = sorted(rows, key=lambda r: (r.sequence_id, r.offset))
@@ -132,18 +159,22 @@ def check_pieces(rows, texts, tokenizer, window):
 def test_packing(spark, documents, odd_documents, tokenizer, window):
     for docs in (documents.repartition(5), odd_documents.repartition(3)):
         packed = packing.pack(docs, tokenizer_path(), window)
-        stream = check_pieces(packed.pieces().collect(), [(r.doc_id, r.text) for r in docs.collect()], tokenizer, window)
-        sequences = packed.sequences(pad=50256).orderBy("sequence_id").collect()
+        written = packed.write(shared_dir(spark), pad=50256)
+        stream = check_pieces(packing.pieces_of(written).collect(), [(r.doc_id, r.text) for r in docs.collect()], tokenizer, window)
+        sequences = written.orderBy("sequence_id").collect()
         assert [r.sequence_id for r in sequences] == list(range(-(-len(stream) // window)))
         flat = [i for r in sequences for i in r.ids]
         assert flat[: len(stream)] == stream and set(flat[len(stream) :]) <= {50256} and len(flat) % window == 0
-        with_ids = packed.pieces(with_ids=True).collect()
-        assert all(crc(r.ids) == r.ids_crc32 and len(r.ids) == r.length for r in with_ids)
+        assert sum(r.n_tokens for r in sequences) == len(stream)
+        assert all(r.n_tokens == sum(p.length for p in r.pieces) for r in sequences)
+        # Windows that two tasks share exist, and come from boundary records.
+        bounds = token_files.part_offsets(spark.read.orc(*{f.rsplit("/", 1)[0] for f in packed.rows.inputFiles()}))
+        assert any(r.part_start % window for r in bounds.collect())
 
 
 def test_packing_nothing(no_documents):
     packed = packing.pack(no_documents, tokenizer_path())
-    assert packed.pieces().count() == 0 and packed.sequences().count() == 0
+    assert packed.sequences().count() == 0 and packing.pieces_of(packed.sequences()).count() == 0
 
 
 def test_op3_covers_the_table(spark, sf_dir, documents, tokenizer):
