@@ -13,9 +13,11 @@
 4. Pairs that meet are verified by edit distance.
 
 A bucket of more than ``BUCKET`` words, of a common bigram near the end that it is placed from, is not
-paired. Its words are split further instead, exactly: two words that differ by one edit are equal on
-both sides of it, so each word gets a key for every place where a code point may be left out or
-let in, and only words that are equal around one place meet: at most one per letter.
+paired as a whole. It is split, exactly: the edit lies in the rest of the word, on the pivot's other
+side, and the rests are equal on both sides of it. Each word of the bucket gets a key for every place
+of its rest where a code point may be left out or let in, and only pivots and prefixes that are equal
+around one place meet: at most one per letter. Words of more than ``LONG`` code points, which can be in
+as many crowded buckets as they have letters, get such keys once, for the whole word.
 
 The form of a word is its near word of largest count, if that is ``RATIO`` times its own or more. Forms
 are followed to the last by doubling; counts grow at each step, so there are no circles.
@@ -33,6 +35,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,6 +52,7 @@ DROP = 31  # one in so many runs loses a letter, by hash
 GRAM = 2
 PREFIX = GRAM + 1
 BUCKET = 64  # more pairs a word than that cost more than its keys
+LONG = 64
 BATCH_BYTES = 1_000_000
 HELD = 200_000  # counts that a task holds before it gives them out
 
@@ -138,14 +142,15 @@ def pivots(word: str, places: Sequence[int], ranks: dict[str, int], counts: dict
 
 
 def _keyed(words: DataFrame) -> DataFrame:
-    """``key``, ``id``, ``length``, ``last`` and ``pivot`` per bigram of a prefix and side of it."""
+    """Per bigram of a prefix and side of it: ``key``, ``id``, ``length``, ``last``, ``pivot``, and where the
+    rest of the word is: its first ``cut`` code points, or what follows the first -``cut``."""
     counts = gram_counts(words)
     ranks = {g: i for i, (g, _) in enumerate(sorted(counts.items(), key=lambda x: (x[1], x[0])))}
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "word", BATCH_BYTES // 10):
-                out: tuple[list, ...] = ([], [], [], [], [])
+                out: tuple[list, ...] = ([], [], [], [], [], [])
                 for id_, word in zip(batch.column("id").to_pylist(), batch.column("word").to_pylist(), strict=True):
                     places = prefix(word, ranks)
                     chosen = pivots(word, places, ranks, counts)
@@ -153,63 +158,79 @@ def _keyed(words: DataFrame) -> DataFrame:
                     left = _side_hashes(word, [i + GRAM for i in places], 1)
                     right = _side_hashes(word, [len(word) - i for i in reversed(places)], -1)[::-1]
                     for i, a, b in zip(places, left, right, strict=True):
-                        for h in (a, b):
-                            for column, value in zip(out, (_signed(h), id_, len(word), last, i in chosen), strict=True):
+                        for h, cut in ((a, -i - GRAM), (b, i)):
+                            for column, value in zip(out, (_signed(h), id_, len(word), last, i in chosen, cut), strict=True):
                                 column.append(value)
-                types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_())
-                names = ("key", "id", "length", "last", "pivot")
+                types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int32())
+                names = ("key", "id", "length", "last", "pivot", "cut")
                 yield pa.RecordBatch.from_pydict({n: pa.array(c, t) for n, c, t in zip(names, out, types, strict=True)})
 
-    return words.select("id", "word").mapInArrow(keys, "key bigint, id bigint, length int, last int, pivot boolean")
+    return words.select("id", "word").mapInArrow(keys, "key bigint, id bigint, length int, last int, pivot boolean, cut int")
 
 
-def _around(words: DataFrame) -> DataFrame:
-    """``key`` and ``id`` for every place of a word where a code point may be left out or let in."""
+def _around(rests: DataFrame) -> DataFrame:
+    """``key``, ``id`` and ``pivot`` for every place of a ``rest`` where a code point may be left out or let in.
+
+    Keys of rests in different buckets (the ``key`` of ``rests``) differ.
+    """
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, "word", BATCH_BYTES // 10):
-                ids, out = [], []
-                for id_, word in zip(batch.column("id").to_pylist(), batch.column("word").to_pylist(), strict=True):
-                    n = len(word)
-                    left = _side_hashes(word, range(n + 1), 1)
-                    right = _side_hashes(word, range(n + 1), -1)  # of the last so many letters
+            for batch in slices(whole, "rest", BATCH_BYTES // 10):
+                counts, out = [], []
+                for bucket, rest in zip(batch.column("key").to_pylist(), batch.column("rest").to_pylist(), strict=True):
+                    n = len(rest)
+                    left = _side_hashes(rest, range(n + 1), 1)
+                    right = _side_hashes(rest, range(n + 1), -1)  # of the last so many letters
                     for i in range(n + 1):
-                        out.append(_signed(xxh64(f"{left[i]} {right[n - i]}").intdigest()))
+                        out.append(_signed(xxh64(f"{bucket} {left[i]} {right[n - i]}").intdigest()))
                         if i < n:
-                            out.append(_signed(xxh64(f"{left[i]} {right[n - i - 1]}").intdigest()))
-                    ids.extend([id_] * (2 * n + 1))
-                yield pa.RecordBatch.from_pydict({"key": pa.array(out, pa.int64()), "id": pa.array(ids, pa.int64())})
+                            out.append(_signed(xxh64(f"{bucket} {left[i]} {right[n - i - 1]}").intdigest()))
+                    counts.append(2 * n + 1)
+                row = pa.array(np.repeat(np.arange(len(counts)), counts))
+                kept = {c: batch.column(c).take(row) for c in ("id", "pivot")}
+                yield pa.RecordBatch.from_pydict({"key": pa.array(out, pa.int64())} | kept)
 
-    return words.select("id", "word").mapInArrow(keys, "key bigint, id bigint")
+    return rests.select("key", "id", "pivot", "rest").mapInArrow(keys, "key bigint, id bigint, pivot boolean")
 
 
 def _pair(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+def _shared(keyed: DataFrame) -> DataFrame:
+    """Keys of several rows, a pivot among them, and their number ``n``."""
+    counts = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.count_if("pivot").alias("pivots"))
+    return counts.where("n > 1 AND pivots > 0").select("key", "n")
+
+
+def _met(members: DataFrame, alike: Column) -> DataFrame:
+    """Pairs of a pivot and a prefix that share a key."""
+    x, y = members.where("pivot").alias("x"), members.alias("y")
+    meet = (F.col("x.key") == F.col("y.key")) & (F.col("x.id") != F.col("y.id")) & alike
+    return x.join(y, meet).select(*_pair(F.col("x.id"), F.col("y.id")))
+
+
 def near_pairs(words: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """``a`` and ``b``: ids of all words one edit apart, once each. ``words`` has ``id`` and ``word``; stored.
 
     Words need ``LEAST_LENGTH`` code points (four would do for the method).
     """
     keyed = stage(_keyed(words))
-    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.count_if("pivot").alias("pivots")).where("n > 1 AND pivots > 0")
+    sizes = _shared(keyed)
     sizes = stage(sizes.select("key", "n", (F.col("n") > bucket).alias("crowd")))
     members = stage(join_keyed(keyed, sizes, ["key"], "n"))
-    small = members.where("NOT crowd")
-    x, y = small.where("pivot").alias("x"), small.alias("y")
-    meet = (F.col("x.key") == F.col("y.key")) & (F.col("x.id") != F.col("y.id")) & (F.col("x.last") <= F.col("y.last"))
-    meet = meet & (F.abs(F.col("x.length") - F.col("y.length")) <= 1)
-    candidates = x.join(y, meet).select(*_pair(F.col("x.id"), F.col("y.id")))
-
-    crowded = members.where("crowd").select("id").distinct()
-    around = stage(_around(words.join(crowded, "id", "left_semi")))
-    shared = around.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    split = stage(around.join(shared, "key"))
-    x, y = split.alias("x"), split.alias("y")
-    more = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")))
-    candidates = candidates.unionByName(more.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))).distinct()
+    alike = (F.col("x.last") <= F.col("y.last")) & (F.abs(F.col("x.length") - F.col("y.length")) <= 1)
+    found = _met(members.where("NOT crowd"), alike)
+
+    crowded = members.where("crowd")
+    rest = F.when(F.col("cut") < 0, F.expr("substr(word, 1 - cut)")).otherwise(F.expr("substr(word, 1, cut)"))
+    rests = crowded.where(F.col("length") <= LONG + 1).join(words, "id").select("key", "id", "pivot", rest.alias("rest"))
+    long = crowded.where(F.col("length") >= LONG).select("id").distinct().join(words, "id")
+    whole = long.select(F.lit(0).cast("bigint").alias("key"), "id", F.lit(True).alias("pivot"), F.col("word").alias("rest"))
+    around = stage(_around(rests.unionByName(whole)))
+    split = stage(around.join(_shared(around).select("key"), "key"))
+    candidates = found.unionByName(_met(split, F.lit(True))).distinct()
 
     one, two = (words.select(F.col("id").alias(c), F.col("word").alias(f"word_{c}")) for c in "ab")
     met = candidates.join(one, "a").join(two, "b")

@@ -82,9 +82,11 @@ def test_forms_and_chains(spark, tmp_path):
     assert any(form is not None and root != form for _, form, root, *_ in want)
 
 
-@pytest.mark.parametrize("bucket", [2, 64])
-def test_all_pairs(spark, bucket):
-    """Words of few letters, so that most buckets are crowded, with edits at every place."""
+@pytest.mark.parametrize(("bucket", "long"), [(2, 64), (64, 64), (2, 8), (0, 0)])
+def test_all_pairs(spark, monkeypatch, bucket, long):
+    """Words of few letters, so that most buckets are crowded, with edits at every place; also where
+    some words are long, and where all are."""
+    monkeypatch.setattr(spelling, "LONG", long)
     rng = random.Random(bucket)
     words = {"".join(rng.choices("abcé", k=rng.randint(7, 9))) for _ in range(300)}
     for w in [*words][:60]:
