@@ -27,14 +27,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from pedalstrata.functions.casting import column
+from pedalstrata.functions.casting import column as column_of
 
 _MERGES: dict[str, Callable[[Column], Column]] = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
 @dataclass(frozen=True)
 class MergeableUdaf:
-    """``reduce`` maps a pandas ``SeriesGroupBy`` to one state row per group.
+    """``reduce`` maps a pandas ``SeriesGroupBy`` to one state row per group. No state is called ``key``.
 
     ``state`` gives, per state column, its Spark type and how two states merge
     (``sum``, ``min`` or ``max``). ``finish`` builds the result from the merged columns.
@@ -53,14 +53,15 @@ def aggregate_with(df: DataFrame, key: str, column: str, udaf: MergeableUdaf, na
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                states = reduce(batch.groupby(key, dropna=True)[column])
-                yield states[names].rename_axis(key).reset_index()
+                states = reduce(batch.groupby("key", dropna=True)["value"])
+                yield states[names].rename_axis("key").reset_index()
 
     key_type = df.schema[key].dataType.simpleString()
-    schema = ", ".join([f"`{key}` {key_type}", *[f"`{n}` {t}" for n, (t, _) in udaf.state.items()]])
-    partials = df.where(F.col(key).isNotNull()).select(key, column).mapInPandas(partial, schema)
-    merged = partials.groupBy(key).agg(*[_MERGES[how](F.col(n)).alias(n) for n, (_, how) in udaf.state.items()])
-    return merged.select(key, udaf.finish({n: F.col(n) for n in names}).alias(name or column))
+    schema = ", ".join([f"`key` {key_type}", *[f"`{n}` {t}" for n, (t, _) in udaf.state.items()]])
+    rows = df.where(column_of(key).isNotNull()).select(column_of(key).alias("key"), column_of(column).alias("value"))
+    merges = [_MERGES[how](F.col(n)).alias(n) for n, (_, how) in udaf.state.items()]
+    merged = rows.mapInPandas(partial, schema).groupBy("key").agg(*merges)
+    return merged.select(F.col("key").alias(key), udaf.finish({n: F.col(n) for n in names}).alias(name or column))
 
 
 HALF_UP_MEAN = MergeableUdaf(
@@ -92,7 +93,7 @@ def aggregate_slices(
     if unknown := [c for c in order_by if c not in columns]:
         raise ValueError(f"order_by must be among the columns: {unknown}")
     names = {c: f"c{i}" for i, c in enumerate(columns)}
-    rows = df.where(column(key).isNotNull()).select(column(key).alias("key"), *[column(c).alias(n) for c, n in names.items()])
+    rows = df.where(column_of(key).isNotNull()).select(column_of(key).alias("key"), *[column_of(c).alias(n) for c, n in names.items()])
     body = rows.select("key", F.lit(1).alias("place"), F.lit(None).cast("bigint").alias("n"), *names.values())
     nothing = [F.lit(None).cast(df.schema[c].dataType).alias(n) for c, n in names.items()]
     head = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).select("key", F.lit(0).alias("place"), "n", *nothing)
@@ -111,7 +112,7 @@ def aggregate_slices(
         yield pa.RecordBatch.from_arrays([pa.array([of[0].as_py()], out.field(0).type), pa.array([value], out.field(1).type)], schema=out)
 
     found = ordered.groupBy("key").applyInArrow(whole, schema)
-    return found.select(column("key").alias(key), column("value").alias(name))
+    return found.select(F.col("key").alias(key), F.col("value").alias(name))
 
 
 def exact_median(batches: Iterator[pa.RecordBatch], n: int) -> float:
