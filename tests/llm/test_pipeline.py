@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import importlib
+import sys
 from collections import Counter
 
 import pytest
@@ -27,6 +29,15 @@ def test_all_are_registered():
     assert entry_point.oracle_sql().items() >= ORACLE.items()
 
 
+def test_a_broken_import_is_not_hidden(monkeypatch):
+    monkeypatch.delattr("pedalstrata.llm.queries")
+    monkeypatch.setitem(sys.modules, "pedalstrata.llm.queries", None)
+    with pytest.raises(ImportError):
+        importlib.reload(entry_point)
+    monkeypatch.undo()
+    importlib.reload(entry_point)
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_sql(spark, sf_dir, name):
     assert differences(QUERIES[name](spark, sf_dir), connect(sf_dir), ORACLE[name]) == []
