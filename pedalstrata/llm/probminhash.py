@@ -302,8 +302,10 @@ def links(docs: DataFrame, rows: DataFrame, threshold: float = THRESHOLD) -> Dat
     # One row of each node that shares a bucket, and its text.
     some = members.select("node").distinct()
     first = Window.partitionBy("node").orderBy("doc_id", "text_key")
-    known = rows.join(some, "node", "left_semi").select("node", "doc_id", "text_key", "bands", "sketch")
-    known = stage(known.withColumn("n", F.row_number().over(first)).where("n = 1").drop("n"))
+    # The first row of a node is picked before rows move: each task sends one, however many copies there are.
+    # Not a semi-join, which the optimizer would move below the window.
+    known = rows.select("node", "doc_id", "text_key", "bands", "sketch").withColumn("n", F.row_number().over(first))
+    known = stage(known.where("n = 1").drop("n").join(some, "node"))
     d, k = _keyed(docs).alias("d"), known.select("node", "doc_id", "text_key").alias("k")
     own = (F.col("d.text_key") == F.col("k.text_key")) & F.col("d.doc_id").eqNullSafe(F.col("k.doc_id"))
     texts = stage(d.join(k, own).groupBy("node").agg(F.first("text").alias("text")))
