@@ -8,12 +8,13 @@
    spare rows behind and no wrong table.
 
 A driver that dies inside the second phase can leave a table under its spare name only;
-``recover`` puts that back, and every load starts with it. Loads into one database must not overlap.
+``recover`` puts that back, drops what else was left, and every load starts with it. Loads into one database must not overlap.
 """
 
 from __future__ import annotations
 
 import logging
+import re
 import uuid
 from collections.abc import Sequence
 from typing import NamedTuple
@@ -27,6 +28,7 @@ log = logging.getLogger(__name__)
 
 _SPARE = "__old_"
 _NEW = "__new_"
+_LEFT_BEHIND = re.compile(f"(.+)({_SPARE}|{_NEW})[0-9a-f]{{12}}")
 
 
 class _Prepared(NamedTuple):
@@ -55,14 +57,20 @@ def _drop(spark: SparkSession, table: str) -> None:
 
 
 def recover(spark: SparkSession, database: str) -> list[str]:
-    """Give every table that exists under a spare name alone its own name back; returns their names."""
+    """Clean up after a driver that died: every table that exists under a spare name alone gets its own
+    name back; other spare and prepared tables go, with their rows. Returns the names given back."""
     names = {t.name for t in spark.catalog.listTables(database) if not t.isTemporary}
-    lost = {n.split(_SPARE)[0]: n for n in sorted(names) if _SPARE in n}
     restored = []
-    for name, spare in lost.items():
-        if name not in names:
-            _rename(spark, f"{database}.{quoted(spare)}", f"{database}.{quoted(name)}")
-            restored.append(name)
+    for name in sorted(names):
+        if not (found := _LEFT_BEHIND.fullmatch(name)):
+            continue
+        own, qualified = found[1], f"{database}.{quoted(name)}"
+        if found[2] == _SPARE and own not in names:
+            _rename(spark, qualified, f"{database}.{quoted(own)}")
+            names.add(own)
+            restored.append(own)
+        else:
+            _drop(spark, qualified)
     return restored
 
 

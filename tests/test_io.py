@@ -206,10 +206,16 @@ def test_a_failing_last_table_leaves_all_tables(spark, sf_dir, db):
     assert {n: spark.table(f"{db}.{n}").count() for n in names_in(spark, db)} == before
 
 
-def test_a_load_puts_back_what_a_dead_driver_left(spark, db):
+def test_a_load_puts_back_what_a_dead_driver_left(spark, db, tmp_path):
     writers.load_truncate(spark.range(4), f"{db}.t")
-    spark.sql(f"ALTER TABLE {db}.t RENAME TO {db}.t{tables._SPARE}123")
+    run = "0123456789ab"
+    spark.sql(f"ALTER TABLE {db}.t RENAME TO {db}.t{tables._SPARE}{run}")
+    # Beside it, a table that had been prepared, one that had been switched, and others with like names.
+    for name in (f"t{tables._NEW}{run}", "u", f"u{tables._SPARE}{run}", "v__old_one", "v__new_"):
+        spark.range(3).write.saveAsTable(f"{db}.{name}", format="parquet", path=f"{tmp_path}/rows/{name}")
     assert tables.recover(spark, db) == ["t"] and spark.table(f"{db}.t").count() == 4
+    assert names_in(spark, db) == ["t", "u", "v__new_", "v__old_one"]
+    assert sorted(p.name for p in (tmp_path / "rows").iterdir()) == ["u", "v__new_", "v__old_one"]
     assert tables.recover(spark, db) == []
 
 
