@@ -4,7 +4,7 @@ First pass: each task encodes its documents, numbers their ids from its own star
 them; prefix sums over the tasks' token totals (one row per task) turn local starts into global
 offsets. Second pass: every document is cut where its global offsets cross a multiple of the
 window, without a shuffle. Windows that no single task holds whole are put together from
-boundary records, of which there are at most two per run of stored rows. Sequences are written with
+boundary records, of which there are at most two per task. Sequences are written with
 their ids and a list of the pieces that lie in them; ``pieces_of`` tells the pieces, and their
 checksums, from the files.
 
@@ -38,54 +38,113 @@ class Packed:
     rows: DataFrame
     window: int
 
-    def sequences(self, pad: int = 0) -> DataFrame:
-        """``sequence_id``, ``n_tokens``, the padded ``ids`` and the ``pieces`` of every window.
+    def records(self) -> DataFrame:
+        """Windows, or the parts of them that a task holds: ``sequence_id``, ``offset``, ``n_tokens``, ``ids``, ``pieces``.
 
-        ``pieces`` are in their order, each with ``doc_id``, ``start`` (the document's ids before it),
-        ``length`` and ``doc_tokens``.
+        A part is a boundary record; a task has at most two, its first and its last. ``pieces`` are in their
+        order, each with ``doc_id``, ``start`` (the document's ids before it), ``length`` and ``doc_tokens``.
         """
         window = self.window
         members = pa.struct([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64())])
 
+        def rows(sequence, offset, ids, sizes, pieces, counts) -> pa.RecordBatch:
+            ends = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
+            columns = {
+                "sequence_id": pa.array(np.asarray(sequence, np.int64)),
+                "offset": pa.array(np.asarray(offset, np.int64)),
+                "n_tokens": pa.array(np.asarray(sizes, np.int64)),
+                "ids": ids_array(ids, np.asarray(sizes)),
+                "pieces": pa.ListArray.from_arrays(ends, pieces),
+            }
+            return pa.RecordBatch.from_pydict(columns)
+
         def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: _Part | None = None
             for batch in batches:
                 ids, at, lengths = list_values(batch.column("ids"))
                 begin = batch.column("start").to_numpy()
                 row, sequence, left, n = _cut(begin, lengths, window)
                 if not len(row):
                     continue
-                # Neighbouring pieces of one window become one record.
-                joined = np.concatenate([[False], (sequence[1:] == sequence[:-1]) & (left[1:] == left[:-1] + n[:-1])])
-                heads = np.flatnonzero(~joined)
                 fields = [batch.column("doc_id").take(pa.array(row)), *map(pa.array, (left - begin[row], n, lengths[row]))]
                 pieces = pa.StructArray.from_arrays(fields, fields=list(members))
-                ends = pa.array(np.append(heads, len(row)).astype(np.int32))
-                columns = {
-                    "sequence_id": pa.array(sequence[heads]),
-                    "offset": pa.array((left - sequence * window)[heads]),
-                    "ids": ids_array(ids[at[0] : at[0] + int(lengths.sum())], np.add.reduceat(n, heads)),
-                    "pieces": pa.ListArray.from_arrays(ends, pieces),
-                }
-                yield pa.RecordBatch.from_pydict(columns)
-
-        schema = f"sequence_id bigint, offset bigint, ids array<int>, pieces {PIECES}"
-        found = self.rows.select("doc_id", "start", "ids").mapInArrow(gather, schema)
-        whole = found.where(F.size("ids") == window).select("sequence_id", "ids", "pieces")
-        boundary = (
-            found.where(F.size("ids") < window)
-            .groupBy("sequence_id")
-            .agg(F.sort_array(F.collect_list(F.struct("offset", "ids", "pieces"))).alias("records"))
-            .select("sequence_id", F.flatten("records.ids").alias("ids"), F.flatten("records.pieces").alias("pieces"))
-        )
-        n = F.size("ids")
-        filled = F.concat("ids", F.array_repeat(F.lit(pad), F.lit(window) - n))
-        return whole.unionByName(boundary).select("sequence_id", n.cast("bigint").alias("n_tokens"), filled.alias("ids"), "pieces")
+                # Neighbouring pieces of one window become one record.
+                joined = np.concatenate([[False], (sequence[1:] == sequence[:-1]) & (left[1:] == left[:-1] + n[:-1])])
+                heads = np.append(np.flatnonzero(~joined), len(row))
+                flat = ids[at[0] : at[0] + int(lengths.sum())]
+                ends = np.concatenate([[0], np.cumsum(n)])
+                low, high = 0, len(heads) - 1
+                if held is not None:
+                    if held.goes_on(int(sequence[0]), int(left[0])):
+                        held.add(flat[: ends[heads[1]]], pieces[: heads[1]])
+                        low = 1
+                    if low < high or held.size == window:
+                        yield rows(*held.row(window))
+                        held = None
+                if low < high and left[-1] + n[-1] < (sequence[-1] + 1) * window:
+                    high -= 1
+                    a, b = heads[high], heads[high + 1]
+                    held = _Part(int(sequence[a]), int(left[a]), [flat[ends[a] : ends[b]].copy()], [pieces[a:b]])
+                if low < high:
+                    some = heads[low : high + 1]
+                    first = some[:-1]
+                    yield rows(
+                        sequence[first],
+                        (left - sequence * window)[first],
+                        flat[ends[some[0]] : ends[some[-1]]],
+                        ends[some[1:]] - ends[first],
+                        pieces[some[0] : some[-1]],
+                        np.diff(some),
+                    )
+            if held is not None:
+                yield rows(*held.row(window))
+
+        schema = f"sequence_id bigint, offset bigint, n_tokens bigint, ids array<int>, pieces {PIECES}"
+        return self.rows.select("doc_id", "start", "ids").mapInArrow(gather, schema)
 
     def write(self, path: str, pad: int = 0) -> DataFrame:
-        """Write the sequences to ORC files, and return them as read from there."""
-        found = self.sequences(pad)
-        found.write.format("orc").options(**{"orc.compress": "ZSTD"}).save(path)
-        return found.sparkSession.read.schema(found.schema).orc(path)
+        """Write all sequences to ORC files, and return them as read from there.
+
+        Columns: ``sequence_id``, ``n_tokens``, the padded ``ids`` and the ``pieces``. Boundary records go to
+        files of their own, from which they are put together.
+        """
+        options = {"orc.compress": "LZ4"}
+        found = self.records().withColumn("whole", F.col("n_tokens") == self.window)
+        found.write.format("orc").options(**options).partitionBy("whole").save(f"{path}/records")
+        stored = found.sparkSession.read.schema(found.schema).orc(f"{path}/records")
+        whole = stored.where("whole").select("sequence_id", "n_tokens", "ids", "pieces")
+        put = stored.where("NOT whole").groupBy("sequence_id").agg(F.sort_array(F.collect_list(F.struct("offset", "ids", "pieces"))).alias("records"))
+        ids, n = F.flatten("records.ids"), F.size(F.flatten("records.ids"))
+        filled = F.concat(ids, F.array_repeat(F.lit(pad), F.lit(self.window) - n))
+        joined = put.select("sequence_id", n.cast("bigint").alias("n_tokens"), filled.alias("ids"), F.flatten("records.pieces").alias("pieces"))
+        joined.write.format("orc").options(**options).save(f"{path}/joined")
+        return whole.unionByName(found.sparkSession.read.schema(whole.schema).orc(f"{path}/joined"))
+
+
+@dataclass
+class _Part:
+    """The last window of a batch, as far as it goes."""
+
+    sequence: int
+    left: int
+    ids: list[np.ndarray]
+    pieces: list[pa.StructArray]
+
+    @property
+    def size(self) -> int:
+        return sum(map(len, self.ids))
+
+    def goes_on(self, sequence: int, left: int) -> bool:
+        return self.sequence == sequence and self.left + self.size == left
+
+    def add(self, ids: np.ndarray, pieces: pa.StructArray) -> None:
+        self.ids.append(ids.copy())
+        self.pieces.append(pieces)
+
+    def row(self, window: int) -> tuple:
+        pieces = pa.concat_arrays(self.pieces)
+        ids = np.concatenate(self.ids)
+        return [self.sequence], [self.left - self.sequence * window], ids, [len(ids)], pieces, [len(pieces)]
 
 
 def pieces_of(sequences: DataFrame) -> DataFrame:

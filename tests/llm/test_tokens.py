@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -155,6 +156,19 @@ def check_pieces(rows, texts, tokenizer, window):
     return stream
 
 
+@pytest.mark.parametrize("batch_rows", [1, 7, 10_000])
+def test_packing_in_small_batches(spark, documents, tokenizer, batch_rows):
+    """Windows that go on over many batches of a task, and over tasks."""
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_rows))
+    try:
+        docs = documents.selectExpr("doc_id", "left(text, 120) as text").repartition(3)
+        written = packing.pack(docs, tokenizer_path(), 512).write(shared_dir(spark))
+        check_pieces(packing.pieces_of(written).collect(), [(r.doc_id, r.text) for r in docs.collect()], tokenizer, 512)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
 @pytest.mark.parametrize("window", [16, 1024])
 def test_packing(spark, documents, odd_documents, tokenizer, window):
     for docs in (documents.repartition(5), odd_documents.repartition(3)):
@@ -167,14 +181,17 @@ def test_packing(spark, documents, odd_documents, tokenizer, window):
         assert flat[: len(stream)] == stream and set(flat[len(stream) :]) <= {50256} and len(flat) % window == 0
         assert sum(r.n_tokens for r in sequences) == len(stream)
         assert all(r.n_tokens == sum(p.length for p in r.pieces) for r in sequences)
+        parts = [r for r in packed.records().select("sequence_id", "n_tokens", F.spark_partition_id().alias("task")).collect() if r.n_tokens < window]
+        assert all(n <= 2 for n in Counter(r.task for r in parts).values())
         # Windows that two tasks share exist, and come from boundary records.
         bounds = token_files.part_offsets(spark.read.orc(*{f.rsplit("/", 1)[0] for f in packed.rows.inputFiles()}))
         assert any(r.part_start % window for r in bounds.collect())
 
 
-def test_packing_nothing(no_documents):
+def test_packing_nothing(spark, no_documents):
     packed = packing.pack(no_documents, tokenizer_path())
-    assert packed.sequences().count() == 0 and packing.pieces_of(packed.sequences()).count() == 0
+    written = packed.write(shared_dir(spark))
+    assert written.count() == 0 and packing.pieces_of(written).count() == 0
 
 
 def test_op3_covers_the_table(spark, sf_dir, documents, tokenizer):
