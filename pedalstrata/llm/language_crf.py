@@ -40,7 +40,7 @@ SPLICED = 0.3
 EPOCHS = 4
 LEARNING_RATE = 0.3
 SEED = 6
-BATCH_BYTES = 1_000_000
+BATCH_BYTES = 500_000
 UNKNOWN = "und"
 
 _START, _STOP = 2, 3  # stand for the edges of a word

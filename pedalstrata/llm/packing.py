@@ -24,10 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pedalstrata.llm.encoding import crc32s, ids_array, list_values
-from pedalstrata.llm.token_files import SCHEMA, encoded, orc_options, part_offsets
+from pedalstrata.llm.token_files import SCHEMA, encoded, part_offsets
 from pedalstrata.sources.staging import shared_dir
 
 WINDOW = 1024
+FAST = {"orc.compress": "LZ4"}
 PIECES = "array<struct<doc_id:bigint,start:bigint,length:bigint,doc_tokens:bigint>>"
 
 
@@ -108,16 +109,15 @@ class Packed:
         Columns: ``sequence_id``, ``n_tokens``, the padded ``ids`` and the ``pieces``. Boundary records go to
         files of their own, from which they are put together.
         """
-        options = {"orc.compress": "LZ4"}
         found = self.records().withColumn("whole", F.col("n_tokens") == self.window)
-        found.write.format("orc").options(**options).partitionBy("whole").save(f"{path}/records")
+        found.write.format("orc").options(**FAST).partitionBy("whole").save(f"{path}/records")
         stored = found.sparkSession.read.schema(found.schema).orc(f"{path}/records")
         whole = stored.where("whole").select("sequence_id", "n_tokens", "ids", "pieces")
         put = stored.where("NOT whole").groupBy("sequence_id").agg(F.sort_array(F.collect_list(F.struct("offset", "ids", "pieces"))).alias("records"))
         ids, n = F.flatten("records.ids"), F.size(F.flatten("records.ids"))
         filled = F.concat(ids, F.array_repeat(F.lit(pad), F.lit(self.window) - n))
         joined = put.select("sequence_id", n.cast("bigint").alias("n_tokens"), filled.alias("ids"), F.flatten("records.pieces").alias("pieces"))
-        joined.write.format("orc").options(**options).save(f"{path}/joined")
+        joined.write.format("orc").options(**FAST).save(f"{path}/joined")
         return whole.unionByName(found.sparkSession.read.schema(whole.schema).orc(f"{path}/joined"))
 
 
@@ -192,7 +192,8 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> Packed:
     """Encode ``doc_id`` and ``text``, store the ids on shared storage and lay out the windows."""
     spark = docs.sparkSession
     path = shared_dir(spark)
-    encoded(docs, tokenizer).write.format("orc").options(**orc_options()).save(path)
+    # Read once and in full: no Bloom filters, and what compresses fastest.
+    encoded(docs, tokenizer).write.format("orc").options(**FAST).save(path)
     rows = spark.read.schema(SCHEMA).orc(path)
     start = (F.col("part_start") + F.col("local_start")).alias("start")
     return Packed(rows.join(F.broadcast(part_offsets(rows)), "part").select("doc_id", start, "ids"), window)
