@@ -28,6 +28,7 @@ from pedalstrata.llm.token_files import SCHEMA, encoded, part_offsets
 from pedalstrata.sources.staging import shared_dir
 
 WINDOW = 1024
+RECORDS = 200  # given out at a time: executors hold whole batches outside their heap
 FAST = {"orc.compress": "LZ4"}
 PIECES = "array<struct<doc_id:bigint,start:bigint,length:bigint,doc_tokens:bigint>>"
 
@@ -86,8 +87,8 @@ class Packed:
                     high -= 1
                     a, b = heads[high], heads[high + 1]
                     held = _Part(int(sequence[a]), int(left[a]), [flat[ends[a] : ends[b]].copy()], [pieces[a:b]])
-                if low < high:
-                    some = heads[low : high + 1]
+                for a in range(low, high, RECORDS):
+                    some = heads[a : min(a + RECORDS, high) + 1]
                     first = some[:-1]
                     yield rows(
                         sequence[first],
