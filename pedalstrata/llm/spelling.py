@@ -39,6 +39,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 from xxhash import xxh64
 
 from pedalstrata.llm.common import join_keyed
@@ -228,14 +229,16 @@ def near_pairs(words: DataFrame, bucket: int = BUCKET) -> DataFrame:
     rests = crowded.where(F.col("length") <= LONG + 1).join(words, "id").select("key", "id", "pivot", rest.alias("rest"))
     long = crowded.where(F.col("length") >= LONG).select("id").distinct().join(words, "id")
     whole = long.select(F.lit(0).cast("bigint").alias("key"), "id", F.lit(True).alias("pivot"), F.col("word").alias("rest"))
-    around = stage(_around(rests.unionByName(whole)))
-    split = stage(around.join(_shared(around).select("key"), "key"))
+    # At most one word per letter and bucket has a key, so a window over it is small.
+    of_key = Window.partitionBy("key")
+    counted = _around(rests.unionByName(whole)).select("*", F.count(F.lit(1)).over(of_key).alias("n"), F.count_if("pivot").over(of_key).alias("pivots"))
+    split = stage(counted.where("n > 1 AND pivots > 0").select("key", "id", "pivot"))
     candidates = found.unionByName(_met(split, F.lit(True))).distinct()
 
     one, two = (words.select(F.col("id").alias(c), F.col("word").alias(f"word_{c}")) for c in "ab")
     met = candidates.join(one, "a").join(two, "b")
     out = stage(met.where(F.levenshtein("word_a", "word_b", 1) == 1).select("a", "b"))
-    for used in (keyed, sizes, members, around, split):
+    for used in (keyed, sizes, members, split):
         discard(used)
     return out
 
