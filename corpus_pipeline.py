@@ -24,8 +24,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     model = language_crf.train(docs, held_out)
     if model is None:
         return docs.where(F.col("text").cast("string").rlike(r"\p{L}"))
-    names = {c: f"_{i}" for i, c in enumerate(docs.columns)}
-    given = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()], F.col("text"))
+    names = {c: "text" if c.lower() == "text" else f"_{i}" for i, c in enumerate(docs.columns)}
+    given = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
     least = language_crf.least_evidence(docs, held_out, model)
     told = language_crf.predicted(given, model, list(names.values()), least)
     return told.select(*[F.col(n).alias(c) for c, n in names.items()])

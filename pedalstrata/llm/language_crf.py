@@ -20,6 +20,7 @@ labelled row every text is ``und``. Extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,10 +28,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from pedalstrata.llm import textcodes
 from pedalstrata.llm.encoding import slices
+from pedalstrata.operators.numbering import sequence_id_distributed
 from pedalstrata.sources.staging import stage
 
 SAMPLE = 200
@@ -40,7 +43,7 @@ SPLICED = 0.3
 EPOCHS = 4
 LEARNING_RATE = 0.3
 SEED = 6
-BATCH_BYTES = 500_000
+BATCH_BYTES = 250_000
 UNKNOWN = "und"
 
 _START, _STOP = 2, 3  # stand for the edges of a word
@@ -244,15 +247,32 @@ def told(texts: list[str | None], model: Model) -> tuple[np.ndarray, np.ndarray,
     return has, best, share, own - (mean.sum(axis=1) - own) / max(1, len(model.languages) - 1)
 
 
-def least_evidence(docs: DataFrame, held_out: Column, model: Model, sample: int = SAMPLE) -> float:
-    """Half of what all but one in a hundred of the held-out labelled texts reach.
+def least_evidence(docs: DataFrame, held_out: Column, model: Model) -> float:
+    """Half of what all but one in a hundred of the held-out labelled texts reach; 0 if there are none.
 
-    At most ``sample`` documents per language are brought to the driver; 0 if there are none.
+    All of them count. Their evidence is sorted in ranges, and two numbers come to the driver.
     """
-    picked = F.broadcast(stage(labelled_sample(docs, ~held_out, sample)))
-    rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string").alias("text")).join(picked, "doc_id", "left_semi")
-    found = told([r.text for r in rows.collect()], model)[3]
-    return max(0.0, 0.5 * float(np.quantile(found, 0.01))) if len(found) else 0.0
+    known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & held_out)
+    found = evidence(known, model)
+    ranked = sequence_id_distributed(found, ["evidence"], "n")
+    place = 0.01 * (ranked.count() - 1)
+    if place < 0:
+        return 0.0
+    near = ranked.where(F.col("n").isin(math.floor(place) + 1, math.ceil(place) + 1)).orderBy("n").collect()
+    return max(0.0, 0.5 * float(np.interp(place, [r.n - 1 for r in near], [r.evidence for r in near])))
+
+
+def evidence(docs: DataFrame, model: Model) -> DataFrame:
+    """The ``evidence`` of each text that has words."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "text", BATCH_BYTES):
+                found = told(batch.column("text").to_pylist(), sent.value)[3]
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.float64())], names=["evidence"])
+
+    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(tell, "evidence double")
 
 
 def predicted(docs: DataFrame, model: Model | None, keep: list[str], least: float | None = None) -> DataFrame:
@@ -265,13 +285,16 @@ def predicted(docs: DataFrame, model: Model | None, keep: list[str], least: floa
     if model is None:
         return docs.select(*keep, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
     sent = docs.sparkSession.sparkContext.broadcast(model)
+    # A text that is kept is sent once.
+    text = "text" if "text" in keep and isinstance(docs.schema["text"].dataType, T.StringType) else "_text"
+    given = docs.select(*keep) if text in keep else docs.select(*keep, F.col("text").cast("string").alias(text))
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         for whole in batches:
-            for batch in slices(whole, "_text", BATCH_BYTES):
+            for batch in slices(whole, text, BATCH_BYTES):
                 names, scores = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows)
-                has, best, share, evidence = told(batch.column("_text").to_pylist(), model)
+                has, best, share, evidence = told(batch.column(text).to_pylist(), model)
                 scores[has] = share
                 for i, b in zip(has.tolist(), best.tolist(), strict=True):
                     names[i] = model.languages[b]
@@ -281,7 +304,6 @@ def predicted(docs: DataFrame, model: Model | None, keep: list[str], least: floa
                 )
                 yield out if least is None else out.take(pa.array(has[evidence >= least]))
 
-    given = docs.select(*keep, F.col("text").cast("string").alias("_text"))
     fields = [docs.schema[c] for c in keep]
     schema = given.select(*keep).schema.__class__(fields).add("lang_pred", "string").add("score", "double")
     return given.mapInArrow(predict, schema)

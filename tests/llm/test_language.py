@@ -121,3 +121,32 @@ def test_odd_documents(odd_documents, no_documents, model):
     assert crf.train(no_documents, never) is None
     assert crf.predicted(odd_documents, None, ["doc_id"]).where("lang_pred = 'und'").count() == odd_documents.count()
     assert crf.predicted(no_documents, model, ["doc_id"]).count() == 0
+
+
+def test_the_least_evidence_is_of_all_held_out_texts(spark, model):
+    """More texts of one language than a sample would hold, the worst of them few; texts repeat, one is null."""
+    from pyspark.sql import functions as F
+
+    good, bad = "the outing and that there was on the inside", "zq xw vkj"
+    n = 3 * crf.SAMPLE
+    rows = [(i, bad if i % 75 == 0 else f"{good} {'of the ' * (i % 7)}", "en") for i in range(n)]
+    rows += [(n, None, "en"), (n + 1, bad, None), (None, bad, "en"), (n + 2, bad, "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    held_out = F.coalesce(F.col("doc_id"), F.lit(0)) != n + 2
+    texts = [t for i, t, lang in rows if lang and i is not None and i != n + 2]
+    want = 0.5 * np.quantile(crf.told(texts, model)[3], 0.01)
+    assert crf.least_evidence(docs, held_out, model) == pytest.approx(max(0.0, float(want)), rel=1e-5, abs=1e-6)
+    assert crf.least_evidence(docs, F.lit(False), model) == 0.0
+
+
+def test_evidence_of_every_held_out_text(spark, model):
+    docs = spark.range(3 * crf.SAMPLE).selectExpr("id as doc_id", "concat('the outing and that ', repeat('of ', int(id % 9))) as text", "'en' as lang")
+    assert crf.evidence(docs, model).count() == 3 * crf.SAMPLE
+
+
+def test_a_kept_text_is_sent_once(documents, model):
+    plan = crf.predicted(documents, model, ["doc_id", "text"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "_text" not in plan
+    out = crf.predicted(documents, model, ["doc_id", "text"]).collect()
+    apart = {r.doc_id: (r.lang_pred, r.score) for r in crf.predicted(documents, model, ["doc_id"]).collect()}
+    assert len(out) == len(apart) and all(apart[r.doc_id] == (r.lang_pred, r.score) for r in out)
