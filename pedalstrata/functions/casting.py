@@ -6,8 +6,8 @@ inside whole-stage code generation.
 
 A failing numeric ``try_cast`` of text raises and catches an error inside the task: about
 10 microseconds, some forty times a good cell, so a column of the wrong kind would dominate
-the job. A pattern test comes first, and only text that looks like a number is cast. Dates
-need none: their parser fails without an error.
+the job. A pattern test comes first, and only text that looks like a number is cast. ISO dates
+need none: their parser fails without an error; that of eight digits does not.
 """
 
 from __future__ import annotations
@@ -20,12 +20,15 @@ from pyspark.sql import types as T
 
 from pedalstrata.schemas import NA_TOKENS
 
-_INTEGER = r"^\s*[+-]?\d+\s*$"
+# Nothing to go back for in numbers: each part ends where the next begins.
+_INTEGER = r"^\s*+[+-]?+\d++\s*+$"
 # Also keeps out "1d", "1f" and hexadecimal floats, which Java's parser would take.
-_DOUBLE = r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf(?:inity)?))\s*$"
+_DOUBLE = r"^\s*+[+-]?+(?:(?:\d++\.?+\d*+|\.\d++)(?:[eE][+-]?+\d++)?+|(?i:inf(?:inity)?+))\s*+$"
 # Year, month and day, alone or before a time of day; also without separators.
 _DATE = r"^\s*\d{4}-\d{1,2}-\d{1,2}(?:[ T]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?:Z|[+-]\d{2}:?\d{2})?)?\s*$"
-_COMPACT_DATE = r"^\s*\d{8}\s*$"
+# Only with a month and a day that there are: the parser of a given format fails with an error inside, and
+# any number of eight digits would come to it.
+_COMPACT_DATE = r"^\s*\d{4}(?:0[1-9]|1[0-2])(?:0[1-9]|[12]\d|3[01])\s*$"
 # The texts pandas reads as booleans by default.
 _BOOLEANS = ("True", "TRUE", "true", "False", "FALSE", "false")
 
@@ -92,15 +95,20 @@ def normalise_na_columns(df: DataFrame, tokens: Sequence[str] = NA_TOKENS) -> Da
 INTEGER, DOUBLE, BOOLEAN, TEXT = 1, 2, 3, 4
 
 
-def literal_kind(name: str) -> Column:
-    """The narrowest kind each cell of a text column fits, null for a null cell."""
+def literal_kind(name: str, tokens: Sequence[str] = ()) -> Column:
+    """The narrowest kind each cell of a text column fits, null for a null cell and one of ``tokens``.
+
+    No token may be a number or a boolean.
+    """
     c = quoted(name)
+    text = f"{c} NOT IN ({_text_list(tokens)})" if tokens else f"{c} IS NOT NULL"
     return F.expr(
-        f"""CASE WHEN {c} RLIKE r'{_INTEGER}'
+        f"""CASE WHEN octet_length({c}) = 1 AND {c} BETWEEN '0' AND '9' THEN {INTEGER}
+            WHEN NOT contains({c}, '.') AND {c} RLIKE r'{_INTEGER}'
               THEN IF(length({c}) < 19 OR try_cast({c} AS bigint) IS NOT NULL, {INTEGER}, {TEXT})
             WHEN {c} RLIKE r'{_DOUBLE}' THEN {DOUBLE}
             WHEN {c} IN ({_text_list(_BOOLEANS)}) THEN {BOOLEAN}
-            WHEN {c} IS NOT NULL THEN {TEXT} END"""
+            WHEN {text} THEN {TEXT} END"""
     )
 
 

@@ -17,15 +17,16 @@ from pedalstrata.functions.casting import (
     BOOLEAN,
     DOUBLE,
     INTEGER,
+    TEXT,
     column,
     free_name,
     literal_kind,
     na_to_null,
-    normalise_na_columns,
     parse_date,
     quoted,
 )
 from pedalstrata.operators.quality import require_rows
+from pedalstrata.schemas import NA_TOKENS
 from pedalstrata.sources.layers import current
 from pedalstrata.sources.staging import stage
 from pedalstrata.sources.writers import CSV_TEXT
@@ -80,9 +81,13 @@ class Told:
         return kinds.join(F.broadcast(found), "fault", "left").select("fault", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_rows"))
 
 
-def scan_csv_told(spark: SparkSession, path: str, schema: T.StructType | None = None, dates: bool = False) -> Told:
+def scan_csv_told(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, dates: bool = False, staged: bool = True
+) -> Told:
     """CSV with a header, every line accounted for. The files are read once and kept as a staged copy.
 
+    With a schema and not ``staged``, the caller keeps the copy, of all columns.
+
     Without a schema the types are inferred from the lines that have a cell for every column.
     """
     where, typed = current(spark, path), schema
@@ -96,7 +101,9 @@ def scan_csv_told(spark: SparkSession, path: str, schema: T.StructType | None =
     # Separators outside quotes; a doubled quote is two quoted parts next to each other.
     cells = F.regexp_count(F.regexp_replace(column(line), '"[^"]*"', ""), F.lit(",")) + 1
     kind = F.when(cells < len(typed), FAULTS[0]).when(cells > len(typed), FAULTS[1]).otherwise(FAULTS[2])
-    told = stage(read.withColumn(fault, F.when(column(line).isNotNull(), kind)))
+    told = read.withColumn(fault, F.when(column(line).isNotNull(), kind))
+    if staged or schema is None:
+        told = stage(told)
     if schema is None:
         exprs = inferred(told.where(column(fault).isNull()).select(*[column(c) for c in typed.names]), dates)
         told = told.select(*[F.expr(e).alias(n) for n, e in exprs.items()], column(line), column(fault))
@@ -113,6 +120,22 @@ def scan_raw(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         raise DatasetError(f"no such dataset: {path}") from e
 
 
+def cell_kinds(df: DataFrame, dates: bool) -> DataFrame:
+    """Per cell of a text table the number of its column, its kind and, if asked for, whether it is a date.
+
+    The cells of a row are tested one after another by the same few expressions: tests of all
+    columns side by side make a method so long that the JVM does not compile it.
+    """
+    cells = df.select(F.posexplode(F.array(*[column(c) for c in df.columns])).alias("at", "cell"))
+    kinds = cells.select("at", "cell", literal_kind("cell", NA_TOKENS).alias("kind"))
+    # Of the numbers only eight digits are a date.
+    maybe = (F.col("kind") == TEXT) | ((F.col("kind") == INTEGER) & (F.length("cell") >= 8))
+    is_date = parse_date(F.col("cell"), T.StringType()).isNotNull() & (F.length(F.trim("cell")) <= 10)
+    # A missing cell has no kind, and says nothing about dates.
+    dated = F.when(F.col("kind").isNull(), None).when(maybe, is_date).otherwise(False) if dates else F.lit(False)
+    return kinds.select("at", "kind", dated.alias("dated"))
+
+
 def inferred(df: DataFrame, dates: bool) -> dict[str, str]:
     """Per text column a SQL expression that reads it as the narrowest of integer, double, boolean,
     date if asked for, or text that fits every value; missing-value tokens are null.
@@ -120,27 +143,18 @@ def inferred(df: DataFrame, dates: bool) -> dict[str, str]:
     Detection tests every cell, so the casts need no test of their own. A column is of dates if none
     of them has a time of day.
     """
-    names = range(len(df.columns))
-    text = normalise_na_columns(df)
-    is_date = [parse_date(column(c), T.StringType()).isNotNull() & (F.length(F.trim(column(c))) <= 10) for c in df.columns]
-    kinds = text.select(
-        *[literal_kind(c).alias(f"k{i}") for i, c in enumerate(df.columns)],
-        *[c.alias(f"d{i}") for i, c in enumerate(is_date) if dates],
-    )
-    found = kinds.agg(
-        *[f(f"k{i}") for i in names for f in (F.min, F.max)],
-        *[F.bool_and(F.col(f"d{i}") | F.col(f"k{i}").isNull()) for i in names if dates],
-    ).first()
+    kinds = cell_kinds(df, dates).groupBy("at").agg(F.min("kind"), F.max("kind"), F.bool_and("dated"))
+    found = {r[0]: r[1:] for r in kinds.collect()}  # one row per column
     out = {}
     for i, name in enumerate(df.columns):
-        c, low, high = na_to_null(name), found[2 * i], found[2 * i + 1]
+        c, (low, high, all_dated) = na_to_null(name), found.get(i, (None, None, None))
         if high == INTEGER:
             out[name] = f"try_cast({c} AS bigint)"
         elif high == DOUBLE:
             out[name] = f"nullif(try_cast({c} AS double), double('NaN'))"
         elif low == high == BOOLEAN:
             out[name] = f"try_cast({c} AS boolean)"
-        elif dates and high is not None and found[2 * len(df.columns) + i]:
+        elif high is not None and all_dated:
             out[name] = f"coalesce(try_cast({c} AS date), try_to_date(trim({c}), 'yyyyMMdd'))"
         else:
             out[name] = c
@@ -204,15 +218,16 @@ def scan_optional_told(
     names: Sequence[str] = TABLES,
     fmt: str = "csv",
     schemas: dict[str, T.StructType] | None = None,
+    staged: bool = True,
 ) -> dict[str, DataFrame | Told]:
-    """The same with CSV lines accounted for; Parquet has none that do not fit."""
+    """The same with CSV lines accounted for (see ``scan_csv_told``); Parquet has none that do not fit."""
     if fmt == "parquet":
         return scan_optional(spark, base, names, fmt)
     schemas = schemas or {}
 
     def opened(name: str) -> Told | None:
         try:
-            return scan_csv_told(spark, f"{base}/{name}.{fmt}", schemas.get(name))
+            return scan_csv_told(spark, f"{base}/{name}.{fmt}", schemas.get(name), staged=staged)
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise

@@ -92,6 +92,14 @@ def test_literal_kind(spark):
     assert [r.k for r in df.orderBy("i").collect()] == [1, 1, 2, 2, 3, 3, 4, 4, None, 4]
 
 
+def test_eight_digits_that_are_no_date_do_not_reach_the_date_parser(spark):
+    values = ["20110101", " 20111231 ", "20111301", "20110100", "20110132", "99999999", "20110230", "00000000"]
+    df = column(spark, values, "string")
+    assert apply(spark, values, "string", casting.parse_date)[:6] == [datetime.date(2011, 1, 1), datetime.date(2011, 12, 31), None, None, None, None]
+    matched = df.where(F.col("v").rlike(casting._COMPACT_DATE)).orderBy("i").collect()
+    assert [r.v for r in matched] == ["20110101", " 20111231 ", "20110230"]
+
+
 def test_rounding(spark):
     out = apply(spark, [0.5000005, 0.5000015, -0.5000005], "double", lambda c, t: casting.round_half_even(c, 6))
     assert out == [0.5, 0.500002, -0.5]

@@ -57,6 +57,43 @@ def test_inference_after_na_tokens(spark, tmp_path):
     ]
 
 
+def test_detection_is_compiled_however_many_columns(spark):
+    """The JVM leaves methods of 8000 bytes and more to its interpreter."""
+    wide = spark.createDataFrame([["1"] * 40], T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(40)]))
+    for dates in (True, False):
+        made = readers.cell_kinds(wide, dates)._jdf.queryExecution().debug().codegenToSeq()
+        largest = max(made.apply(i)._3().maxMethodCodeSize() for i in range(made.size()))
+        assert 0 < largest < 8000
+
+
+def test_detection_of_odd_cells(spark):
+    """Kinds and dates of a column from all its cells, blanks, nulls and tokens among them."""
+    columns = {
+        "digits": (["1", "9", "", None, "NA"], "bigint"),
+        "signs": (["+1", " -2 ", "\t3"], "bigint"),
+        "eight": (["20110101", "20110102"], "bigint"),
+        "days": (["20110101", "2011-01-02", "NA", None], "date"),
+        "no_days": (["20111301", "2011-01-02"], "string"),
+        "no_day": (["20110230", "2011-01-02"], "string"),
+        "short": (["7", "2011-01-02"], "string"),
+        "decimal": (["1.5", "2011-01-02"], "string"),
+        "half": ([".5", "-1e3", "inf", "4"], "double"),
+        "big": (["9223372036854775808", "1"], "string"),
+        "flags": (["True", "false", "null"], "boolean"),
+        "mixed": (["True", "1"], "string"),
+        "times": (["2011-01-02 10:00:00", "2011-01-02"], "string"),
+        "nothing": (["", None, "NaN"], "string"),
+    }
+    n = max(len(cells) for cells, _ in columns.values())
+    given = spark.createDataFrame(
+        [[(cells + [None] * n)[i] for cells, _ in columns.values()] for i in range(n)],
+        T.StructType([T.StructField(c, T.StringType()) for c in columns]),
+    )
+    found = given.select(*[F.expr(e).alias(c) for c, e in readers.inferred(given, True).items()])
+    assert {f.name: f.dataType.simpleString() for f in found.schema} == {c: kind for c, (_, kind) in columns.items()}
+    assert sorted(str(r.days) for r in found.collect()) == ["2011-01-01", "2011-01-02", "None", "None", "None"]
+
+
 def test_optional_inputs(spark, tmp_path):
     with pytest.raises(DatasetError, match="no csv input"):
         readers.scan_optional(spark, str(tmp_path))
@@ -322,6 +359,19 @@ def test_every_line_is_accounted_for(spark, tmp_path):
     assert dict(rows(detected.counts())) == {"none": 5, "short": 2, "long": 1, "unfit": 0}
 
 
+def test_cleaned_files_are_stored_once(spark, tmp_path, monkeypatch):
+    """With a schema, the copy that is split is the only one."""
+    stored = []
+    monkeypatch.setattr(readers, "stage", lambda df: stored.append("read") or staging.stage(df))
+    monkeypatch.setattr(cleaning, "stage", lambda df: stored.append("split") or staging.stage(df))
+    write_text(tmp_path / "day.csv", "dteday,cnt\n2011-01-01,1\nbad,2\n2011-01-02\n,3\n")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("dteday", "cnt")])
+    done = flows.clean_files(spark, str(tmp_path), f"{tmp_path}/out", schemas={"day": schema})
+    assert stored == ["split"]
+    assert [r.rows_out for r in done.report.collect()] == [1]
+    assert sorted((r.status, r.line) for r in done.rejected["day"].collect()) == [("bad_date", None), ("malformed", "2011-01-02"), ("missing", None)]
+
+
 def test_told_columns_do_not_hide_data(spark, tmp_path):
     path = write_text(tmp_path / "t.csv", "line,fault,status,dteday,cnt\na,b,c,2011-01-01,1\nd,e,f,bad,2\ng,h\n")
     parts = readers.scan_csv_told(spark, path)
