@@ -25,7 +25,7 @@ def _one_line(df: DataFrame) -> DataFrame:
     fault = F.raise_error(F.lit("line break in a CSV text")).cast("string")
     return df.select(
         *[
-            F.when(column(f.name).rlike("[\\r\\n]"), fault).otherwise(column(f.name)).alias(f.name)
+            F.when(column(f.name).contains("\n") | column(f.name).contains("\r"), fault).otherwise(column(f.name)).alias(f.name)
             if isinstance(f.dataType, T.StringType)
             else column(f.name)
             for f in df.schema
