@@ -109,7 +109,8 @@ def clean_files(
 
     Every file is read once; rows, counts and rejected rows come from the stored copy of that read.
     """
-    found = scan_optional_told(spark, base_in, fmt=fmt, schemas=schemas)
+    # What is split is stored there, with its status.
+    found = scan_optional_told(spark, base_in, fmt=fmt, schemas=schemas, staged=False)
     parts = {n: split(t.df, line=t.line, fault=t.fault) if isinstance(t, Told) else split(t) for n, t in found.items()}
     paths = write_layers({n: p.rows for n, p in parts.items()}, base_out, fmt)
     return Cleaned(paths, accounting({n: p.report for n, p in parts.items()}), {n: p.rejected for n, p in parts.items()})
