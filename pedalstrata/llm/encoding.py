@@ -24,6 +24,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark already runs o
 END = 0  # closes every document
 STORE_BITS = 21  # slots of a worker's store; it is emptied when half of them are taken
 BATCH_BYTES = 1_000_000
+TEXT_BYTES = 100_000  # of text encoded at a time: the arrays that takes are many times as long
+LEARNED = 1000  # pieces given to the tokenizer at a time, which returns hundreds of bytes for each
 HASHED_BYTES = 256  # longer pieces are not stored
 
 # Kinds of bytes: white space, letters and punctuation of ASCII, anything else.
@@ -92,7 +94,14 @@ class Encoder:
 
     def _learn(self, pieces: list[str]) -> np.ndarray:
         """Encode pieces and return their numbers."""
-        lists = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        begin = self.n
+        for at in range(0, len(pieces), LEARNED):
+            found = self.tokenizer.encode_batch_fast(pieces[at : at + LEARNED], add_special_tokens=False)
+            self._keep([e.ids for e in found])
+        return np.arange(begin, self.n)
+
+    def _keep(self, lists: list[list[int]]) -> None:
+        """Number lists of ids on from the last one."""
         ends = self.ends[self.n] + np.cumsum([len(x) for x in lists])
         while ends[-1] > len(self.ids):
             self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
@@ -101,7 +110,6 @@ class Encoder:
         self.ids[self.ends[self.n] : ends[-1]] = np.fromiter((i for x in lists for i in x), np.int32, int(ends[-1] - self.ends[self.n]))
         self.ends[self.n + 1 : self.n + 1 + len(lists)] = ends
         self.n += len(lists)
-        return np.arange(self.n - len(lists), self.n)
 
     def _numbers(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """The number of each piece, of which unknown ones are encoded first."""
@@ -170,6 +178,11 @@ def worker_encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+def forget_encoders() -> None:
+    """Free this worker's encoders; Spark uses workers again for what follows."""
+    _ENCODERS.clear()
+
+
 def slices(batch: pa.RecordBatch, column: str, size: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that each part holds about ``size`` bytes of text, or one longer row."""
     if not batch.num_rows:

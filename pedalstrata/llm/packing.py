@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pedalstrata.llm.encoding import crc32s, ids_array, list_values
+from pedalstrata.llm.encoding import crc32s, forget_encoders, ids_array, list_values
 from pedalstrata.llm.token_files import SCHEMA, encoded, part_offsets
 from pedalstrata.sources.staging import shared_dir
 
@@ -61,6 +61,7 @@ class Packed:
             return pa.RecordBatch.from_pydict(columns)
 
         def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            forget_encoders()  # the first pass is over
             held: _Part | None = None
             for batch in batches:
                 ids, at, lengths = list_values(batch.column("ids"))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pedalstrata.llm.common import offsets_before, shuffle_partitions
-from pedalstrata.llm.encoding import crc32s, ids_array, list_values, slices, worker_encoder
+from pedalstrata.llm.encoding import TEXT_BYTES, crc32s, ids_array, list_values, slices, worker_encoder
 
 SCHEMA = "doc_id bigint, part int, local_start bigint, n_tokens bigint, ids array<int>"
 STRIPE_BYTES = 32 << 20
@@ -38,7 +38,7 @@ def encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, at = worker_encoder(tokenizer), TaskContext.get().partitionId(), 0
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", TEXT_BYTES):
                 ids, lengths = encoder.encode(batch.column("text"))
                 ends = at + np.cumsum(lengths)
                 columns = {

@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from pedalstrata.llm import packing, token_files
+from pedalstrata.llm import encoding, packing, token_files
 from pedalstrata.llm.common import tokenizer_path
 from pedalstrata.llm.encoding import Encoder, Store
 from pedalstrata.llm.queries import QUERIES
@@ -60,6 +60,53 @@ def test_store_finds_what_was_added():
     assert (store.find(hashes[:2000]) == np.arange(2000)).all() and (store.find(hashes[2000:]) == -1).all()
 
 
+class Task:
+    """Stands for a frame and gives out what a task runs."""
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, task, schema):
+        return task
+
+
+def test_texts_are_encoded_in_small_steps(monkeypatch, tokenizer):
+    """However large Spark's batches are, a worker holds the arrays of little text and few encodings at a time."""
+    asked, given_texts = [], []
+
+    class Spy:
+        def encode_batch_fast(self, pieces, **options):
+            asked.append(len(pieces))
+            return tokenizer.encode_batch_fast(pieces, **options)
+
+    class Watched(Encoder):
+        def encode(self, texts):
+            given_texts.append(texts.nbytes)
+            return super().encode(texts)
+
+    encoder = Watched(tokenizer_path())
+    encoder.tokenizer = Spy()
+    monkeypatch.setattr(token_files, "worker_encoder", lambda path: encoder)
+    monkeypatch.setattr(token_files, "TaskContext", type("Context", (), {"get": classmethod(lambda c: c), "partitionId": lambda: 3}))
+    texts = [" ".join(f"w{i}x{j}" for j in range(400)) for i in range(400)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(400)), "text": pa.array(texts)})
+    rows = [r for b in token_files.encoded(Task(), "unused")(iter([batch])) for r in b.to_pylist()]
+    assert [r["ids"] for r in rows] == [ids_of(tokenizer, t) for t in texts]
+    assert [r["local_start"] for r in rows] == [sum(r["n_tokens"] for r in rows[:i]) for i in range(400)]
+    assert sum(map(len, texts)) > 1_000_000 and max(given_texts) < 150_000 and max(asked) <= 1000
+
+
+def test_second_packing_pass_holds_no_encoder(encoder, tokenizer, monkeypatch):
+    """Workers of the first pass serve the second one too, and whatever follows it."""
+    monkeypatch.setattr(encoding, "_ENCODERS", held := {"path": encoder})
+    ids = [ids_of(tokenizer, t) for t in ("one text", "another text of a few more words")]
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "start": [0, len(ids[0])], "ids": pa.array(ids, pa.list_(pa.int32()))})
+    gather = packing.Packed(Task(), 4).records()
+    records = [r for b in gather(iter([batch])) for r in b.to_pylist()]
+    assert [i for r in records for i in r["ids"]] == ids[0] + ids[1]
+    assert not held
+
+
 def expected_index(rows, tokenizer):
     out, at = [], 0
     for doc_id, text in rows:
