@@ -48,7 +48,8 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut what is left into sequences of 1024 token ids; one row per sequence, with its documents."""
-    sequences = packing.pack(docs, tokenizer_path()).write(shared_dir(spark))
+    # The workers of earlier stages serve this one too, so they are to hold little.
+    sequences = packing.pack(docs, tokenizer_path(), lean=True).write(shared_dir(spark))
     return sequences.withColumn("doc_ids", F.col("pieces.doc_id"))
 
 

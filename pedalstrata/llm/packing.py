@@ -35,10 +35,14 @@ PIECES = "array<struct<doc_id:bigint,start:bigint,length:bigint,doc_tokens:bigin
 
 @dataclass(frozen=True)
 class Packed:
-    """Stored ids with the global offset ``start`` of each document, and the window length."""
+    """Stored ids with the global offset ``start`` of each document, and the window length.
+
+    With ``lean``, workers free the encoders of the first pass before the second; the next table learns anew.
+    """
 
     rows: DataFrame
     window: int
+    lean: bool = False
 
     def records(self) -> DataFrame:
         """Windows, or the parts of them that a task holds: ``sequence_id``, ``offset``, ``n_tokens``, ``ids``, ``pieces``.
@@ -46,7 +50,7 @@ class Packed:
         A part is a boundary record; a task has at most two, its first and its last. ``pieces`` are in their
         order, each with ``doc_id``, ``start`` (the document's ids before it), ``length`` and ``doc_tokens``.
         """
-        window = self.window
+        window, lean = self.window, self.lean
         members = pa.struct([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64())])
 
         def rows(sequence, offset, ids, sizes, pieces, counts) -> pa.RecordBatch:
@@ -61,7 +65,8 @@ class Packed:
             return pa.RecordBatch.from_pydict(columns)
 
         def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            forget_encoders()  # the first pass is over
+            if lean:
+                forget_encoders()
             held: _Part | None = None
             for batch in batches:
                 ids, at, lengths = list_values(batch.column("ids"))
@@ -190,7 +195,7 @@ def _cut(begin: np.ndarray, lengths: np.ndarray, window: int) -> tuple[np.ndarra
     return row, sequence, left, right - left
 
 
-def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> Packed:
+def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, lean: bool = False) -> Packed:
     """Encode ``doc_id`` and ``text``, store the ids on shared storage and lay out the windows."""
     spark = docs.sparkSession
     path = shared_dir(spark)
@@ -198,4 +203,4 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> Packed:
     encoded(docs, tokenizer).write.format("orc").options(**FAST).save(path)
     rows = spark.read.schema(SCHEMA).orc(path)
     start = (F.col("part_start") + F.col("local_start")).alias("start")
-    return Packed(rows.join(F.broadcast(part_offsets(rows)), "part").select("doc_id", start, "ids"), window)
+    return Packed(rows.join(F.broadcast(part_offsets(rows)), "part").select("doc_id", start, "ids"), window, lean)

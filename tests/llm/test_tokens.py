@@ -13,6 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from pedalstrata.llm import encoding, packing, token_files
 from pedalstrata.llm.common import tokenizer_path
 from pedalstrata.llm.encoding import Encoder, Store
@@ -96,15 +97,23 @@ def test_texts_are_encoded_in_small_steps(monkeypatch, tokenizer):
     assert sum(map(len, texts)) > 1_000_000 and max(given_texts) < 150_000 and max(asked) <= 1000
 
 
-def test_second_packing_pass_holds_no_encoder(encoder, tokenizer, monkeypatch):
+@pytest.mark.parametrize("lean", [False, True])
+def test_lean_packing_frees_the_encoders(encoder, tokenizer, monkeypatch, lean):
     """Workers of the first pass serve the second one too, and whatever follows it."""
     monkeypatch.setattr(encoding, "_ENCODERS", held := {"path": encoder})
     ids = [ids_of(tokenizer, t) for t in ("one text", "another text of a few more words")]
     batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "start": [0, len(ids[0])], "ids": pa.array(ids, pa.list_(pa.int32()))})
-    gather = packing.Packed(Task(), 4).records()
+    gather = packing.Packed(Task(), 4, lean).records()
     records = [r for b in gather(iter([batch])) for r in b.to_pylist()]
     assert [i for r in records for i in r["ids"]] == ids[0] + ids[1]
-    assert not held
+    assert bool(held) is not lean
+
+
+def test_the_pipeline_packs_lean(spark, sf_dir, documents, monkeypatch):
+    asked, real = [], packing.pack
+    monkeypatch.setattr(packing, "pack", lambda *a, **b: asked.append(b) or real(*a, **b))
+    corpus_pipeline.pack(spark, documents.limit(5), sf_dir)
+    assert asked == [{"lean": True}]
 
 
 def expected_index(rows, tokenizer):
