@@ -55,6 +55,8 @@ def fold(doc_id: Column, n: int) -> Column:
 
 #: A key is hot if it holds more than this part of all rows, so there are fewer hot keys than this.
 HOT_KEYS = 1000
+#: Of keys that exploded rows are joined to, so many are broadcast with their values.
+BROADCAST_KEYS = 10_000
 POSITION_BITS = 33  # monotonically_increasing_id: partition above, position in it below
 
 
@@ -62,18 +64,24 @@ def _same(a: str, b: str, on: Sequence[str]) -> Column:
     return reduce(and_, [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in on])
 
 
-def join_keyed(rows: DataFrame, keyed: DataFrame, on: Sequence[str], n: str) -> DataFrame:
+def join_keyed(rows: DataFrame, keyed: DataFrame, on: Sequence[str], n: str, exploded: bool = False) -> DataFrame:
     """Inner join of ``rows`` to ``keyed``, which has one row per key and in ``n`` the rows of the key.
 
     Fewer than ``HOT_KEYS`` keys can hold more than that part of all rows. Their rows stay where
     they are and get the values by a broadcast of bounded length; only rows of other keys move.
     Null keys match. Both frames are read twice, so give stored ones. ``n`` is not returned.
+
+    Spark takes ``exploded`` rows for as few as what they come from, and could choose to broadcast
+    them. It is told what to do: broadcast ``keyed`` if it is short, else move both sides.
     """
-    total = keyed.agg(F.sum(n)).first()[0] or 0
+    total, keys = keyed.agg(F.coalesce(F.sum(n), F.lit(0)), F.count(F.lit(1))).first()
     values = [c for c in keyed.columns if c not in on and c != n]
     columns = [*[F.col(f"r.{c}") for c in rows.columns], *[F.col(f"k.{c}") for c in values]]
     is_hot = F.col(n) * F.lit(HOT_KEYS) > F.lit(total)
-    hot, cold = (F.broadcast(keyed.where(is_hot)).alias("k"), keyed.where(~is_hot).alias("k"))
+    hot, cold = F.broadcast(keyed.where(is_hot)), keyed.where(~is_hot)
+    if exploded:
+        cold = cold.hint("broadcast" if keys <= BROADCAST_KEYS else "merge")
+    hot, cold = hot.alias("k"), cold.alias("k")
     r, same = rows.alias("r"), _same("r", "k", on)
     moved = r.join(hot, same, "left_anti").alias("r").join(cold, same)
     return r.join(hot, same).select(*columns).unionByName(moved.select(*columns))

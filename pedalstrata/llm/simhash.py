@@ -11,7 +11,8 @@
 A variant that more than ``BUCKET`` nodes share is not paired. Its nodes get, instead, the variants
 of their whole fingerprint with two wildcards: whichever two of them differ in two bits or fewer
 share one, and a variant has four fingerprints at most. That is exact, and it costs a node no more
-than pairing in full buckets would.
+than pairing in full buckets would. Which of the four are there is one number, so an aggregate of
+fixed width tells the links.
 
 Edge cases: a null text is an empty one; a text without words has fingerprint zero and is linked like
 any other; a text of one or two words is one run. Rows of equal ``doc_id`` are kept as rows. A null
@@ -22,6 +23,7 @@ are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -87,26 +89,39 @@ def _variants(prints: DataFrame) -> DataFrame:
 
 
 def _double_variants(prints: DataFrame) -> DataFrame:
-    """``one``, ``two`` and ``key`` for each two places of wildcards in the whole fingerprint."""
+    """``one``, ``two`` and ``key`` for each two places of wildcards in the whole fingerprint.
+
+    Of the four fingerprints that have a variant, ``own`` marks the print by a bit of four.
+    """
     one = F.explode(F.sequence(F.lit(0), F.lit(BITS - 2))).alias("one")
     both = prints.select("print", one).select("print", "one", F.explode(F.sequence(F.col("one") + 1, F.lit(BITS - 1))).alias("two"))
-    return both.select("one", "two", F.expr("print & ~shiftleft(1L, one) & ~shiftleft(1L, two)").alias("key"), "print")
+    key = F.expr("print & ~shiftleft(1L, one) & ~shiftleft(1L, two)").alias("key")
+    return both.select("one", "two", key, F.expr("shiftleft(1, getbit(print, one) + 2 * getbit(print, two))").alias("own"))
 
 
 def _near(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b)) <= DISTANCE
 
 
-def _met(members: DataFrame, on: list[str]) -> DataFrame:
+def _met(members: DataFrame) -> DataFrame:
     """Pairs of nodes that share a key and differ in few enough bits."""
     a, b = members.alias("a"), members.alias("b")
-    same = F.col("a.print") < F.col("b.print")
-    for k in on:
-        same = same & (F.col(f"a.{k}") == F.col(f"b.{k}"))
-    found = a.join(b, same).where(_near(F.col("a.print"), F.col("b.print")))
+    found = a.join(b, (F.col("a.print") < F.col("b.print")) & (F.col("a.key") == F.col("b.key")))
+    found = found.where(_near(F.col("a.print"), F.col("b.print")))
     return found.select(F.col("a.print").alias("u"), F.col("b.print").alias("v"))
 
 
+def _met_in_doubles(prints: DataFrame) -> DataFrame:
+    """The same for all double variants of ``prints``; whichever share one are near."""
+    shared = _double_variants(prints).groupBy("one", "two", "key").agg(F.bit_or("own").alias("there")).where("bit_count(there) > 1")
+    node = [F.expr(f"key | shiftleft({i & 1}L, one) | shiftleft({i >> 1}L, two)") for i in range(4)]
+    listed = []
+    for i, j in combinations(range(4), 2):
+        pair = F.struct(F.least(node[i], node[j]).alias("u"), F.greatest(node[i], node[j]).alias("v"))
+        listed.append(F.when(F.expr(f"getbit(there, {i}) + getbit(there, {j}) = 2"), pair))
+    return shared.select(F.inline(F.filter(F.array(*listed), lambda p: p.isNotNull())))
+
+
 def _met_in_small(shared: DataFrame) -> DataFrame:
     """The same for keys of two or three nodes, which their least, their largest and the XOR of all tell."""
     low, high = F.col("low"), F.col("high")
@@ -127,15 +142,11 @@ def links(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
     sums = [F.count(F.lit(1)).alias("n"), F.min("print").alias("low"), F.max("print").alias("high"), F.bit_xor("print").alias("all")]
     shared = stage(variants.groupBy("key").agg(*sums).where("n > 1"))
     larger = stage(shared.where("n > 3").select("key", "n", (F.col("n") > bucket).alias("crowd")))
-    members = stage(join_keyed(variants, larger, ["key"], "n"))
+    members = stage(join_keyed(variants, larger, ["key"], "n", exploded=True))
     crowded = members.where("crowd").select("print").distinct()
-    doubles = ["one", "two", "key"]
-    split = _double_variants(crowded)
-    held = split.groupBy(*doubles).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    few = stage(split.join(held, doubles))
-    found = _met(members.where("NOT crowd"), ["key"]).unionByName(_met(few, doubles))
+    found = _met(members.where("NOT crowd")).unionByName(_met_in_doubles(crowded))
     out = stage(found.unionByName(_met_in_small(shared)).distinct())
-    for used in (shared, larger, members, few):
+    for used in (shared, larger, members):
         discard(used)
     return out
 

@@ -8,10 +8,13 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from pedalstrata.llm import simhash
+from pedalstrata.llm.common import join_keyed
 from pedalstrata.llm.queries import QUERIES
+from pedalstrata.sources.staging import stage
 
 
 def fingerprint(text):
@@ -95,3 +98,30 @@ def test_hot_fingerprint(spark, tmp_path):
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     found = QUERIES["op12_simhash"](spark, str(tmp_path)).collect()
     assert Counter(map(tuple, found)) == expected(docs.collect())
+
+
+@pytest.fixture()
+def small_broadcasts(spark):
+    """A broadcast of more than 32 MB in memory is an error."""
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "32m")
+    yield
+    spark.conf.unset("spark.sql.maxBroadcastTableSize")
+
+
+def test_crowds_are_not_broadcast(spark, small_broadcasts):
+    """Variants are many more rows than the fingerprints that they are exploded from."""
+    rng, prints = random.Random(5), set()
+    while len(prints) < 600:
+        prints.add(sum(1 << b for b in rng.sample(range(63), rng.randint(0, 4))))
+    found = simhash.links(spark.createDataFrame([(p,) for p in prints], "print long").repartition(3), 2).collect()
+    assert len(found) == len(set(found)) and {(r.u, r.v) for r in found} == all_links(prints)
+
+
+def test_exploded_rows_are_not_broadcast(spark, small_broadcasts):
+    """A thousand stored numbers with a thousand rows each, joined to more keys than they take to store."""
+    numbers = stage(spark.range(1000))
+    rows = numbers.select("id", F.explode(F.sequence(F.lit(0), F.lit(999))).alias("key"))
+    keyed = stage(spark.range(20_000).select(F.col("id").alias("key"), F.lit(1).alias("n"), F.col("id").alias("value")))
+    found = join_keyed(rows, keyed, ["key"], "n", exploded=True)
+    told = found.agg(F.count("key"), F.sum((F.col("key") == F.col("value")).cast("int")), F.countDistinct("id", "key")).first()
+    assert tuple(told) == (1_000_000, 1_000_000, 1_000_000)
